@@ -73,3 +73,64 @@ def rec_itemcf(seeds: DataFrame, nbrs: DataFrame, k: int = 20, item: str = "trac
     seen = seeds.select("pid", F.col(item).alias("item")).distinct()
     cand = sc.join(seen, ["pid", "item"], "left_anti")
     return top_k_per_group(cand, "pid", [F.col("score").desc(), F.col("item")], k)
+
+
+# ---- label (genre) path -----------------------------------------------------
+def filter_labelled(playlists: DataFrame, labels: DataFrame, min_tracks: int = 50) -> DataFrame:
+    """(pid, genre): labelled groups with at least ``min_tracks`` entries."""
+    return playlists.select("pid", "num_tracks").join(labels.select("pid", "genre"), "pid", "inner") \
+        .where(F.col("num_tracks") >= min_tracks).select("pid", "genre")
+
+
+def track_label_counts(entries: DataFrame, labels: DataFrame, item: str = "track_uri") -> DataFrame:
+    """(item, genre, cnt): entries per (item, label of its group), with multiplicity."""
+    return entries.select("pid", item).join(labels.select("pid", "genre"), "pid", "inner") \
+        .groupBy(item, "genre").agg(F.count(F.lit(1)).cast("long").alias("cnt"))
+
+
+def majority_label(counts: DataFrame, item: str = "track_uri") -> DataFrame:
+    """(item, genre, genre_count): most frequent label per item (ties: label asc)."""
+    r = top_k_per_group(counts, item, [F.col("cnt").desc(), F.col("genre")], 1, "_r")
+    return r.select(item, "genre", F.col("cnt").alias("genre_count"))
+
+
+def label_popularity(counts: DataFrame, item: str = "track_uri") -> DataFrame:
+    """(genre, rank, item, cnt): rank of every (item, label) pair inside its label.
+
+    The window is partitioned by label (few values); the rank is built with
+    the bucketed ordered index so a large label is ranked by many tasks."""
+    from cadence.operators.ranking import key_prefix, ordered_index
+    skip = len("spotify:track:") if item == "track_uri" else 0
+    d = counts.withColumn("_p", key_prefix(item, skip, 2))
+    r = ordered_index(d, partition_by=["genre"], bucket=["cnt", "_p"],
+                      bucket_order=[F.col("cnt").desc(), F.col("_p")],
+                      row_order=[F.col(item)], index_col="_i")
+    return r.select("genre", (F.col("_i") + 1).alias("rank"), item, "cnt")
+
+
+def infer_label(seeds: DataFrame, item_labels: DataFrame, groups: DataFrame,
+                item: str = "track_uri") -> DataFrame:
+    """(pid, inferred): majority label of the known seed items (with
+    multiplicity, ties: label asc); 'unknown' when no seed item is known."""
+    votes = seeds.select("pid", item).join(item_labels.select(item, "genre"), item, "inner") \
+        .groupBy("pid", "genre").agg(F.count(F.lit(1)).alias("_c"))
+    top = top_k_per_group(votes, "pid", [F.col("_c").desc(), F.col("genre")], 1, "_r")
+    return groups.select("pid").join(top.select("pid", "genre"), "pid", "left").select(
+        "pid", F.coalesce(F.col("genre"), F.lit("unknown")).alias("inferred"))
+
+
+def rec_by_label(seeds: DataFrame, inferred: DataFrame, popularity: DataFrame, k: int = 20,
+                 item: str = "track_uri") -> DataFrame:
+    """Walk the inferred label's ranking, skip seen items, stop at k.
+
+    The join with the ranking is bounded per group by rank <= k + |seen|,
+    which is enough because at most |seen| of those ranks are skipped."""
+    seen = seeds.select("pid", F.col(item).alias("item")).distinct()
+    nseen = seen.groupBy("pid").agg(F.count(F.lit(1)).alias("_ns"))
+    q = inferred.where(F.col("inferred") != "unknown").join(nseen, "pid", "inner")
+    pop = popularity.select(F.col("genre").alias("inferred"), F.col("rank").alias("_gr"),
+                            F.col(item).alias("item"), "cnt")
+    cand = q.join(pop, (q.inferred == pop.inferred) & (pop._gr <= q._ns + k), "inner") \
+        .select("pid", "_gr", "item", F.col("cnt").alias("score"))
+    cand = cand.join(seen, ["pid", "item"], "left_anti")
+    return top_k_per_group(cand, "pid", [F.col("_gr")], k).drop("_gr")

@@ -5,7 +5,17 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from cadence.operators import sequences as S
-from cadence.sources.fixtures import tables
+from cadence.sources.fixtures import stage, tables
+
+_MEMO: dict = {}
+
+
+def memo(spark, sf_dir, name, build):
+    """One persisted DataFrame per (session, data dir, stage name)."""
+    key = (id(spark), sf_dir, name)
+    if key not in _MEMO:
+        _MEMO[key] = stage(build(), name)
+    return _MEMO[key]
 
 MIN_LEN = 5
 VOCAB_LIMIT = 1000       # vocabulary cut-off used by the sequence-model queries
@@ -16,21 +26,25 @@ URI_SKIP = len("spotify:track:")
 
 def corpus(spark, sf_dir):
     t = tables(spark, sf_dir)
-    return S.build_corpus(t.tracks().select("pid", "pos", "track_uri"), MIN_LEN)
+    return memo(spark, sf_dir, "corpus", lambda: S.build_corpus(
+        t.tracks().select("pid", "pos", "track_uri"), MIN_LEN))
 
 
 def vocab(spark, sf_dir):
-    return S.vocabulary(corpus(spark, sf_dir), "track_uri", skip_prefix=URI_SKIP)
+    return memo(spark, sf_dir, "vocab", lambda: S.vocabulary(
+        corpus(spark, sf_dir), "track_uri", skip_prefix=URI_SKIP))
 
 
 def encoded(spark, sf_dir):
-    return S.encode(corpus(spark, sf_dir), vocab(spark, sf_dir))
+    return memo(spark, sf_dir, "encoded", lambda: S.encode(corpus(spark, sf_dir), vocab(spark, sf_dir)))
 
 
 def groups_split(spark, sf_dir):
-    g = S.group_sizes(corpus(spark, sf_dir))
-    b = S.length_bins(g, "seq_len", 10)
-    return S.stratified_split(b, "length_bin", 0.1, 0.1, SEED)
+    def build():
+        g = S.group_sizes(corpus(spark, sf_dir))
+        b = S.length_bins(g, "seq_len", 10)
+        return S.stratified_split(b, "length_bin", 0.1, 0.1, SEED)
+    return memo(spark, sf_dir, "groups_split", build)
 
 
 def split_seqs(spark, sf_dir, which: str):
@@ -86,13 +100,13 @@ def seed_holdout_cte(src: str = "test", groups: str = "test_groups", rule: str =
     """SQL for seeds / holdout / evaluated groups (names: seeds, holdout, evaluated)."""
     sp = "greatest(1, CAST(floor(seq_len * 0.8::DOUBLE) AS BIGINT))"
     skip = f"{sp} >= seq_len - 1" if rule == "sequence" else "seq_len < 5"
-    mapped = (f"CASE WHEN {item} < {vocab_limit} THEN {item} ELSE {vocab_limit + 1} END"
+    mapped = (f"CAST(CASE WHEN {item} < {vocab_limit} THEN {item} ELSE {vocab_limit + 1} END AS INTEGER)"
               if vocab_limit is not None else item)
     hold_filter = f"AND {item} <> {vocab_limit + 1}" if vocab_limit is not None else ""
     seed_filter = f"AND s.pos >= g.sp - {max_seed}" if max_seed is not None else ""
     return f"""
 , _g AS (SELECT pid, seq_len, {sp} AS sp FROM {groups} WHERE NOT ({skip}))
-, _s AS (SELECT x.pid, x.pos, CAST({mapped} AS INTEGER) AS {item}, g.sp
+, _s AS (SELECT x.pid, x.pos, {mapped} AS {item}, g.sp
          FROM {src} x JOIN _g g USING (pid))
 , holdout AS (SELECT DISTINCT pid, {item} FROM _s WHERE pos >= sp {hold_filter})
 , _nh AS (SELECT pid, CAST(count(*) AS BIGINT) AS n_holdout FROM holdout GROUP BY pid)

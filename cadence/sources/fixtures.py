@@ -38,6 +38,24 @@ def epoch_seconds(ts) -> F.Column:
             + F.minute(c) * 60 + F.second(c)).cast("long")
 
 
+def stage(df: DataFrame, name: str = "") -> DataFrame:
+    """Keep a stage output that several plans reuse.
+
+    Default: ``persist`` (memory and disk; lost blocks are recomputed from
+    lineage). With ``cadence.stage=checkpoint`` the output is written to the
+    shared ``spark.checkpoint.dir`` instead, which also cuts the lineage.
+    """
+    mode = df.sparkSession.conf.get("cadence.stage", "persist")
+    if mode == "checkpoint":
+        from cadence.session import ensure_checkpoint_dir
+        ensure_checkpoint_dir(df.sparkSession)
+        return df.checkpoint(eager=True)
+    if mode == "none":
+        return df
+    from pyspark import StorageLevel
+    return df.persist(StorageLevel.MEMORY_AND_DISK)
+
+
 class Tables:
     """Lazy canonical tables for one data directory.
 
@@ -58,7 +76,7 @@ class Tables:
         if name in self.prepared:
             return self.spark.read.parquet(self.prepared[name])
         if name not in self._memo:
-            self._memo[name] = build()
+            self._memo[name] = stage(build(), name)
         return self._memo[name]
 
     # -- entries ------------------------------------------------------------
