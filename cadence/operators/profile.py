@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 def distribution(df: DataFrame, col: str, unknown: str | None = None, digits: int = 9) -> DataFrame:
     """(col, n, pct) per value, plus 'labeled' (all but ``unknown``) and 'total' rows."""
     c = df.groupBy(col).agg(F.count(F.lit(1)).cast("long").alias("n"))
-    c = c.cache() if False else c
     tot = c.agg(F.sum("n").alias("total"),
                 F.sum(F.when(F.col(col) != F.lit(unknown), F.col("n")).otherwise(0)).alias("lab")).first()
     total, lab = int(tot["total"] or 0), int(tot["lab"] or 0)
@@ -21,3 +20,192 @@ def distribution(df: DataFrame, col: str, unknown: str | None = None, digits: in
     extra = spark.createDataFrame([("labeled", lab), ("total", total)], f"{col} string, n long") \
         .select(col, "n", pct(F.col("n")).alias("pct"))
     return rows.unionByName(extra)
+
+
+def fit_scalars(df: DataFrame, *aggs) -> dict:
+    """Run one global aggregate (a fixed number of scalars) and return it as a
+    dict. Used to fit edges and bounds that a second pass applies as literals
+    (the fit/transform pattern; no join with a one-row table)."""
+    row = df.agg(*aggs).first()
+    return row.asDict() if row is not None else {}
+
+
+def totals_long(playlists: DataFrame, tracks: DataFrame, title_norm) -> DataFrame:
+    """(metric, value): dataset totals as rows (two global aggregates, unioned)."""
+    p = playlists.agg(
+        F.count(F.lit(1)).cast("double").alias("n_playlists"),
+        F.countDistinct("name").cast("double").alias("n_titles"),
+        F.countDistinct(title_norm).cast("double").alias("n_titles_norm"),
+        F.sum(F.col("has_desc").cast("long")).cast("double").alias("n_with_desc"),
+        F.round(F.avg("num_followers"), 9).alias("mean_followers"))
+    t = tracks.agg(
+        F.count(F.lit(1)).cast("double").alias("n_entries"),
+        F.countDistinct("track_uri").cast("double").alias("n_tracks"),
+        F.countDistinct("album_uri").cast("double").alias("n_albums"),
+        F.countDistinct("artist_uri").cast("double").alias("n_artists"),
+        F.countDistinct("pid").cast("double").alias("n_groups"),
+        F.round(F.avg("track_dur_ms"), 9).alias("mean_track_dur_ms"),
+        F.round(F.count(F.lit(1)) / F.countDistinct("pid"), 9).alias("mean_len"))
+    return unpivot(p).unionByName(unpivot(t))
+
+
+def unpivot(df: DataFrame, name: str = "metric", value: str = "value") -> DataFrame:
+    cols = df.columns
+    expr = "stack({}, {}) as ({}, {})".format(
+        len(cols), ", ".join(f"'{c}', CAST(`{c}` AS DOUBLE)" for c in cols), name, value)
+    return df.selectExpr(expr)
+
+
+def top_values(tagged: DataFrame, tag: str, value: str, n: int = 20) -> DataFrame:
+    """(tag, value, n, rank): top-n values per tag by (count desc, value asc).
+    The per-tag window is limited to n rows per partition before its shuffle."""
+    from cadence.operators.recommend import top_k_per_group
+    c = tagged.groupBy(tag, value).agg(F.count(F.lit(1)).cast("long").alias("n"))
+    r = top_k_per_group(c, tag, [F.col("n").desc(), F.col(value)], n)
+    return r.withColumn("rank", F.col("rank").cast("long"))
+
+
+def top_by_count(df: DataFrame, keys: list[str], n: int, count_col: str = "n",
+                 extra_aggs=()) -> DataFrame:
+    """Group count top-n by (count desc, keys asc): partial aggregate + take-ordered."""
+    c = df.groupBy(*keys).agg(F.count(F.lit(1)).cast("long").alias(count_col), *extra_aggs)
+    return c.orderBy(F.col(count_col).desc(), *[F.col(k) for k in keys]).limit(n)
+
+
+def trimmed_stats(df: DataFrame, cols: list[str], lo: float = 0.1, hi: float = 0.9,
+                  digits: int = 2) -> DataFrame:
+    """(variable, trimmed_median, trimmed_mean, trimmed_std, p_lo, p_hi) with
+    the trim lo <= x <= hi on each column's own quantiles."""
+    q = fit_scalars(df, *[F.percentile(F.col(c).cast("double"), F.lit([lo, hi])).alias(c) for c in cols])
+    long = df.selectExpr("stack({}, {}) as (variable, x)".format(
+        len(cols), ", ".join(f"'{c}', CAST(`{c}` AS DOUBLE)" for c in cols)))
+    lo_e = F.lit(None).cast("double")
+    hi_e = F.lit(None).cast("double")
+    for c in cols:
+        lo_e = F.when(F.col("variable") == c, F.lit(float(q[c][0]))).otherwise(lo_e)
+        hi_e = F.when(F.col("variable") == c, F.lit(float(q[c][1]))).otherwise(hi_e)
+    t = long.withColumn("_lo", lo_e).withColumn("_hi", hi_e).where(
+        (F.col("x") >= F.col("_lo")) & (F.col("x") <= F.col("_hi")))
+    return t.groupBy("variable").agg(
+        F.round(F.median("x"), digits).alias("trimmed_median"),
+        F.round(F.avg("x"), digits).alias("trimmed_mean"),
+        F.round(F.stddev_samp("x"), digits).alias("trimmed_std"),
+        F.round(F.first("_lo"), digits).alias("p_lo"),
+        F.round(F.first("_hi"), digits).alias("p_hi"))
+
+
+def corr_matrix(df: DataFrame, cols: list[str], digits: int = 9) -> DataFrame:
+    """(a, b, r): Pearson correlation for every ordered pair, one aggregate."""
+    aggs = [F.corr(a, b).alias(f"{a}__{b}") for a in cols for b in cols]
+    wide = df.agg(*aggs)
+    pairs = ", ".join(f"'{a}', '{b}', `{a}__{b}`" for a in cols for b in cols)
+    return wide.selectExpr(f"stack({len(cols) ** 2}, {pairs}) as (a, b, r)").withColumn(
+        "r", F.round("r", digits))
+
+
+def histogram(df: DataFrame, col: str, bins: int, lo: float | None = None, hi: float | None = None,
+              by: str | None = None) -> DataFrame:
+    """Equal-width histogram: (bin, bin_lo, bin_hi, n) (+ ``by``); the last bin is
+    closed on the right. lo/hi default to the column's min/max (fitted once)."""
+    if lo is None or hi is None:
+        s = fit_scalars(df, F.min(col).cast("double").alias("lo"), F.max(col).cast("double").alias("hi"))
+        lo = s["lo"] if lo is None else lo
+        hi = s["hi"] if hi is None else hi
+    lo, hi = float(lo), float(hi)
+    w = (hi - lo) / bins if hi > lo else 1.0
+    x = F.col(col).cast("double")
+    b = F.least(F.floor((x - F.lit(lo)) / F.lit(w)), F.lit(bins - 1)).cast("int")
+    d = df.where((x >= lo) & (x <= hi)).withColumn("bin", b)
+    keys = ([by] if by else []) + ["bin"]
+    out = d.groupBy(*keys).agg(F.count(F.lit(1)).cast("long").alias("n"))
+    return out.withColumn("bin_lo", F.lit(lo) + F.col("bin") * F.lit(w)).withColumn(
+        "bin_hi", F.lit(lo) + (F.col("bin") + 1) * F.lit(w))
+
+
+def describe_exact(df: DataFrame, cols: list[str], digits: int = 9) -> DataFrame:
+    """(variable, count, mean, std, min, p25, p50, p75, max) per column."""
+    long = df.selectExpr("stack({}, {}) as (variable, x)".format(
+        len(cols), ", ".join(f"'{c}', CAST(`{c}` AS DOUBLE)" for c in cols))).where(F.col("x").isNotNull())
+    return long.groupBy("variable").agg(
+        F.count("x").cast("long").alias("count"), F.round(F.avg("x"), digits).alias("mean"),
+        F.round(F.stddev_samp("x"), digits).alias("std"), F.min("x").alias("min"),
+        F.round(F.percentile("x", 0.25), digits).alias("p25"),
+        F.round(F.percentile("x", 0.5), digits).alias("p50"),
+        F.round(F.percentile("x", 0.75), digits).alias("p75"), F.max("x").alias("max"))
+
+
+def coverage_top_pct(vocab: DataFrame, pcts=(0.1, 1, 5, 10, 25, 50), freq: str = "corpus_freq",
+                     idx: str = "corpus_idx", digits: int = 9) -> DataFrame:
+    """(pct, n_items, coverage_pct): share of entries held by the top
+    n = max(1, int(V * pct / 100)) items."""
+    s = fit_scalars(vocab, F.count(F.lit(1)).alias("V"))
+    V = int(s["V"])
+    ns = [max(1, int(V * p / 100)) for p in pcts]
+    aggs = [F.sum(F.col(freq)).alias("_T")] + [
+        F.sum(F.when(F.col(idx) < n, F.col(freq)).otherwise(0)).alias(f"_c{i}") for i, n in enumerate(ns)]
+    wide = vocab.agg(*aggs)
+    rows = ", ".join(f"CAST({float(p)} AS DOUBLE), CAST({n} AS BIGINT), _c{i}" for i, (p, n) in enumerate(zip(pcts, ns)))
+    return wide.selectExpr(f"stack({len(ns)}, {rows}) as (pct, n_items, _c)", "_T").select(
+        "pct", "n_items", F.round(F.col("_c") * 100.0 / F.col("_T"), digits).alias("coverage_pct"))
+
+
+def vocab_limit_coverage(vocab: DataFrame, limits=(100, 1000), freq: str = "corpus_freq",
+                         idx: str = "corpus_idx", digits: int = 9) -> DataFrame:
+    """(vocab_limit, coverage_pct, unk_pct) for each limit V: sum(freq, idx < V) / sum(freq)."""
+    aggs = [F.sum(F.col(freq)).alias("_T")] + [
+        F.sum(F.when(F.col(idx) < v, F.col(freq)).otherwise(0)).alias(f"_c{i}") for i, v in enumerate(limits)]
+    wide = vocab.agg(*aggs)
+    rows = ", ".join(f"CAST({v} AS BIGINT), _c{i}" for i, v in enumerate(limits))
+    cov = F.round(F.col("_c") * 100.0 / F.col("_T"), digits)
+    return wide.selectExpr(f"stack({len(limits)}, {rows}) as (vocab_limit, _c)", "_T").select(
+        "vocab_limit", cov.alias("coverage_pct"),
+        F.round(F.lit(100.0) - F.col("_c") * 100.0 / F.col("_T"), digits).alias("unk_pct"))
+
+
+def coverage_curve(vocab: DataFrame, freq: str = "corpus_freq", idx: str = "corpus_idx",
+                   digits: int = 9) -> DataFrame:
+    """(corpus_idx, corpus_freq, cum_freq, coverage_pct): cumulative share of
+    entries held by ranks 0..idx. The running sum is bucketed by blocks of
+    ranks (see ranking.ordered_index), never one global window."""
+    from cadence.operators.ranking import ordered_index
+    total = fit_scalars(vocab, F.sum(freq).alias("T"))["T"]
+    d = vocab.withColumn("_blk", F.floor(F.col(idx) / F.lit(4096)))
+    r = ordered_index(d, bucket=["_blk"], bucket_order=[F.col("_blk")], row_order=[F.col(idx)],
+                      index_col="_i", weight=freq, cum_col="cum_freq")
+    return r.select(idx, freq, F.col("cum_freq").cast("long"),
+                    F.round(F.col("cum_freq") * 100.0 / F.lit(float(total)), digits).alias("coverage_pct"))
+
+
+def artist_diversity(playlists: DataFrame, tracks: DataFrame, digits: int = 9) -> DataFrame:
+    """One row: distinct artists per group (median, mean, p10, p90, max) and
+    the ratio distinct / num_tracks clipped to [0, 1] (median, mean)."""
+    d = tracks.groupBy("pid").agg(F.countDistinct("artist_uri").alias("n_art"))
+    j = d.join(playlists.select("pid", "num_tracks"), "pid", "inner").withColumn(
+        "ratio", F.least(F.greatest(F.col("n_art") / F.nullif(F.col("num_tracks"), F.lit(0)), F.lit(0.0)),
+                         F.lit(1.0)))
+    return j.agg(
+        F.round(F.median("n_art"), digits).alias("artists_median"),
+        F.round(F.avg("n_art"), digits).alias("artists_mean"),
+        F.round(F.percentile("n_art", 0.1), digits).alias("artists_p10"),
+        F.round(F.percentile("n_art", 0.9), digits).alias("artists_p90"),
+        F.max("n_art").cast("long").alias("artists_max"),
+        F.round(F.median("ratio"), digits).alias("ratio_median"),
+        F.round(F.avg("ratio"), digits).alias("ratio_mean"))
+
+
+def split_profile(groups: DataFrame, by: str = "split", col: str = "seq_len", digits: int = 9) -> DataFrame:
+    """Per split: n, min, p10, median, mean, p90, max, quartiles and the box-plot
+    whiskers (extreme values inside 1.5 IQR of the quartiles)."""
+    x = F.col(col).cast("double")
+    s = groups.groupBy(by).agg(
+        F.count(F.lit(1)).cast("long").alias("n"), F.min(x).alias("min"),
+        F.percentile(x, 0.1).alias("p10"), F.median(x).alias("median"),
+        F.round(F.avg(x), digits).alias("mean"), F.percentile(x, 0.9).alias("p90"),
+        F.max(x).alias("max"), F.percentile(x, 0.25).alias("q1"), F.percentile(x, 0.75).alias("q3"))
+    # one row per split: a bounded side, broadcast for the fence pass
+    fences = s.select(by, (F.col("q1") - 1.5 * (F.col("q3") - F.col("q1"))).alias("_flo"),
+                      (F.col("q3") + 1.5 * (F.col("q3") - F.col("q1"))).alias("_fhi"))
+    w = groups.join(F.broadcast(fences), by).groupBy(by).agg(
+        F.min(F.when(x >= F.col("_flo"), x)).alias("whisker_lo"),
+        F.max(F.when(x <= F.col("_fhi"), x)).alias("whisker_hi"))
+    return s.join(w, by)
