@@ -134,3 +134,107 @@ def rec_by_label(seeds: DataFrame, inferred: DataFrame, popularity: DataFrame, k
         .select("pid", "_gr", "item", F.col("cnt").alias("score"))
     cand = cand.join(seen, ["pid", "item"], "left_anti")
     return top_k_per_group(cand, "pid", [F.col("_gr")], k).drop("_gr")
+
+
+# ---- next item from the ordered seed ---------------------------------------
+def transitions(frames: DataFrame) -> DataFrame:
+    """(input, target, cnt, prob): adjacent-pair counts of the training frames
+    (padding excluded) and their share among the input's successors."""
+    t = frames.where(~F.col("pad_mask")).groupBy("input", "target").agg(F.count(F.lit(1)).cast("long").alias("cnt"))
+    tot = t.groupBy("input").agg(F.sum("cnt").alias("_tot"))
+    return t.join(tot, "input").withColumn("prob", F.col("cnt") / F.col("_tot")).drop("_tot")
+
+
+def rec_next_item(seeds: DataFrame, trans: DataFrame, vocab_limit: int, k: int = 20,
+                  item: str = "track_idx", exclude_seen: bool = False) -> DataFrame:
+    """Top-k successors of the last seed item by (prob desc, item asc), items
+    restricted to idx < vocab_limit (PAD / UNK never returned); fewer than k
+    are filled from the popularity order (idx 0, 1, ...). Empty seeds get no rows.
+    """
+    last = seeds.groupBy("pid").agg(F.max_by(item, "pos").alias("_last"))
+    t = trans.where(F.col("target") < vocab_limit).select(
+        F.col("input").alias("_last"), F.col("target").alias("item"), F.col("prob").alias("score"))
+    cand = last.join(t, "_last", "inner").select("pid", "item", "score", F.lit(0).alias("_prio"))
+    if exclude_seen:
+        seen = seeds.select("pid", F.col(item).alias("item")).distinct()
+        cand = cand.join(seen, ["pid", "item"], "left_anti")
+    cand = top_k_per_group(cand, "pid", [F.col("score").desc(), F.col("item")], k, "_r").drop("_r")
+    # popularity fill: the first idx values are the most frequent items
+    extra = k if not exclude_seen else k + 0
+    fill = last.select("pid", F.explode(F.sequence(F.lit(0), F.lit(min(extra, vocab_limit) - 1))).alias("item")) \
+        .select("pid", F.col("item").cast("int").alias("item"), F.lit(0.0).alias("score"), F.lit(1).alias("_prio"))
+    if exclude_seen:
+        fill = fill.join(seen, ["pid", "item"], "left_anti")
+    fill = fill.join(cand.select("pid", "item"), ["pid", "item"], "left_anti")
+    allc = cand.select("pid", F.col("item").cast("int").alias("item"), "score", "_prio").unionByName(fill)
+    return top_k_per_group(allc, "pid", [F.col("_prio"), F.col("score").desc(), F.col("item")], k).drop("_prio")
+
+
+def token_accuracy(frames: DataFrame, trans: DataFrame, vocab_limit: int) -> DataFrame:
+    """Next-position accuracy over non-pad positions: prediction = most likely
+    successor (< vocab_limit) of the input, else the most popular item (0)."""
+    best = top_k_per_group(trans.where(F.col("target") < vocab_limit), "input",
+                           [F.col("cnt").desc(), F.col("target")], 1, "_r") \
+        .select("input", F.col("target").alias("pred"))
+    f = frames.where(~F.col("pad_mask")).join(best, "input", "left") \
+        .withColumn("pred", F.coalesce(F.col("pred"), F.lit(0)))
+    return f.agg(F.count(F.lit(1)).cast("long").alias("n_tokens"),
+                 F.round(F.avg((F.col("pred") == F.col("target")).cast("double")), 9).alias("accuracy"))
+
+
+# ---- catalogue search ------------------------------------------------------
+def _grams(text, n: int):
+    """All substrings of length n of ``text`` (array)."""
+    return F.transform(F.sequence(F.lit(1), F.greatest(F.length(text) - n + 1, F.lit(1))),
+                       lambda i: F.substring(text, i, n))
+
+
+def catalog_search(catalog: DataFrame, requests: DataFrame, max_results: int = 10, gram: int = 3) -> DataFrame:
+    """Case-insensitive literal substring search of each request in track or
+    artist name; at most ``max_results`` hits per request in popularity order.
+
+    Exact without comparing every request with every item: each request is
+    joined (equi-join) only with the items that contain its rarest n-gram
+    (n = min(3, len(q))), then the candidates are verified with ``contains``.
+    An empty request matches everything (the most popular items).
+    """
+    cat = catalog.select("corpus_idx", "track_uri", "track_name", "artist_name",
+                         F.lower("track_name").alias("_tn"), F.lower("artist_name").alias("_an"))
+    req = requests.select("request_id", F.lower(F.trim("query")).alias("q"))
+    ngr = None
+    for n in range(1, gram + 1):
+        g = cat.select("corpus_idx", F.explode(F.array_union(_grams(F.col("_tn"), n), _grams(F.col("_an"), n))).alias("g")) \
+            .where(F.length("g") == n)
+        ngr = g if ngr is None else ngr.unionByName(g)
+    ngr = ngr.distinct()
+    freq = ngr.groupBy("g").agg(F.count(F.lit(1)).alias("_gf"))
+    nonempty = req.where(F.length("q") > 0)
+    qn = F.least(F.length("q"), F.lit(gram))
+    rg = nonempty.select("request_id", "q", F.explode(F.transform(
+        F.sequence(F.lit(1), F.length("q") - qn + 1), lambda i: F.substring(F.col("q"), i, qn))).alias("g"))
+    rg = rg.join(freq, "g", "left").fillna(0, ["_gf"])
+    pick = top_k_per_group(rg, "request_id", [F.col("_gf"), F.col("g")], 1, "_r").drop("_r", "_gf")
+    cand = pick.join(ngr, "g", "inner").join(cat, "corpus_idx", "inner") \
+        .where(F.col("_tn").contains(F.col("q")) | F.col("_an").contains(F.col("q")))
+    hits = cand.select("request_id", "corpus_idx")
+    empty = req.where(F.length("q") == 0).select(
+        "request_id", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(max_results - 1).cast("long"))).alias("corpus_idx"))
+    hits = hits.unionByName(empty.join(cat.select("corpus_idx"), "corpus_idx", "left_semi"))
+    top = top_k_per_group(hits, "request_id", [F.col("corpus_idx")], max_results)
+    return top.join(cat.drop("_tn", "_an"), "corpus_idx", "inner").select(
+        "request_id", "rank", "corpus_idx", "track_uri", "track_name", "artist_name")
+
+
+def decode_recs(recs: DataFrame, catalog: DataFrame, holdout: DataFrame | None = None,
+                item: str = "track_idx") -> DataFrame:
+    """Names for recommended indexes ('<unknown>' / 0 when absent) and a hit flag."""
+    cat = catalog.select(F.col("corpus_idx").cast("int").alias("item"), "track_uri", "track_name",
+                         "artist_name", "corpus_freq")
+    out = recs.join(cat, "item", "left").select(
+        "pid", "rank", "item", F.coalesce("track_name", F.lit("<unknown>")).alias("track_name"),
+        F.coalesce("artist_name", F.lit("<unknown>")).alias("artist_name"),
+        F.coalesce("corpus_freq", F.lit(0)).cast("long").alias("corpus_freq"))
+    if holdout is not None:
+        h = holdout.select("pid", F.col(item).alias("item"), F.lit(True).alias("hit"))
+        out = out.join(h, ["pid", "item"], "left").withColumn("hit", F.coalesce("hit", F.lit(False)))
+    return out
