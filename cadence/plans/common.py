@@ -37,7 +37,7 @@ def prepare(spark, sf_dir, out_dir):
         builders[name](spark, sf_dir).write.mode("overwrite").parquet(path)
         _PREPARED[(sf_dir, name)] = path
     for k in [k for k in _MEMO if k[1] == sf_dir]:
-        _MEMO.pop(k).unpersist()
+        _MEMO.pop(k)
 
 MIN_LEN = 5
 VOCAB_LIMIT = 1000       # vocabulary cut-off used by the sequence-model queries
@@ -138,3 +138,12 @@ def seed_holdout_cte(src: str = "test", groups: str = "test_groups", rule: str =
 , seeds AS (SELECT s.pid, s.pos, s.{item} FROM _s s JOIN evaluated g USING (pid)
             WHERE s.pos < g.sp {seed_filter})
 """
+
+
+def staged_split(spark, sf_dir, name, build):
+    """Memoize a tuple of DataFrames (e.g. seeds, holdout, evaluated) as stages."""
+    key = (id(spark), sf_dir, name + "#tuple")
+    if key not in _MEMO:
+        parts = build()
+        _MEMO[key] = tuple(stage(df, f"{name}.{i}") for i, df in enumerate(parts))
+    return _MEMO[key]

@@ -92,9 +92,11 @@ def genre_counts(spark, sf_dir):
 def genre_parts(spark, sf_dir):
     t = tables(spark, sf_dir)
     test = label_split(spark, sf_dir).where(F.col("split") == "test").select("pid", "genre")
-    seqs = t.tracks().select("pid", "pos", "track_uri").join(test.select("pid"), "pid", "left_semi")
-    groups = S.group_sizes(seqs)
-    seeds, hold, ev = S.seed_holdout(seqs, groups, item="track_uri", rule="min5")
+
+    def build():
+        seqs = t.tracks().select("pid", "pos", "track_uri").join(test.select("pid"), "pid", "left_semi")
+        return S.seed_holdout(seqs, S.group_sizes(seqs), item="track_uri", rule="min5")
+    seeds, hold, ev = C.staged_split(spark, sf_dir, "genre_seed_holdout", build)
     counts = genre_counts(spark, sf_dir)
     inferred = R.infer_label(seeds, R.majority_label(counts), ev)
     recs = R.rec_by_label(seeds, inferred, R.label_popularity(counts), K)

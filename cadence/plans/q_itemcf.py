@@ -43,13 +43,16 @@ def track_meta(spark, sf_dir):
 
 
 def neighbours(spark, sf_dir):
-    return R.neighbours(R.cooccurrence(C.split_seqs(spark, sf_dir, "train"), 50, 3), 100)
+    return C.memo(spark, sf_dir, "neighbours", lambda: R.neighbours(
+        R.cooccurrence(C.split_seqs(spark, sf_dir, "train"), 50, 3), 100))
 
 
 def itemcf_parts(spark, sf_dir, k=20):
-    seqs = C.split_seqs(spark, sf_dir, "test")
-    groups = C.split_groups(spark, sf_dir, "test")
-    seeds, hold, ev = S.seed_holdout(seqs, groups)
+    def build():
+        seqs = C.split_seqs(spark, sf_dir, "test")
+        groups = C.split_groups(spark, sf_dir, "test")
+        return S.seed_holdout(seqs, groups)
+    seeds, hold, ev = C.staged_split(spark, sf_dir, "cf_seed_holdout", build)
     recs = R.rec_itemcf(seeds, neighbours(spark, sf_dir), k)
     return recs, hold, ev
 

@@ -38,22 +38,34 @@ def epoch_seconds(ts) -> F.Column:
             + F.minute(c) * 60 + F.second(c)).cast("long")
 
 
-def stage(df: DataFrame, name: str = "") -> DataFrame:
-    """Keep a stage output that several plans reuse.
+_STAGE_SEQ = [0]
+
 
-    Default: ``persist`` (memory and disk; lost blocks are recomputed from
-    lineage). With ``cadence.stage=checkpoint`` the output is written to the
-    shared ``spark.checkpoint.dir`` instead, which also cuts the lineage.
+def stage(df: DataFrame, name: str = "") -> DataFrame:
+    """Keep a stage output that several plans reuse, with a short lineage.
+
+    Default (``cadence.stage=table``): write it as Parquet under the shared
+    ``spark.checkpoint.dir`` and read it back -- later plans start from files
+    (column pruning, filter pushdown), an executor loss does not recompute the
+    upstream plan, and planning stays cheap. ``checkpoint`` uses
+    ``DataFrame.checkpoint``; ``persist`` keeps it in executor memory/disk;
+    ``none`` keeps the plan as it is.
     """
-    mode = df.sparkSession.conf.get("cadence.stage", "persist")
-    if mode == "checkpoint":
-        from cadence.session import ensure_checkpoint_dir
-        ensure_checkpoint_dir(df.sparkSession)
-        return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    mode = spark.conf.get("cadence.stage", "table")
     if mode == "none":
         return df
-    from pyspark import StorageLevel
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
+    if mode == "persist":
+        from pyspark import StorageLevel
+        return df.persist(StorageLevel.MEMORY_AND_DISK)
+    from cadence.session import ensure_checkpoint_dir, scratch_path
+    ensure_checkpoint_dir(spark)
+    if mode == "checkpoint":
+        return df.checkpoint(eager=True)
+    _STAGE_SEQ[0] += 1
+    path = scratch_path(spark, f"stage-{name or 'df'}-{_STAGE_SEQ[0]}")
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
 
 
 class Tables:
