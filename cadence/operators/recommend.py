@@ -125,11 +125,15 @@ def rec_by_label(seeds: DataFrame, inferred: DataFrame, popularity: DataFrame, k
 
     The join with the ranking is bounded per group by rank <= k + |seen|,
     which is enough because at most |seen| of those ranks are skipped."""
+    from cadence.operators.profile import fit_scalars
     seen = seeds.select("pid", F.col(item).alias("item")).distinct()
     nseen = seen.groupBy("pid").agg(F.count(F.lit(1)).alias("_ns"))
     q = inferred.where(F.col("inferred") != "unknown").join(nseen, "pid", "inner")
-    pop = popularity.select(F.col("genre").alias("inferred"), F.col("rank").alias("_gr"),
-                            F.col(item).alias("item"), "cnt")
+    # only ranks <= k + max |seen| can be reached: the ranking side is
+    # (labels x that bound) rows, small enough for a broadcast join
+    bound = k + int(fit_scalars(nseen, F.max("_ns").alias("m"))["m"] or 0)
+    pop = popularity.where(F.col("rank") <= bound).select(
+        F.col("genre").alias("inferred"), F.col("rank").alias("_gr"), F.col(item).alias("item"), "cnt")
     cand = q.join(pop, (q.inferred == pop.inferred) & (pop._gr <= q._ns + k), "inner") \
         .select("pid", "_gr", "item", F.col("cnt").alias("score"))
     cand = cand.join(seen, ["pid", "item"], "left_anti")
@@ -152,7 +156,15 @@ def rec_next_item(seeds: DataFrame, trans: DataFrame, vocab_limit: int, k: int =
     are filled from the popularity order (idx 0, 1, ...). Empty seeds get no rows.
     """
     last = seeds.groupBy("pid").agg(F.max_by(item, "pos").alias("_last"))
-    t = trans.where(F.col("target") < vocab_limit).select(
+    # successors are cut to the top per input *before* the join, so a popular
+    # last item never multiplies into all of its successors per group
+    keep = k
+    if exclude_seen:
+        from cadence.operators.profile import fit_scalars
+        ns = seeds.select("pid", item).distinct().groupBy("pid").agg(F.count(F.lit(1)).alias("_n"))
+        keep = k + int(fit_scalars(ns, F.max("_n").alias("m"))["m"] or 0)
+    t = top_k_per_group(trans.where(F.col("target") < vocab_limit), "input",
+                        [F.col("prob").desc(), F.col("target")], keep, "_r").select(
         F.col("input").alias("_last"), F.col("target").alias("item"), F.col("prob").alias("score"))
     cand = last.join(t, "_last", "inner").select("pid", "item", "score", F.lit(0).alias("_prio"))
     if exclude_seen:
