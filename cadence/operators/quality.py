@@ -32,35 +32,47 @@ def _v(df: DataFrame, cond: Column, rule: str, detail: Column, pos: Column | Non
                                  detail.cast("string").alias("detail"))
 
 
+def _rules(df: DataFrame, rules, pos: Column | None = None) -> DataFrame:
+    """Evaluate several (rule, condition, detail) triples in one pass over df:
+    each row yields the array of its violations, which is exploded."""
+    arr = F.array(*[F.when(cond, F.struct(F.lit(rule).alias("rule"), detail.cast("string").alias("detail")))
+                    for rule, cond, detail in rules])
+    v = df.select(F.col("pid").cast("long").alias("pid"),
+                  (pos if pos is not None else F.lit(None)).cast("long").alias("pos"),
+                  F.explode(F.filter(arr, lambda x: x.isNotNull())).alias("_v"))
+    return v.select(F.col("_v.rule").alias("rule"), "pid", "pos", F.col("_v.detail").alias("detail"))
+
+
 def playlist_rules(playlists: DataFrame, tracks: DataFrame, cutoff: int = CUTOFF_EPOCH_S) -> DataFrame:
     """I1 duplicate pid, I2 empty name, I3 < 5 tracks, I5 followers/edits,
-    I6 modified after the cut-off (seconds, UTC), I11 too few artists/albums."""
+    I6 modified after the cut-off (seconds, UTC), I11 too few artists/albums.
+    One aggregate of the entries per group, one pass over the groups."""
     dup = playlists.groupBy("pid").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1)
     out = _v(dup, F.lit(True), "duplicate_pid", F.format_string("%d copies", F.col("_n")))
-    out = out.unionByName(_v(playlists, F.length("name") == 0, "empty_name", F.lit("")))
     per = tracks.groupBy("pid").agg(F.count(F.lit(1)).alias("_t"), F.countDistinct("artist_uri").alias("_ar"),
                                     F.countDistinct("album_uri").alias("_al"))
-    j = playlists.select("pid").join(per, "pid", "left").fillna(0, ["_t", "_ar", "_al"])
-    out = out.unionByName(_v(j, F.col("_t") < MIN_TRACKS, "too_few_tracks", F.col("_t")))
-    out = out.unionByName(_v(j, F.col("_ar") < MIN_ARTISTS, "too_few_artists", F.col("_ar")))
-    out = out.unionByName(_v(j, F.col("_al") < MIN_ALBUMS, "too_few_albums", F.col("_al")))
-    out = out.unionByName(_v(playlists, F.col("num_followers") < 1, "too_few_followers", F.col("num_followers")))
-    out = out.unionByName(_v(playlists, F.col("num_edits") <= 0, "too_few_edits", F.col("num_edits")))
-    out = out.unionByName(_v(playlists, F.col("modified_at") > cutoff, "modified_too_late", F.col("modified_at")))
-    return out
+    j = playlists.select("pid", "name", "num_followers", "num_edits", "modified_at") \
+        .join(per, "pid", "left").fillna(0, ["_t", "_ar", "_al"])
+    return out.unionByName(_rules(j, [
+        ("empty_name", F.length("name") == 0, F.lit("")),
+        ("too_few_tracks", F.col("_t") < MIN_TRACKS, F.col("_t")),
+        ("too_few_artists", F.col("_ar") < MIN_ARTISTS, F.col("_ar")),
+        ("too_few_albums", F.col("_al") < MIN_ALBUMS, F.col("_al")),
+        ("too_few_followers", F.col("num_followers") < 1, F.col("num_followers")),
+        ("too_few_edits", F.col("num_edits") <= 0, F.col("num_edits")),
+        ("modified_too_late", F.col("modified_at") > cutoff, F.col("modified_at"))]))
 
 
 def track_rules(tracks: DataFrame, index_col: str | None = None) -> DataFrame:
-    """I8 position differs from the array index, I10 URI prefixes."""
-    out = None
+    """I8 position differs from the array index, I10 URI prefixes (one pass)."""
+    rules = []
     if index_col:
-        out = _v(tracks, F.col("pos") != F.col(index_col), "out_of_order",
-                 F.format_string("%d %d", F.col(index_col), F.col("pos")), F.col(index_col))
+        rules.append(("out_of_order", F.col("pos") != F.col(index_col),
+                      F.format_string("%d %d", F.col(index_col), F.col("pos"))))
     for kind in ("track", "album", "artist"):
         c = f"{kind}_uri"
-        r = _v(tracks, ~has_prefix(c, kind), f"invalid_{kind}_uri", F.col(c), F.col("pos"))
-        out = r if out is None else out.unionByName(r)
-    return out
+        rules.append((f"invalid_{kind}_uri", ~has_prefix(c, kind), F.col(c)))
+    return _rules(tracks, rules, F.col(index_col) if index_col else F.col("pos"))
 
 
 def name_consistency(tracks: DataFrame) -> DataFrame:
@@ -84,12 +96,11 @@ def reconcile(playlists: DataFrame, tracks: DataFrame) -> DataFrame:
         F.countDistinct("album_uri").alias("num_albums"), F.sum("track_dur_ms").alias("duration_ms"))
     per = per.select("pid", *[F.col(c).alias(f"_{c}") for c in per.columns if c != "pid"])
     j = playlists.join(per, "pid", "left")
-    out = None
+    rules = []
     for c in ("num_tracks", "num_artists", "num_albums", "duration_ms"):
         got = F.coalesce(F.col(f"_{c}"), F.lit(0))
-        r = _v(j, F.col(c) != got, f"{c}_mismatch", F.format_string("%d %d", got, F.col(c)))
-        out = r if out is None else out.unionByName(r)
-    return out
+        rules.append((f"{c}_mismatch", F.col(c) != got, F.format_string("%d %d", got, F.col(c))))
+    return _rules(j, rules)
 
 
 def key_rules(objects: DataFrame, json_col: str, required: list[str], optional: list[str],

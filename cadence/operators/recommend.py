@@ -54,8 +54,11 @@ def cooccurrence(seqs: DataFrame, max_len: int = 50, min_count: int = 3, item: s
         .select(F.col(f"a.{item}").alias("item"), F.col(f"b.{item}").alias("neighbour"))
     half = half.groupBy("item", "neighbour").agg(F.count(F.lit(1)).cast("long").alias("cnt")) \
         .where(F.col("cnt") >= min_count)
-    mirror = half.select(F.col("neighbour").alias("item"), F.col("item").alias("neighbour"), "cnt")
-    return half.unionByName(mirror)
+    # both directions from one pass over the pruned half pairs
+    both = F.array(F.struct(F.col("item").alias("a"), F.col("neighbour").alias("b")),
+                   F.struct(F.col("neighbour").alias("a"), F.col("item").alias("b")))
+    return half.select(F.explode(both).alias("_p"), "cnt").select(
+        F.col("_p.a").alias("item"), F.col("_p.b").alias("neighbour"), "cnt")
 
 
 def neighbours(pairs: DataFrame, top_n: int = 100) -> DataFrame:
