@@ -196,3 +196,19 @@ def next_item_frames(seqs: DataFrame, vocab_limit: int, max_len: int = 50,
         "pid", F.col("t").cast("long"), F.lit(pad).cast("int").alias("input"),
         F.lit(pad).cast("int").alias("target"), F.lit(True).alias("pad_mask"))
     return cur.unionByName(pads)
+
+
+def sequence_arrays(seqs: DataFrame, item: str = "track_idx", chunk: int | None = None) -> DataFrame:
+    """Typed sequence sink form: ``pid int, track_idxs array<int>, seq_len int``.
+
+    With ``chunk`` every output row holds at most ``chunk`` consecutive items
+    (column ``chunk`` added), so no row grows with the group; without it the
+    whole sequence is one array, as in the reference's file format.
+    """
+    d = seqs.withColumn("_c", F.floor(F.col("pos") / chunk) if chunk else F.lit(0))
+    n = group_sizes(seqs)
+    arr = d.groupBy("pid", "_c").agg(F.array_sort(F.collect_list(F.struct("pos", F.col(item).cast("int").alias("x")))).alias("_a"))
+    out = arr.join(n, "pid").select(
+        F.col("pid").cast("int").alias("pid"), *([F.col("_c").cast("int").alias("chunk")] if chunk else []),
+        F.transform("_a", lambda s: s["x"]).alias("track_idxs"), F.col("seq_len").cast("int").alias("seq_len"))
+    return out

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from cadence.operators import sequences as S
 from cadence.sources.fixtures import stage, tables
+from cadence.session import session_key
 
 _MEMO: dict = {}
 _PREPARED: dict = {}
@@ -16,29 +17,12 @@ def memo(spark, sf_dir, name, build):
     outputs written by :func:`prepare` are read back instead."""
     if (sf_dir, name) in _PREPARED:
         return spark.read.parquet(_PREPARED[(sf_dir, name)])
-    key = (id(spark), sf_dir, name)
+    key = (session_key(spark), sf_dir, name)
     if key not in _MEMO:
         _MEMO[key] = stage(build(), name)
     return _MEMO[key]
 
 
-PREPARED_STAGES = ("corpus", "vocab", "encoded", "groups_split")
-
-
-def prepare(spark, sf_dir, out_dir):
-    """Write the canonical tables and the preprocessing outputs (corpus,
-    vocabulary, encoded sequences, split) once as Parquet, like an ingest +
-    preprocess job; later stage reads come from these files."""
-    from cadence.sources.fixtures import materialize
-    materialize(spark, sf_dir, out_dir, names=("entries", "tracks", "playlists"))
-    builders = {"corpus": corpus, "vocab": vocab, "encoded": encoded, "groups_split": groups_split}
-    for name in PREPARED_STAGES:
-        path = f"{out_dir.rstrip('/')}/{name}.parquet"
-        builders[name](spark, sf_dir).write.mode("overwrite").parquet(path)
-        _PREPARED[(sf_dir, name)] = path
-    for k in [k for k in _MEMO if k[1] == sf_dir]:
-        _MEMO.pop(k)
-
 MIN_LEN = 5
 VOCAB_LIMIT = 1000       # vocabulary cut-off used by the sequence-model queries
 SEED = 42
@@ -46,6 +30,18 @@ KS = (1, 5, 10, 20)
 URI_SKIP = len("spotify:track:")
 
 
+
+def prepare(spark, sf_dir, out_dir=None):
+    """Build the canonical tables and the preprocessing outputs (corpus,
+    vocabulary, encoded sequences, split) once, like an ingest + preprocess
+    job. Each is written as a Parquet stage table (see ``stage``) and every
+    later plan starts from those files."""
+    t = tables(spark, sf_dir)
+    for df in (t.tracks(), t.playlists(), corpus(spark, sf_dir), vocab(spark, sf_dir),
+               encoded(spark, sf_dir), groups_split(spark, sf_dir)):
+        df.columns  # stage tables are written when they are built
+
+
 def corpus(spark, sf_dir):
     t = tables(spark, sf_dir)
     return memo(spark, sf_dir, "corpus", lambda: S.build_corpus(
@@ -142,7 +138,7 @@ def seed_holdout_cte(src: str = "test", groups: str = "test_groups", rule: str =
 
 def staged_split(spark, sf_dir, name, build):
     """Memoize a tuple of DataFrames (e.g. seeds, holdout, evaluated) as stages."""
-    key = (id(spark), sf_dir, name + "#tuple")
+    key = (session_key(spark), sf_dir, name + "#tuple")
     if key not in _MEMO:
         parts = build()
         _MEMO[key] = tuple(stage(df, f"{name}.{i}") for i, df in enumerate(parts))

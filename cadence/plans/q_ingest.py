@@ -12,12 +12,13 @@ from cadence.plans.registry import register
 from cadence.session import scratch_path
 from cadence.sources import slices as SL
 from cadence.sources.fixtures import tables
+from cadence.session import session_key
 
 PER_SLICE = 250
 
 
 def slices_dir(spark, sf_dir):
-    key = (id(spark), sf_dir, "slices_dir")
+    key = (session_key(spark), sf_dir, "slices_dir")
     if key not in C._MEMO:
         t = tables(spark, sf_dir)
         path = scratch_path(spark, "slices")

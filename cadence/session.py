@@ -54,3 +54,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder for written intermediates."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}-{os.getpid()}-{abs(hash((name, id(spark)))) % 10**8}"
+
+
+def session_key(spark: SparkSession) -> str:
+    """Stable key of a running session (application id), for per-session memos."""
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:  # noqa: BLE001
+        return str(id(spark))

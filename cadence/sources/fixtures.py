@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from cadence.functions.text import uri_of
 from cadence.operators.ranking import ordered_index
+from cadence.session import session_key
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
@@ -84,11 +85,11 @@ class Tables:
     def raw(self, name: str) -> DataFrame:
         return read_table(self.spark, self.sf_dir, name)
 
-    def _get(self, name, build):
+    def _get(self, name, build, staged: bool = True):
         if name in self.prepared:
             return self.spark.read.parquet(self.prepared[name])
         if name not in self._memo:
-            self._memo[name] = stage(build(), name)
+            self._memo[name] = stage(build(), name) if staged else build()
         return self._memo[name]
 
     # -- entries ------------------------------------------------------------
@@ -118,7 +119,7 @@ class Tables:
         return self._get("entries_wide", build)
 
     def entries(self) -> DataFrame:
-        return self._get("entries", lambda: self.entries_wide().select("pid", "pos", "item"))
+        return self._get("entries", lambda: self.entries_wide().select("pid", "pos", "item"), staged=False)
 
     def tracks(self) -> DataFrame:
         """Entry table of the reference: one row per (pid, pos) with track metadata."""
@@ -169,7 +170,7 @@ class Tables:
     def playlist_genres(self) -> DataFrame:
         """Given labels: (pid, genre) from the market segment."""
         return self._get("playlist_genres", lambda: self.raw("customer").select(
-            F.col("c_custkey").alias("pid"), F.col("c_mktsegment").alias("genre")))
+            F.col("c_custkey").alias("pid"), F.col("c_mktsegment").alias("genre")), staged=False)
 
     def features(self) -> DataFrame:
         """(item, f0..f10): the first components of the item's embedding."""
@@ -178,7 +179,7 @@ class Tables:
             return e.select(F.col("vec_id").alias("item"),
                             *[F.element_at("embedding", i + 1).cast("double").alias(f"f{i}")
                               for i in range(N_FEATURES)])
-        return self._get("features", build)
+        return self._get("features", build, staged=False)
 
     def external_features(self) -> DataFrame:
         """A feature file keyed by decorated names (artist_name, track_name).
@@ -213,7 +214,7 @@ _PREPARED: dict[str, dict[str, str]] = {}
 
 
 def tables(spark: SparkSession, sf_dir: str) -> Tables:
-    key = (id(spark), sf_dir)
+    key = (session_key(spark), sf_dir)
     if key not in _CACHE:
         _CACHE[key] = Tables(spark, sf_dir, _PREPARED.get(sf_dir))
     return _CACHE[key]
@@ -230,5 +231,5 @@ def materialize(spark: SparkSession, sf_dir: str, out_dir: str,
         getattr(t, n)().write.mode("overwrite").parquet(path)
         paths[n] = path
     _PREPARED[sf_dir] = paths
-    _CACHE.pop((id(spark), sf_dir), None)
+    _CACHE.pop((session_key(spark), sf_dir), None)
     return paths

@@ -123,3 +123,12 @@ def write_slices(playlists: DataFrame, tracks: DataFrame, out_dir: str, per_slic
 
 
 WRITTEN_PATTERN = "slice=*/part-*"
+
+
+def write_table(df: DataFrame, path: str, fmt: str = "parquet", header: bool = True) -> None:
+    """Whole-table sink: Parquet (default) or CSV with a header (metric tables)."""
+    w = df.write.mode("overwrite")
+    if fmt == "csv":
+        w.option("header", header).csv(path)
+    else:
+        w.format(fmt).save(path)

@@ -52,3 +52,20 @@ def test_next_item_frames_pad_to_max_len(spark):
     assert 0 not in c
     assert c[1] == (50, 48) and c[2] == (50, 0)
     assert f.where(~F.col("pad_mask") & (F.col("input") > 11)).count() == 0
+
+
+def test_sequence_arrays_roundtrip(spark):
+    seqs = _seqs(spark, [3, 7])
+    whole = {r["pid"]: r["track_idxs"] for r in S.sequence_arrays(seqs).collect()}
+    assert whole[1] == [(7 + p) % 13 for p in range(7)]
+    parts = S.sequence_arrays(seqs, chunk=4).collect()
+    assert max(len(r["track_idxs"]) for r in parts) <= 4
+    assert sorted((r["pid"], r["chunk"]) for r in parts) == [(0, 0), (1, 0), (1, 1)]
+
+
+def test_feature_columns_discovery(spark):
+    from cadence.operators.enrich import feature_columns
+    df = spark.createDataFrame([(1, "a", "b", 0.5, 1.0, 3)], "track_id long, artist_name string, track_name string, "
+                               "danceability double, tempo double, key int")
+    assert feature_columns(df.schema) == ["danceability", "tempo", "key"]
+    assert feature_columns(df.schema, exclude=("key",)) == ["danceability", "tempo"]
