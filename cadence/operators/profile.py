@@ -30,20 +30,22 @@ def fit_scalars(df: DataFrame, *aggs) -> dict:
     return row.asDict() if row is not None else {}
 
 
-def totals_long(playlists: DataFrame, tracks: DataFrame, title_norm) -> DataFrame:
-    """(metric, value): dataset totals as rows (two global aggregates, unioned)."""
+def totals_long(playlists: DataFrame, tracks: DataFrame, title_norm, approx: bool = False) -> DataFrame:
+    """(metric, value): dataset totals as rows (two global aggregates, unioned).
+    ``approx=True`` uses HyperLogLog++ sketches instead of exact distinct counts."""
+    cd = (lambda c: F.approx_count_distinct(c, 0.01)) if approx else F.countDistinct
     p = playlists.agg(
         F.count(F.lit(1)).cast("double").alias("n_playlists"),
-        F.countDistinct("name").cast("double").alias("n_titles"),
-        F.countDistinct(title_norm).cast("double").alias("n_titles_norm"),
+        cd("name").cast("double").alias("n_titles"),
+        cd(title_norm).cast("double").alias("n_titles_norm"),
         F.sum(F.col("has_desc").cast("long")).cast("double").alias("n_with_desc"),
         F.round(F.avg("num_followers"), 9).alias("mean_followers"))
     t = tracks.agg(
         F.count(F.lit(1)).cast("double").alias("n_entries"),
-        F.countDistinct("track_uri").cast("double").alias("n_tracks"),
-        F.countDistinct("album_uri").cast("double").alias("n_albums"),
-        F.countDistinct("artist_uri").cast("double").alias("n_artists"),
-        F.countDistinct("pid").cast("double").alias("n_groups"),
+        cd("track_uri").cast("double").alias("n_tracks"),
+        cd("album_uri").cast("double").alias("n_albums"),
+        cd("artist_uri").cast("double").alias("n_artists"),
+        cd("pid").cast("double").alias("n_groups"),
         F.round(F.avg("track_dur_ms"), 9).alias("mean_track_dur_ms"),
         F.round(F.count(F.lit(1)) / F.countDistinct("pid"), 9).alias("mean_len"))
     return unpivot(p).unionByName(unpivot(t))
