@@ -38,3 +38,18 @@ def test_renumber_and_partition_invariance(spark):
     for n in (1, 17):
         got = sorted(tuple(r) for r in renumber(df.repartition(n), "pid", "pos", "pos").collect())
         assert got == [(1, 0), (1, 1), (1, 2), (1, 3), (1, 4), (2, 0)]
+
+
+def test_split_and_vocab_invariant_under_repartition(spark):
+    from cadence.operators.sequences import stratified_split
+    rows = [(i, i % 3) for i in range(500)]
+    base = spark.createDataFrame(rows, "pid long, b int")
+    res = []
+    for n in (1, 17):
+        s = stratified_split(base.repartition(n), "b", 0.1, 0.1, 42)
+        res.append(sorted((r["pid"], r["split"]) for r in s.collect()))
+    assert res[0] == res[1]
+    corpus = spark.createDataFrame([(i // 7, i % 7, f"x{i % 37}") for i in range(700)], "pid long, pos long, track_uri string")
+    v1 = sorted(map(tuple, vocabulary(corpus.repartition(1), "track_uri").collect()))
+    v2 = sorted(map(tuple, vocabulary(corpus.repartition(17), "track_uri").collect()))
+    assert v1 == v2
