@@ -253,3 +253,76 @@ def decode_recs(recs: DataFrame, catalog: DataFrame, holdout: DataFrame | None =
         h = holdout.select("pid", F.col(item).alias("item"), F.lit(True).alias("hit"))
         out = out.join(h, ["pid", "item"], "left").withColumn("hit", F.coalesce("hit", F.lit(False)))
     return out
+
+
+def lag_transitions(seqs: DataFrame, vocab_limit: int, max_len: int = 50, lags: int = 3,
+                    item: str = "track_idx") -> DataFrame:
+    """(lag, input, target, cnt, prob): pairs (s[t], s[t+lag]) inside the first
+    max_len + 1 items of each training sequence (UNK-mapped); at most
+    (max_len + 1) * lags pairs per group."""
+    from cadence.operators.sequences import map_unknown
+    s = seqs.where(F.col("pos") <= max_len).select("pid", "pos", map_unknown(item, vocab_limit).alias("x"))
+    a, b = s.alias("a"), s.alias("b")
+    pairs = a.join(b, (F.col("a.pid") == F.col("b.pid")) & (F.col("b.pos") > F.col("a.pos"))
+                   & (F.col("b.pos") <= F.col("a.pos") + lags)).select(
+        (F.col("b.pos") - F.col("a.pos")).cast("int").alias("lag"), F.col("a.x").alias("input"),
+        F.col("b.x").alias("target"))
+    c = pairs.groupBy("lag", "input", "target").agg(F.count(F.lit(1)).cast("long").alias("cnt"))
+    tot = c.groupBy("lag", "input").agg(F.sum("cnt").alias("_tot"))
+    return c.join(tot, ["lag", "input"]).withColumn("prob", F.col("cnt") / F.col("_tot")).drop("_tot")
+
+
+def rec_next_item_lags(seeds: DataFrame, lt: DataFrame, vocab_limit: int, k: int = 20, lags: int = 3,
+                       cut: int | None = None, item: str = "track_idx", digits: int = 12) -> DataFrame:
+    """score(c) = sum over lag l of P_l(c | seed[-l]) / l, top-k by
+    (round(score, 12) desc, item asc), popularity fill, seen items allowed.
+
+    Exact without joining every group with every successor: each (lag, input)
+    list is cut to its top ``cut`` targets; candidates are scored exactly by
+    equi-join lookups; an item outside all cut lists scores at most
+    tau = sum_l (cut-th prob of list l) / l. Groups whose k-th score is not
+    above tau are recomputed from the full lists (only those groups).
+    """
+    from cadence.sources.fixtures import stage
+    cut = cut or 2 * k
+    mx = stage(seeds.groupBy("pid").agg(F.max("pos").alias("_mx")), "lag_mx")
+    ctx = stage(seeds.join(mx, "pid").where(F.col("pos") > F.col("_mx") - lags).select(
+        "pid", (F.col("_mx") - F.col("pos") + 1).cast("int").alias("lag"), F.col(item).alias("input")), "lag_ctx")
+    known = lt.where(F.col("target") < vocab_limit)
+    # rank inside each (lag, input) list; rows beyond cut + 1 are not needed
+    ranked = stage(known.withColumn("_r", F.row_number().over(
+        Window.partitionBy("lag", "input").orderBy(F.col("prob").desc(), F.col("target"))))
+        .where(F.col("_r") <= cut + 1), "lag_ranked")
+    short = ranked.where(F.col("_r") <= cut)
+    # bound term per list: prob at rank `cut` when the list is longer, else 0
+    thr = ranked.where(F.col("_r") == cut + 1).select("lag", "input", F.col("prob").alias("_thr"))
+    w = F.lit(1.0) / F.col("lag")
+
+    def score(cands):
+        # exact score of each (pid, candidate) from every lag's full list
+        j = cands.join(ctx, "pid").join(known.select("lag", "input", F.col("target").alias("item"), "prob"),
+                                        ["lag", "input", "item"], "inner")
+        return j.groupBy("pid", "item").agg(F.sum(F.col("prob") / F.col("lag")).alias("score"))
+
+    cand = ctx.join(short.select("lag", "input", F.col("target").alias("item")), ["lag", "input"]) \
+        .select("pid", "item").distinct()
+    sc = score(cand)
+    topk = top_k_per_group(sc, "pid", [F.round("score", digits).desc(), F.col("item")], k, "_rk")
+    kth = topk.groupBy("pid").agg(F.min("score").alias("_kth"), F.count(F.lit(1)).alias("_n"))
+    tau = ctx.join(thr, ["lag", "input"], "left").groupBy("pid").agg(
+        F.sum(F.coalesce(F.col("_thr"), F.lit(0.0)) * w).alias("_tau"))
+    chk = mx.select("pid").join(kth, "pid", "left").join(tau, "pid", "left").fillna(0.0, ["_tau"])
+    ok = (F.col("_tau") == 0) | ((F.col("_n") >= k) & (F.col("_kth") > F.col("_tau")))
+    good = chk.where(ok).select("pid")
+    redo = chk.where(~ok).select("pid")
+    full = score(ctx.join(redo, "pid", "left_semi").join(
+        known.select("lag", "input", F.col("target").alias("item")), ["lag", "input"]).select("pid", "item").distinct())
+    full_top = top_k_per_group(full, "pid", [F.round("score", digits).desc(), F.col("item")], k, "_rk")
+    got = topk.join(good, "pid", "left_semi").unionByName(full_top).select(
+        "pid", F.col("item").cast("int").alias("item"), "score", F.lit(0).alias("_prio"))
+    fill = mx.select("pid", F.explode(F.sequence(F.lit(0), F.lit(min(k, vocab_limit) - 1))).alias("item")) \
+        .select("pid", F.col("item").cast("int").alias("item"), F.lit(0.0).alias("score"), F.lit(1).alias("_prio"))
+    fill = fill.join(got.select("pid", "item"), ["pid", "item"], "left_anti")
+    allc = got.unionByName(fill)
+    out = top_k_per_group(allc, "pid", [F.col("_prio"), F.round("score", digits).desc(), F.col("item")], k)
+    return out.drop("_prio").withColumn("score", F.round("score", digits))
