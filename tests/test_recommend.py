@@ -98,3 +98,37 @@ def test_label_recommender_skips_seen_and_unknown(spark):
     recs = R.rec_by_label(seeds, inferred, pop, k=3).collect()
     assert sorted((r["rank"], r["item"]) for r in recs if r["pid"] == 1) == [(1, "t1"), (2, "t3"), (3, "t4")]
     assert not [r for r in recs if r["pid"] == 2]
+
+
+def test_next_item_lags_exact_with_small_cut(spark):
+    rows = _random_seqs(seed=9, groups=40, items=12)
+    df = spark.createDataFrame(rows, "pid long, pos long, track_idx int")
+    V = 10
+    lt = R.lag_transitions(df, V, 50, 3)
+    seqs = defaultdict(list)
+    for pid, pos, it in sorted(rows):
+        seqs[pid].append(it if it < V else V + 1)
+    cnt = Counter()
+    for s in seqs.values():
+        s = s[:51]
+        for t in range(len(s)):
+            for lag in (1, 2, 3):
+                if t + lag < len(s):
+                    cnt[(lag, s[t], s[t + lag])] += 1
+    tot = Counter()
+    for (lag, a, _), c in cnt.items():
+        tot[(lag, a)] += c
+    seeds = df.where(F.col("pos") < 6).withColumn(
+        "track_idx", F.when(F.col("track_idx") < V, F.col("track_idx")).otherwise(V + 1))
+    got = R.rec_next_item_lags(seeds, lt, V, k=4, lags=3, cut=1).collect()
+    for pid in range(10):
+        ctx = [it if it < V else V + 1 for it in seqs[pid][:6]][-3:][::-1]
+        sc = Counter()
+        for lag, a in enumerate(ctx, 1):
+            for (l2, a2, b), c in cnt.items():
+                if l2 == lag and a2 == a and b < V:
+                    sc[b] += c / tot[(lag, a)] / lag
+        ranked = [b for b, _ in sorted(sc.items(), key=lambda kv: (-round(kv[1], 12), kv[0]))][:4]
+        ranked += [i for i in range(4) if i not in ranked][: 4 - len(ranked)]
+        g = [r["item"] for r in sorted((r for r in got if r["pid"] == pid), key=lambda r: r["rank"])]
+        assert g == ranked
