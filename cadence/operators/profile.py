@@ -74,11 +74,20 @@ def top_by_count(df: DataFrame, keys: list[str], n: int, count_col: str = "n",
     return c.orderBy(F.col(count_col).desc(), *[F.col(k) for k in keys]).limit(n)
 
 
+def quantiles(c, probs, approx: bool = False, accuracy: int = 10000):
+    """Exact linear-interpolated quantiles (one counter per distinct value), or
+    bounded-memory ``percentile_approx`` sketches for high-cardinality columns."""
+    col = F.col(c).cast("double") if isinstance(c, str) else c
+    if approx:
+        return F.percentile_approx(col, F.lit(list(probs)) if isinstance(probs, (list, tuple)) else probs, accuracy)
+    return F.percentile(col, F.lit(list(probs)) if isinstance(probs, (list, tuple)) else F.lit(probs))
+
+
 def trimmed_stats(df: DataFrame, cols: list[str], lo: float = 0.1, hi: float = 0.9,
-                  digits: int = 2) -> DataFrame:
+                  digits: int = 2, approx: bool = False) -> DataFrame:
     """(variable, trimmed_median, trimmed_mean, trimmed_std, p_lo, p_hi) with
     the trim lo <= x <= hi on each column's own quantiles."""
-    q = fit_scalars(df, *[F.percentile(F.col(c).cast("double"), F.lit([lo, hi])).alias(c) for c in cols])
+    q = fit_scalars(df, *[quantiles(c, [lo, hi], approx).alias(c) for c in cols])
     long = df.selectExpr("stack({}, {}) as (variable, x)".format(
         len(cols), ", ".join(f"'{c}', CAST(`{c}` AS DOUBLE)" for c in cols)))
     lo_e = F.lit(None).cast("double")
@@ -88,8 +97,9 @@ def trimmed_stats(df: DataFrame, cols: list[str], lo: float = 0.1, hi: float = 0
         hi_e = F.when(F.col("variable") == c, F.lit(float(q[c][1]))).otherwise(hi_e)
     t = long.withColumn("_lo", lo_e).withColumn("_hi", hi_e).where(
         (F.col("x") >= F.col("_lo")) & (F.col("x") <= F.col("_hi")))
+    med = quantiles("x", 0.5, True) if approx else F.median("x")
     return t.groupBy("variable").agg(
-        F.round(F.median("x"), digits).alias("trimmed_median"),
+        F.round(med, digits).alias("trimmed_median"),
         F.round(F.avg("x"), digits).alias("trimmed_mean"),
         F.round(F.stddev_samp("x"), digits).alias("trimmed_std"),
         F.round(F.first("_lo"), digits).alias("p_lo"),

@@ -53,3 +53,12 @@ def test_split_and_vocab_invariant_under_repartition(spark):
     v1 = sorted(map(tuple, vocabulary(corpus.repartition(1), "track_uri").collect()))
     v2 = sorted(map(tuple, vocabulary(corpus.repartition(17), "track_uri").collect()))
     assert v1 == v2
+
+
+def test_trimmed_stats_approx_close_to_exact(spark):
+    from cadence.operators.profile import trimmed_stats
+    df = spark.createDataFrame([(float(i % 97), float(i)) for i in range(5000)], "a double, b double")
+    ex = {r["variable"]: r for r in trimmed_stats(df, ["a", "b"]).collect()}
+    ap = {r["variable"]: r for r in trimmed_stats(df, ["a", "b"], approx=True).collect()}
+    for v in ("a", "b"):
+        assert abs(ex[v]["trimmed_mean"] - ap[v]["trimmed_mean"]) <= 0.01 * max(1.0, abs(ex[v]["trimmed_mean"]))
