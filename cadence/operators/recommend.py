@@ -216,8 +216,12 @@ def catalog_search(catalog: DataFrame, requests: DataFrame, max_results: int = 1
     cat = catalog.select("corpus_idx", "track_uri", "track_name", "artist_name",
                          F.lower("track_name").alias("_tn"), F.lower("artist_name").alias("_an"))
     req = requests.select("request_id", F.lower(F.trim("query")).alias("q"))
+    from cadence.operators.profile import fit_scalars
+    # gram lengths the requests actually use (at most ``gram`` values)
+    used = fit_scalars(req.where(F.length("q") > 0),
+                       F.collect_set(F.least(F.length("q"), F.lit(gram))).alias("n")).get("n") or []
     ngr = None
-    for n in range(1, gram + 1):
+    for n in sorted(used) or [gram]:
         g = cat.select("corpus_idx", F.explode(F.array_union(_grams(F.col("_tn"), n), _grams(F.col("_an"), n))).alias("g")) \
             .where(F.length("g") == n)
         ngr = g if ngr is None else ngr.unionByName(g)
