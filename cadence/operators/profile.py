@@ -40,15 +40,21 @@ def totals_long(playlists: DataFrame, tracks: DataFrame, title_norm, approx: boo
         cd(title_norm).cast("double").alias("n_titles_norm"),
         F.sum(F.col("has_desc").cast("long")).cast("double").alias("n_with_desc"),
         F.round(F.avg("num_followers"), 9).alias("mean_followers"))
-    t = tracks.agg(
-        F.count(F.lit(1)).cast("double").alias("n_entries"),
-        cd("track_uri").cast("double").alias("n_tracks"),
-        cd("album_uri").cast("double").alias("n_albums"),
-        cd("artist_uri").cast("double").alias("n_artists"),
-        cd("pid").cast("double").alias("n_groups"),
-        F.round(F.avg("track_dur_ms"), 9).alias("mean_track_dur_ms"),
-        F.round(F.count(F.lit(1)) / F.countDistinct("pid"), 9).alias("mean_len"))
-    return unpivot(p).unionByName(unpivot(t))
+    if approx:
+        t = tracks.agg(
+            F.count(F.lit(1)).cast("double").alias("n_entries"),
+            cd("track_uri").cast("double").alias("n_tracks"), cd("album_uri").cast("double").alias("n_albums"),
+            cd("artist_uri").cast("double").alias("n_artists"), cd("pid").cast("double").alias("n_groups"),
+            F.round(F.avg("track_dur_ms"), 9).alias("mean_track_dur_ms"),
+            F.round(F.count(F.lit(1)) / cd("pid"), 9).alias("mean_len"))
+        return unpivot(p).unionByName(unpivot(t))
+    # one distinct table per column: rows are not multiplied by the number of distinct counts
+    plain = tracks.agg(F.count(F.lit(1)).cast("double").alias("n_entries"), F.round(F.avg("track_dur_ms"), 9).alias("mean_track_dur_ms"))
+    out = unpivot(p).unionByName(unpivot(plain))
+    for c, name in (("track_uri", "n_tracks"), ("album_uri", "n_albums"), ("artist_uri", "n_artists")):
+        out = out.unionByName(unpivot(tracks.select(c).distinct().agg(F.count(c).cast("double").alias(name))))
+    groups = tracks.groupBy("pid").agg(F.count(F.lit(1)).alias("_n"))
+    return out.unionByName(unpivot(groups.agg(F.count("pid").cast("double").alias("n_groups"), F.round(F.sum("_n") / F.count("pid"), 9).alias("mean_len"))))
 
 
 def unpivot(df: DataFrame, name: str = "metric", value: str = "value") -> DataFrame:
@@ -188,13 +194,18 @@ def coverage_curve(vocab: DataFrame, freq: str = "corpus_freq", idx: str = "corp
                     F.round(F.col("cum_freq") * 100.0 / F.lit(float(total)), digits).alias("coverage_pct"))
 
 
-def artist_diversity(playlists: DataFrame, tracks: DataFrame, digits: int = 9) -> DataFrame:
-    """One row: distinct artists per group (median, mean, p10, p90, max) and
-    the ratio distinct / num_tracks clipped to [0, 1] (median, mean)."""
-    d = tracks.groupBy("pid").agg(F.countDistinct("artist_uri").alias("n_art"))
-    j = d.join(playlists.select("pid", "num_tracks"), "pid", "inner").withColumn(
+def artists_per_group(playlists: DataFrame, tracks: DataFrame) -> DataFrame:
+    """(pid, num_tracks, n_art, ratio): distinct artists, and their ratio to num_tracks clipped to [0, 1]."""
+    d = tracks.select("pid", "artist_uri").distinct().groupBy("pid").agg(F.count("artist_uri").alias("n_art"))
+    return d.join(playlists.select("pid", "num_tracks"), "pid", "inner").withColumn(
         "ratio", F.least(F.greatest(F.col("n_art") / F.nullif(F.col("num_tracks"), F.lit(0)), F.lit(0.0)),
                          F.lit(1.0)))
+
+
+def artist_diversity(playlists: DataFrame, tracks: DataFrame, digits: int = 9) -> DataFrame:
+    """One row: distinct artists per group (median, mean, p10, p90, max) and
+    their ratio to the group's entries (median, mean)."""
+    j = artists_per_group(playlists, tracks)
     return j.agg(
         F.round(F.median("n_art"), digits).alias("artists_median"),
         F.round(F.avg("n_art"), digits).alias("artists_mean"),

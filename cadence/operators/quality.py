@@ -44,7 +44,7 @@ def _rules(df: DataFrame, rules, pos: Column | None = None) -> DataFrame:
 
 
 def playlist_rules(playlists: DataFrame, tracks: DataFrame, cutoff: int = CUTOFF_EPOCH_S) -> DataFrame:
-    """I1 duplicate pid, I2 empty name, I3 < 5 tracks, I5 followers/edits,
+    """I1 duplicate pid, I2 empty or null name, I3 < 5 tracks, I5 followers/edits,
     I6 modified after the cut-off (seconds, UTC), I11 too few artists/albums.
     One aggregate of the entries per group, one pass over the groups."""
     dup = playlists.groupBy("pid").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1)
@@ -54,7 +54,7 @@ def playlist_rules(playlists: DataFrame, tracks: DataFrame, cutoff: int = CUTOFF
     j = playlists.select("pid", "name", "num_followers", "num_edits", "modified_at") \
         .join(per, "pid", "left").fillna(0, ["_t", "_ar", "_al"])
     return out.unionByName(_rules(j, [
-        ("empty_name", F.length("name") == 0, F.lit("")),
+        ("empty_name", F.coalesce(F.length("name"), F.lit(0)) == 0, F.lit("")),
         ("too_few_tracks", F.col("_t") < MIN_TRACKS, F.col("_t")),
         ("too_few_artists", F.col("_ar") < MIN_ARTISTS, F.col("_ar")),
         ("too_few_albums", F.col("_al") < MIN_ALBUMS, F.col("_al")),
@@ -64,14 +64,15 @@ def playlist_rules(playlists: DataFrame, tracks: DataFrame, cutoff: int = CUTOFF
 
 
 def track_rules(tracks: DataFrame, index_col: str | None = None) -> DataFrame:
-    """I8 position differs from the array index, I10 URI prefixes (one pass)."""
+    """I8 position differs from the array index, I10 URI prefixes (one pass).
+    A null position or URI is a violation."""
     rules = []
     if index_col:
-        rules.append(("out_of_order", F.col("pos") != F.col(index_col),
+        rules.append(("out_of_order", ~F.col("pos").eqNullSafe(F.col(index_col)),
                       F.format_string("%d %d", F.col(index_col), F.col("pos"))))
     for kind in ("track", "album", "artist"):
         c = f"{kind}_uri"
-        rules.append((f"invalid_{kind}_uri", ~has_prefix(c, kind), F.col(c)))
+        rules.append((f"invalid_{kind}_uri", ~F.coalesce(has_prefix(c, kind), F.lit(False)), F.coalesce(F.col(c), F.lit("null"))))
     return _rules(tracks, rules, F.col(index_col) if index_col else F.col("pos"))
 
 
@@ -81,7 +82,7 @@ def name_consistency(tracks: DataFrame) -> DataFrame:
     out = None
     for kind in ("artist", "album", "track"):
         uri, name = f"{kind}_uri", f"{kind}_name"
-        first = tracks.groupBy(uri).agg(F.min_by(name, F.struct("pid", "pos")).alias("_first"))
+        first = tracks.where(F.col(uri).isNotNull()).groupBy(uri).agg(F.min_by(name, F.struct("pid", "pos")).alias("_first"))
         j = tracks.select("pid", "pos", uri, name).join(first, uri, "inner")
         r = _v(j, ~F.col(name).eqNullSafe(F.col("_first")), f"mismatch_{kind}_name",
                F.concat_ws(" | ", F.col(name), F.col("_first")), F.col("pos"))

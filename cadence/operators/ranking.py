@@ -6,11 +6,12 @@ helpers here split the ordering into *buckets* (a monotone coarsening of the
 order key, e.g. ``(freq, uri prefix)`` or ``(pid, day)``):
 
 1. count (and sum) rows per bucket -- a partial aggregate, small output;
-2. running offsets over the bucket table, ordered like the buckets;
-3. join the offsets back and number rows inside each bucket only.
-
-Step 2 is the only window over whole groups, and it runs on the bucket table,
-whose size is bounded by the bucket domain, not by the data.
+2. running offsets over the bucket table, level by level: a window only runs
+   over the siblings under one prefix of the bucket columns, so with a coarse
+   first column (an order of magnitude, at most 63 values) no task sees all
+   buckets;
+3. join the offsets back (null-safe: null keys are buckets like any other) and
+   number rows inside each bucket only.
 """
 
 from __future__ import annotations
@@ -36,14 +37,25 @@ def ordered_index(df: DataFrame, *, bucket: Sequence[str], bucket_order: Sequenc
     aggs = [F.count(F.lit(1)).alias("_b_n")]
     if weight:
         aggs.append(F.sum(weight).alias("_b_w"))
-    h = df.groupBy(*keys).agg(*aggs)
-    before = Window.partitionBy(*partition_by).orderBy(*bucket_order).rowsBetween(
-        Window.unboundedPreceding, -1)
-    sel = [*keys, F.coalesce(F.sum("_b_n").over(before), F.lit(0)).alias("_b_off")]
-    if weight:
-        sel.append(F.coalesce(F.sum("_b_w").over(before), F.lit(0)).alias("_b_woff"))
-    offsets = h.select(*sel)
-    j = df.join(offsets, keys, "inner")
+    # Offsets level by level: buckets are counted under each prefix of the bucket
+    # columns, and a running sum only runs over the siblings under one prefix.
+    off = df.groupBy(*keys).agg(*aggs)
+    sums = [c for c in ("_b_n", "_b_w") if c in off.columns]
+    total = {c: F.lit(0) for c in sums}
+    for level in range(len(bucket), 0, -1):
+        above, own = keys[: len(partition_by) + level - 1], keys[: len(partition_by) + level]
+        order = bucket_order[level - 1] if len(bucket_order) == len(bucket) else None
+        if order is None:
+            raise ValueError("bucket_order needs one order per bucket column")
+        w = Window.partitionBy(*above).orderBy(order)
+        level_sums = off.groupBy(*own).agg(*[F.sum(c).alias(f"_s{c}") for c in sums])
+        run = level_sums.select(*[F.col(k).alias(f"_k{k}") for k in own], *[
+            F.coalesce(F.sum(f"_s{c}").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias(f"_o{level}{c}") for c in sums])
+        off = off.join(run, _same(own), "inner").drop(*[f"_k{k}" for k in own])
+        total = {c: total[c] + F.col(f"_o{level}{c}") for c in sums}
+    names = {"_b_n": "_b_off", "_b_w": "_b_woff"}
+    offsets = off.select(*[F.col(k).alias(f"_k{k}") for k in keys], *[total[c].alias(names[c]) for c in sums])
+    j = df.join(offsets, _same(keys), "inner").drop(*[f"_k{k}" for k in keys])
     inside = Window.partitionBy(*keys).orderBy(*row_order)
     out = j.withColumn(index_col, (F.col("_b_off") + F.row_number().over(inside) - 1).cast("long"))
     if weight:
@@ -53,6 +65,20 @@ def ordered_index(df: DataFrame, *, bucket: Sequence[str], bucket_order: Sequenc
     return out.drop("_b_off")
 
 
+def _same(keys: Sequence[str]) -> Column:
+    """Null-safe equality of ``keys`` with their copies named ``_k<key>``."""
+    cond = F.lit(True)
+    for k in keys:
+        cond = cond & F.col(k).eqNullSafe(F.col(f"_k{k}"))
+    return cond
+
+
+def magnitude(c: str | Column) -> Column:
+    """Binary order of magnitude of a positive count: at most 63 values, the coarsest bucket of an order by count."""
+    col = F.col(c) if isinstance(c, str) else c
+    return F.floor(F.log2(F.greatest(col, F.lit(1)).cast("double"))).cast("int")
+
+
 def key_prefix(c: str | Column, skip: int = 0, length: int = 2) -> Column:
     """Leading characters of a key after a constant prefix of ``skip`` characters,
     used as the bucket part of an order on that key."""
@@ -60,12 +86,6 @@ def key_prefix(c: str | Column, skip: int = 0, length: int = 2) -> Column:
     return F.substring(col.cast("string"), skip + 1, length)
 
 
-def hash_bucket(c: str | Column, buckets: int = 256) -> Column:
-    """Bucket of a hex digest column by its leading two hex digits (order-preserving)."""
-    col = F.col(c) if isinstance(c, str) else c
-    return F.substring(col, 1, 2 if buckets > 16 else 1)
-
-
 def renumber(df: DataFrame, group: str = "pid", pos: str = "pos", out: str = "pos",
              block: int = 1024) -> DataFrame:
     """Re-number positions 0..n-1 per group after rows were removed (cumcount).

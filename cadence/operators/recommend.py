@@ -102,11 +102,11 @@ def label_popularity(counts: DataFrame, item: str = "track_uri") -> DataFrame:
 
     The window is partitioned by label (few values); the rank is built with
     the bucketed ordered index so a large label is ranked by many tasks."""
-    from cadence.operators.ranking import key_prefix, ordered_index
+    from cadence.operators.ranking import key_prefix, magnitude, ordered_index
     skip = len("spotify:track:") if item == "track_uri" else 0
-    d = counts.withColumn("_p", key_prefix(item, skip, 2))
-    r = ordered_index(d, partition_by=["genre"], bucket=["cnt", "_p"],
-                      bucket_order=[F.col("cnt").desc(), F.col("_p")],
+    d = counts.withColumn("_p", key_prefix(item, skip, 2)).withColumn("_mag", magnitude("cnt"))
+    r = ordered_index(d, partition_by=["genre"], bucket=["_mag", "cnt", "_p"],
+                      bucket_order=[F.col("_mag").desc(), F.col("cnt").desc(), F.col("_p")],
                       row_order=[F.col(item)], index_col="_i")
     return r.select("genre", (F.col("_i") + 1).alias("rank"), item, "cnt")
 
@@ -123,40 +123,60 @@ def infer_label(seeds: DataFrame, item_labels: DataFrame, groups: DataFrame,
 
 
 def rec_by_label(seeds: DataFrame, inferred: DataFrame, popularity: DataFrame, k: int = 20,
-                 item: str = "track_uri") -> DataFrame:
+                 item: str = "track_uri", block: int = 64) -> DataFrame:
     """Walk the inferred label's ranking, skip seen items, stop at k.
 
-    The join with the ranking is bounded per group by rank <= k + |seen|,
-    which is enough because at most |seen| of those ranks are skipped."""
-    from cadence.operators.profile import fit_scalars
+    A group needs ranks up to k + |seen|, as at most |seen| of them are
+    skipped. Rankings are cut into blocks of ``block`` ranks; a group is sent to
+    the blocks it needs and meets them by an equi-join on (label, block), so a
+    group with a large seed makes no other group probe deeper, and the keys of a
+    frequent label are spread over its blocks."""
     seen = seeds.select("pid", F.col(item).alias("item")).distinct()
     nseen = seen.groupBy("pid").agg(F.count(F.lit(1)).alias("_ns"))
     q = inferred.where(F.col("inferred") != "unknown").join(nseen, "pid", "inner")
-    # only ranks <= k + max |seen| can be reached: the ranking side is
-    # (labels x that bound) rows, small enough for a broadcast join
-    bound = k + int(fit_scalars(nseen, F.max("_ns").alias("m"))["m"] or 0)
-    pop = popularity.where(F.col("rank") <= bound).select(
-        F.col("genre").alias("inferred"), F.col("rank").alias("_gr"), F.col(item).alias("item"), "cnt")
-    cand = q.join(pop, (q.inferred == pop.inferred) & (pop._gr <= q._ns + k), "inner") \
+    q = q.select("pid", "inferred", (F.col("_ns") + k).alias("_need"),
+                 F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("_ns") + k - 1) / block))).alias("_blk"))
+    pop = popularity.select(F.col("genre").alias("inferred"), F.floor((F.col("rank") - 1) / block).alias("_blk"),
+                            F.col("rank").alias("_gr"), F.col(item).alias("item"), "cnt")
+    cand = q.join(pop, ["inferred", "_blk"]).where(F.col("_gr") <= F.col("_need")) \
         .select("pid", "_gr", "item", F.col("cnt").alias("score"))
     cand = cand.join(seen, ["pid", "item"], "left_anti")
     return top_k_per_group(cand, "pid", [F.col("_gr")], k).drop("_gr")
 
 
 # ---- next item from the ordered seed ---------------------------------------
-def transitions(frames: DataFrame) -> DataFrame:
-    """(input, target, cnt, prob): adjacent-pair counts of the training frames
-    (padding excluded) and their share among the input's successors."""
-    t = frames.where(~F.col("pad_mask")).groupBy("input", "target").agg(F.count(F.lit(1)).cast("long").alias("cnt"))
+def adjacent_pairs(seqs: DataFrame, lags: int = 1, vocab_limit: int | None = None, item: str = "track_idx") -> DataFrame:
+    """(lag, input, target): the items of whole sequences that stand ``lag`` (1..lags) positions apart.
+
+    Every row is sent to the positions it is a successor of and meets the row
+    there by an equi-join on (pid, pos): a hot group stays linear and is spread
+    over many tasks."""
+    from cadence.operators.sequences import map_unknown
+    s = seqs.select("pid", "pos", map_unknown(item, vocab_limit).alias("x"))
+    nxt = s.select("pid", F.explode(F.sequence(F.lit(1), F.lit(lags))).alias("lag"), "pos", F.col("x").alias("target")).select(
+        "pid", "lag", (F.col("pos") - F.col("lag")).alias("pos"), "target")
+    return s.withColumnRenamed("x", "input").join(nxt, ["pid", "pos"]).select("lag", "input", "target")
+
+
+def transitions(pairs: DataFrame) -> DataFrame:
+    """(input, target, cnt, prob): counts of adjacent (input, target) pairs and
+    their share among the input's successors."""
+    t = pairs.groupBy("input", "target").agg(F.count(F.lit(1)).cast("long").alias("cnt"))
     tot = t.groupBy("input").agg(F.sum("cnt").alias("_tot"))
     return t.join(tot, "input").withColumn("prob", F.col("cnt") / F.col("_tot")).drop("_tot")
 
 
-def rec_next_item(seeds: DataFrame, trans: DataFrame, vocab_limit: int, k: int = 20,
+def _known(trans: DataFrame, vocab_limit: int | None) -> DataFrame:
+    return trans if vocab_limit is None else trans.where(F.col("target") < vocab_limit)
+
+
+def rec_next_item(seeds: DataFrame, trans: DataFrame, n_items: int, k: int = 20, vocab_limit: int | None = None,
                   item: str = "track_idx", exclude_seen: bool = False) -> DataFrame:
-    """Top-k successors of the last seed item by (prob desc, item asc), items
-    restricted to idx < vocab_limit (PAD / UNK never returned); fewer than k
-    are filled from the popularity order (idx 0, 1, ...). Empty seeds get no rows.
+    """Top-k successors of the last seed item by (prob desc, item asc); with a
+    ``vocab_limit`` only items below it (PAD / UNK never returned). Fewer than
+    k are filled from the popularity order (idx 0, 1, ... of ``n_items``); with
+    ``exclude_seen`` the fill goes on past the group's seen items, so it ends
+    short of k only where the vocabulary does. Empty seeds get no rows.
     """
     last = seeds.groupBy("pid").agg(F.max_by(item, "pos").alias("_last"))
     # successors are cut to the top per input *before* the join, so a popular
@@ -166,7 +186,7 @@ def rec_next_item(seeds: DataFrame, trans: DataFrame, vocab_limit: int, k: int =
         from cadence.operators.profile import fit_scalars
         ns = seeds.select("pid", item).distinct().groupBy("pid").agg(F.count(F.lit(1)).alias("_n"))
         keep = k + int(fit_scalars(ns, F.max("_n").alias("m"))["m"] or 0)
-    t = top_k_per_group(trans.where(F.col("target") < vocab_limit), "input",
+    t = top_k_per_group(_known(trans, vocab_limit), "input",
                         [F.col("prob").desc(), F.col("target")], keep, "_r").select(
         F.col("input").alias("_last"), F.col("target").alias("item"), F.col("prob").alias("score"))
     cand = last.join(t, "_last", "inner").select("pid", "item", "score", F.lit(0).alias("_prio"))
@@ -175,8 +195,10 @@ def rec_next_item(seeds: DataFrame, trans: DataFrame, vocab_limit: int, k: int =
         cand = cand.join(seen, ["pid", "item"], "left_anti")
     cand = top_k_per_group(cand, "pid", [F.col("score").desc(), F.col("item")], k, "_r").drop("_r")
     # popularity fill: the first idx values are the most frequent items
-    extra = k if not exclude_seen else k + 0
-    fill = last.select("pid", F.explode(F.sequence(F.lit(0), F.lit(min(extra, vocab_limit) - 1))).alias("item")) \
+    # (one more for each seen item, of which at most that many can be skipped)
+    top = n_items if vocab_limit is None else min(n_items, vocab_limit)
+    f = last.join(ns, "pid") if exclude_seen else last.withColumn("_n", F.lit(0))
+    fill = f.select("pid", F.explode(F.sequence(F.lit(0), F.least(F.lit(top), F.col("_n") + k).cast("int") - 1)).alias("item")) \
         .select("pid", F.col("item").cast("int").alias("item"), F.lit(0.0).alias("score"), F.lit(1).alias("_prio"))
     if exclude_seen:
         fill = fill.join(seen, ["pid", "item"], "left_anti")
@@ -185,13 +207,14 @@ def rec_next_item(seeds: DataFrame, trans: DataFrame, vocab_limit: int, k: int =
     return top_k_per_group(allc, "pid", [F.col("_prio"), F.col("score").desc(), F.col("item")], k).drop("_prio")
 
 
-def token_accuracy(frames: DataFrame, trans: DataFrame, vocab_limit: int) -> DataFrame:
-    """Next-position accuracy over non-pad positions: prediction = most likely
-    successor (< vocab_limit) of the input, else the most popular item (0)."""
-    best = top_k_per_group(trans.where(F.col("target") < vocab_limit), "input",
+def token_accuracy(pairs: DataFrame, trans: DataFrame, vocab_limit: int | None = None) -> DataFrame:
+    """Next-position accuracy over adjacent (input, target) pairs: prediction =
+    most likely successor (< vocab_limit) of the input, else the most popular
+    item (0)."""
+    best = top_k_per_group(_known(trans, vocab_limit), "input",
                            [F.col("cnt").desc(), F.col("target")], 1, "_r") \
         .select("input", F.col("target").alias("pred"))
-    f = frames.where(~F.col("pad_mask")).join(best, "input", "left") \
+    f = pairs.join(best, "input", "left") \
         .withColumn("pred", F.coalesce(F.col("pred"), F.lit(0)))
     return f.agg(F.count(F.lit(1)).cast("long").alias("n_tokens"),
                  F.round(F.avg((F.col("pred") == F.col("target")).cast("double")), 9).alias("accuracy"))
@@ -236,9 +259,11 @@ def catalog_search(catalog: DataFrame, requests: DataFrame, max_results: int = 1
     cand = pick.join(ngr, "g", "inner").join(cat, "corpus_idx", "inner") \
         .where(F.col("_tn").contains(F.col("q")) | F.col("_an").contains(F.col("q")))
     hits = cand.select("request_id", "corpus_idx")
-    empty = req.where(F.length("q") == 0).select(
-        "request_id", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(max_results - 1).cast("long"))).alias("corpus_idx"))
-    hits = hits.unionByName(empty.join(cat.select("corpus_idx"), "corpus_idx", "left_semi"))
+    # an empty request gets the first max_results rows of the catalogue, whatever indices are absent
+    first = cat.select("corpus_idx").orderBy("corpus_idx").limit(max_results).withColumn(
+        "_n", F.row_number().over(Window.orderBy("corpus_idx")))  # at most max_results rows
+    empty = req.where(F.length("q") == 0).select("request_id", F.explode(F.sequence(F.lit(1), F.lit(max_results))).alias("_n"))
+    hits = hits.unionByName(empty.join(first, "_n").select("request_id", "corpus_idx"))
     top = top_k_per_group(hits, "request_id", [F.col("corpus_idx")], max_results)
     return top.join(cat.drop("_tn", "_an"), "corpus_idx", "inner").select(
         "request_id", "rank", "corpus_idx", "track_uri", "track_name", "artist_name")
@@ -259,25 +284,15 @@ def decode_recs(recs: DataFrame, catalog: DataFrame, holdout: DataFrame | None =
     return out
 
 
-def lag_transitions(seqs: DataFrame, vocab_limit: int, max_len: int = 50, lags: int = 3,
-                    item: str = "track_idx") -> DataFrame:
-    """(lag, input, target, cnt, prob): pairs (s[t], s[t+lag]) inside the first
-    max_len + 1 items of each training sequence (UNK-mapped); at most
-    (max_len + 1) * lags pairs per group."""
-    from cadence.operators.sequences import map_unknown
-    s = seqs.where(F.col("pos") <= max_len).select("pid", "pos", map_unknown(item, vocab_limit).alias("x"))
-    a, b = s.alias("a"), s.alias("b")
-    pairs = a.join(b, (F.col("a.pid") == F.col("b.pid")) & (F.col("b.pos") > F.col("a.pos"))
-                   & (F.col("b.pos") <= F.col("a.pos") + lags)).select(
-        (F.col("b.pos") - F.col("a.pos")).cast("int").alias("lag"), F.col("a.x").alias("input"),
-        F.col("b.x").alias("target"))
-    c = pairs.groupBy("lag", "input", "target").agg(F.count(F.lit(1)).cast("long").alias("cnt"))
+def lag_transitions(seqs: DataFrame, lags: int = 3, vocab_limit: int | None = None, item: str = "track_idx") -> DataFrame:
+    """(lag, input, target, cnt, prob): pairs (s[t], s[t+lag]) of whole training sequences."""
+    c = adjacent_pairs(seqs, lags, vocab_limit, item).groupBy("lag", "input", "target").agg(F.count(F.lit(1)).cast("long").alias("cnt"))
     tot = c.groupBy("lag", "input").agg(F.sum("cnt").alias("_tot"))
     return c.join(tot, ["lag", "input"]).withColumn("prob", F.col("cnt") / F.col("_tot")).drop("_tot")
 
 
-def rec_next_item_lags(seeds: DataFrame, lt: DataFrame, vocab_limit: int, k: int = 20, lags: int = 3,
-                       cut: int | None = None, item: str = "track_idx", digits: int = 12) -> DataFrame:
+def rec_next_item_lags(seeds: DataFrame, lt: DataFrame, n_items: int, k: int = 20, lags: int = 3, vocab_limit: int | None = None,
+                       cut: int | None = None, item: str = "track_idx", digits: int = 12, stage=lambda df, name: df) -> DataFrame:
     """score(c) = sum over lag l of P_l(c | seed[-l]) / l, top-k by
     (round(score, 12) desc, item asc), popularity fill, seen items allowed.
 
@@ -286,13 +301,13 @@ def rec_next_item_lags(seeds: DataFrame, lt: DataFrame, vocab_limit: int, k: int
     equi-join lookups; an item outside all cut lists scores at most
     tau = sum_l (cut-th prob of list l) / l. Groups whose k-th score is not
     above tau are recomputed from the full lists (only those groups).
+    ``stage`` may keep the small inputs that are read several times as tables.
     """
-    from cadence.sources.fixtures import stage
     cut = cut or 2 * k
     mx = stage(seeds.groupBy("pid").agg(F.max("pos").alias("_mx")), "lag_mx")
     ctx = stage(seeds.join(mx, "pid").where(F.col("pos") > F.col("_mx") - lags).select(
         "pid", (F.col("_mx") - F.col("pos") + 1).cast("int").alias("lag"), F.col(item).alias("input")), "lag_ctx")
-    known = lt.where(F.col("target") < vocab_limit)
+    known = _known(lt, vocab_limit)
     # rank inside each (lag, input) list; rows beyond cut + 1 are not needed
     ranked = stage(known.withColumn("_r", F.row_number().over(
         Window.partitionBy("lag", "input").orderBy(F.col("prob").desc(), F.col("target"))))
@@ -324,7 +339,8 @@ def rec_next_item_lags(seeds: DataFrame, lt: DataFrame, vocab_limit: int, k: int
     full_top = top_k_per_group(full, "pid", [F.round("score", digits).desc(), F.col("item")], k, "_rk")
     got = topk.join(good, "pid", "left_semi").unionByName(full_top).select(
         "pid", F.col("item").cast("int").alias("item"), "score", F.lit(0).alias("_prio"))
-    fill = mx.select("pid", F.explode(F.sequence(F.lit(0), F.lit(min(k, vocab_limit) - 1))).alias("item")) \
+    top = min(k, n_items if vocab_limit is None else min(n_items, vocab_limit))
+    fill = mx.select("pid", F.explode(F.sequence(F.lit(0), F.lit(top - 1))).alias("item")) \
         .select("pid", F.col("item").cast("int").alias("item"), F.lit(0.0).alias("score"), F.lit(1).alias("_prio"))
     fill = fill.join(got.select("pid", "item"), ["pid", "item"], "left_anti")
     allc = got.unionByName(fill)

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cadence.operators.ranking import key_prefix, ordered_index
+from cadence.operators.ranking import key_prefix, magnitude, ordered_index
 
 
 def group_sizes(seqs: DataFrame, group: str = "pid", out: str = "seq_len") -> DataFrame:
@@ -35,17 +35,19 @@ def corpus_report(entries: DataFrame, min_len: int = 5, group: str = "pid") -> D
 
 
 def vocabulary(corpus: DataFrame, item: str = "track_uri", skip_prefix: int = 0,
-               prefix_len: int = 2) -> DataFrame:
+               prefix_len: int = 2, stage=lambda df: df) -> DataFrame:
     """(item, corpus_idx, corpus_freq): dense 0-based index by (freq desc, item asc).
 
-    The global order is split into buckets (freq, leading characters of the
-    item after ``skip_prefix`` constant characters), so no single task sorts
-    all items.
+    The global order is split into buckets (magnitude of freq, freq, leading
+    characters of the item after ``skip_prefix`` constant characters), so no
+    single task sorts all items. ``stage`` may keep the counts, which the
+    numbering reads twice, as a written table. A null item is numbered too.
     """
     freq = corpus.groupBy(item).agg(F.count(F.lit(1)).cast("long").alias("corpus_freq"))
     freq = freq.withColumn("_pfx", key_prefix(item, skip_prefix, prefix_len))
-    r = ordered_index(freq, bucket=["corpus_freq", "_pfx"],
-                      bucket_order=[F.col("corpus_freq").desc(), F.col("_pfx")],
+    freq = freq.withColumn("_mag", magnitude("corpus_freq"))
+    r = ordered_index(stage(freq), bucket=["_mag", "corpus_freq", "_pfx"],
+                      bucket_order=[F.col("_mag").desc(), F.col("corpus_freq").desc(), F.col("_pfx")],
                       row_order=[F.col(item)], index_col="corpus_idx")
     return r.select(item, "corpus_idx", "corpus_freq")
 
@@ -102,7 +104,7 @@ def stratified_split(groups: DataFrame, stratum: str, val: float = 0.1, test: fl
     n = n.select(stratum,
                  F.greatest(F.lit(1), F.bround(F.col("_n") * F.lit(float(test)), 0)).cast("long").alias("_nt"),
                  F.greatest(F.lit(1), F.bround(F.col("_n") * F.lit(float(val)), 0)).cast("long").alias("_nv"))
-    j = r.join(n, stratum, "inner")
+    j = r.join(n.withColumnRenamed(stratum, "_stratum"), F.col(stratum).eqNullSafe(F.col("_stratum")), "inner").drop("_stratum")
     lab = (F.when(F.col("_rank") < F.col("_nt"), "test")
            .when(F.col("_rank") < F.col("_nt") + F.col("_nv"), "val").otherwise("train"))
     return j.withColumn(out, lab).drop("_h", "_hb", "_rank", "_nt", "_nv")

@@ -9,14 +9,10 @@ from cadence.sources.fixtures import stage, tables
 from cadence.session import session_key
 
 _MEMO: dict = {}
-_PREPARED: dict = {}
 
 
 def memo(spark, sf_dir, name, build):
-    """One persisted DataFrame per (session, data dir, stage name); stage
-    outputs written by :func:`prepare` are read back instead."""
-    if (sf_dir, name) in _PREPARED:
-        return spark.read.parquet(_PREPARED[(sf_dir, name)])
+    """One stage table per (session, data dir, stage name)."""
     key = (session_key(spark), sf_dir, name)
     if key not in _MEMO:
         _MEMO[key] = stage(build(), name)
@@ -24,24 +20,12 @@ def memo(spark, sf_dir, name, build):
 
 
 MIN_LEN = 5
-VOCAB_LIMIT = 1000       # vocabulary cut-off used by the sequence-model queries
+VOCAB_LIMIT = 1000       # vocabulary cut-off of the training frames (next_item_frames); no model uses one
 SEED = 42
 KS = (1, 5, 10, 20)
 URI_SKIP = len("spotify:track:")
 
 
-
-def prepare(spark, sf_dir, out_dir=None):
-    """Build the canonical tables and the preprocessing outputs (corpus,
-    vocabulary, encoded sequences, split) once, like an ingest + preprocess
-    job. Each is written as a Parquet stage table (see ``stage``) and every
-    later plan starts from those files."""
-    t = tables(spark, sf_dir)
-    for df in (t.tracks(), t.playlists(), corpus(spark, sf_dir), vocab(spark, sf_dir),
-               encoded(spark, sf_dir), groups_split(spark, sf_dir)):
-        df.columns  # stage tables are written when they are built
-
-
 def corpus(spark, sf_dir):
     t = tables(spark, sf_dir)
     return memo(spark, sf_dir, "corpus", lambda: S.build_corpus(
@@ -50,7 +34,7 @@ def corpus(spark, sf_dir):
 
 def vocab(spark, sf_dir):
     return memo(spark, sf_dir, "vocab", lambda: S.vocabulary(
-        corpus(spark, sf_dir), "track_uri", skip_prefix=URI_SKIP))
+        corpus(spark, sf_dir), "track_uri", skip_prefix=URI_SKIP, stage=lambda df: stage(df, "item_counts")))
 
 
 def encoded(spark, sf_dir):
@@ -75,6 +59,11 @@ def split_groups(spark, sf_dir, which: str):
     return groups_split(spark, sf_dir).where(F.col("split") == which).select("pid", "seq_len")
 
 
+#: The ingest and preprocess job, stage by stage; each output is a written table that later plans start from.
+STAGES = {"tracks": lambda s, d: tables(s, d).tracks(), "playlists": lambda s, d: tables(s, d).playlists(),
+          "corpus": corpus, "vocabulary": vocab, "encoded": encoded, "split": groups_split}
+
+
 # ---- SQL mirrors ------------------------------------------------------------
 CORPUS_CTE = """
 , _sz AS (SELECT pid, CAST(count(*) AS BIGINT) AS seq_len FROM tracks GROUP BY pid)

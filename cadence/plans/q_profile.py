@@ -240,6 +240,23 @@ def q_artist_diversity(spark, sf_dir):
     return P.artist_diversity(t.playlists(), t.tracks())
 
 
+_AD_CTE = """
+, _d AS (SELECT pid, count(DISTINCT artist_uri) AS n_art FROM tracks GROUP BY pid)
+, _j AS (SELECT d.n_art, least(greatest(d.n_art / nullif(p.num_tracks, 0), 0.0), 1.0) AS ratio FROM _d d JOIN playlists p USING (pid))
+"""
+
+
+@register("artist_diversity_hist", sql(_AD_CTE + "SELECT 'artists' AS hist, bin, n, bin_lo, bin_hi FROM (" + _hist_sql(
+    "_j", "n_art", 50, "(SELECT CAST(min(n_art) AS DOUBLE) FROM _j)", "(SELECT CAST(max(n_art) AS DOUBLE) FROM _j)")
+    + ") UNION ALL SELECT 'ratio' AS hist, bin, n, bin_lo, bin_hi FROM (" + _hist_sql("_j", "ratio", 50, "0.0", "1.0") + ")"))
+def q_artist_diversity_hist(spark, sf_dir):
+    """Histograms of distinct artists per group and of their ratio to the group's entries."""
+    t = tables(spark, sf_dir)
+    d = P.artists_per_group(t.playlists(), t.tracks())
+    a, r = P.histogram(d, "n_art", 50), P.histogram(d, "ratio", 50, 0.0, 1.0)
+    return a.select(F.lit("artists").alias("hist"), *a.columns).unionByName(r.select(F.lit("ratio").alias("hist"), *r.columns))
+
+
 @register("split_profile", sql(C.SPLIT_CTE + """
 , _s AS (SELECT split, CAST(count(*) AS BIGINT) AS n, CAST(min(seq_len) AS DOUBLE) AS min,
                 quantile_cont(seq_len, 0.1) AS p10, CAST(median(seq_len) AS DOUBLE) AS median,

@@ -8,7 +8,9 @@ from cadence.operators import sequences as S
 from cadence.plans import common as C
 from cadence.plans.oracle import sql
 from cadence.plans.registry import register
+from cadence.session import scratch_path
 from cadence.sources.fixtures import tables
+from cadence.sources.slices import write_table
 
 
 @register("build_corpus", sql(C.CORPUS_CTE + "SELECT pid, pos, track_uri, seq_len FROM corpus"))
@@ -52,7 +54,7 @@ def q_eval_sample(spark, sf_dir):
 
 
 @register("seed_holdout", sql(C.SPLIT_CTE + C.seed_holdout_cte(
-    vocab_limit=C.VOCAB_LIMIT, max_seed=50) + """
+    max_seed=50) + """
 SELECT pid, 'seed' AS role, pos, track_idx FROM seeds
 UNION ALL
 SELECT h.pid, 'holdout' AS role, CAST(min(s.pos) AS BIGINT) AS pos, h.track_idx
@@ -61,10 +63,9 @@ GROUP BY h.pid, h.track_idx"""))
 def q_seed_holdout(spark, sf_dir):
     seqs = C.split_seqs(spark, sf_dir, "test")
     groups = C.split_groups(spark, sf_dir, "test")
-    seeds, hold, ev = S.seed_holdout(seqs, groups, max_seed=50, vocab_limit=C.VOCAB_LIMIT)
+    seeds, hold, ev = S.seed_holdout(seqs, groups, max_seed=50)
     # first holdout position of each distinct holdout item
-    tail = seqs.join(ev.select("pid", "sp"), "pid").where(F.col("pos") >= F.col("sp")) \
-        .withColumn("track_idx", S.map_unknown("track_idx", C.VOCAB_LIMIT))
+    tail = seqs.join(ev.select("pid", "sp"), "pid").where(F.col("pos") >= F.col("sp"))
     hpos = tail.join(hold, ["pid", "track_idx"], "left_semi").groupBy("pid", "track_idx") \
         .agg(F.min("pos").alias("pos"))
     return seeds.select("pid", F.lit("seed").alias("role"), "pos", "track_idx").unionByName(
@@ -77,8 +78,7 @@ def _elig_sql(rule):
     return f"""
 SELECT '{rule}' AS rule, reason, CAST(count(*) AS BIGINT) AS n_groups FROM (
   SELECT g.pid, CASE WHEN {skip} THEN 'short'
-                     WHEN NOT EXISTS (SELECT 1 FROM test t WHERE t.pid = g.pid AND t.pos >= {sp}
-                                      AND t.track_idx < {C.VOCAB_LIMIT}) THEN 'empty_holdout'
+                     WHEN NOT EXISTS (SELECT 1 FROM test t WHERE t.pid = g.pid AND t.pos >= {sp}) THEN 'empty_holdout'
                      ELSE 'evaluated' END AS reason
   FROM test_groups g) GROUP BY reason"""
 
@@ -91,7 +91,7 @@ def q_eligibility(spark, sf_dir):
     for rule in ("sequence", "min5"):
         g = S.eligibility(groups, rule)
         known = seqs.join(g.select("pid", "sp"), "pid").where(
-            (F.col("pos") >= F.col("sp")) & (F.col("track_idx") < C.VOCAB_LIMIT)).select("pid").distinct()
+            F.col("pos") >= F.col("sp")).select("pid").distinct()
         r = g.join(known.withColumn("_k", F.lit(True)), "pid", "left").select(
             F.lit(rule).alias("rule"),
             F.when(F.col("skip_reason").isNotNull(), F.col("skip_reason"))
@@ -112,3 +112,16 @@ SELECT n.pid, CAST(t.t AS BIGINT) AS t, {C.VOCAB_LIMIT} AS input, {C.VOCAB_LIMIT
 FROM _n n, range(0, 50) t(t) WHERE t.t >= n.n - 1"""))
 def q_frames(spark, sf_dir):
     return S.next_item_frames(C.split_seqs(spark, sf_dir, "train"), C.VOCAB_LIMIT, 50)
+
+
+@register("sequence_sink", sql(C.ENC_CTE + """
+SELECT CAST(pid AS INTEGER) AS pid, CAST(pos // 50 AS INTEGER) AS chunk, string_agg(CAST(track_idx AS VARCHAR), ' ' ORDER BY pos) AS items,
+       CAST(count(*) AS BIGINT) AS n_items, CAST(max(seq_len) AS INTEGER) AS seq_len FROM enc GROUP BY pid, pos // 50"""))
+def q_sequence_sink(spark, sf_dir):
+    """Typed sequence arrays, at most 50 items a row, through the Parquet sink and back."""
+    arrays = S.sequence_arrays(C.encoded(spark, sf_dir), chunk=50)
+    path = scratch_path(spark, "sequences")
+    write_table(arrays, path)
+    back = spark.read.schema("pid int, chunk int, track_idxs array<int>, seq_len int").parquet(path)
+    return back.select("pid", "chunk", F.array_join(F.transform("track_idxs", lambda x: x.cast("string")), " ").alias("items"),
+                       F.size("track_idxs").cast("long").alias("n_items"), "seq_len")

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -38,11 +38,14 @@ def get_spark(app: str = "cadence", master: str | None = None, cpus: int | None
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this setting points at shared storage and is left alone. Only
-    when it is unset (local runs, tests) a fresh private folder is created.
+    On a cluster this setting points at shared storage and is left alone. Where
+    it is unset, a local master gets a fresh private folder; any other master
+    raises, because executors would not share one.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="cadence-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if spark.sparkContext.getCheckpointDir() is None:
@@ -51,9 +54,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A sub-folder of the shared checkpoint folder for written intermediates."""
+    """A fresh sub-folder of the shared checkpoint folder; every call gets another one."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/{name}-{os.getpid()}-{abs(hash((name, id(spark)))) % 10**8}"
+    return f"{base}/{name}-{uuid.uuid4().hex}"
 
 
 def session_key(spark: SparkSession) -> str:

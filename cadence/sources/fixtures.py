@@ -25,7 +25,7 @@ TITLES = ["Hip-Hop!!", "R&B (chill)", "country roads", "Rock_n_Roll", "CHILL  vi
           "X-mas ^ 2016", "EDM; bass", "Reggaeton", "Jazz~Blues", "grape soda", "Study #1",
           "my playlist", "favorites", "Motown", "   lofi   beats  ", "untitled", "misc",
           "2017", "été"]
-N_FEATURES = 11
+N_FEATURES = 64  # every component of an embedding
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -39,9 +39,6 @@ def epoch_seconds(ts) -> F.Column:
             + F.minute(c) * 60 + F.second(c)).cast("long")
 
 
-_STAGE_SEQ = [0]
-
-
 def stage(df: DataFrame, name: str = "") -> DataFrame:
     """Keep a stage output that several plans reuse, with a short lineage.
 
@@ -63,31 +60,23 @@ def stage(df: DataFrame, name: str = "") -> DataFrame:
     ensure_checkpoint_dir(spark)
     if mode == "checkpoint":
         return df.checkpoint(eager=True)
-    _STAGE_SEQ[0] += 1
-    path = scratch_path(spark, f"stage-{name or 'df'}-{_STAGE_SEQ[0]}")
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    path = scratch_path(spark, f"stage-{name or 'df'}")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 class Tables:
-    """Lazy canonical tables for one data directory.
-
-    ``prepared`` maps a table name to a Parquet path written by
-    :func:`materialize`; those are read instead of being derived again.
-    """
+    """Lazy canonical tables for one data directory."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str, prepared: dict[str, str] | None = None):
+    def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir
-        self.prepared = dict(prepared or {})
         self._memo: dict[str, DataFrame] = {}
 
     def raw(self, name: str) -> DataFrame:
         return read_table(self.spark, self.sf_dir, name)
 
     def _get(self, name, build, staged: bool = True):
-        if name in self.prepared:
-            return self.spark.read.parquet(self.prepared[name])
         if name not in self._memo:
             self._memo[name] = stage(build(), name) if staged else build()
         return self._memo[name]
@@ -173,7 +162,7 @@ class Tables:
             F.col("c_custkey").alias("pid"), F.col("c_mktsegment").alias("genre")), staged=False)
 
     def features(self) -> DataFrame:
-        """(item, f0..f10): the first components of the item's embedding."""
+        """(item, f0..f63): the components of the item's embedding."""
         def build():
             e = self.raw("embeddings")
             return e.select(F.col("vec_id").alias("item"),
@@ -210,26 +199,9 @@ class Tables:
 
 
 _CACHE: dict[tuple, Tables] = {}
-_PREPARED: dict[str, dict[str, str]] = {}
-
 
 def tables(spark: SparkSession, sf_dir: str) -> Tables:
     key = (session_key(spark), sf_dir)
     if key not in _CACHE:
-        _CACHE[key] = Tables(spark, sf_dir, _PREPARED.get(sf_dir))
+        _CACHE[key] = Tables(spark, sf_dir)
     return _CACHE[key]
-
-
-def materialize(spark: SparkSession, sf_dir: str, out_dir: str,
-                names=("entries", "tracks", "playlists")) -> dict[str, str]:
-    """Write the derived canonical tables once (the reference's ingest output)
-    and serve later reads from them."""
-    t = Tables(spark, sf_dir)
-    paths = {}
-    for n in names:
-        path = f"{out_dir.rstrip('/')}/{n}.parquet"
-        getattr(t, n)().write.mode("overwrite").parquet(path)
-        paths[n] = path
-    _PREPARED[sf_dir] = paths
-    _CACHE.pop((session_key(spark), sf_dir), None)
-    return paths

@@ -58,15 +58,15 @@ def slice_playlists(slices: DataFrame) -> DataFrame:
                     F.coalesce("description", F.lit("")).alias("description"))
 
 
-def slice_tracks(slices: DataFrame, with_file: bool = False) -> DataFrame:
-    """One row per playlist entry, parent pid carried down."""
+def slice_tracks(slices: DataFrame, with_file: bool = False, with_index: bool = False) -> DataFrame:
+    """One row per playlist entry, parent pid carried down; ``idx`` = place in the stored array."""
     p = slices.select("file", F.explode("playlists").alias("p"))
-    t = p.select("file", F.col("p.pid").alias("pid"), F.explode("p.tracks").alias("t"))
+    t = p.select("file", F.col("p.pid").alias("pid"), F.posexplode("p.tracks").alias("idx", "t"))
     cols = ["pid", F.col("t.pos").alias("pos"), F.col("t.track_uri").alias("track_uri"),
             F.col("t.track_name").alias("track_name"), F.col("t.artist_uri").alias("artist_uri"),
             F.col("t.artist_name").alias("artist_name"), F.col("t.album_uri").alias("album_uri"),
             F.col("t.album_name").alias("album_name"), F.col("t.duration_ms").alias("track_dur_ms")]
-    return t.select(*(["file"] if with_file else []), *cols)
+    return t.select(*(["file"] if with_file else []), *([F.col("idx").cast("long").alias("idx")] if with_index else []), *cols)
 
 
 def slice_catalog(slices: DataFrame) -> DataFrame:
@@ -93,29 +93,33 @@ def read_slice_text(spark: SparkSession, path: str, limit_files: int | None = No
 
 
 def write_slices(playlists: DataFrame, tracks: DataFrame, out_dir: str, per_slice: int = 1000,
-                 generated_on: str = "2017-12-03 08:41:42.057563", version: str = "v1") -> None:
+                 generated_on: str = "2017-12-03 08:41:42.057563", version: str = "v1", order: str = "pos",
+                 extra_playlist=(), extra_track=(), info=lambda i: {}) -> None:
     """Write tables in the raw slice format: one JSON document per folder
     ``slice=A-B`` holding ``per_slice`` consecutive pids (read them back with
     ``pattern=WRITTEN_PATTERN``); the description key only where present.
+    Entries stand in the array in the order of column ``order``; a null field
+    is left out. ``extra_*`` name further fields of the objects, ``info(i)``
+    gives fields of the info object by slice number (both for defective slices).
 
     A slice document holds all of its playlists and entries; that is the
     format (one JSON document per file), so each slice is assembled in one task.
     """
-    spark = playlists.sparkSession
-    t = tracks.select("pid", F.struct(
+    t = tracks.select("pid", F.col(order).alias("_o"), F.struct(
         "pos", "artist_name", "track_uri", "artist_uri", "track_name", "album_uri",
-        F.col("track_dur_ms").alias("duration_ms"), "album_name").alias("t"))
-    nested = t.groupBy("pid").agg(F.array_sort(F.collect_list("t")).alias("tracks"))
+        F.col("track_dur_ms").alias("duration_ms"), "album_name", *extra_track).alias("t"))
+    nested = t.groupBy("pid").agg(F.transform(F.sort_array(F.collect_list(F.struct("_o", "t"))), lambda x: x["t"]).alias("tracks"))
     p = playlists.join(nested, "pid", "left").withColumn("_slice", F.floor(F.col("pid") / per_slice))
     pl = F.struct("name", "collaborative", "pid", "modified_at", "num_tracks", "num_albums", "num_followers",
                   "num_edits", "duration_ms", "num_artists",
                   F.when(F.col("has_desc"), F.col("description")).alias("description"),
-                  F.coalesce("tracks", F.array()).alias("tracks"))
+                  F.coalesce("tracks", F.array()).alias("tracks"), *extra_playlist)
     doc = p.groupBy("_slice").agg(F.array_sort(F.collect_list(F.struct("pid", pl.alias("p")))).alias("ps"))
     lo = F.col("_slice") * per_slice
     name = F.format_string("%d-%d", lo, lo + per_slice - 1)
+    fields = {"generated_on": F.lit(generated_on), "slice": name, "version": F.lit(version), **info(F.col("_slice"))}
     doc = doc.select(name.alias("_name"), F.to_json(F.struct(
-        F.struct(F.lit(generated_on).alias("generated_on"), name.alias("slice"), F.lit(version).alias("version")).alias("info"),
+        F.struct(*[c.alias(k) for k, c in fields.items()]).alias("info"),
         F.transform("ps", lambda x: x["p"]).alias("playlists"))).alias("value"))
     # one slice per output folder slice=A-B, written by the task that holds it
     doc.repartition("_name").withColumnRenamed("_name", "slice").write.mode("overwrite") \

@@ -1,9 +1,9 @@
 """Incremental ingest of slice files with Structured Streaming.
 
-Files arrive in batches (``maxFilesPerTrigger``); each micro-batch appends
-the catalogue rows of track URIs not seen in earlier batches (first seen in
-(file, pid, pos) order inside the batch) and a row of running totals. The
-"seen" set is the catalogue written so far, so the state lives in the sink;
+Files arrive in batches (``maxFilesPerTrigger``); each micro-batch is parsed
+once and appends its playlists, its track entries, the catalogue rows of track
+URIs not seen in earlier batches (first seen in (file, pid, pos) order inside
+the batch) and a row of totals. The "seen" set is the catalogue written so far, so the state lives in the sink;
 every batch writes its own folder (overwrite), so a replayed batch after a
 failure rewrites the same output (idempotent), and the checkpoint records
 progress for exactly-once restarts. ``availableNow`` drains what exists and stops.
@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadence.sources.slices import SLICE, slice_catalog, slice_tracks
+from cadence.sources.slices import SLICE, slice_catalog, slice_playlists, slice_tracks
 
 
 def _batch_paths(spark: SparkSession, root: str) -> list[str]:
@@ -25,24 +25,32 @@ def _batch_paths(spark: SparkSession, root: str) -> list[str]:
     return sorted(str(s.getPath().toString()) for s in stats)
 
 
-def stream_catalog(spark: SparkSession, src: str, out: str, checkpoint: str, files_per_trigger: int = 50,
+def stream_ingest(spark: SparkSession, src: str, out: str, checkpoint: str, files_per_trigger: int = 50,
                    glob_filter: str = "mpd.slice.*.json", recursive: bool = False):
-    """Start the incremental catalogue job; returns the StreamingQuery."""
+    """Start the incremental ingest of playlists, tracks, catalogue and totals; returns the StreamingQuery."""
     stream = (spark.readStream.schema(SLICE).option("multiLine", True)
               .option("maxFilesPerTrigger", files_per_trigger).option("pathGlobFilter", glob_filter)
               .option("recursiveFileLookup", recursive).json(src)
               .withColumn("file", F.col("_metadata.file_path")))
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
-        cat = slice_catalog(batch)
-        prior = [p for p in _batch_paths(spark, f"{out}/catalog") if not p.endswith(f"batch={batch_id}")]
-        if prior:
-            seen = spark.read.parquet(*prior).select("track_uri")
-            cat = cat.join(seen, "track_uri", "left_anti")
-        cat.write.mode("overwrite").parquet(f"{out}/catalog/batch={batch_id}")
-        t = slice_tracks(batch)
-        tot = t.agg(F.countDistinct("pid").alias("playlists"), F.count(F.lit(1)).alias("entries"))
-        tot.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").parquet(f"{out}/totals/batch={batch_id}")
+        batch = batch.persist()
+        try:
+            slice_playlists(batch).write.mode("overwrite").parquet(f"{out}/playlists/batch={batch_id}")
+            t = slice_tracks(batch)
+            t.write.mode("overwrite").parquet(f"{out}/tracks/batch={batch_id}")
+            cat = slice_catalog(batch)
+            prior = [p for p in _batch_paths(spark, f"{out}/catalog") if not p.endswith(f"batch={batch_id}")]
+            if prior:
+                seen = spark.read.parquet(*prior).select("track_uri")
+                cat = cat.join(seen, "track_uri", "left_anti")
+            cat.write.mode("overwrite").parquet(f"{out}/catalog/batch={batch_id}")
+            lists = F.coalesce("playlists", F.array().cast(batch.schema["playlists"].dataType))
+            entries = F.aggregate(lists, F.lit(0), lambda a, p: a + F.greatest(F.size(p["tracks"]), F.lit(0)))
+            batch.agg(F.coalesce(F.sum(F.size(lists)), F.lit(0)).cast("long").alias("playlists"), F.coalesce(F.sum(entries), F.lit(0)).cast("long").alias("entries")) \
+                .withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").parquet(f"{out}/totals/batch={batch_id}")
+        finally:
+            batch.unpersist()
 
     return (stream.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())
@@ -53,6 +61,11 @@ def read_catalog(spark: SparkSession, out: str) -> DataFrame:
     return spark.read.parquet(*paths)
 
 
+def read_appended(spark: SparkSession, out: str, table: str) -> DataFrame:
+    """All batches of ``playlists`` or ``tracks``."""
+    return spark.read.parquet(*_batch_paths(spark, f"{out}/{table}"))
+
+
 def running_totals(spark: SparkSession, out: str) -> DataFrame:
     """(batch_id, playlists, entries, unique_tracks) cumulated over batches."""
     from pyspark.sql import Window

@@ -42,10 +42,7 @@ def test_rules_fire_once_each(spark):
     pls, trs = SL.slice_playlists(s), SL.slice_tracks(s)
     rules = {r["rule"]: r["n"] for r in Q.summary(Q.playlist_rules(pls, trs)).collect()}
     assert rules == {"too_few_followers": 1, "too_few_tracks": 1}
-    ix = trs.withColumn("_i", F.col("pos"))
-    from cadence.operators.ranking import renumber
-    tr = renumber(trs.withColumn("_o", F.col("pos")), "pid", "pos", "_i")
-    assert {r["rule"] for r in Q.track_rules(tr, "_i").collect()} == {"out_of_order"}
+    assert {r["rule"] for r in Q.track_rules(SL.slice_tracks(s, with_index=True), "idx").collect()} == {"out_of_order"}
     assert Q.reconcile(pls, trs).count() == 0
     p_txt, t_txt, i_txt = SL.read_slice_text(spark, d)
     v = Q.key_rules(p_txt, "_json", Q.PLAYLIST_FIELDS, Q.OPTIONAL_PLAYLIST_FIELDS, "").collect()
@@ -63,12 +60,45 @@ def test_stream_equals_batch(spark):
         p = _playlist(k)
         p["tracks"][0] = dict(shared)
         _write(d, f"mpd.slice.{k}-{k}.json", [p])
-    from cadence.streaming.catalog import read_catalog, running_totals, stream_catalog
+    from cadence.streaming.catalog import read_appended, read_catalog, running_totals, stream_ingest
     out = tempfile.mkdtemp(prefix="cadence-test-out-")
-    q = stream_catalog(spark, d, out + "/o", out + "/ck", files_per_trigger=1)
+    q = stream_ingest(spark, d, out + "/o", out + "/ck", files_per_trigger=1)
     q.awaitTermination()
     batch = SL.slice_catalog(SL.read_slices(spark, d))
     got = read_catalog(spark, out + "/o")
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, batch.select(got.columns).collect()))
+    assert read_appended(spark, out + "/o", "playlists").count() == 3 and read_appended(spark, out + "/o", "tracks").count() == 15
     last = running_totals(spark, out + "/o").orderBy(F.col("batch_id").desc()).first()
     assert (last["playlists"], last["entries"], last["unique_tracks"]) == (3, 15, batch.count())
+
+
+def test_exchanged_entries_and_nulls_are_reported(spark):
+    d = tempfile.mkdtemp(prefix="cadence-test-order-")
+    p = _playlist(0)
+    p["tracks"][0], p["tracks"][1] = p["tracks"][1], p["tracks"][0]  # stored with positions 1, 0, 2, ...
+    p["tracks"][3]["track_uri"] = None
+    p["name"] = None
+    _write(d, "mpd.slice.0-9.json", [p])
+    s = SL.read_slices(spark, d)
+    got = sorted((r["rule"], r["pos"]) for r in Q.track_rules(SL.slice_tracks(s, with_index=True), "idx").collect())
+    assert got == [("invalid_track_uri", 3), ("out_of_order", 0), ("out_of_order", 1)]
+    assert [r["rule"] for r in Q.playlist_rules(SL.slice_playlists(s), SL.slice_tracks(s)).collect()] == ["empty_name"]
+
+
+def test_two_data_folders_in_one_session(spark):
+    """Files written for one folder are not read for another, and earlier handles stay good."""
+    import duckdb
+
+    import __spark_entry__ as E
+    qs, ors, kept = E.queries(), E.oracle_sql(), {}
+    for sf in ("sf0.001", "sf0.01", "sf0.001"):
+        con = duckdb.connect()
+        for t in ("lineitem", "orders", "part", "customer", "embeddings"):
+            con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('/root/testdata/{sf}/{t}.parquet')")
+        for n in ("ingest_playlists", "csv_features", "stream_catalog"):
+            df = qs[n](spark, f"/root/testdata/{sf}")
+            want = con.execute(f"SELECT count(*) FROM ({ors[n]})").fetchone()[0]
+            assert df.count() == want
+            for old, rows in kept.get(n, []):
+                assert old.count() == rows
+            kept.setdefault(n, []).append((df, want))

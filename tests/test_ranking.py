@@ -62,3 +62,21 @@ def test_trimmed_stats_approx_close_to_exact(spark):
     ap = {r["variable"]: r for r in trimmed_stats(df, ["a", "b"], approx=True).collect()}
     for v in ("a", "b"):
         assert abs(ex[v]["trimmed_mean"] - ap[v]["trimmed_mean"]) <= 0.01 * max(1.0, abs(ex[v]["trimmed_mean"]))
+
+
+def test_null_keys_are_numbered(spark):
+    corpus = spark.createDataFrame([(1, 0, None), (1, 1, None), (1, 2, "a"), (2, 0, "b"), (2, 1, None)], "pid long, pos long, track_uri string")
+    got = {r["track_uri"]: (r["corpus_idx"], r["corpus_freq"]) for r in vocabulary(corpus).collect()}
+    assert got == {None: (0, 3), "a": (1, 1), "b": (2, 1)}
+    from cadence.operators.sequences import stratified_split
+    g = spark.createDataFrame([(1, None), (2, None), (3, "x"), (4, "x")], "pid long, stratum string")
+    out = stratified_split(g, "stratum").collect()
+    assert sorted(r["pid"] for r in out) == [1, 2, 3, 4] and {r["stratum"] for r in out} == {None, "x"}
+
+
+def test_offsets_use_no_window_over_all_buckets(spark):
+    corpus = spark.createDataFrame([(1, p, f"t{p % 5}") for p in range(40)], "pid long, pos long, track_uri string")
+    v = vocabulary(corpus)
+    plan = v._jdf.queryExecution().toString()
+    assert "_mag" in plan
+    assert [r["corpus_freq"] for r in sorted(v.collect(), key=lambda r: r["corpus_idx"])] == [8] * 5

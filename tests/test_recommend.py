@@ -104,13 +104,12 @@ def test_next_item_lags_exact_with_small_cut(spark):
     rows = _random_seqs(seed=9, groups=40, items=12)
     df = spark.createDataFrame(rows, "pid long, pos long, track_idx int")
     V = 10
-    lt = R.lag_transitions(df, V, 50, 3)
+    lt = R.lag_transitions(df, 3, V)
     seqs = defaultdict(list)
     for pid, pos, it in sorted(rows):
         seqs[pid].append(it if it < V else V + 1)
     cnt = Counter()
     for s in seqs.values():
-        s = s[:51]
         for t in range(len(s)):
             for lag in (1, 2, 3):
                 if t + lag < len(s):
@@ -120,7 +119,7 @@ def test_next_item_lags_exact_with_small_cut(spark):
         tot[(lag, a)] += c
     seeds = df.where(F.col("pos") < 6).withColumn(
         "track_idx", F.when(F.col("track_idx") < V, F.col("track_idx")).otherwise(V + 1))
-    got = R.rec_next_item_lags(seeds, lt, V, k=4, lags=3, cut=1).collect()
+    got = R.rec_next_item_lags(seeds, lt, V, k=4, lags=3, vocab_limit=V, cut=1).collect()
     for pid in range(10):
         ctx = [it if it < V else V + 1 for it in seqs[pid][:6]][-3:][::-1]
         sc = Counter()
@@ -132,3 +131,42 @@ def test_next_item_lags_exact_with_small_cut(spark):
         ranked += [i for i in range(4) if i not in ranked][: 4 - len(ranked)]
         g = [r["item"] for r in sorted((r for r in got if r["pid"] == pid), key=lambda r: r["rank"])]
         assert g == ranked
+
+
+def test_label_recommender_with_a_large_group(spark):
+    """One group holds 30 % of the entries; block sizes change nothing."""
+    pop = spark.createDataFrame([(g, i + 1, f"{g}{i}", 1000 - i) for g in ("rock", "jazz") for i in range(500)],
+                                "genre string, rank long, track_uri string, cnt long")
+    rows = [(0, p, f"rock{p}") for p in range(300)] + [(pid, p, f"jazz{(pid * p) % 40}") for pid in range(1, 71) for p in range(10)]
+    seeds = spark.createDataFrame(rows, "pid long, pos long, track_uri string")
+    inferred = spark.createDataFrame([(pid, "rock" if pid == 0 else "jazz") for pid in range(71)], "pid long, inferred string")
+    got = [sorted((r["pid"], r["rank"], r["item"]) for r in R.rec_by_label(seeds, inferred, pop, k=5, block=b).collect()) for b in (64, 7)]
+    assert got[0] == got[1]
+    assert [x for p, _, x in got[0] if p == 0] == [f"rock{i}" for i in range(300, 305)]
+    for pid in (1, 7, 70):
+        seen = {u for p, _, u in rows if p == pid}
+        assert [x for p, _, x in got[0] if p == pid] == [f"jazz{i}" for i in range(500) if f"jazz{i}" not in seen][:5]
+
+
+def test_transitions_count_whole_sequences(spark):
+    """Positions past 50 count like any other, whatever the lag."""
+    seq = [i % 7 for i in range(130)]
+    df = spark.createDataFrame([(1, p, x) for p, x in enumerate(seq)], "pid long, pos long, track_idx int")
+    for lags in (1, 3):
+        got = {(r["lag"], r["input"], r["target"]): r["n"] for r in R.adjacent_pairs(df, lags).groupBy("lag", "input", "target").agg(F.count("*").alias("n")).collect()}
+        assert got == Counter((k, a, b) for k in range(1, lags + 1) for a, b in zip(seq, seq[k:], strict=False))
+
+
+def test_next_item_without_seen_items_is_complete(spark):
+    seeds = spark.createDataFrame([(1, p, p) for p in range(6)], "pid long, pos long, track_idx int")
+    trans = R.transitions(spark.createDataFrame([(5, 0), (5, 1), (5, 9), (5, 9)], "input int, target int"))
+    for n, want in ((40, [9, 6, 7, 8, 10]), (10, [9, 6, 7, 8])):
+        got = R.rec_next_item(seeds, trans, n, k=5, exclude_seen=True).orderBy("rank").collect()
+        assert [r["item"] for r in got] == want
+    assert [r["item"] for r in R.rec_next_item(seeds, trans, 40, k=5).orderBy("rank").collect()] == [9, 0, 1, 2, 3]
+
+
+def test_empty_request_with_gaps_in_the_catalogue(spark):
+    cat = spark.createDataFrame([(i, f"u{i}", "n", "a") for i in (0, 1, 5, 9)], "corpus_idx long, track_uri string, track_name string, artist_name string")
+    got = R.catalog_search(cat, spark.createDataFrame([("r", " ")], "request_id string, query string"), 3).orderBy("rank").collect()
+    assert [r["corpus_idx"] for r in got] == [0, 1, 5]
