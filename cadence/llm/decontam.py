@@ -12,12 +12,12 @@ of fewer words (but not none) gives one window, the whole item.
 3. Each hit is verified by comparing the words themselves.
 
 The set is broadcast only if the benchmark's text is at most
-``broadcast_bytes`` long; a larger benchmark is joined by shuffles on the same
-keys.  Hits of a document are merged as intervals; nothing else is shuffled.
+``broadcast_bytes`` long; a larger benchmark is joined by sort-merge joins on
+the same keys.  Hits of a document are merged as intervals; nothing else is shuffled.
 
-Edge cases: null and empty texts have no words and no hits; repeated rows of a
-document count once per row; a null doc_id is a document of its own per row; a
-null item_id stands for an item that hits words but is not listed; items with
+Edge cases: null and empty texts have no words and no hits; repeated rows get
+the same result each; a null doc_id is a document like any other; a null
+item_id stands for an item that hits words but is not listed; items with
 equal windows are all listed.
 """
 
@@ -35,6 +35,12 @@ def raw_words(text: Column) -> Column:
     return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(RAW_WORD), F.lit(0))
 
 
+def row_key() -> Column:
+    """A key of a row that every evaluation of the table gives alike: its id and a digest of its text.  Repeated rows
+    share it, and their result."""
+    return F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.md5(F.coalesce("text", F.lit("")).cast("binary")))
+
+
 def lowered(text: Column) -> Column:
     """A-Z lowered, nothing else."""
     return F.translate(text, UPPER, LOWER)
@@ -54,23 +60,30 @@ def hits(docs: DataFrame, benchmark: DataFrame, *, n: int, broadcast_bytes: int)
     """row_key, first and last word and item_id of every occurrence of a window in ``docs`` (row_key, text)."""
     win = windows(benchmark, n=n)
     size = benchmark.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    small = F.broadcast if size <= broadcast_bytes else lambda d: d
-    anchors = small(win.select("anchor", "place", "size").distinct())
+    fits = size <= broadcast_bytes
+    side = F.broadcast if fits else lambda d: d.hint("merge")
+    anchors = side(win.select("anchor", "place", "size").distinct())
     words = docs.select("row_key", raw_words(F.col("text")).alias("w"))
-    at = words.select("row_key", "w", F.posexplode("w").alias("pos", "word")).join(anchors, F.lower("word") == F.col("anchor"))
-    from_ = F.col("pos") - F.col("place")
-    cand = at.filter((from_ >= 0) & (from_ + F.col("size") <= F.size("w"))).select(
-        "row_key", from_.alias("first"), "size", "place", lowered(F.array_join(F.slice("w", F.greatest(from_ + 1, F.lit(1)), F.col("size")), " ")).alias("text"))
-    keyed = cand.withColumn("h", F.xxhash64("text"))
-    known = small(win.select("item_id", "window", F.col("place").alias("wplace"), F.xxhash64("window").alias("wh")))
-    return keyed.join(known, (F.col("h") == F.col("wh")) & (F.col("place") == F.col("wplace")) & (F.col("text") == F.col("window"))).select(
-        "row_key", F.col("first").cast("long"), (F.col("first") + F.col("size")).cast("long").alias("end"), "item_id")
+    # A word with the words around it, which hold every window the word can be in.  Next to a broadcast set, that
+    # context is cut for hits only; before a shuffle, it is cut for every word, and the document stays behind.
+    around = F.slice("w", F.greatest(F.col("pos") - (n - 2), F.lit(1)), 2 * n - 1).alias("around")
+    at = words.select("row_key", "w", F.posexplode("w").alias("pos", "word"))
+    same = F.lower("word") == F.col("anchor")
+    at = at.join(anchors, same).select("row_key", "pos", "place", "size", around) if fits else \
+        at.select("row_key", "pos", "word", around).join(anchors, same)
+    first = F.col("pos") - F.col("place")
+    inside = F.slice("around", F.greatest(first - F.greatest(F.col("pos") - (n - 1), F.lit(0)) + 1, F.lit(1)), F.col("size"))
+    cand = at.select("row_key", first.cast("long").alias("first"), "size", "place", lowered(F.array_join(inside, " ")).alias("text"), F.size(inside).alias("found")) \
+        .filter((F.col("first") >= 0) & (F.col("found") == F.col("size")))
+    known = side(win.select("item_id", "window", F.col("place").alias("wplace"), F.xxhash64("window").alias("wh")))
+    return cand.withColumn("h", F.xxhash64("text")).join(known, (F.col("h") == F.col("wh")) & (F.col("place") == F.col("wplace")) & (F.col("text") == F.col("window"))).select(
+        "row_key", "first", (F.col("first") + F.col("size")).alias("end"), "item_id")
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, *, n: int = 10, broadcast_bytes: int = 32 << 20) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_words, n_hit (words inside a benchmark window), n_items, items_sha256
     (of the sorted, comma-joined ids; of the empty text if none), contaminated, and ``spans`` (first and end word of every merged hit)."""
-    d = docs.select("doc_id", "text").select(F.monotonically_increasing_id().alias("row_key"), "doc_id", "text")
+    d = docs.select(row_key().alias("row_key"), "doc_id", "text")
     found = hits(d.select("row_key", "text"), benchmark, n=n, broadcast_bytes=broadcast_bytes)
     # Merged intervals: a start that lies inside the span so far extends it.
     per_doc = found.groupBy("row_key").agg(
@@ -93,6 +106,6 @@ def contamination(docs: DataFrame, benchmark: DataFrame, *, n: int = 10, broadca
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame, *, n: int = 10, broadcast_bytes: int = 32 << 20) -> DataFrame:
     """The rows of ``docs`` without any hit, all columns kept."""
-    d = docs.withColumn("__row", F.monotonically_increasing_id())
+    d = docs.withColumn("__row", row_key())
     bad = hits(d.select(F.col("__row").alias("row_key"), "text"), benchmark, n=n, broadcast_bytes=broadcast_bytes).select(F.col("row_key").alias("__bad")).distinct()
     return d.join(bad, F.col("__row") == F.col("__bad"), "left_anti").drop("__row")
