@@ -69,7 +69,8 @@ def central_directory(f, size: int) -> dict[str, tuple[int, int, int]]:
     f.seek(tail_at)
     tail = f.read(size - tail_at)
     end = tail.rfind(b"PK\x05\x06")
-    while end >= 0 and end + 22 + struct.unpack_from("<H", tail, end + 20)[0] != len(tail):
+    # The signature may also stand in the archive's comment: the record must end where the file ends.
+    while end >= 0 and (end + 22 > len(tail) or end + 22 + struct.unpack_from("<H", tail, end + 20)[0] != len(tail)):
         end = tail.rfind(b"PK\x05\x06", 0, end)
     if end < 0:
         raise ValueError("no end of central directory: not a ZIP archive, or a cut one")
