@@ -234,7 +234,8 @@ def read_archives(paths: DataFrame, folder: str, *, run_bytes: int = 4 << 20) ->
                     revisit = h["warc-type"] == "revisit"
                     rows.append((number(h["warc-record-id"]), h["warc-target-uri"], h["warc-type"], number(h["warc-refers-to"]) if revisit else None,
                                  h["warc-payload-digest"].removeprefix("sha1:"), int(h["x-payload-length"]), None if revisit else payload))
-                yield pd.DataFrame(rows, columns=["page_id", "url", "record_type", "refers_to", "payload_digest", "payload_bytes", "payload"]).astype({"page_id": "Int64", "refers_to": "Int64"})
+                cols = dict(zip(["page_id", "url", "record_type", "refers_to", "payload_digest", "payload_bytes", "payload"], map(list, zip(*rows, strict=True)), strict=True))
+                yield pd.DataFrame(cols | {c: pd.array(cols[c], "Int64") for c in ("page_id", "refers_to")})  # never by way of floats
 
     runs = paths.select("path").mapInPandas(locate, "path string, start long, lengths array<long>")
     return runs.repartition("path", "start").mapInPandas(
