@@ -4,6 +4,8 @@ edges, min/max) are fitted by one aggregate and applied as literals."""
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -89,27 +91,81 @@ def quantiles(c, probs, approx: bool = False, accuracy: int = 10000):
     return F.percentile(col, F.lit(list(probs)) if isinstance(probs, (list, tuple)) else F.lit(probs))
 
 
+def long_form(df: DataFrame, cols: list[str]) -> DataFrame:
+    """(variable, x): the numeric columns ``cols`` as rows."""
+    return df.selectExpr("stack({}, {}) as (variable, x)".format(
+        len(cols), ", ".join(f"'{c}', CAST(`{c}` AS DOUBLE)" for c in cols)))
+
+
+def exact_quantiles(long: DataFrame, key: str, x: str, probs, bins: int = 256) -> dict[str, list[float]]:
+    """Exact linear-interpolated quantiles of ``x`` per ``key`` (a bounded set of labels), as scalars.
+
+    No task holds a counter per distinct value: a histogram of at most ``bins``
+    ranges per key finds the range that holds a wanted rank, the next pass
+    cuts only that range into ``bins`` ranges, and so on until a range holds
+    a single value. Every pass is a partial aggregate with at most ``bins``
+    rows per key and wanted rank; nulls and NaN are left out."""
+    spark = long.sparkSession
+    d = long.select(F.col(key).cast("string").alias("_k"), F.col(x).cast("double").alias("_x")).where(F.col("_x").isNotNull() & ~F.isnan("_x"))
+    stats = d.groupBy("_k").agg(F.count(F.lit(1)).alias("n"), F.min("_x").alias("lo"), F.max("_x").alias("hi")).collect()
+    n = {r["_k"]: r["n"] for r in stats}
+    ranks = {k: {f(p * (m - 1)) for p in probs for f in (math.floor, math.ceil)} for k, m in n.items()}
+    value, todo = {}, [(r["_k"], r["lo"], r["hi"], 0, ranks[r["_k"]]) for r in stats]
+    while todo:
+        open_ = []
+        for k, lo, hi, base, want in todo:
+            if lo == hi:
+                value |= {(k, r): lo for r in want}
+            else:
+                open_.append((k, lo, hi, base, want))
+        if not open_:
+            break
+        spec = spark.createDataFrame([(i, k, lo, hi) for i, (k, lo, hi, _, _) in enumerate(open_)], "_i int, _sk string, _lo double, _hi double")
+        j = d.join(F.broadcast(spec), F.col("_k").eqNullSafe(F.col("_sk")) & (F.col("_x") >= F.col("_lo")) & (F.col("_x") <= F.col("_hi")))
+        # halves keep the width finite where the ends are far apart
+        b = F.least(F.floor((F.col("_x") / 2 - F.col("_lo") / 2) / (F.col("_hi") / 2 - F.col("_lo") / 2) * bins), F.lit(bins - 1))
+        parts = {}
+        for r in j.groupBy("_i", b.alias("_b")).agg(F.count(F.lit(1)).alias("n"), F.min("_x").alias("lo"), F.max("_x").alias("hi")).collect():
+            parts.setdefault(r["_i"], []).append(r)
+        todo = []
+        for i, (k, _, _, base, want) in enumerate(open_):
+            for r in sorted(parts[i], key=lambda r: r["lo"]):
+                own = {w for w in want if base <= w < base + r["n"]}
+                if own:
+                    todo.append((k, r["lo"], r["hi"], base, own))
+                base += r["n"]
+    out = {}
+    for k, m in n.items():
+        at = [p * (m - 1) for p in probs]
+        out[k] = [value[k, math.floor(a)] if a == math.floor(a) else
+                  (math.ceil(a) - a) * value[k, math.floor(a)] + (a - math.floor(a)) * value[k, math.ceil(a)] for a in at]
+    return out
+
+
+def _attach(df: DataFrame, key: str, scalars: dict[str, list], names: list[str]) -> DataFrame:
+    """Add fitted scalars as columns; one row per key."""
+    rows = [(k, *v) for k, v in scalars.items()]
+    s = df.sparkSession.createDataFrame(rows, f"_k string, {', '.join(f'{c} double' for c in names)}")
+    return df.join(F.broadcast(s), F.col(key).cast("string").eqNullSafe(F.col("_k")), "left").drop("_k")
+
+
 def trimmed_stats(df: DataFrame, cols: list[str], lo: float = 0.1, hi: float = 0.9,
                   digits: int = 2, approx: bool = False) -> DataFrame:
     """(variable, trimmed_median, trimmed_mean, trimmed_std, p_lo, p_hi) with
     the trim lo <= x <= hi on each column's own quantiles."""
-    q = fit_scalars(df, *[quantiles(c, [lo, hi], approx).alias(c) for c in cols])
-    long = df.selectExpr("stack({}, {}) as (variable, x)".format(
-        len(cols), ", ".join(f"'{c}', CAST(`{c}` AS DOUBLE)" for c in cols)))
-    lo_e = F.lit(None).cast("double")
-    hi_e = F.lit(None).cast("double")
-    for c in cols:
-        lo_e = F.when(F.col("variable") == c, F.lit(float(q[c][0]))).otherwise(lo_e)
-        hi_e = F.when(F.col("variable") == c, F.lit(float(q[c][1]))).otherwise(hi_e)
-    t = long.withColumn("_lo", lo_e).withColumn("_hi", hi_e).where(
-        (F.col("x") >= F.col("_lo")) & (F.col("x") <= F.col("_hi")))
-    med = quantiles("x", 0.5, True) if approx else F.median("x")
-    return t.groupBy("variable").agg(
-        F.round(med, digits).alias("trimmed_median"),
-        F.round(F.avg("x"), digits).alias("trimmed_mean"),
-        F.round(F.stddev_samp("x"), digits).alias("trimmed_std"),
-        F.round(F.first("_lo"), digits).alias("p_lo"),
-        F.round(F.first("_hi"), digits).alias("p_hi"))
+    long = long_form(df, cols)
+    if approx:
+        s = fit_scalars(df, *[quantiles(c, [lo, hi], approx).alias(c) for c in cols])
+        q = {c: [float(v) for v in s[c]] for c in cols}
+    else:
+        q = exact_quantiles(long, "variable", "x", [lo, hi])
+    t = _attach(long, "variable", q, ["_lo", "_hi"]).where((F.col("x") >= F.col("_lo")) & (F.col("x") <= F.col("_hi")))
+    aggs = [F.round(F.avg("x"), digits).alias("trimmed_mean"), F.round(F.stddev_samp("x"), digits).alias("trimmed_std"),
+            F.round(F.first("_lo"), digits).alias("p_lo"), F.round(F.first("_hi"), digits).alias("p_hi")]
+    if approx:
+        return t.groupBy("variable").agg(F.round(quantiles("x", 0.5, True), digits).alias("trimmed_median"), *aggs)
+    out = _attach(t.groupBy("variable").agg(*aggs), "variable", exact_quantiles(t, "variable", "x", [0.5]), ["_med"])
+    return out.select("variable", F.round("_med", digits).alias("trimmed_median"), "trimmed_mean", "trimmed_std", "p_lo", "p_hi")
 
 
 def corr_matrix(df: DataFrame, cols: list[str], digits: int = 9) -> DataFrame:
@@ -140,16 +196,25 @@ def histogram(df: DataFrame, col: str, bins: int, lo: float | None = None, hi: f
         "bin_hi", F.lit(lo) + (F.col("bin") + 1) * F.lit(w))
 
 
+def histograms(df: DataFrame, cols: list[str], bins: int) -> DataFrame:
+    """(variable, bin, n, bin_lo, bin_hi): equal-width histograms of several columns between their own ends, in two passes for all."""
+    s = fit_scalars(df, *[f(c).cast("double").alias(f"{n}_{c}") for c in cols for n, f in (("lo", F.min), ("hi", F.max))])
+    ends = {c: [s[f"lo_{c}"], s[f"hi_{c}"]] for c in cols if s[f"lo_{c}"] is not None}
+    wide = {c: [lo, (hi - lo) / bins if hi > lo else 1.0] for c, (lo, hi) in ends.items()}
+    x = _attach(long_form(df, cols).where(F.col("x").isNotNull()), "variable", wide, ["_lo", "_w"])
+    b = F.least(F.floor((F.col("x") - F.col("_lo")) / F.col("_w")), F.lit(bins - 1)).cast("int")
+    h = x.groupBy("variable", b.alias("bin"), "_lo", "_w").agg(F.count(F.lit(1)).cast("long").alias("n"))
+    return h.select("variable", "bin", "n", (F.col("_lo") + F.col("bin") * F.col("_w")).alias("bin_lo"), (F.col("_lo") + (F.col("bin") + 1) * F.col("_w")).alias("bin_hi"))
+
+
 def describe_exact(df: DataFrame, cols: list[str], digits: int = 9) -> DataFrame:
     """(variable, count, mean, std, min, p25, p50, p75, max) per column."""
-    long = df.selectExpr("stack({}, {}) as (variable, x)".format(
-        len(cols), ", ".join(f"'{c}', CAST(`{c}` AS DOUBLE)" for c in cols))).where(F.col("x").isNotNull())
-    return long.groupBy("variable").agg(
+    long = long_form(df, cols).where(F.col("x").isNotNull())
+    s = long.groupBy("variable").agg(
         F.count("x").cast("long").alias("count"), F.round(F.avg("x"), digits).alias("mean"),
-        F.round(F.stddev_samp("x"), digits).alias("std"), F.min("x").alias("min"),
-        F.round(F.percentile("x", 0.25), digits).alias("p25"),
-        F.round(F.percentile("x", 0.5), digits).alias("p50"),
-        F.round(F.percentile("x", 0.75), digits).alias("p75"), F.max("x").alias("max"))
+        F.round(F.stddev_samp("x"), digits).alias("std"), F.min("x").alias("min"), F.max("x").alias("max"))
+    s = _attach(s, "variable", exact_quantiles(long, "variable", "x", [0.25, 0.5, 0.75]), ["p25", "p50", "p75"])
+    return s.select("variable", "count", "mean", "std", "min", *[F.round(c, digits).alias(c) for c in ("p25", "p50", "p75")], "max")
 
 
 def coverage_top_pct(vocab: DataFrame, pcts=(0.1, 1, 5, 10, 25, 50), freq: str = "corpus_freq",
@@ -206,14 +271,14 @@ def artist_diversity(playlists: DataFrame, tracks: DataFrame, digits: int = 9) -
     """One row: distinct artists per group (median, mean, p10, p90, max) and
     their ratio to the group's entries (median, mean)."""
     j = artists_per_group(playlists, tracks)
+    q = exact_quantiles(long_form(j, ["n_art", "ratio"]), "variable", "x", [0.1, 0.5, 0.9])
+    none = [None] * 3
+    a, r = q.get("n_art", none), q.get("ratio", none)
+    fixed = lambda v: F.round(F.lit(v).cast("double"), digits)
     return j.agg(
-        F.round(F.median("n_art"), digits).alias("artists_median"),
-        F.round(F.avg("n_art"), digits).alias("artists_mean"),
-        F.round(F.percentile("n_art", 0.1), digits).alias("artists_p10"),
-        F.round(F.percentile("n_art", 0.9), digits).alias("artists_p90"),
-        F.max("n_art").cast("long").alias("artists_max"),
-        F.round(F.median("ratio"), digits).alias("ratio_median"),
-        F.round(F.avg("ratio"), digits).alias("ratio_mean"))
+        fixed(a[1]).alias("artists_median"), F.round(F.avg("n_art"), digits).alias("artists_mean"),
+        fixed(a[0]).alias("artists_p10"), fixed(a[2]).alias("artists_p90"), F.max("n_art").cast("long").alias("artists_max"),
+        fixed(r[1]).alias("ratio_median"), F.round(F.avg("ratio"), digits).alias("ratio_mean"))
 
 
 def split_profile(groups: DataFrame, by: str = "split", col: str = "seq_len", digits: int = 9) -> DataFrame:
@@ -222,9 +287,9 @@ def split_profile(groups: DataFrame, by: str = "split", col: str = "seq_len", di
     x = F.col(col).cast("double")
     s = groups.groupBy(by).agg(
         F.count(F.lit(1)).cast("long").alias("n"), F.min(x).alias("min"),
-        F.percentile(x, 0.1).alias("p10"), F.median(x).alias("median"),
-        F.round(F.avg(x), digits).alias("mean"), F.percentile(x, 0.9).alias("p90"),
-        F.max(x).alias("max"), F.percentile(x, 0.25).alias("q1"), F.percentile(x, 0.75).alias("q3"))
+        F.round(F.avg(x), digits).alias("mean"), F.max(x).alias("max"))
+    s = _attach(s, by, exact_quantiles(groups, by, col, [0.1, 0.25, 0.5, 0.75, 0.9]), ["p10", "q1", "median", "q3", "p90"])
+    s = s.select(by, "n", "min", "p10", "median", "mean", "p90", "max", "q1", "q3")
     # one row per split: a bounded side, broadcast for the fence pass
     fences = s.select(by, (F.col("q1") - 1.5 * (F.col("q3") - F.col("q1"))).alias("_flo"),
                       (F.col("q3") + 1.5 * (F.col("q3") - F.col("q1"))).alias("_fhi"))

@@ -62,9 +62,10 @@ def encode(corpus: DataFrame, vocab: DataFrame, item: str = "track_uri",
 def length_bin_edges(groups: DataFrame, col: str = "seq_len", q: int = 10) -> list[float]:
     """Distinct quantile edges (linear interpolation) -- q+1 numbers, fitted once."""
     probs = [i / q for i in range(q + 1)]
-    row = groups.agg(F.percentile(F.col(col).cast("double"), F.lit(probs)).alias("e")).first()
+    from cadence.operators.profile import exact_quantiles
+    fitted = exact_quantiles(groups.select(F.lit("").alias("_one"), col), "_one", col, probs)
     edges = []
-    for e in row["e"]:
+    for e in fitted.get("", []):
         if not edges or e != edges[-1]:
             edges.append(float(e))
     return edges

@@ -164,7 +164,7 @@ SELECT bin, n, bin_lo, bin_hi,
 FROM (""" + _hist_sql("_t", "s", 60, "(SELECT lo FROM _m)", "(SELECT hi FROM _m)") + ")"))
 def q_duration_hist(spark, sf_dir):
     d = tables(spark, sf_dir).tracks().select((F.col("track_dur_ms") / 1000.0).alias("s"))
-    q = P.fit_scalars(d, F.percentile("s", F.lit([0.01, 0.99])).alias("q"))["q"]
+    q = P.exact_quantiles(d.select(F.lit("s").alias("k"), "s"), "k", "s", [0.01, 0.99])["s"]
     t = d.where((F.col("s") >= q[0]) & (F.col("s") <= q[1]))
     h = P.histogram(t, "s", 60)
     label = F.concat(F.floor(F.col("bin_lo") / 60).cast("long").cast("string"), F.lit(":"),
@@ -176,12 +176,7 @@ def q_duration_hist(spark, sf_dir):
     f"SELECT '{c}' AS feature, * FROM (" + _hist_sql(
         "features", c, 50, f"(SELECT min({c}) FROM features)", f"(SELECT max({c}) FROM features)") + ")" for c in FEATS)))
 def q_feature_hist(spark, sf_dir):
-    f = tables(spark, sf_dir).features()
-    out = None
-    for c in FEATS:
-        h = P.histogram(f, c, 50).select(F.lit(c).alias("feature"), "bin", "n", "bin_lo", "bin_hi")
-        out = h if out is None else out.unionByName(h)
-    return out
+    return P.histograms(tables(spark, sf_dir).features(), FEATS, 50).withColumnRenamed("variable", "feature")
 
 
 @register("feature_describe", sql(f"""
