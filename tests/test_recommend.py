@@ -170,3 +170,14 @@ def test_empty_request_with_gaps_in_the_catalogue(spark):
     cat = spark.createDataFrame([(i, f"u{i}", "n", "a") for i in (0, 1, 5, 9)], "corpus_idx long, track_uri string, track_name string, artist_name string")
     got = R.catalog_search(cat, spark.createDataFrame([("r", " ")], "request_id string, query string"), 3).orderBy("rank").collect()
     assert [r["corpus_idx"] for r in got] == [0, 1, 5]
+
+
+def test_rec_content_is_the_same_for_any_blocks(spark):
+    rnd = np.random.default_rng(6)
+    X = rnd.normal(size=(120, 3))
+    X[40:80] = X[:40]  # equal vectors in different blocks
+    scaled = spark.createDataFrame([(f"i{j:03d}", *map(float, X[j])) for j in range(120)], "track_uri string, a double, b double, c double")
+    seeds = spark.createDataFrame([(pid, p, f"i{(pid * 11 + p * 5) % 120:03d}") for pid in range(25) for p in range(4)], "pid long, pos long, track_uri string")
+    got = [sorted(map(tuple, FT.rec_content(seeds, scaled, ["a", "b", "c"], k=6, profile_block=p, item_block=i).collect()))
+           for p, i in ((2048, 8192), (4, 16), (7, 50))]
+    assert got[0] == got[1] == got[2] and len(got[0]) == 25 * 6
