@@ -94,15 +94,16 @@ def counterfactuals(text: str, swaps: int) -> list[tuple[set[str], set[str]]]:
     return out
 
 
-def solve(x: np.ndarray, y: np.ndarray, delta: np.ndarray, *, l2: float, cf: float, steps: int = 25) -> np.ndarray:
-    """Weights (the last one is the bias) by Newton steps; ``delta``: rows of feature changes under swaps."""
+def solve(x: np.ndarray, y: np.ndarray, delta: np.ndarray, times: np.ndarray | None = None, *, l2: float, cf: float, steps: int = 25) -> np.ndarray:
+    """Weights (the last one is the bias) by Newton steps; ``delta``: rows of feature changes under swaps, ``times``: how often each occurs."""
     n, k = x.shape
     share = y.mean()
     weight = np.where(y == 1, 0.5 / share, 0.5 / (1 - share)) / n
     xb = np.hstack([x, np.ones((n, 1))])
     ridge = np.diag(np.r_[np.full(k, 2 * l2), 1e-9])
     if len(delta):
-        ridge[:k, :k] += 2 * cf * delta.T @ delta / len(delta)
+        times = np.ones(len(delta)) if times is None else times
+        ridge[:k, :k] += 2 * cf * (delta * times[:, None]).T @ delta / times.sum()
     w = np.zeros(k + 1)
     for _ in range(steps):
         p = 1 / (1 + np.exp(-np.clip(xb @ w, -30, 30)))
@@ -164,16 +165,18 @@ def fit(docs: DataFrame, labels: DataFrame, *, fit_rows: int = 4_000, features:
                 rows += [(i, 1, 0, sorted(index[f] for f in a if f in index), sorted(index[f] for f in b if f in index)) for a, b in counterfactuals(t, swaps)]
             yield pd.DataFrame(rows, columns=["id", "kind", "y", "on", "off"])
 
-    got = sample.mapInPandas(vectors, "id long, kind int, y int, on array<int>, off array<int>").toPandas().sort_values(["id", "kind", "y"], kind="stable")
-    own, swap = got[got.kind == 0], got[got.kind == 1]
+    # One row a sampled text, and one a distinct change of features: their number is bounded by the sample and by IDENTITY.
+    rows = sample.mapInPandas(vectors, "id long, kind int, y int, on array<int>, off array<int>")
+    own = rows.filter("kind = 0").select("id", "y", "on").toPandas().sort_values(["id", "y"], kind="stable")
+    swap = rows.filter("kind = 1 and on <> off").groupBy("on", "off").agg(F.count("*").alias("n")).orderBy("on", "off").toPandas()
     x = np.zeros((len(own), len(vocab)))
     for r, on in enumerate(own["on"]):
         x[r, list(on)] = 1
     delta = np.zeros((len(swap), len(vocab)))
     for r, (a, b) in enumerate(zip(swap["on"], swap["off"], strict=True)):
-        np.add.at(delta[r], list(a), 1)
-        np.add.at(delta[r], list(b), -1)
-    w = solve(x, own["y"].to_numpy(float), delta[np.abs(delta).any(axis=1)], l2=l2, cf=cf)
+        delta[r, list(a)] += 1
+        delta[r, list(b)] -= 1
+    w = solve(x, own["y"].to_numpy(float), delta, swap["n"].to_numpy(float), l2=l2, cf=cf)
     return Model({f: float(w[i]) for f, i in index.items()}, float(w[-1]))
 
 
