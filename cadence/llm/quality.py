@@ -112,22 +112,26 @@ def quality(docs: DataFrame, *, common: int = 24, common_chars: int = 5, min_cha
         ref = F.broadcast(ref)  # one row of a few dozen words a language
     text, words = F.col("__t"), F.col("__w")
     d = docs.withColumn("__t", F.coalesce("text", F.lit(""))).withColumn("__lang", F.coalesce(F.col("lang").cast("string"), F.lit("")))
-    d = d.withColumn("__w", word_list(text))
     lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
-    d = d.withColumns({"__n_words": F.size(words).cast("long"), "__c": class_counts(text), "__n_repeat_words": repeat_words(words),
-                       "__n_dup_lines": let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long")})
+    measures = let(word_list(text), lambda w: F.struct(
+        w.alias("w"), F.size(w).cast("long").alias("n_words"), class_counts(text).alias("c"), repeat_words(w).alias("n_repeat_words"),
+        let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"), F.length(text).cast("long").alias("n_chars")))
+    # One row out for each row in: a generator's result is computed once, and a filter on the verdict is not pushed
+    # below it, where every use of a measure would compute it anew (within lambdas, for each word).
+    d = d.withColumn("__m", F.explode(F.array(measures)))
+    d = d.withColumns({f"__{c}": F.col(f"__m.{c}") for c in ("w", "c", "n_words", "n_repeat_words", "n_dup_lines", "n_chars")})
     d = d.join(ref, "__lang", "left")
-    known = F.filter(F.transform(words, lambda x: F.array_position("ref_words", F.lower(x))), lambda x: x > 0)
+    known = F.filter(F.transform(words, lambda x: F.when(F.length(x) <= common_chars, F.array_position("ref_words", F.lower(x)))), lambda x: x > 0)
     per_word = let(known, lambda at: F.transform(F.sequence(F.lit(1), F.size("ref_words")), lambda k: F.size(F.filter(at, lambda x: x == k)).cast("long")))
     word_hist = let(per_word, lambda c: F.concat(c, F.array(F.col("__n_words") - F.aggregate(c, F.lit(0).cast("long"), lambda a, b: a + b))))
-    chars = F.length("__t")
+    chars = F.col("__n_chars")
     d = d.withColumns({
         "__class_distance": F.when(F.col("ref_words").isNotNull() & (chars >= min_chars), js_distance(shares(F.col("__c"), chars), F.col("ref_class_shares"))),
         "__word_distance": F.when(F.col("ref_words").isNotNull() & (F.col("__n_words") >= min_words), js_distance(shares(word_hist, F.col("__n_words")), F.col("ref_word_shares"))),
-        "__word_chars": chars.cast("long") - F.col("__c")[3], "__n_symbols": F.col("__c")[4],
+        "__word_chars": chars - F.col("__c")[3], "__n_symbols": F.col("__c")[4],
         "__base_failed": (F.col("__n_words") < 10) | (100 * F.col("__n_repeat_words") > 20 * F.col("__n_words"))})
     far = F.coalesce(F.col("__class_distance") > max_class_distance, F.lit(False)) | F.coalesce(F.col("__word_distance") > max_word_distance, F.lit(False))
-    return d.withColumn("__kept", ~F.col("__base_failed") & ~far).drop("__t", "__w", "__c", "__lang", "ref_words", "ref_word_shares", "ref_class_shares")
+    return d.withColumn("__kept", ~F.col("__base_failed") & ~far).drop("__t", "__m", "__w", "__c", "__n_chars", "__lang", "ref_words", "ref_word_shares", "ref_class_shares")
 
 
 def quality_report(docs: DataFrame, **limits) -> DataFrame:
