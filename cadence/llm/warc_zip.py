@@ -1,8 +1,8 @@
 """WARC records in ZIP archives: writer and range reader.
 
-An archive is a ZIP file of stored (uncompressed) members: ``archive/data.warc``
-holds the records, ``indexes/index.cdxj`` one line a record (page, offset and
-length inside the member).  The writer always adds ZIP64 records, so archives
+An archive is a ZIP file of stored members: ``archive/data.warc.gz`` holds the
+records, each a gzip member of its own as usual for WARC, ``indexes/index.cdxj``
+one line a record (page, offset and length inside the member).  The writer always adds ZIP64 records, so archives
 and members may pass 4 GB.
 
 The reader never extracts: it reads the file's tail for the end-of-directory
@@ -24,6 +24,7 @@ its payload have none; an empty table writes no archive.
 
 from __future__ import annotations
 
+import gzip
 import json
 import struct
 import zlib
@@ -35,7 +36,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DATA, INDEX = "archive/data.warc", "indexes/index.cdxj"
+DATA, INDEX = "archive/data.warc.gz", "indexes/index.cdxj"
 
 
 def opened(uri: str) -> tuple[pafs.FileSystem, str]:
@@ -185,6 +186,7 @@ def write_archives(pages: DataFrame, folder: str, *, min_revisit: int = 1000, ar
             for page, url, payload, length, digest, refers in pdf.itertuples(index=False, name=None):
                 page, refers = (None if x is None else int(x) for x in (page, refers))
                 raw = record("response" if refers is None else "revisit", page, url, digest, bytes(payload), length, refers)
+                raw = gzip.compress(raw, compresslevel=6, mtime=0)
                 lines.append(json.dumps({"page": page, "offset": size, "length": len(raw)}) + "\n")
                 data.append(raw)
                 crc, size = zlib.crc32(raw, crc), size + len(raw)
@@ -229,7 +231,7 @@ def read_archives(paths: DataFrame, folder: str, *, run_bytes: int = 4 << 20) ->
                     f.seek(start)
                     raw, at, rows = f.read(int(sum(lengths))), 0, []
                 for n in lengths:
-                    h, payload = parsed(raw[at: at + n])
+                    h, payload = parsed(gzip.decompress(raw[at: at + n]))
                     at += n
                     revisit = h["warc-type"] == "revisit"
                     rows.append((number(h["warc-record-id"]), h["warc-target-uri"], h["warc-type"], number(h["warc-refers-to"]) if revisit else None,

@@ -117,7 +117,7 @@ def read_back(spark, df, tmp_path, **kw):
 def test_archives_round_trip_with_revisits(spark, tmp_path):
     big, other = "<p>é</p>" * 200, "y" * 1000
     rows = [(1, big), (5, big), (9, big), (2, other), (3, "y" * 999), (4, "y" * 999), (6, None), (7, ""), (8, "a\r\n\r\nb"), (9, big), (None, big), (2**60 + 1, "z" * 2000), (2**60, "z" * 2000)]
-    arch, got = read_back(spark, pages(spark, rows), tmp_path, archive_bytes=1500)
+    arch, got = read_back(spark, pages(spark, rows), tmp_path, archive_bytes=400)
     assert len(arch) > 3 and sum(a.records for a in arch) == len(rows)
     want = []
     for i, h in rows:
