@@ -99,16 +99,19 @@ def solve(x: np.ndarray, y: np.ndarray, delta: np.ndarray, times: np.ndarray | N
     n, k = x.shape
     share = y.mean()
     weight = np.where(y == 1, 0.5 / share, 0.5 / (1 - share)) / n
-    xb = np.hstack([x, np.ones((n, 1))])
     ridge = np.diag(np.r_[np.full(k, 2 * l2), 1e-9])
     if len(delta):
         times = np.ones(len(delta)) if times is None else times
         ridge[:k, :k] += 2 * cf * (delta * times[:, None]).T @ delta / times.sum()
     w = np.zeros(k + 1)
     for _ in range(steps):
-        p = 1 / (1 + np.exp(-np.clip(xb @ w, -30, 30)))
-        grad = xb.T @ (weight * (p - y)) + ridge @ w
-        hess = (xb * (weight * p * (1 - p))[:, None]).T @ xb + ridge + 1e-10 * np.eye(k + 1)
+        grad, hess = ridge @ w, ridge + 1e-10 * np.eye(k + 1)
+        for i in range(0, n, 1024):  # texts by blocks, so only a block is held as floating-point numbers
+            b = np.hstack([x[i: i + 1024], np.ones((len(x[i: i + 1024]), 1))]).astype(float)
+            p = 1 / (1 + np.exp(-np.clip(b @ w, -30, 30)))
+            own = weight[i: i + 1024]
+            grad += b.T @ (own * (p - y[i: i + 1024]))
+            hess += (b * (own * p * (1 - p))[:, None]).T @ b
         step = np.linalg.solve(hess, grad)
         w -= step
         if np.abs(step).max() < 1e-8:
@@ -169,7 +172,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, fit_rows: int = 4_000, features:
     rows = sample.mapInPandas(vectors, "id long, kind int, y int, on array<int>, off array<int>")
     own = rows.filter("kind = 0").select("id", "y", "on").toPandas().sort_values(["id", "y"], kind="stable")
     swap = rows.filter("kind = 1 and on <> off").groupBy("on", "off").agg(F.count("*").alias("n")).orderBy("on", "off").toPandas()
-    x = np.zeros((len(own), len(vocab)))
+    x = np.zeros((len(own), len(vocab)), bool)
     for r, on in enumerate(own["on"]):
         x[r, list(on)] = 1
     delta = np.zeros((len(swap), len(vocab)))
