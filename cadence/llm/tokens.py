@@ -20,6 +20,7 @@ from __future__ import annotations
 import json
 import os
 import re
+from array import array
 
 LATIN = "a-zA-ZÀ-ÖØ-öø-ÿ"
 #: Units made of these characters only are cut by the patterns below; the character classes of
@@ -56,10 +57,33 @@ def family(spec: dict) -> str:
     return "other"
 
 
+class _Whole(Exception):
+    """A unit shows that its text has to go through the library as a whole."""
+
+
+class Memo(dict):
+    """Values made when first asked for, in two generations: when the younger one is full it becomes the older one,
+    whose entries come back when they are asked for again, so frequent keys stay and memory is bounded."""
+
+    def __init__(self, make, size: int):
+        super().__init__()
+        self.make, self.size, self.old = make, size, {}
+
+    def __missing__(self, key):
+        got = self.old.get(key)
+        if got is None:
+            got = self.make(key)
+        if len(self) >= self.size:
+            self.old = dict(self)
+            self.clear()
+        self[key] = got
+        return got
+
+
 class IdEncoder:
     """``encode(text)`` -> the ids as little-endian unsigned 32-bit integers, in bytes."""
 
-    def __init__(self, path: str, max_memo: int = 600_000):
+    def __init__(self, path: str, max_memo: int = 350_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
@@ -68,51 +92,32 @@ class IdEncoder:
             spec = json.load(f)
         self.kind = family(spec)
         self.special = [t["content"] for t in spec.get("added_tokens", [])]
-        self.max_memo = max_memo
-        self.units: dict = {}
-        self.words: dict[str, bytes] = {}
-        self.model, self.to_alphabet = self.tok.model, str.maketrans({b: c for b, c in byte_alphabet().items()})
+        self.units = Memo(self._word_unit if self.kind == "word" else self._byte_unit, max_memo)
+        self.words = Memo(self._word, max_memo)
+        self.model, self.to_alphabet = self.tok.model, str.maketrans(byte_alphabet())
 
     def library(self, text: str) -> bytes:
-        return b"".join(i.to_bytes(4, "little") for i in self.tok.encode(text, add_special_tokens=False).ids)
+        return array("I", self.tok.encode(text, add_special_tokens=False).ids).tobytes()
 
     def _word(self, word: str) -> bytes:
         """Ids of one pre-token."""
-        got = self.words.get(word)
-        if got is None:
-            if len(self.words) >= self.max_memo:
-                self.words.clear()
-            parts = self.model.tokenize(word.encode().decode("latin-1").translate(self.to_alphabet))
-            got = self.words[word] = b"".join(t.id.to_bytes(4, "little") for t in parts)
-        return got
+        if not (word.isascii() and word.isalnum()):
+            word = word.encode().decode("latin-1").translate(self.to_alphabet)
+        return array("I", [t.id for t in self.model.tokenize(word)]).tobytes()
 
-    def _unit(self, unit, lead: str = ""):
-        """Ids of a unit; None when the text has to go through the library."""
-        text = unit.decode() if self.kind == "word" else lead + unit
+    def _word_unit(self, unit: bytes) -> bytes:
+        text = unit.decode()
         if not _PLAIN(text):
-            if self.kind == "byte" and any(c.isspace() and c not in " \t\n\r" for c in text):
-                return None
             return self.library(text)
-        if self.kind == "word":
-            return b"".join(map(self._word, _WORD_UNITS(text.lower())))
-        return b"".join(map(self._word, _BYTE_UNITS(text)))
+        return b"".join(map(self.words.__getitem__, _WORD_UNITS(text.lower())))
 
-    def _known(self, units: list, lead: str = ""):
-        memo = self.units
-        try:
-            return b"".join(map(memo.__getitem__, units))
-        except (KeyError, TypeError):
-            pass
-        if len(memo) + len(units) > self.max_memo:
-            memo.clear()
-        out = []
-        for u in units:
-            if u not in memo:
-                memo[u] = self._unit(u, lead)
-            if memo[u] is None:
-                return None
-            out.append(memo[u])
-        return b"".join(out)
+    def _byte_unit(self, unit: str, lead: str = " ") -> bytes:
+        text = lead + unit
+        if not _PLAIN(text):
+            if any(c.isspace() and c not in " \t\n\r" for c in text):
+                raise _Whole
+            return self.library(text)
+        return b"".join(map(self.words.__getitem__, _BYTE_UNITS(text)))
 
     def encode(self, text: str) -> bytes:
         if not text:
@@ -120,13 +125,14 @@ class IdEncoder:
         if self.kind == "other" or any(s in text for s in self.special):
             return self.library(text)
         if self.kind == "word":
-            return self._known(text.encode().split())
+            return b"".join(map(self.units.__getitem__, text.encode().split()))
         if text[0] in " \t\n\r" or text[-1] in " \t\n\r" or any(r in text for r in _RUNS):
-            return self.library(text) if not _PLAIN(text) else b"".join(map(self._word, _BYTE_UNITS(text)))
+            return self.library(text) if not _PLAIN(text) else b"".join(map(self.words.__getitem__, _BYTE_UNITS(text)))
         first, *rest = text.split(" ")
-        head = self._unit(first)
-        tail = None if head is None else self._known(rest, " ")
-        return self.library(text) if tail is None else head + tail
+        try:
+            return self._byte_unit(first, "") + b"".join(map(self.units.__getitem__, rest))
+        except _Whole:
+            return self.library(text)
 
 
 _ENCODERS: dict[str, IdEncoder] = {}
