@@ -42,11 +42,12 @@ def split_round(docs: DataFrame, limit: int, done: int, depth: int) -> DataFrame
     ancestor = cells.select("cell", "b", "n", F.explode(F.sequence(F.lit(done), F.lit(depth))).alias("d")).withColumn("prefix", F.substring(F.col("cell"), F.lit(1), F.col("d")))
     buckets = ancestor.groupBy("d", "prefix").agg(F.sum("b").alias("shard_bytes"), F.sum("n").alias("shard_docs")).filter(
         (F.col("shard_bytes") <= limit) | (F.col("shard_docs") == 1))
-    leaf = ancestor.select("cell", "d", "prefix").join(buckets, ["d", "prefix"]).groupBy("cell").agg(
+    leaf = ancestor.select("cell", "d", "prefix").join(buckets.hint("merge"), ["d", "prefix"]).groupBy("cell").agg(
         F.min(F.struct("d", "prefix", "shard_bytes", "shard_docs")).alias("l"))
-    directory = cells.select("cell").join(leaf, "cell", "left").select(
+    # Merge joins: the exploded prefixes and the directory are larger than the small files they are planned from.
+    directory = cells.select("cell").join(leaf.hint("merge"), "cell", "left").select(
         "cell", F.col("l.prefix").alias("shard"), F.col("l.shard_bytes").alias("shard_bytes"), F.col("l.shard_docs").alias("shard_docs"))
-    return docs.join(directory.withColumnRenamed("cell", "__cell"), F.substring(F.col("bits"), 1, depth) == F.col("__cell")).drop("__cell")
+    return docs.join(directory.withColumnRenamed("cell", "__cell").hint("merge"), F.substring(F.col("bits"), 1, depth) == F.col("__cell")).drop("__cell")
 
 
 def shard(docs: DataFrame, *, limit_bytes: int, extra_bits: int = 4, key: str = "doc_id", text_col: str = "text") -> DataFrame:
