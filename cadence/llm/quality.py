@@ -2,13 +2,19 @@
 
 Base rules: too few words, or too many words inside 5-word windows that repeat.
 
-The method compares two histograms of a document with its language's reference
-(the histograms of all documents of that ``lang`` pooled):
+The method compares two histograms of a document with its language's reference,
+made from all documents of that ``lang`` by medians, so that junk in the
+minority does not move it:
 
 * character classes: ASCII lower case, upper case, digits, white space, symbols
   ``#*$%&|<>``, other ASCII, and characters outside ASCII;
+  The reference share of a class is its median over the documents of
+  ``min_chars`` characters or more, each document counting once.
 * common words: the language's ``common`` most frequent words of at most
-  ``common_chars`` characters (lower case), and all others as one class.
+  ``common_chars`` characters (lower case), and all others as one class.  The
+  reference share of a word is its median over up to ``GROUPS`` groups of
+  sources (by hash of ``source``, if there is such a column), each group
+  counting once, so that one source moves one group however many rows it has.
 
 Distance: Jensen-Shannon, square root of the divergence to base 2, from 0 to 1.
 A document is rejected if a distance exceeds its limit.  Minimum-length guards:
@@ -27,9 +33,13 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cadence.llm.store import written
+
 WORD = r"[^\x20\x09-\x0D]+"
 SYMBOLS = "#*$%&|<>"
 CLASSES = ("lower", "upper", "digit", "space", "symbol", "ascii", "other")
+#: Grid of the medians over documents; groups of sources; a word is rare under 1 / RARE of its group's words.
+GRID, GROUPS, RARE = 1_000, 64, 5_000
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -87,27 +97,56 @@ def shares(counts: Column, total: Column) -> Column:
     return F.transform(counts, lambda c: c.cast("double") / total)
 
 
-def references(docs: DataFrame, *, common: int, common_chars: int, min_reference: int) -> DataFrame:
+def medians(shares_of: DataFrame) -> DataFrame:
+    """Per ``__lang``: the median of each place of the arrays ``s`` over all rows, on a grid of 1 / GRID, as array ``m``.
+
+    The rows are counted per place and grid value, so what is shuffled is bounded by the languages."""
+    bins = shares_of.select("__lang", F.posexplode(F.transform("s", lambda x: F.round(x * GRID).cast("int"))).alias("k", "bin")).groupBy("__lang", "k", "bin").agg(F.count("*").alias("n"))
+    place = Window.partitionBy("__lang", "k")
+    half = bins.withColumn("upto", F.sum("n").over(place.orderBy("bin"))).withColumn("all", F.sum("n").over(place)).filter(2 * F.col("upto") >= F.col("all"))
+    at = half.groupBy("__lang", "k").agg(F.min("bin").alias("bin")).groupBy("__lang").agg(F.sort_array(F.collect_list(F.struct("k", "bin"))).alias("m"))
+    return at.select("__lang", F.transform("m", lambda x: x["bin"] / GRID).alias("m"))
+
+
+def word_shares(d: DataFrame, *, min_reference: int) -> DataFrame:
+    """__lang, word, share: the median over the language's groups of sources (``g``) of the share of each word of ``w``; nulls are words without a name.
+
+    Groups under ``min_reference`` words are taken as one; languages under it are left out.  A share under 1 / RARE of its group counts as 0."""
+    counts = d.select("__lang", "g", F.explode("w").alias("word")).groupBy("__lang", "g", "word").agg(F.count("*").alias("k"))
+    totals = counts.groupBy("__lang", "g").agg(F.sum("k").alias("n"))
+    lang = Window.partitionBy("__lang")
+    totals = totals.withColumn("all", F.sum("n").over(lang)).filter(F.col("all") >= min_reference).withColumn("vote", F.when(F.col("n") >= min_reference, F.col("g")).otherwise(F.lit(-1)))
+    totals = totals.withColumn("n", F.sum("n").over(Window.partitionBy("__lang", "vote"))).withColumn("votes", F.size(F.collect_set("vote").over(lang)))
+    share = F.sum("k") / F.first("n")
+    voted = counts.filter(F.col("word").isNotNull()).join(F.broadcast(totals.select("__lang", "g", "vote", "n", "votes")), ["__lang", "g"])  # GROUPS rows a language at most
+    voted = voted.filter(F.col("k") * RARE * GROUPS >= F.col("n")).groupBy("__lang", "vote", "word").agg(share.alias("share"), F.first("votes").alias("votes")).filter(F.col("share") * RARE >= 1)
+    each = voted.groupBy("__lang", "word").agg(F.sort_array(F.collect_list("share")).alias("s"), F.first("votes").alias("votes"))
+
+    def nth(i: Column) -> Column:  # of all votes, those without the word first
+        return F.when(i >= F.col("votes") - F.size("s"), F.get("s", i - F.col("votes") + F.size("s"))).otherwise(F.lit(0.0))
+
+    return each.select("__lang", "word", ((nth(F.floor((F.col("votes") - 1) / 2).cast("int")) + nth(F.floor(F.col("votes") / 2).cast("int"))) / 2).alias("share")).filter(F.col("share") > 0)
+
+
+def references(docs: DataFrame, *, common: int, common_chars: int, min_chars: int, min_reference: int) -> DataFrame:
     """Per language ``__lang``: ref_words, ref_word_shares (the last one: all other words) and ref_class_shares."""
-    d = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("__lang"), F.coalesce("text", F.lit("")).alias("t"))
-    d = d.select("__lang", word_list(F.col("t")).alias("w"), class_counts(F.col("t")).alias("c"))
-    totals = d.groupBy("__lang").agg(F.sum(F.size("w")).alias("n"), *[F.sum(F.col("c")[k]).alias(f"c{k}") for k in range(len(CLASSES))]).filter(F.col("n") >= min_reference)
-    short = F.filter("w", lambda x: F.length(x) <= common_chars)
-    counts = d.select("__lang", F.explode(short).alias("word")).groupBy("__lang", F.lower("word").alias("word")).agg(F.count("*").alias("k"))
-    rank = Window.partitionBy("__lang").orderBy(F.desc("k"), "word")
-    top = counts.withColumn("r", F.row_number().over(rank)).filter(F.col("r") <= common).groupBy("__lang").agg(F.sort_array(F.collect_list(F.struct("r", "word", "k"))).alias("top"))
-    both = totals.join(top, "__lang")
-    total = sum((F.col(f"c{k}") for k in range(1, len(CLASSES))), F.col("c0"))
-    in_top = F.aggregate("top", F.lit(0).cast("long"), lambda a, x: a + x["k"])
-    return both.select("__lang", F.transform("top", lambda x: x["word"]).alias("ref_words"),
-                       shares(F.concat(F.transform("top", lambda x: x["k"]), F.array(F.col("n") - in_top)), F.col("n")).alias("ref_word_shares"),
-                       shares(F.array(*[F.col(f"c{k}") for k in range(len(CLASSES))]), total).alias("ref_class_shares"))
+    source = F.coalesce(F.col("source").cast("string"), F.lit("")) if "source" in docs.columns else F.lit("")
+    d = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("__lang"), F.pmod(F.xxhash64(source), F.lit(GROUPS)).cast("int").alias("g"), F.coalesce("text", F.lit("")).alias("t"))
+    words = F.transform(word_list(F.col("t")), lambda x: F.when(F.length(x) <= common_chars, F.lower(x)))
+    rank = Window.partitionBy("__lang").orderBy(F.desc("share"), "word")
+    top = word_shares(d.select("__lang", "g", words.alias("w")), min_reference=min_reference).withColumn("r", F.row_number().over(rank)).filter(F.col("r") <= common)
+    top = top.groupBy("__lang").agg(F.sort_array(F.collect_list(F.struct("r", "word", "share"))).alias("top"))
+    in_top = F.aggregate("top", F.lit(0.0), lambda a, x: a + x["share"])
+    top = top.select("__lang", F.transform("top", lambda x: x["word"]).alias("ref_words"), F.concat(F.transform("top", lambda x: x["share"]), F.array(F.greatest(F.lit(0.0), 1 - in_top))).alias("ref_word_shares"))
+    classes = medians(d.filter(F.length("t") >= min_chars).select("__lang", shares(class_counts(F.col("t")), F.length("t")).alias("s")))
+    whole = F.aggregate("m", F.lit(0.0), lambda a, x: a + x)
+    return top.join(classes.select("__lang", F.when(whole > 0, F.transform("m", lambda x: x / whole)).alias("ref_class_shares")), "__lang", "left")
 
 
 def quality(docs: DataFrame, *, common: int = 24, common_chars: int = 5, min_chars: int = 250, min_words: int = 40, min_reference: int = 2_000,
             max_class_distance: float = 0.32, max_word_distance: float = 0.42, broadcast_languages: int = 1_000) -> DataFrame:
     """``docs`` with __n_words, __word_chars, __n_symbols, __n_dup_lines, __n_repeat_words, __base_failed, __class_distance, __word_distance and __kept."""
-    ref = references(docs, common=common, common_chars=common_chars, min_reference=min_reference)
+    ref = written(references(docs, common=common, common_chars=common_chars, min_chars=min_chars, min_reference=min_reference), "quality-references")
     if docs.select("lang").distinct().limit(broadcast_languages + 1).count() <= broadcast_languages:
         ref = F.broadcast(ref)  # one row of a few dozen words a language
     text, words = F.col("__t"), F.col("__w")
@@ -126,7 +165,7 @@ def quality(docs: DataFrame, *, common: int = 24, common_chars: int = 5, min_cha
     word_hist = let(per_word, lambda c: F.concat(c, F.array(F.col("__n_words") - F.aggregate(c, F.lit(0).cast("long"), lambda a, b: a + b))))
     chars = F.col("__n_chars")
     d = d.withColumns({
-        "__class_distance": F.when(F.col("ref_words").isNotNull() & (chars >= min_chars), js_distance(shares(F.col("__c"), chars), F.col("ref_class_shares"))),
+        "__class_distance": F.when(F.col("ref_class_shares").isNotNull() & (chars >= min_chars), js_distance(shares(F.col("__c"), chars), F.col("ref_class_shares"))),
         "__word_distance": F.when(F.col("ref_words").isNotNull() & (F.col("__n_words") >= min_words), js_distance(shares(word_hist, F.col("__n_words")), F.col("ref_word_shares"))),
         "__word_chars": chars - F.col("__c")[3], "__n_symbols": F.col("__c")[4],
         "__base_failed": (F.col("__n_words") < 10) | (100 * F.col("__n_repeat_words") > 20 * F.col("__n_words"))})
@@ -136,7 +175,7 @@ def quality(docs: DataFrame, *, common: int = 24, common_chars: int = 5, min_cha
 
 def quality_report(docs: DataFrame, **limits) -> DataFrame:
     """doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept and both distances (rounded; null where a guard holds) of every row."""
-    q = quality(docs.select("doc_id", "lang", "text"), **limits)
+    q = quality(docs.select("doc_id", "lang", "text", *[c for c in ("source",) if c in docs.columns]), **limits)
     return q.select("doc_id", *[F.col(f"__{c}").alias(c) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")],
                     *[F.round(f"__{c}", 6).alias(c) for c in ("class_distance", "word_distance")])
 

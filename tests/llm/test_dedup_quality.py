@@ -189,6 +189,21 @@ def test_quality_divergence(documents):
     assert kept.columns == documents(rows, extra=True).columns and kept.count() == sum(r.kept for r in got.values())
 
 
+def test_quality_reference_withstands_a_junk_source_of_a_third_of_the_rows(documents):
+    from pyspark.sql import functions as F
+    rng = random.Random(7)
+    common, rare = ["the", "of", "and", "to", "in"], [f"thing{'abcdefghij'[i % 10] * (i // 10 % 9)}{'klmnopqrst'[i // 90]}" for i in range(400)]
+
+    def text(mark=""):
+        return " ".join((rng.choice(common) if rng.random() < 0.5 else rng.choice(rare)) + mark for _ in range(120))
+
+    rows = [(i, text()) for i in range(120)] + [(200 + i, text("$%&#*")) for i in range(60)] + [(300 + i, " ".join(f"{'qrstuvwxyz'[i % 10]}{k}" for k in range(120))) for i in range(60)]
+    source = F.when(F.col("doc_id") >= 300, "keywords").when(F.col("doc_id") >= 200, "symbols").otherwise(F.concat(F.lit("good"), F.col("doc_id") % 6))
+    for junk in ("symbols", "keywords"):
+        got = quality.quality_report(documents(rows).withColumn("source", source).filter(F.col("source").startswith("good") | (F.col("source") == junk))).collect()
+        assert len(got) == 180 and all(r.kept == (r.doc_id < 200) for r in got), junk
+
+
 def test_js_distance(spark):
     from pyspark.sql import functions as F
     p, q = [0.5, 0.5, 0.0], [0.1, 0.2, 0.7]
