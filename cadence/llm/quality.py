@@ -10,14 +10,21 @@ minority does not move it:
   ``#*$%&|<>``, other ASCII, and characters outside ASCII;
   The reference share of a class is its median over the documents of
   ``min_chars`` characters or more, each document counting once.
-* common words: the language's ``common`` most frequent words of at most
-  ``common_chars`` characters (lower case), and all others as one class.  The
-  reference share of a word is its median over up to ``GROUPS`` groups of
+* words (lower case, without ASCII punctuation at their edges): the language's
+  most frequent words, as many as hold ``held`` of its words (``common`` at
+  most), all others as one class, and tokens of punctuation alone as another.
+  The reference share of a word is its median over up to ``GROUPS`` groups of
   sources (by hash of ``source``, if there is such a column), each group
   counting once, so that one source moves one group however many rows it has.
+  The share of punctuation tokens is the median over the documents of
+  ``min_words`` tokens or more.
 
 Distance: Jensen-Shannon, square root of the divergence to base 2, from 0 to 1.
-A document is rejected if a distance exceeds its limit.  Minimum-length guards:
+A document is rejected if a distance exceeds its limit.  A short text is far from
+any reference by chance, and less so the longer it is: the limit for n words is
+sqrt(word_base + word_noise / n), ``max_word_distance`` at most.  With a third of
+the words held, a text with none of them has a distance of 0.435 or more, over
+the limit at any length.  Minimum-length guards:
 texts under ``min_chars`` characters skip the character test, texts under
 ``min_words`` words the word test, and languages under ``min_reference`` words
 have no reference, so their documents skip both.
@@ -36,10 +43,12 @@ from pyspark.sql import functions as F
 from cadence.llm.store import written
 
 WORD = r"[^\x20\x09-\x0D]+"
+#: From the first to the last character of a word that is not ASCII punctuation.
+CORE = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F](?:[^\x20\x09-\x0D]*[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F])?"
 SYMBOLS = "#*$%&|<>"
 CLASSES = ("lower", "upper", "digit", "space", "symbol", "ascii", "other")
-#: Grid of the medians over documents; groups of sources; a word is rare under 1 / RARE of its group's words.
-GRID, GROUPS, RARE = 1_000, 64, 5_000
+#: Grid of the medians over documents; groups of sources; a word is rare under 1 / RARE of its group's words; hash buckets of words.
+GRID, GROUPS, RARE, BUCKETS = 1_000, 64, 2_000, 16_384
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -51,6 +60,11 @@ def word_list(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(WORD), F.lit(0))
 
 
+def core_list(text: Column) -> Column:
+    """The words of ``text`` in lower case and without punctuation at their edges; tokens of punctuation alone have none."""
+    return F.regexp_extract_all(F.lower(text), F.lit(CORE), F.lit(0))
+
+
 def class_counts(text: Column) -> Column:
     """Code points of ``text`` by class, in the order of CLASSES; each class is taken out before the next is counted."""
     def strip(t: Column, classes: list[str], counts: list[Column]) -> Column:
@@ -98,28 +112,31 @@ def shares(counts: Column, total: Column) -> Column:
 
 
 def medians(shares_of: DataFrame) -> DataFrame:
-    """Per ``__lang``: the median of each place of the arrays ``s`` over all rows, on a grid of 1 / GRID, as array ``m``.
+    """Per ``__lang``: the median of each place of the arrays ``s`` over the rows where it is not null, on a grid of 1 / GRID, as pairs (k, bin) in array ``m``.
 
     The rows are counted per place and grid value, so what is shuffled is bounded by the languages."""
-    bins = shares_of.select("__lang", F.posexplode(F.transform("s", lambda x: F.round(x * GRID).cast("int"))).alias("k", "bin")).groupBy("__lang", "k", "bin").agg(F.count("*").alias("n"))
+    bins = shares_of.select("__lang", F.posexplode(F.transform("s", lambda x: F.round(x * GRID).cast("int"))).alias("k", "bin")).filter(F.col("bin").isNotNull())
+    bins = bins.groupBy("__lang", "k", "bin").agg(F.count("*").alias("n"))
     place = Window.partitionBy("__lang", "k")
     half = bins.withColumn("upto", F.sum("n").over(place.orderBy("bin"))).withColumn("all", F.sum("n").over(place)).filter(2 * F.col("upto") >= F.col("all"))
-    at = half.groupBy("__lang", "k").agg(F.min("bin").alias("bin")).groupBy("__lang").agg(F.sort_array(F.collect_list(F.struct("k", "bin"))).alias("m"))
-    return at.select("__lang", F.transform("m", lambda x: x["bin"] / GRID).alias("m"))
+    return half.groupBy("__lang", "k").agg(F.min("bin").alias("bin")).groupBy("__lang").agg(F.sort_array(F.collect_list(F.struct("k", "bin"))).alias("m"))
 
 
 def word_shares(d: DataFrame, *, min_reference: int) -> DataFrame:
-    """__lang, word, share: the median over the language's groups of sources (``g``) of the share of each word of ``w``; nulls are words without a name.
+    """__lang, word, share: the median over the language's groups of sources (``g``) of the share of each word of ``w``.
 
     Groups under ``min_reference`` words are taken as one; languages under it are left out.  A share under 1 / RARE of its group counts as 0."""
-    counts = d.select("__lang", "g", F.explode("w").alias("word")).groupBy("__lang", "g", "word").agg(F.count("*").alias("k"))
-    totals = counts.groupBy("__lang", "g").agg(F.sum("k").alias("n"))
+    # Words by hash first: a word of a frequent share lies in a bucket of such a share, so the many rare words are never shuffled.
+    words = d.select("__lang", "g", F.explode("w").alias("word")).withColumn("b", F.pmod(F.xxhash64("word"), F.lit(BUCKETS)).cast("int"))
+    sizes = written(words.groupBy("__lang", "g", "b").agg(F.count("*").alias("k")), "quality-buckets")
+    totals = sizes.groupBy("__lang", "g").agg(F.sum("k").alias("n"))
     lang = Window.partitionBy("__lang")
     totals = totals.withColumn("all", F.sum("n").over(lang)).filter(F.col("all") >= min_reference).withColumn("vote", F.when(F.col("n") >= min_reference, F.col("g")).otherwise(F.lit(-1)))
-    totals = totals.withColumn("n", F.sum("n").over(Window.partitionBy("__lang", "vote"))).withColumn("votes", F.size(F.collect_set("vote").over(lang)))
-    share = F.sum("k") / F.first("n")
-    voted = counts.filter(F.col("word").isNotNull()).join(F.broadcast(totals.select("__lang", "g", "vote", "n", "votes")), ["__lang", "g"])  # GROUPS rows a language at most
-    voted = voted.filter(F.col("k") * RARE * GROUPS >= F.col("n")).groupBy("__lang", "vote", "word").agg(share.alias("share"), F.first("votes").alias("votes")).filter(F.col("share") * RARE >= 1)
+    totals = totals.withColumn("n", F.sum("n").over(Window.partitionBy("__lang", "vote"))).withColumn("votes", F.size(F.collect_set("vote").over(lang))).drop("all")
+    voting = sizes.join(totals, ["__lang", "g"]).withColumn("in_vote", F.sum("k").over(Window.partitionBy("__lang", "vote", "b")))
+    # At most RARE buckets of each of GROUPS groups of a language, and about as many as it has frequent words.
+    heavy = written(voting.filter(F.col("in_vote") * RARE >= F.col("n")).select("__lang", "g", "b", "vote", "n", "votes"), "quality-frequent")
+    voted = words.join(F.broadcast(heavy), ["__lang", "g", "b"]).groupBy("__lang", "vote", "word").agg((F.count("*") / F.first("n")).alias("share"), F.first("votes").alias("votes")).filter(F.col("share") * RARE >= 1)
     each = voted.groupBy("__lang", "word").agg(F.sort_array(F.collect_list("share")).alias("s"), F.first("votes").alias("votes"))
 
     def nth(i: Column) -> Column:  # of all votes, those without the word first
@@ -128,48 +145,55 @@ def word_shares(d: DataFrame, *, min_reference: int) -> DataFrame:
     return each.select("__lang", "word", ((nth(F.floor((F.col("votes") - 1) / 2).cast("int")) + nth(F.floor(F.col("votes") / 2).cast("int"))) / 2).alias("share")).filter(F.col("share") > 0)
 
 
-def references(docs: DataFrame, *, common: int, common_chars: int, min_chars: int, min_reference: int) -> DataFrame:
-    """Per language ``__lang``: ref_words, ref_word_shares (the last one: all other words) and ref_class_shares."""
+def references(docs: DataFrame, *, common: int, held: float, min_chars: int, min_words: int, min_reference: int) -> DataFrame:
+    """Per language ``__lang``: ref_words, ref_word_shares (the last two: all other words, punctuation tokens) and ref_class_shares."""
     source = F.coalesce(F.col("source").cast("string"), F.lit("")) if "source" in docs.columns else F.lit("")
     d = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("__lang"), F.pmod(F.xxhash64(source), F.lit(GROUPS)).cast("int").alias("g"), F.coalesce("text", F.lit("")).alias("t"))
-    words = F.transform(word_list(F.col("t")), lambda x: F.when(F.length(x) <= common_chars, F.lower(x)))
     rank = Window.partitionBy("__lang").orderBy(F.desc("share"), "word")
-    top = word_shares(d.select("__lang", "g", words.alias("w")), min_reference=min_reference).withColumn("r", F.row_number().over(rank)).filter(F.col("r") <= common)
-    top = top.groupBy("__lang").agg(F.sort_array(F.collect_list(F.struct("r", "word", "share"))).alias("top"))
-    in_top = F.aggregate("top", F.lit(0.0), lambda a, x: a + x["share"])
-    top = top.select("__lang", F.transform("top", lambda x: x["word"]).alias("ref_words"), F.concat(F.transform("top", lambda x: x["share"]), F.array(F.greatest(F.lit(0.0), 1 - in_top))).alias("ref_word_shares"))
-    classes = medians(d.filter(F.length("t") >= min_chars).select("__lang", shares(class_counts(F.col("t")), F.length("t")).alias("s")))
-    whole = F.aggregate("m", F.lit(0.0), lambda a, x: a + x)
-    return top.join(classes.select("__lang", F.when(whole > 0, F.transform("m", lambda x: x / whole)).alias("ref_class_shares")), "__lang", "left")
-
-
-def quality(docs: DataFrame, *, common: int = 24, common_chars: int = 5, min_chars: int = 250, min_words: int = 40, min_reference: int = 2_000,
-            max_class_distance: float = 0.32, max_word_distance: float = 0.42, broadcast_languages: int = 1_000) -> DataFrame:
+    top = word_shares(d.select("__lang", "g", core_list(F.col("t")).alias("w")), min_reference=min_reference).withColumns(
+        {"r": F.row_number().over(rank), "upto": F.sum("share").over(rank.rowsBetween(Window.unboundedPreceding, 0))})
+    top = top.filter((F.col("r") <= common) & (F.col("upto") - F.col("share") < held)).groupBy("__lang").agg(F.sort_array(F.collect_list(F.struct("r", "word", "share"))).alias("top"))
+    tokens = F.regexp_count("t", F.lit(WORD))
+    bare = F.when(tokens >= min_words, 1 - F.regexp_count("t", F.lit(CORE)) / tokens)
+    classes = F.when(F.length("t") >= min_chars, shares(class_counts(F.col("t")), F.length("t"))).otherwise(F.array_repeat(F.lit(None).cast("double"), len(CLASSES)))
+    m = medians(d.select("__lang", F.concat(classes, F.array(bare)).alias("s")))
+    of_class = F.filter("m", lambda x: x["k"] < len(CLASSES))
+    whole = F.aggregate(of_class, F.lit(0), lambda a, x: a + x["bin"])
+    m = m.select("__lang", F.when(whole > 0, F.transform(of_class, lambda x: x["bin"] / whole)).alias("ref_class_shares"),
+                 F.coalesce(F.get(F.transform(F.filter("m", lambda x: x["k"] == len(CLASSES)), lambda x: x["bin"] / GRID), F.lit(0)), F.lit(0.0)).alias("bare"))
+    top = top.join(m, "__lang", "left").withColumn("bare", F.coalesce("bare", F.lit(0.0)))
+    named = F.transform("top", lambda x: x["share"] * (1 - F.col("bare")))
+    rest = F.greatest(F.lit(0.0), 1 - F.col("bare") - F.aggregate(named, F.lit(0.0), lambda a, x: a + x))
+    return top.select("__lang", F.transform("top", lambda x: x["word"]).alias("ref_words"), F.concat(named, F.array(rest, "bare")).alias("ref_word_shares"), "ref_class_shares")
+
+
+def quality(docs: DataFrame, *, common: int = 400, held: float = 0.33, min_chars: int = 250, min_words: int = 40, min_reference: int = 2_000,
+            max_class_distance: float = 0.32, max_word_distance: float = 0.42, word_base: float = 0.04, word_noise: float = 9.0, broadcast_languages: int = 1_000) -> DataFrame:
     """``docs`` with __n_words, __word_chars, __n_symbols, __n_dup_lines, __n_repeat_words, __base_failed, __class_distance, __word_distance and __kept."""
-    ref = written(references(docs, common=common, common_chars=common_chars, min_chars=min_chars, min_reference=min_reference), "quality-references")
+    ref = written(references(docs, common=common, held=held, min_chars=min_chars, min_words=min_words, min_reference=min_reference), "quality-references")
     if docs.select("lang").distinct().limit(broadcast_languages + 1).count() <= broadcast_languages:
         ref = F.broadcast(ref)  # one row of a few dozen words a language
-    text, words = F.col("__t"), F.col("__w")
+    text, words = F.col("__t"), F.col("__w")  # words: the cores
     d = docs.withColumn("__t", F.coalesce("text", F.lit(""))).withColumn("__lang", F.coalesce(F.col("lang").cast("string"), F.lit("")))
     lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
     measures = let(word_list(text), lambda w: F.struct(
-        w.alias("w"), F.size(w).cast("long").alias("n_words"), class_counts(text).alias("c"), repeat_words(w).alias("n_repeat_words"),
+        core_list(text).alias("w"), F.size(w).cast("long").alias("n_words"), class_counts(text).alias("c"), repeat_words(w).alias("n_repeat_words"),
         let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"), F.length(text).cast("long").alias("n_chars")))
     # One row out for each row in: a generator's result is computed once, and a filter on the verdict is not pushed
     # below it, where every use of a measure would compute it anew (within lambdas, for each word).
     d = d.withColumn("__m", F.explode(F.array(measures)))
     d = d.withColumns({f"__{c}": F.col(f"__m.{c}") for c in ("w", "c", "n_words", "n_repeat_words", "n_dup_lines", "n_chars")})
     d = d.join(ref, "__lang", "left")
-    known = F.filter(F.transform(words, lambda x: F.when(F.length(x) <= common_chars, F.array_position("ref_words", F.lower(x)))), lambda x: x > 0)
-    per_word = let(known, lambda at: F.transform(F.sequence(F.lit(1), F.size("ref_words")), lambda k: F.size(F.filter(at, lambda x: x == k)).cast("long")))
-    word_hist = let(per_word, lambda c: F.concat(c, F.array(F.col("__n_words") - F.aggregate(c, F.lit(0).cast("long"), lambda a, b: a + b))))
+    known = F.filter(F.transform(words, lambda x: F.array_position("ref_words", x)), lambda x: x > 0)
+    per_word = let(known, lambda at: F.transform(F.sequence(F.lit(1), F.size("ref_words")), lambda k: (F.size(at) - F.size(F.array_remove(at, k.cast("long")))).cast("long")))
+    word_hist = let(per_word, lambda c: F.concat(c, F.array(F.size(words) - F.aggregate(c, F.lit(0).cast("long"), lambda a, b: a + b), F.col("__n_words") - F.size(words))))
     chars = F.col("__n_chars")
     d = d.withColumns({
         "__class_distance": F.when(F.col("ref_class_shares").isNotNull() & (chars >= min_chars), js_distance(shares(F.col("__c"), chars), F.col("ref_class_shares"))),
         "__word_distance": F.when(F.col("ref_words").isNotNull() & (F.col("__n_words") >= min_words), js_distance(shares(word_hist, F.col("__n_words")), F.col("ref_word_shares"))),
         "__word_chars": chars - F.col("__c")[3], "__n_symbols": F.col("__c")[4],
         "__base_failed": (F.col("__n_words") < 10) | (100 * F.col("__n_repeat_words") > 20 * F.col("__n_words"))})
-    far = F.coalesce(F.col("__class_distance") > max_class_distance, F.lit(False)) | F.coalesce(F.col("__word_distance") > max_word_distance, F.lit(False))
+    far = F.coalesce(F.col("__class_distance") > max_class_distance, F.lit(False)) | F.coalesce(F.col("__word_distance") > F.least(F.lit(max_word_distance), F.sqrt(word_base + word_noise / F.col("__n_words"))), F.lit(False))
     return d.withColumn("__kept", ~F.col("__base_failed") & ~far).drop("__t", "__m", "__w", "__c", "__n_chars", "__lang", "ref_words", "ref_word_shares", "ref_class_shares")
 
 

@@ -204,6 +204,26 @@ def test_quality_reference_withstands_a_junk_source_of_a_third_of_the_rows(docum
         assert len(got) == 180 and all(r.kept == (r.doc_id < 200) for r in got), junk
 
 
+def test_quality_words_of_another_language_or_of_none(spark, documents):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()
+    label = {r.doc_id: r.quality for r in spark.read.parquet("/root/testdata/sf0.01/labels.parquet").collect()}
+    good = [r for r in docs if label.get(r.doc_id) == 1 and not brute_base(r.text)[-1] and brute_base(r.text)[0] >= 200]
+    rows, other = [(r.doc_id, r.text, r.lang) for r in docs], {}
+    for r in [x for k in ("en", "de", "es", "fr") for x in [g for g in good if g.lang == k][:5]]:
+        for lang in {"en", "de", "es", "fr"} - {r.lang} if r.lang in ("en", "de") else ("en", "de"):
+            other[10**6 + len(other)] = (r.text, lang)
+    plain = {2 * 10**6 + n: (" ".join(f"{'abcdefghij'[k % 10]}word{'klmnopqrst'[k // 10 % 10]}{'uvwxyz'[k // 100]}" for k in range(n)), "en") for n in (40, 60, 100, 200, 400)}
+    got = {r.doc_id: r for r in quality.quality_report(documents([*rows, *[(i, *x) for x_ in (other, plain) for i, x in x_.items()]], partitions=8)).collect()}
+    assert len(other) >= 40 and not any(got[i].kept for i in other) and not any(got[i].kept for i in plain)
+    assert all(got[r.doc_id].kept for r in good)
+
+
+def test_quality_words_lose_punctuation_at_their_edges(spark):
+    from pyspark.sql import functions as F
+    t = '"The, (end). | -- isn\'t x% É! of%%% ...a-b...'
+    assert spark.createDataFrame([(t,)], "t string").select(quality.core_list(F.col("t"))).first()[0] == ["the", "end", "isn't", "x", "é", "of", "a-b"]
+
+
 def test_js_distance(spark):
     from pyspark.sql import functions as F
     p, q = [0.5, 0.5, 0.0], [0.1, 0.2, 0.7]
