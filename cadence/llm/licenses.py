@@ -8,8 +8,8 @@ counts.  The method adds labels of licence templates (``TEMPLATES``):
 
 1. The document frequency of every template word is counted over all texts.
    A template is indexed by its rarest words (highest IDF), with positions.
-2. For each file, the licence words it holds are ranked by IDF, and only the
-   ``top_words`` rarest are looked up in the index.
+2. For each file, every indexed word it holds is looked up at each of its
+   places, so a file may hold the notices of any number of licences.
 3. Postings are intersected by relative position: a template is a candidate at
    the offset (position in the file less position in the template) where the
    most of its rare words agree, at least ``min_agree`` of them.
@@ -60,7 +60,7 @@ def _all(conds) -> Column:
     return out
 
 
-def scan(docs: DataFrame, *, templates=TEMPLATES, phrases=None, index_words: int = 4, top_words: int = 8, min_agree: int = 2, min_score: float = 0.8) -> DataFrame:
+def scan(docs: DataFrame, *, templates=TEMPLATES, phrases=None, index_words: int = 4, min_agree: int = 2, min_score: float = 0.8) -> DataFrame:
     """doc_id, n_words, n_base, first_word, last_word, base_labels, labels and score of every row of ``docs``."""
     phrases = PHRASES if phrases is None else phrases
     spark = docs.sparkSession
@@ -86,13 +86,9 @@ def scan(docs: DataFrame, *, templates=TEMPLATES, phrases=None, index_words: int
     rank = Window.partitionBy("t").orderBy(F.coalesce("df", F.lit(0)), "word", "p")
     postings = spark.createDataFrame(tw, "t int, p int, word string").join(df, "word", "left").withColumn("r", F.row_number().over(rank)).filter(F.col("r") <= index_words)
     # At most index_words postings a template: a table bounded by the templates.
-    index = written(postings.select("t", "p", "word", F.coalesce("df", F.lit(0)).alias("df")), "license-index")
-    rare = F.broadcast(index.select("word", "df").distinct())
-    at = found.select("row_key", "n_words", "hit", F.explode("hit").alias("x")).select("row_key", F.col("x.pos").alias("pos"), F.col("x.word").alias("word")).join(rare, "word")
-    own = at.select("row_key", "word", "df").distinct()
-    top = own.withColumn("r", F.row_number().over(Window.partitionBy("row_key").orderBy("df", "word"))).filter(F.col("r") <= top_words).select("row_key", "word")
-    agree = at.join(top, ["row_key", "word"]).join(F.broadcast(index.select("t", "p", "word")), "word").groupBy(
-        "row_key", "t", (F.col("pos") - F.col("p")).alias("shift")).agg(F.count("*").alias("n"))
+    index = written(postings.select("t", "p", "word"), "license-index")
+    at = found.select("row_key", F.explode("hit").alias("x")).select("row_key", F.col("x.pos").alias("pos"), F.col("x.word").alias("word"))
+    agree = at.join(F.broadcast(index), "word").groupBy("row_key", "t", (F.col("pos") - F.col("p")).alias("shift")).agg(F.count("*").alias("n"))
     cand = agree.filter((F.col("n") >= min_agree) & (F.col("shift") >= 0)).groupBy("row_key").agg(F.collect_set(F.struct("t", "shift")).alias("c"))
     shape = spark.createDataFrame([(t, label, text.split(), _needed(text.split(), keys)) for t, (label, text, keys) in enumerate(templates)],
                                   "t int, label string, tw array<string>, need array<struct<p:int,w:string>>")

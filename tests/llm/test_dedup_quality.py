@@ -259,6 +259,29 @@ def test_license_scan(documents, odd_texts):
     assert licenses.scan(documents([])).count() == 0
 
 
+def brute_labels(text):
+    """Labels of the templates that stand anywhere in the text, every place tried."""
+    w, out = CORE_WORD.findall(text.translate(AZ)), set()
+    for label, template, keys in licenses.TEMPLATES:
+        t = template.split()
+        need = licenses._needed(t, keys)
+        if any(all(w[i + p: i + p + 1] == [k] for p, k in need) and sum(a == b for a, b in zip(w[i:], t, strict=False)) >= 0.8 * len(t) for i in range(len(w))):
+            out.add(label)
+    return out
+
+
+def test_license_bundles_keep_every_notice(documents):
+    rng = random.Random(11)
+    notices = [t for _, t, _ in licenses.TEMPLATES]
+    prose = [w for t in notices for w in t.split()] + ["and", "with", "source", "code", "form", "free", "copy", "any", "general", "work", *[f"word{i}" for i in range(60)]]
+    rows = [(0, " x ".join(notices)), (1, " ".join(rng.choice(prose) for _ in range(4000)) + " " + " . y ".join(notices))]
+    rows += [(10 + i, " z ".join(rng.sample(notices, 5)) + " " + " ".join(rng.choice(prose) for _ in range(300))) for i in range(30)]
+    rows += [(100 + i, "the work with a mit word and mozilla") for i in range(40)]
+    base = {label for label in licenses.PHRASES.values()}
+    got = {r.doc_id: set(r.labels.split(",")) - base - {""} for r in licenses.scan(documents(rows)).collect()}
+    assert got == {i: brute_labels(t) for i, t in rows} and got[0] == {label for label, _, _ in licenses.TEMPLATES}
+
+
 def test_license_query_base_columns_on_whole_table(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet").collect()
     got = queries.op10_licenses(spark, sf).collect()
