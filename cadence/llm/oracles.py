@@ -102,3 +102,15 @@ FROM d LEFT JOIN b USING (rk) LEFT JOIN g USING (rk) LEFT JOIN l USING (rk)
 
 
 ORACLES["op10_licenses"] = _license_sql()
+
+ORACLES["op13_ranked_search"] = r"""
+WITH d AS (SELECT row_number() OVER () AS rk, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+q AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+total AS (SELECT count(*)::BIGINT AS n_docs, sum(len(w))::BIGINT AS n_terms FROM d WHERE len(w) > 0),
+norm AS (SELECT rk, doc_id, 100 - 90 + ((90 * len(w) * n_docs) // n_terms) AS m FROM d, total WHERE len(w) > 0),
+tf AS (SELECT rk, term, count(*)::BIGINT AS tf FROM (SELECT rk, unnest(w) AS term FROM d) WHERE term IN (SELECT term FROM q) GROUP BY rk, term),
+wt AS (SELECT term, floor(1000 * ln((2 * any_value(n_docs) + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w FROM tf, total GROUP BY term),
+s AS (SELECT item_id, rk, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score FROM q JOIN wt USING (term) JOIN tf USING (term) JOIN norm USING (rk) GROUP BY item_id, rk)
+SELECT item_id, r::INTEGER AS rank, doc_id, score
+FROM (SELECT item_id, doc_id, score, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS r FROM s JOIN norm USING (rk) WHERE score > 0) WHERE r <= 10
+"""

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadence.llm import decontam, fst, licenses, packing, quality, sharding, simhash, token_files, toxicity, warc_zip
+from cadence.llm import decontam, fst, gam, licenses, packing, quality, ranked, runs, sharding, simhash, token_files, toxicity, warc_zip
 from cadence.llm.oracles import ORACLES
 from cadence.llm.store import fresh, written
 
@@ -69,6 +69,18 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
 
+def op11_quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gam.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs.periodic_runs(table(spark, sf_dir, "documents"), planted=True).drop("runs")
+
+
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -76,4 +88,4 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_packing, op2_simhash, op3_token_counts, op4_toxicity, op5_decontamination, op6_warc, op7_token_files,
-                                   op8_sharding, op9_quality, op10_licenses, pipeline)}
+                                   op8_sharding, op9_quality, op10_licenses, op11_quality_scores, op12_periodic_runs, op13_ranked_search, pipeline)}
