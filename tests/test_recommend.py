@@ -5,7 +5,6 @@ from collections import Counter, defaultdict
 import numpy as np
 from pyspark.sql import functions as F
 
-from cadence.operators import features as FT
 from cadence.operators import recommend as R
 
 
@@ -53,27 +52,6 @@ def test_cooccurrence_and_itemcf_match_brute_force(spark):
         assert got_r == exp_r
 
 
-def test_rec_content_matches_numpy(spark):
-    rnd = np.random.default_rng(5)
-    X = rnd.normal(size=(300, 4))
-    X[7] = 0.0  # zero vector scores 0
-    items = [f"i{j:03d}" for j in range(300)]
-    scaled = spark.createDataFrame([(items[j], *map(float, X[j])) for j in range(300)],
-                                   "track_uri string, a double, b double, c double, d double")
-    seeds_rows = [(pid, pos, items[(pid * 13 + pos * 7) % 300]) for pid in range(40) for pos in range(6)]
-    seeds = spark.createDataFrame(seeds_rows, "pid long, pos long, track_uri string")
-    got = FT.rec_content(seeds, scaled, ["a", "b", "c", "d"], k=5, profile_block=16, item_block=64).collect()
-    U = X / np.where(np.linalg.norm(X, axis=1, keepdims=True) > 0, np.linalg.norm(X, axis=1, keepdims=True), 1)
-    for pid in range(40):
-        s = [items.index(u) for p_, _pos, u in seeds_rows if p_ == pid]
-        p = X[s].mean(axis=0)
-        p = p / (np.linalg.norm(p) or 1)
-        sims = U @ p
-        order = sorted((j for j in range(300) if j not in set(s)), key=lambda j: (-sims[j], items[j]))[:5]
-        g = [r["item"] for r in sorted((r for r in got if r["pid"] == pid), key=lambda r: r["rank"])]
-        assert g == [items[j] for j in order]
-
-
 def test_catalog_search_is_literal_substring(spark):
     names = [("Sicko Mode", "Travis Scott"), ("a.b (remix)", "X"), ("HUMBLE.", "Kendrick Lamar"),
              ("Mode", "Depeche Mode"), ("zz", "q")]
@@ -170,14 +148,3 @@ def test_empty_request_with_gaps_in_the_catalogue(spark):
     cat = spark.createDataFrame([(i, f"u{i}", "n", "a") for i in (0, 1, 5, 9)], "corpus_idx long, track_uri string, track_name string, artist_name string")
     got = R.catalog_search(cat, spark.createDataFrame([("r", " ")], "request_id string, query string"), 3).orderBy("rank").collect()
     assert [r["corpus_idx"] for r in got] == [0, 1, 5]
-
-
-def test_rec_content_is_the_same_for_any_blocks(spark):
-    rnd = np.random.default_rng(6)
-    X = rnd.normal(size=(120, 3))
-    X[40:80] = X[:40]  # equal vectors in different blocks
-    scaled = spark.createDataFrame([(f"i{j:03d}", *map(float, X[j])) for j in range(120)], "track_uri string, a double, b double, c double")
-    seeds = spark.createDataFrame([(pid, p, f"i{(pid * 11 + p * 5) % 120:03d}") for pid in range(25) for p in range(4)], "pid long, pos long, track_uri string")
-    got = [sorted(map(tuple, FT.rec_content(seeds, scaled, ["a", "b", "c"], k=6, profile_block=p, item_block=i).collect()))
-           for p, i in ((2048, 8192), (4, 16), (7, 50))]
-    assert got[0] == got[1] == got[2] and len(got[0]) == 25 * 6
