@@ -1,12 +1,17 @@
 """Incremental ingest of slice files with Structured Streaming.
 
-Files arrive in batches (``maxFilesPerTrigger``); each micro-batch is parsed
-once and appends its playlists, its track entries, the catalogue rows of track
-URIs not seen in earlier batches (first seen in (file, pid, pos) order inside
-the batch) and a row of totals. The "seen" set is the catalogue written so far, so the state lives in the sink;
-every batch writes its own folder (overwrite), so a replayed batch after a
-failure rewrites the same output (idempotent), and the checkpoint records
-progress for exactly-once restarts. ``availableNow`` drains what exists and stops.
+Files arrive in batches (``maxFilesPerTrigger``); each micro-batch appends its
+playlists, its track entries, the catalogue rows of track URIs not seen in
+earlier batches (first seen in (file, pid, pos) order inside the batch) and a
+row of totals.
+
+The "seen" set is keyed streaming state: the URIs of a batch pass through
+``dropDuplicates`` on a RocksDB state store, which lets a URI through once, so no
+batch reads earlier output.  What comes through names the new URIs; their rows
+are chosen from the batch itself.  The state is versioned by batch under the
+checkpoint, and every batch writes its own folder (overwrite), so a batch that is
+replayed after a failure starts from the state before it and rewrites the same
+output.  ``availableNow`` drains what exists and stops.
 """
 
 from __future__ import annotations
@@ -25,8 +30,21 @@ def _batch_paths(spark: SparkSession, root: str) -> list[str]:
     return sorted(str(s.getPath().toString()) for s in stats)
 
 
+STATE_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def with_new_uris(stream: DataFrame) -> DataFrame:
+    """The rows of a stream of slices (``new`` false), and one row per track URI that no earlier batch held (``new`` true, ``uri``).
+
+    A null URI is a URI like any other."""
+    uris = stream.select(F.explode("playlists.tracks").alias("tracks")).select(F.explode("tracks.track_uri").alias("uri"))
+    seen_first = uris.dropDuplicates(["uri"]).withColumn("new", F.lit(True))
+    return stream.withColumn("new", F.lit(False)).unionByName(seen_first, allowMissingColumns=True)
+
+
 def stream_ingest(spark: SparkSession, src: str, out: str, checkpoint: str, files_per_trigger: int = 50,
-                   glob_filter: str = "mpd.slice.*.json", recursive: bool = False):
+                  glob_filter: str = "mpd.slice.*.json", recursive: bool = False):
     """Start the incremental ingest of playlists, tracks, catalogue and totals; returns the StreamingQuery."""
     stream = (spark.readStream.schema(SLICE).option("multiLine", True)
               .option("maxFilesPerTrigger", files_per_trigger).option("pathGlobFilter", glob_filter)
@@ -34,26 +52,27 @@ def stream_ingest(spark: SparkSession, src: str, out: str, checkpoint: str, file
               .withColumn("file", F.col("_metadata.file_path")))
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
+        batch = batch.persist()  # the state store is asked once
         try:
-            slice_playlists(batch).write.mode("overwrite").parquet(f"{out}/playlists/batch={batch_id}")
-            t = slice_tracks(batch)
-            t.write.mode("overwrite").parquet(f"{out}/tracks/batch={batch_id}")
-            cat = slice_catalog(batch)
-            prior = [p for p in _batch_paths(spark, f"{out}/catalog") if not p.endswith(f"batch={batch_id}")]
-            if prior:
-                seen = spark.read.parquet(*prior).select("track_uri")
-                cat = cat.join(seen, "track_uri", "left_anti")
+            slices, new = batch.where(~F.col("new")).drop("new", "uri"), batch.where("new").select("uri")
+            slice_playlists(slices).write.mode("overwrite").parquet(f"{out}/playlists/batch={batch_id}")
+            slice_tracks(slices).write.mode("overwrite").parquet(f"{out}/tracks/batch={batch_id}")
+            cat = slice_catalog(slices).join(new, F.col("track_uri").eqNullSafe(F.col("uri")), "left_semi")
             cat.write.mode("overwrite").parquet(f"{out}/catalog/batch={batch_id}")
-            lists = F.coalesce("playlists", F.array().cast(batch.schema["playlists"].dataType))
+            lists = F.coalesce("playlists", F.array().cast(slices.schema["playlists"].dataType))
             entries = F.aggregate(lists, F.lit(0), lambda a, p: a + F.greatest(F.size(p["tracks"]), F.lit(0)))
-            batch.agg(F.coalesce(F.sum(F.size(lists)), F.lit(0)).cast("long").alias("playlists"), F.coalesce(F.sum(entries), F.lit(0)).cast("long").alias("entries")) \
+            slices.agg(F.coalesce(F.sum(F.size(lists)), F.lit(0)).cast("long").alias("playlists"), F.coalesce(F.sum(entries), F.lit(0)).cast("long").alias("entries")) \
                 .withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").parquet(f"{out}/totals/batch={batch_id}")
         finally:
             batch.unpersist()
 
-    return (stream.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
-            .trigger(availableNow=True).start())
+    before = spark.conf.get(STATE_PROVIDER, None)
+    spark.conf.set(STATE_PROVIDER, ROCKSDB)  # a query keeps the settings it was started with
+    try:
+        return (with_new_uris(stream).writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
+                .trigger(availableNow=True).start())
+    finally:
+        spark.conf.unset(STATE_PROVIDER) if before is None else spark.conf.set(STATE_PROVIDER, before)
 
 
 def read_catalog(spark: SparkSession, out: str) -> DataFrame:
