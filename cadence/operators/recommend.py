@@ -39,19 +39,25 @@ def top_popular(vocab: DataFrame, meta: DataFrame, n: int = 10) -> DataFrame:
                       "artist_name", "corpus_idx", "corpus_freq")
 
 
-def cooccurrence(seqs: DataFrame, max_len: int = 50, min_count: int = 3, item: str = "track_idx",
-                 group: str = "pid") -> DataFrame:
+def cooccurrence(seqs: DataFrame, max_len: int | None = 50, min_count: int = 3, item: str = "track_idx",
+                 group: str = "pid", block_items: int = 256, stage=lambda df, name: df) -> DataFrame:
     """Symmetric item pair counts over the first ``max_len`` positions of each
-    group, each pair counted once per group; pairs below ``min_count`` dropped.
-
-    The self-join sees at most max_len distinct items per group (at most
-    max_len*(max_len-1)/2 half pairs), however large the group. Only half
-    pairs (a < b) are counted and shuffled; the mirror is added after pruning.
+    group (None: the whole group), each pair counted once per group; pairs below
+    ``min_count`` dropped.
+
+    With ``max_len`` the self-join sees at most max_len distinct items per group
+    (at most max_len*(max_len-1)/2 half pairs), however large the group; whole
+    groups are joined by blocks, see ``whole_group_pairs``. Only half pairs
+    (a < b) are counted, combined before their shuffle; the mirror is added after
+    pruning.
     """
-    u = seqs.where(F.col("pos") < max_len).select(group, item).distinct()
-    a, b = u.alias("a"), u.alias("b")
-    half = a.join(b, (F.col(f"a.{group}") == F.col(f"b.{group}")) & (F.col(f"a.{item}") < F.col(f"b.{item}"))) \
-        .select(F.col(f"a.{item}").alias("item"), F.col(f"b.{item}").alias("neighbour"))
+    if max_len is None:
+        half = whole_group_pairs(seqs, min_count, item, group, block_items, stage)
+    else:
+        u = seqs.where(F.col("pos") < max_len).select(group, item).distinct()
+        a, b = u.alias("a"), u.alias("b")
+        half = a.join(b, (F.col(f"a.{group}") == F.col(f"b.{group}")) & (F.col(f"a.{item}") < F.col(f"b.{item}"))) \
+            .select(F.col(f"a.{item}").alias("item"), F.col(f"b.{item}").alias("neighbour"))
     half = half.groupBy("item", "neighbour").agg(F.count(F.lit(1)).cast("long").alias("cnt")) \
         .where(F.col("cnt") >= min_count)
     # both directions from one pass over the pruned half pairs
@@ -61,6 +67,29 @@ def cooccurrence(seqs: DataFrame, max_len: int = 50, min_count: int = 3, item: s
         F.col("_p.a").alias("item"), F.col("_p.b").alias("neighbour"), "cnt")
 
 
+def whole_group_pairs(seqs: DataFrame, min_count: int, item: str, group: str, block_items: int, stage=lambda df, name: df) -> DataFrame:
+    """(item, neighbour) for every pair of distinct items a < b of a group that can reach ``min_count``, once per group.
+
+    Items of fewer than ``min_count`` groups are dropped first: no pair of theirs
+    is in more. What is left of a group is cut into blocks of about
+    ``block_items`` items by hash, and its pairs form a triangle of block pairs:
+    (group, block, block) is the join key, so a group of any size is dealt to many
+    tasks, each key holding a bounded number of rows. An item goes to as many keys
+    as its group has blocks.
+    """
+    u = stage(seqs.select(group, item).distinct(), "group_items")
+    often = u.groupBy(item).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= min_count).select(item)
+    u = stage(u.join(often, item, "left_semi"), "group_items_often")
+    large = u.groupBy(group).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > block_items)
+    u = u.join(large, group, "left").withColumn("_blocks", F.coalesce(F.ceil(F.col("_n") / block_items), F.lit(1)).cast("int"))
+    u = u.withColumn("_b", F.pmod(F.xxhash64(item), F.col("_blocks")).cast("int"))
+    zero, last = F.lit(0), F.col("_blocks") - 1
+    a = u.select(F.col(group).alias("_g"), F.col("_b").alias("_x"), F.explode(F.sequence(F.col("_b"), last)).alias("_y"), F.col(item).alias("_l"))
+    b = u.select(F.col(group).alias("_g"), F.explode(F.sequence(zero, F.col("_b"))).alias("_x"), F.col("_b").alias("_y"), F.col(item).alias("_r"))
+    both = a.join(b, ["_g", "_x", "_y"]).where((F.col("_x") < F.col("_y")) | (F.col("_l") < F.col("_r")))
+    return both.select(F.least("_l", "_r").alias("item"), F.greatest("_l", "_r").alias("neighbour"))
+
+
 def neighbours(pairs: DataFrame, top_n: int = 100) -> DataFrame:
     """(item, neighbour, cnt, rnk): the top_n neighbours per item by (cnt desc, neighbour)."""
     return top_k_per_group(pairs, "item", [F.col("cnt").desc(), F.col("neighbour")], top_n, "rnk")

@@ -10,7 +10,7 @@ from cadence.operators import sequences as S
 from cadence.plans import common as C
 from cadence.plans.oracle import sql
 from cadence.plans.registry import register
-from cadence.sources.fixtures import tables
+from cadence.sources.fixtures import stage, tables
 
 META_CTE = """
 , meta AS (SELECT track_uri, track_name, artist_uri, artist_name, album_uri, album_name, track_dur_ms
@@ -47,13 +47,13 @@ def neighbours(spark, sf_dir):
         R.cooccurrence(C.split_seqs(spark, sf_dir, "train"), 50, 3), 100))
 
 
-def itemcf_parts(spark, sf_dir, k=20):
+def itemcf_parts(spark, sf_dir, k=20, nbrs=None):
     def build():
         seqs = C.split_seqs(spark, sf_dir, "test")
         groups = C.split_groups(spark, sf_dir, "test")
         return S.seed_holdout(seqs, groups)
     seeds, hold, ev = C.staged_split(spark, sf_dir, "cf_seed_holdout", build)
-    recs = R.rec_itemcf(seeds, neighbours(spark, sf_dir), k)
+    recs = R.rec_itemcf(seeds, neighbours(spark, sf_dir) if nbrs is None else nbrs, k)
     return recs, hold, ev
 
 
@@ -79,6 +79,22 @@ def q_nbrs(spark, sf_dir):
     return neighbours(spark, sf_dir).select("item", "neighbour", "cnt", F.col("rnk").cast("long"))
 
 
+WHOLE_COOC_CTE = COOC_CTE.replace(" WHERE pos < 50", "")
+
+
+@register("cooccurrence_whole", sql(C.SPLIT_CTE + WHOLE_COOC_CTE + "SELECT item, neighbour, cnt FROM cooc"))
+def q_cooc_whole(spark, sf_dir):
+    """Pairs of whole groups, not of their first 50 positions."""
+    return R.cooccurrence(C.split_seqs(spark, sf_dir, "train"), None, 3, stage=stage)
+
+
+@register("metrics_itemcf_whole", sql(CF_CTE.replace(COOC_CTE, WHOLE_COOC_CTE) + EV.metrics_sql()))
+def q_metrics_itemcf_whole(spark, sf_dir):
+    """The item-CF model on neighbours from whole groups."""
+    nbrs = C.memo(spark, sf_dir, "neighbours_whole", lambda: R.neighbours(q_cooc_whole(spark, sf_dir), 100))
+    return EV.ranking_metrics(*itemcf_parts(spark, sf_dir, nbrs=nbrs))
+
+
 @register("rec_itemcf", sql(CF_CTE + "SELECT pid, CAST(rank AS BIGINT) AS rank, item, score FROM recs"))
 def q_rec_itemcf(spark, sf_dir):
     recs, _, _ = itemcf_parts(spark, sf_dir)

@@ -3,6 +3,7 @@ import random
 from collections import Counter, defaultdict
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from cadence.operators import recommend as R
@@ -52,6 +53,32 @@ def test_cooccurrence_and_itemcf_match_brute_force(spark):
         assert got_r == exp_r
 
 
+@pytest.mark.parametrize("block_items", [4, 30, 1000])
+def test_whole_group_pairs_with_a_hot_group(spark, block_items):
+    """One group holds a third of all entries; its pairs are dealt to many join keys and counted once."""
+    rnd = random.Random(11)
+    rows = [(0, p, rnd.randrange(120)) for p in range(260)]
+    rows += [(pid, p, rnd.randrange(120)) for pid in range(1, 27) for p in range(20)]
+    rows += [(30, 0, 5), (30, 1, None), (31, 0, 7), (31, 1, 7)]
+    df = spark.createDataFrame(rows, "pid long, pos long, track_idx int")
+    groups = defaultdict(set)
+    for pid, _, it in rows:
+        if it is not None:
+            groups[pid].add(it)
+    cnt = Counter(pair for g in groups.values() for pair in itertools.permutations(g, 2))
+    kept = {}
+    got = R.cooccurrence(df, None, 3, block_items=block_items, stage=lambda d, name: kept.setdefault(name, d))
+    assert {(r["item"], r["neighbour"]): r["cnt"] for r in got.collect()} == {k: v for k, v in cnt.items() if v >= 3}
+    # Items of fewer than min_count groups are gone before any pair is made.
+    assert kept["group_items_often"].groupBy("track_idx").count().where("count < 3").count() == 0
+
+
+def test_a_hot_group_meets_in_bounded_keys(spark):
+    df = spark.createDataFrame([(pid, p, p) for pid in range(3) for p in range(500)], "pid long, pos long, track_idx int")
+    pairs = R.whole_group_pairs(df, 3, "track_idx", "pid", 50)
+    assert pairs.count() == 3 * 500 * 499 // 2 and pairs.distinct().count() == 500 * 499 // 2
+
+
 def test_catalog_search_is_literal_substring(spark):
     names = [("Sicko Mode", "Travis Scott"), ("a.b (remix)", "X"), ("HUMBLE.", "Kendrick Lamar"),
              ("Mode", "Depeche Mode"), ("zz", "q")]
