@@ -57,6 +57,15 @@ def _scatter(keys: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def _replaced(at: np.ndarray, names: np.ndarray, symbol: np.ndarray, *beside: np.ndarray) -> tuple[np.ndarray, ...]:
+    """``symbol`` with the pairs that begin at ``at`` replaced by ``names``; what stands beside a pair is kept for its first symbol."""
+    symbol = symbol.copy()
+    symbol[at] = names
+    keep = np.ones(len(symbol), bool)
+    keep[at + 1] = False
+    return tuple(x[keep] for x in (symbol, *beside))
+
+
 class Codes(dict):
     """Numbers words in the order they come."""
 
@@ -77,8 +86,7 @@ class Grammar:
         self.rules: list[np.ndarray] = []  # rows (left, right)
         self.known = np.zeros((0, 2), np.int64)  # (pair key, symbol), by key
         self.next = self.terminals
-        symbol, text = ids.astype(np.int64), np.repeat(np.arange(len(lengths)), lengths)
-        symbol, text = self._repair(symbol, text)
+        symbol, text = self._repair(ids.astype(np.int64), np.repeat(np.arange(len(lengths)), lengths))
         symbol, text = self._balance(symbol, text)
         self.roots, self.root_starts = symbol, (np.cumsum(lengths) - lengths)[text]
         rules = np.concatenate(self.rules) if self.rules else np.zeros((0, 2), np.int64)
@@ -105,36 +113,46 @@ class Grammar:
             self.known = np.insert(self.known, np.searchsorted(self.known[:, 0], new), np.stack([new, out[~old]], 1), axis=0)
         return out
 
-    def _replace(self, symbol: np.ndarray, text: np.ndarray, at: np.ndarray, names: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Symbols with the pairs that begin at ``at`` replaced by ``names``."""
-        symbol = symbol.copy()
-        symbol[at] = names
-        keep = np.ones(len(symbol), bool)
-        keep[at + 1] = False
-        return symbol[keep], text[keep]
-
     def _repair(self, symbol: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        while len(symbol) > 1:
-            inside = text[1:] == text[:-1]
-            key = np.where(inside, (symbol[:-1] << 32) | symbol[1:], -1)
+        """What is left of the texts when no pair of neighbours repeats.
+
+        A pair that occurs once is dead for good: what later stands on its two sides derives it, so it is as rare.
+        Dead places cut the sequence, and symbols between two of them leave the search."""
+        start, done, stretch = np.arange(len(symbol)), [], text
+        while True:
+            gap = np.flatnonzero(stretch[1:] == stretch[:-1])
+            key = (symbol[gap] << 32) | symbol[gap + 1]
             distinct, which, count = np.unique(key, return_inverse=True, return_counts=True)
-            often = count[which]
-            # Rank of each pair by frequency, ties in scattered order (else a repeated text would give one pair a round);
-            # pairs that occur once or span two texts rank -1.
-            rank_of = np.empty(len(distinct), np.int64)
-            rank_of[np.lexsort((distinct, _scatter(distinct), count))] = np.arange(len(distinct))
-            rank = np.where(inside & (often > 1), rank_of[which], -1)
-            if rank.max() < 0:
+            often = np.flatnonzero(count > 1)
+            if not len(often):
                 break
-            before, after = np.r_[-1, rank[:-1]], np.r_[rank[1:], -1]
+            # Rank of each pair by frequency, ties in scattered order (else a repeated text would give one pair a round).
+            order = (np.minimum(count[often], (1 << 23) - 1).astype(np.uint64) << np.uint64(40)) | (_scatter(distinct[often]) >> np.uint64(24))
+            rank_of = np.zeros(len(distinct), np.int64)
+            rank_of[often[np.argsort(order, kind="stable")]] = np.arange(1, len(often) + 1)
+            rank = np.zeros(len(symbol), np.int64)  # of the pair that begins here; 0: dead, or the end of a text
+            rank[gap] = rank_of[which]
+            joined = rank > 0
+            keep = joined.copy()
+            keep[1:] |= joined[:-1]
+            done.append((symbol[~keep], start[~keep]))
+            stretch = np.cumsum(np.r_[True, ~joined[:-1]])[keep]
+            symbol, start, rank = symbol[keep], start[keep], rank[keep]
             # In a stretch of one symbol the same pair overlaps itself: every other place counts, from the left.
-            same = np.r_[False, (key[1:] == key[:-1]) & (rank[1:] >= 0)]
-            first = np.maximum.accumulate(np.where(same, 0, np.arange(len(key))))
-            even = (np.arange(len(key)) - first) % 2 == 0
-            at = np.flatnonzero((rank >= 0) & even & (rank >= before) & (rank >= after))
-            names, index = np.unique(key[at], return_inverse=True)
-            symbol, text = self._replace(symbol, text, at, self._name(names)[index])
-        return symbol, text
+            same = np.r_[False, (rank[1:] == rank[:-1]) & (rank[1:] > 0)]
+            even = np.ones(len(rank), bool)
+            if same.any():
+                place = np.arange(len(rank))
+                even = (place - np.maximum.accumulate(np.where(same, 0, place))) % 2 == 0
+            best = (rank > 0) & even
+            best[1:] &= rank[1:] >= rank[:-1]
+            best[:-1] &= rank[:-1] >= rank[1:]
+            at = np.flatnonzero(best)
+            names, index = np.unique((symbol[at] << 32) | symbol[at + 1], return_inverse=True)
+            symbol, start, stretch = _replaced(at, self._name(names)[index], symbol, start, stretch)
+        symbol, start = (np.concatenate(x) for x in zip(*done, (symbol, start), strict=True))
+        by = np.argsort(start, kind="stable")
+        return symbol[by], text[start[by]]
 
     def _balance(self, symbol: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         while len(symbol) > 1:
@@ -145,7 +163,7 @@ class Grammar:
             place = spans(size)
             at = np.flatnonzero((place % 2 == 0) & (place + 1 < np.repeat(size, size)))
             keys, index = np.unique((symbol[at] << 32) | symbol[at + 1], return_inverse=True)
-            symbol, text = self._replace(symbol, text, at, self._name(keys)[index])
+            symbol, text = _replaced(at, self._name(keys)[index], symbol, text)
         return symbol, text
 
     def places(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:

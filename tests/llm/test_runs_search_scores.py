@@ -104,8 +104,8 @@ def test_grammar_derives_its_texts():
 
 def test_long_texts_take_few_rounds(monkeypatch):
     rounds = []
-    replace = runs.Grammar._replace
-    monkeypatch.setattr(runs.Grammar, "_replace", lambda *a: rounds.append(1) or replace(*a))
+    replace = runs._replaced
+    monkeypatch.setattr(runs, "_replaced", lambda *a: rounds.append(1) or replace(*a))
     t = np.tile(np.arange(20_000), 2)  # each pair twice, keys in ascending order
     runs.Grammar(t, np.array([len(t)]))
     assert len(rounds) < 80
