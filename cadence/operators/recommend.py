@@ -250,54 +250,6 @@ def token_accuracy(pairs: DataFrame, trans: DataFrame, vocab_limit: int | None =
 
 
 # ---- catalogue search ------------------------------------------------------
-def _grams(text, n: int):
-    """All substrings of length n of ``text`` (array)."""
-    return F.transform(F.sequence(F.lit(1), F.greatest(F.length(text) - n + 1, F.lit(1))),
-                       lambda i: F.substring(text, i, n))
-
-
-def catalog_search(catalog: DataFrame, requests: DataFrame, max_results: int = 10, gram: int = 3) -> DataFrame:
-    """Case-insensitive literal substring search of each request in track or
-    artist name; at most ``max_results`` hits per request in popularity order.
-
-    Exact without comparing every request with every item: each request is
-    joined (equi-join) only with the items that contain its rarest n-gram
-    (n = min(3, len(q))), then the candidates are verified with ``contains``.
-    An empty request matches everything (the most popular items).
-    """
-    cat = catalog.select("corpus_idx", "track_uri", "track_name", "artist_name",
-                         F.lower("track_name").alias("_tn"), F.lower("artist_name").alias("_an"))
-    req = requests.select("request_id", F.lower(F.trim("query")).alias("q"))
-    from cadence.operators.profile import fit_scalars
-    # gram lengths the requests actually use (at most ``gram`` values)
-    used = fit_scalars(req.where(F.length("q") > 0),
-                       F.collect_set(F.least(F.length("q"), F.lit(gram))).alias("n")).get("n") or []
-    ngr = None
-    for n in sorted(used) or [gram]:
-        g = cat.select("corpus_idx", F.explode(F.array_union(_grams(F.col("_tn"), n), _grams(F.col("_an"), n))).alias("g")) \
-            .where(F.length("g") == n)
-        ngr = g if ngr is None else ngr.unionByName(g)
-    ngr = ngr.distinct()
-    freq = ngr.groupBy("g").agg(F.count(F.lit(1)).alias("_gf"))
-    nonempty = req.where(F.length("q") > 0)
-    qn = F.least(F.length("q"), F.lit(gram))
-    rg = nonempty.select("request_id", "q", F.explode(F.transform(
-        F.sequence(F.lit(1), F.length("q") - qn + 1), lambda i: F.substring(F.col("q"), i, qn))).alias("g"))
-    rg = rg.join(freq, "g", "left").fillna(0, ["_gf"])
-    pick = top_k_per_group(rg, "request_id", [F.col("_gf"), F.col("g")], 1, "_r").drop("_r", "_gf")
-    cand = pick.join(ngr, "g", "inner").join(cat, "corpus_idx", "inner") \
-        .where(F.col("_tn").contains(F.col("q")) | F.col("_an").contains(F.col("q")))
-    hits = cand.select("request_id", "corpus_idx")
-    # an empty request gets the first max_results rows of the catalogue, whatever indices are absent
-    first = cat.select("corpus_idx").orderBy("corpus_idx").limit(max_results).withColumn(
-        "_n", F.row_number().over(Window.orderBy("corpus_idx")))  # at most max_results rows
-    empty = req.where(F.length("q") == 0).select("request_id", F.explode(F.sequence(F.lit(1), F.lit(max_results))).alias("_n"))
-    hits = hits.unionByName(empty.join(first, "_n").select("request_id", "corpus_idx"))
-    top = top_k_per_group(hits, "request_id", [F.col("corpus_idx")], max_results)
-    return top.join(cat.drop("_tn", "_an"), "corpus_idx", "inner").select(
-        "request_id", "rank", "corpus_idx", "track_uri", "track_name", "artist_name")
-
-
 def decode_recs(recs: DataFrame, catalog: DataFrame, holdout: DataFrame | None = None,
                 item: str = "track_idx") -> DataFrame:
     """Names for recommended indexes ('<unknown>' / 0 when absent) and a hit flag."""

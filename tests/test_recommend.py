@@ -79,22 +79,6 @@ def test_a_hot_group_meets_in_bounded_keys(spark):
     assert pairs.count() == 3 * 500 * 499 // 2 and pairs.distinct().count() == 500 * 499 // 2
 
 
-def test_catalog_search_is_literal_substring(spark):
-    names = [("Sicko Mode", "Travis Scott"), ("a.b (remix)", "X"), ("HUMBLE.", "Kendrick Lamar"),
-             ("Mode", "Depeche Mode"), ("zz", "q")]
-    cat = spark.createDataFrame([(i, f"u{i}", n, a) for i, (n, a) in enumerate(names)],
-                                "corpus_idx long, track_uri string, track_name string, artist_name string")
-    reqs = spark.createDataFrame([("r1", "mode"), ("r2", "a.b"), ("r3", ""), ("r4", " KEN"), ("r5", "(re"),
-                                  ("r6", "nothing")], "request_id string, query string")
-    got = defaultdict(list)
-    for r in sorted(R.catalog_search(cat, reqs, 3).collect(), key=lambda r: r["rank"]):
-        got[r["request_id"]].append(r["corpus_idx"])
-    for rid, q in [("r1", "mode"), ("r2", "a.b"), ("r3", ""), ("r4", " KEN"), ("r5", "(re"), ("r6", "nothing")]:
-        qq = q.lower().strip()
-        exp = [i for i, (n, a) in enumerate(names) if qq in n.lower() or qq in a.lower()][:3]
-        assert got.get(rid, []) == exp
-
-
 def test_label_recommender_skips_seen_and_unknown(spark):
     pop = spark.createDataFrame([("rock", i + 1, f"t{i}", 100 - i) for i in range(10)],
                                 "genre string, rank long, track_uri string, cnt long")
@@ -169,9 +153,3 @@ def test_next_item_without_seen_items_is_complete(spark):
         got = R.rec_next_item(seeds, trans, n, k=5, exclude_seen=True).orderBy("rank").collect()
         assert [r["item"] for r in got] == want
     assert [r["item"] for r in R.rec_next_item(seeds, trans, 40, k=5).orderBy("rank").collect()] == [9, 0, 1, 2, 3]
-
-
-def test_empty_request_with_gaps_in_the_catalogue(spark):
-    cat = spark.createDataFrame([(i, f"u{i}", "n", "a") for i in (0, 1, 5, 9)], "corpus_idx long, track_uri string, track_name string, artist_name string")
-    got = R.catalog_search(cat, spark.createDataFrame([("r", " ")], "request_id string, query string"), 3).orderBy("rank").collect()
-    assert [r["corpus_idx"] for r in got] == [0, 1, 5]
