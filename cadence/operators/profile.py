@@ -9,6 +9,8 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cadence.operators.quantiles import exact_quantiles, number, sketch, values_at
+
 
 def distribution(df: DataFrame, col: str, unknown: str | None = None, digits: int = 9) -> DataFrame:
     """(col, n, pct) per value, plus 'labeled' (all but ``unknown``) and 'total' rows."""
@@ -97,51 +99,6 @@ def long_form(df: DataFrame, cols: list[str]) -> DataFrame:
         len(cols), ", ".join(f"'{c}', CAST(`{c}` AS DOUBLE)" for c in cols)))
 
 
-def exact_quantiles(long: DataFrame, key: str, x: str, probs, bins: int = 256) -> dict[str, list[float]]:
-    """Exact linear-interpolated quantiles of ``x`` per ``key`` (a bounded set of labels), as scalars.
-
-    No task holds a counter per distinct value: a histogram of at most ``bins``
-    ranges per key finds the range that holds a wanted rank, the next pass
-    cuts only that range into ``bins`` ranges, and so on until a range holds
-    a single value. Every pass is a partial aggregate with at most ``bins``
-    rows per key and wanted rank; nulls and NaN are left out."""
-    spark = long.sparkSession
-    d = long.select(F.col(key).cast("string").alias("_k"), F.col(x).cast("double").alias("_x")).where(F.col("_x").isNotNull() & ~F.isnan("_x"))
-    stats = d.groupBy("_k").agg(F.count(F.lit(1)).alias("n"), F.min("_x").alias("lo"), F.max("_x").alias("hi")).collect()
-    n = {r["_k"]: r["n"] for r in stats}
-    ranks = {k: {f(p * (m - 1)) for p in probs for f in (math.floor, math.ceil)} for k, m in n.items()}
-    value, todo = {}, [(r["_k"], r["lo"], r["hi"], 0, ranks[r["_k"]]) for r in stats]
-    while todo:
-        open_ = []
-        for k, lo, hi, base, want in todo:
-            if lo == hi:
-                value |= {(k, r): lo for r in want}
-            else:
-                open_.append((k, lo, hi, base, want))
-        if not open_:
-            break
-        spec = spark.createDataFrame([(i, k, lo, hi) for i, (k, lo, hi, _, _) in enumerate(open_)], "_i int, _sk string, _lo double, _hi double")
-        j = d.join(F.broadcast(spec), F.col("_k").eqNullSafe(F.col("_sk")) & (F.col("_x") >= F.col("_lo")) & (F.col("_x") <= F.col("_hi")))
-        # halves keep the width finite where the ends are far apart
-        b = F.least(F.floor((F.col("_x") / 2 - F.col("_lo") / 2) / (F.col("_hi") / 2 - F.col("_lo") / 2) * bins), F.lit(bins - 1))
-        parts = {}
-        for r in j.groupBy("_i", b.alias("_b")).agg(F.count(F.lit(1)).alias("n"), F.min("_x").alias("lo"), F.max("_x").alias("hi")).collect():
-            parts.setdefault(r["_i"], []).append(r)
-        todo = []
-        for i, (k, _, _, base, want) in enumerate(open_):
-            for r in sorted(parts[i], key=lambda r: r["lo"]):
-                own = {w for w in want if base <= w < base + r["n"]}
-                if own:
-                    todo.append((k, r["lo"], r["hi"], base, own))
-                base += r["n"]
-    out = {}
-    for k, m in n.items():
-        at = [p * (m - 1) for p in probs]
-        out[k] = [value[k, math.floor(a)] if a == math.floor(a) else
-                  (math.ceil(a) - a) * value[k, math.floor(a)] + (a - math.floor(a)) * value[k, math.ceil(a)] for a in at]
-    return out
-
-
 def _attach(df: DataFrame, key: str, scalars: dict[str, list], names: list[str]) -> DataFrame:
     """Add fitted scalars as columns; one row per key."""
     rows = [(k, *v) for k, v in scalars.items()]
@@ -152,20 +109,35 @@ def _attach(df: DataFrame, key: str, scalars: dict[str, list], names: list[str])
 def trimmed_stats(df: DataFrame, cols: list[str], lo: float = 0.1, hi: float = 0.9,
                   digits: int = 2, approx: bool = False) -> DataFrame:
     """(variable, trimmed_median, trimmed_mean, trimmed_std, p_lo, p_hi) with
-    the trim lo <= x <= hi on each column's own quantiles."""
-    long = long_form(df, cols)
+    the trim lo <= x <= hi on each column's own quantiles. Columns without
+    values are left out.
+
+    The quantiles take two passes, the moments one; the trimmed median is a rank
+    of the column, known from the counts, and is read off with the first sketch
+    (exact) or is that of a sketch of the trimmed values (``approx``)."""
     if approx:
         s = fit_scalars(df, *[quantiles(c, [lo, hi], approx).alias(c) for c in cols])
-        q = {c: [float(v) for v in s[c]] for c in cols}
+        q = {c: [float(v) for v in s[c]] for c in cols if s[c] is not None}
     else:
-        q = exact_quantiles(long, "variable", "x", [lo, hi])
-    t = _attach(long, "variable", q, ["_lo", "_hi"]).where((F.col("x") >= F.col("_lo")) & (F.col("x") <= F.col("_hi")))
-    aggs = [F.round(F.avg("x"), digits).alias("trimmed_mean"), F.round(F.stddev_samp("x"), digits).alias("trimmed_std"),
-            F.round(F.first("_lo"), digits).alias("p_lo"), F.round(F.first("_hi"), digits).alias("p_hi")]
+        sketches = sketch(df, cols, [lo, hi])
+        q = {c: v for (_, c), v in exact_quantiles(df, cols, [lo, hi], sketches=sketches).items()}
+    aggs = []
+    for i, (c, (a, b)) in enumerate(q.items()):
+        x = number(c)
+        x_in = F.when((x >= a) & (x <= b), x)
+        aggs += [F.avg(x_in).alias(f"m{i}"), F.stddev_samp(x_in).alias(f"s{i}"), F.count(x_in).alias(f"n{i}"), F.count(F.when(x < a, x)).alias(f"b{i}")]
+        aggs += [quantiles(x_in, 0.5, True).alias(f"q{i}")] if approx else []
+    got = fit_scalars(df, *aggs) if aggs else {}
     if approx:
-        return t.groupBy("variable").agg(F.round(quantiles("x", 0.5, True), digits).alias("trimmed_median"), *aggs)
-    out = _attach(t.groupBy("variable").agg(*aggs), "variable", exact_quantiles(t, "variable", "x", [0.5]), ["_med"])
-    return out.select("variable", F.round("_med", digits).alias("trimmed_median"), "trimmed_mean", "trimmed_std", "p_lo", "p_hi")
+        medians = {c: got[f"q{i}"] for i, c in enumerate(q)}
+    else:
+        ranks = {c: [got[f"b{i}"] + f(0.5 * (got[f"n{i}"] - 1)) for f in (math.floor, math.ceil)] for i, c in enumerate(q) if got[f"n{i}"]}
+        at = values_at(df, sketches, {(None, c): set(r) for c, r in ranks.items()})
+        medians = {c: (at[None, c, r[0]] + at[None, c, r[1]]) / 2 for c, r in ranks.items()}
+    names = ("trimmed_median", "trimmed_mean", "trimmed_std", "p_lo", "p_hi")
+    rows = [(c, medians.get(c), got[f"m{i}"], got[f"s{i}"], *q[c]) for i, c in enumerate(q)]
+    out = df.sparkSession.createDataFrame(rows, "variable string, " + ", ".join(f"{n} double" for n in names))
+    return out.select("variable", *[F.round(n, digits).alias(n) for n in names])
 
 
 def corr_matrix(df: DataFrame, cols: list[str], digits: int = 9) -> DataFrame:
@@ -208,13 +180,15 @@ def histograms(df: DataFrame, cols: list[str], bins: int) -> DataFrame:
 
 
 def describe_exact(df: DataFrame, cols: list[str], digits: int = 9) -> DataFrame:
-    """(variable, count, mean, std, min, p25, p50, p75, max) per column."""
-    long = long_form(df, cols).where(F.col("x").isNotNull())
-    s = long.groupBy("variable").agg(
-        F.count("x").cast("long").alias("count"), F.round(F.avg("x"), digits).alias("mean"),
-        F.round(F.stddev_samp("x"), digits).alias("std"), F.min("x").alias("min"), F.max("x").alias("max"))
-    s = _attach(s, "variable", exact_quantiles(long, "variable", "x", [0.25, 0.5, 0.75]), ["p25", "p50", "p75"])
-    return s.select("variable", "count", "mean", "std", "min", *[F.round(c, digits).alias(c) for c in ("p25", "p50", "p75")], "max")
+    """(variable, count, mean, std, min, p25, p50, p75, max) per column; columns without values are left out."""
+    q = exact_quantiles(df, cols, [0.25, 0.5, 0.75])
+    some = [c for c in cols if (None, c) in q]
+    aggs = [a for i, c in enumerate(some) for a in (F.count(number(c)).alias(f"n{i}"), F.avg(number(c)).alias(f"m{i}"), F.stddev_samp(number(c)).alias(f"s{i}"),
+                                                    F.min(number(c)).alias(f"a{i}"), F.max(number(c)).alias(f"b{i}"))]
+    got = fit_scalars(df, *aggs) if aggs else {}
+    rows = [(c, got[f"n{i}"], got[f"m{i}"], got[f"s{i}"], got[f"a{i}"], *q[None, c], got[f"b{i}"]) for i, c in enumerate(some)]
+    out = df.sparkSession.createDataFrame(rows, "variable string, count long, mean double, std double, min double, p25 double, p50 double, p75 double, max double")
+    return out.select("variable", "count", *[F.round(c, digits).alias(c) for c in ("mean", "std")], "min", *[F.round(c, digits).alias(c) for c in ("p25", "p50", "p75")], "max")
 
 
 def coverage_top_pct(vocab: DataFrame, pcts=(0.1, 1, 5, 10, 25, 50), freq: str = "corpus_freq",
@@ -271,9 +245,9 @@ def artist_diversity(playlists: DataFrame, tracks: DataFrame, digits: int = 9) -
     """One row: distinct artists per group (median, mean, p10, p90, max) and
     their ratio to the group's entries (median, mean)."""
     j = artists_per_group(playlists, tracks)
-    q = exact_quantiles(long_form(j, ["n_art", "ratio"]), "variable", "x", [0.1, 0.5, 0.9])
+    q = exact_quantiles(j, ["n_art", "ratio"], [0.1, 0.5, 0.9])
     none = [None] * 3
-    a, r = q.get("n_art", none), q.get("ratio", none)
+    a, r = q.get((None, "n_art"), none), q.get((None, "ratio"), none)
     fixed = lambda v: F.round(F.lit(v).cast("double"), digits)
     return j.agg(
         fixed(a[1]).alias("artists_median"), F.round(F.avg("n_art"), digits).alias("artists_mean"),
@@ -288,7 +262,8 @@ def split_profile(groups: DataFrame, by: str = "split", col: str = "seq_len", di
     s = groups.groupBy(by).agg(
         F.count(F.lit(1)).cast("long").alias("n"), F.min(x).alias("min"),
         F.round(F.avg(x), digits).alias("mean"), F.max(x).alias("max"))
-    s = _attach(s, by, exact_quantiles(groups, by, col, [0.1, 0.25, 0.5, 0.75, 0.9]), ["p10", "q1", "median", "q3", "p90"])
+    fitted = {k: v for (k, _), v in exact_quantiles(groups, [col], [0.1, 0.25, 0.5, 0.75, 0.9], by).items()}
+    s = _attach(s, by, fitted, ["p10", "q1", "median", "q3", "p90"])
     s = s.select(by, "n", "min", "p10", "median", "mean", "p90", "max", "q1", "q3")
     # one row per split: a bounded side, broadcast for the fence pass
     fences = s.select(by, (F.col("q1") - 1.5 * (F.col("q3") - F.col("q1"))).alias("_flo"),

@@ -62,10 +62,9 @@ def encode(corpus: DataFrame, vocab: DataFrame, item: str = "track_uri",
 def length_bin_edges(groups: DataFrame, col: str = "seq_len", q: int = 10) -> list[float]:
     """Distinct quantile edges (linear interpolation) -- q+1 numbers, fitted once."""
     probs = [i / q for i in range(q + 1)]
-    from cadence.operators.profile import exact_quantiles
-    fitted = exact_quantiles(groups.select(F.lit("").alias("_one"), col), "_one", col, probs)
+    from cadence.operators.quantiles import exact_quantiles
     edges = []
-    for e in fitted.get("", []):
+    for e in exact_quantiles(groups, [col], probs).get((None, col), []):
         if not edges or e != edges[-1]:
             edges.append(float(e))
     return edges

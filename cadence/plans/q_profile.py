@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from cadence.functions.text import epoch_date, normalize_title
 from cadence.operators import profile as P
+from cadence.operators.quantiles import exact_quantiles
 from cadence.plans import common as C
 from cadence.plans.oracle import sql
 from cadence.plans.q_genre import _sql_norm
@@ -164,7 +165,7 @@ SELECT bin, n, bin_lo, bin_hi,
 FROM (""" + _hist_sql("_t", "s", 60, "(SELECT lo FROM _m)", "(SELECT hi FROM _m)") + ")"))
 def q_duration_hist(spark, sf_dir):
     d = tables(spark, sf_dir).tracks().select((F.col("track_dur_ms") / 1000.0).alias("s"))
-    q = P.exact_quantiles(d.select(F.lit("s").alias("k"), "s"), "k", "s", [0.01, 0.99])["s"]
+    q = exact_quantiles(d, ["s"], [0.01, 0.99])[None, "s"]
     t = d.where((F.col("s") >= q[0]) & (F.col("s") <= q[1]))
     h = P.histogram(t, "s", 60)
     label = F.concat(F.floor(F.col("bin_lo") / 60).cast("long").cast("string"), F.lit(":"),
