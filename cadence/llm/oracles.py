@@ -39,30 +39,46 @@ SELECT doc_id, n_bytes, prefix AS shard_id, leaf.depth::BIGINT AS depth, shard_b
 FROM leaf JOIN fit ON fit.depth = leaf.depth AND fit.prefix = substr(leaf.bits, 1, leaf.depth)
 """
 
+# References are medians over documents and over groups of sources, as the operator's.
 ORACLES["op9_quality"] = r"""
-WITH d AS (SELECT doc_id, coalesce(lang, '') AS lang, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
-cls AS (SELECT doc_id, lang, t, w, length(t) AS n, [length(regexp_replace(t, '[^a-z]', '', 'g')), length(regexp_replace(t, '[^A-Z]', '', 'g')), length(regexp_replace(t, '[^0-9]', '', 'g')),
+WITH d AS (SELECT row_number() OVER () AS rk, doc_id, coalesce(lang, '') AS lang, ('0x' || substr(md5(coalesce(source, '')), 1, 8))::BIGINT % 64 AS g, coalesce(text, '') AS t FROM documents),
+w AS (SELECT *, length(t) AS n, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS words,
+             regexp_extract_all(lower(t), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F](?:[^\x20\x09-\x0D]*[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F])?') AS cores FROM d),
+m AS (SELECT *, [length(regexp_replace(t, '[^a-z]', '', 'g')), length(regexp_replace(t, '[^A-Z]', '', 'g')), length(regexp_replace(t, '[^0-9]', '', 'g')),
                length(regexp_replace(t, '[^\x20\x09-\x0D]', '', 'g')), length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')),
-               length(regexp_replace(t, '[a-zA-Z0-9\x20\x09-\x0D#*$%&|<>]|[^\x00-\x7F]', '', 'g')), length(regexp_replace(t, '[\x00-\x7F]', '', 'g'))] AS c FROM d),
-tot AS (SELECT lang, sum(len(w)) AS n, [sum(c[1]), sum(c[2]), sum(c[3]), sum(c[4]), sum(c[5]), sum(c[6]), sum(c[7])] AS c, sum(n) AS chars FROM cls GROUP BY lang HAVING sum(len(w)) >= 2000),
-cnt AS (SELECT lang, lower(x) AS word, count(*) AS k FROM (SELECT lang, unnest(w) AS x FROM d) WHERE length(x) <= 5 GROUP BY 1, 2),
-top AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY k DESC, word) AS r FROM cnt) WHERE r <= 24),
-refw AS (SELECT lang, list(word ORDER BY r) AS words, list(k ORDER BY r) AS ks, sum(k) AS ksum FROM top GROUP BY lang),
-ref AS (SELECT lang, words, list_transform(list_append(ks, (n - ksum)::BIGINT), lambda x: x / n::DOUBLE) AS ws, list_transform(c, lambda x: x / chars::DOUBLE) AS cs FROM tot JOIN refw USING (lang)),
-lowered AS (SELECT doc_id, list_transform(w, lambda x: lower(x)) AS lw FROM d),
-hist AS (SELECT cls.*, ref.words, ws, cs, list_transform(words, lambda x: list_count(list_filter(lw, lambda y: y = x))) AS k FROM cls JOIN lowered USING (doc_id) LEFT JOIN ref USING (lang)),
-sh AS (SELECT *, list_transform(list_append(k, (len(w) - list_sum(k))::BIGINT), lambda x: x / len(w)::DOUBLE) AS pw, list_transform(c, lambda x: x / n::DOUBLE) AS pc FROM hist),
-dist AS (SELECT *,
-  CASE WHEN words IS NOT NULL AND n >= 250 THEN sqrt(greatest(0.0, list_sum(list_transform(list_zip(pc, cs), lambda z: (CASE WHEN z[1] > 0 THEN z[1] * log2(z[1] / ((z[1] + z[2]) / 2)) ELSE 0.0 END) + (CASE WHEN z[2] > 0 THEN z[2] * log2(z[2] / ((z[1] + z[2]) / 2)) ELSE 0.0 END))) / 2)) END AS cd,
-  CASE WHEN words IS NOT NULL AND len(w) >= 40 THEN sqrt(greatest(0.0, list_sum(list_transform(list_zip(pw, ws), lambda z: (CASE WHEN z[1] > 0 THEN z[1] * log2(z[1] / ((z[1] + z[2]) / 2)) ELSE 0.0 END) + (CASE WHEN z[2] > 0 THEN z[2] * log2(z[2] / ((z[1] + z[2]) / 2)) ELSE 0.0 END))) / 2)) END AS wd
-  FROM sh),
-win AS (SELECT doc_id, i, array_to_string(w[i:i + 4], ' ') AS s FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM d WHERE len(w) >= 5)),
-rep AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(i, i + 5)) AS p FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, s) AS k FROM win) WHERE k > 1) GROUP BY doc_id),
-lin AS (SELECT doc_id, count(*) - count(DISTINCT l) AS n FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS l FROM d) WHERE regexp_matches(l, '[^\x20\x09-\x0D]') GROUP BY doc_id),
-base AS (SELECT x.doc_id, len(w)::BIGINT AS n_words, (x.n - c[4])::BIGINT AS word_chars, c[5]::BIGINT AS n_symbols, coalesce(lin.n, 0)::BIGINT AS n_dup_lines, coalesce(rep.n, 0)::BIGINT AS n_repeat_words, cd, wd
-         FROM dist x LEFT JOIN rep USING (doc_id) LEFT JOIN lin USING (doc_id))
+               length(regexp_replace(t, '[a-zA-Z0-9\x20\x09-\x0D#*$%&|<>]|[^\x00-\x7F]', '', 'g')), length(regexp_replace(t, '[\x00-\x7F]', '', 'g'))] AS c FROM w),
+-- medians over documents, on a grid of 1/1000: classes 0 to 6, and 7, the tokens of punctuation alone
+shares AS (SELECT lang, k, round(c[k + 1] / n::DOUBLE * 1000)::INT AS bin FROM m, (SELECT unnest(range(0, 7)) AS k) WHERE n >= 250
+           UNION ALL SELECT lang, 7, round((1 - len(cores) / len(words)::DOUBLE) * 1000)::INT FROM m WHERE len(words) >= 40),
+upto AS (SELECT lang, k, bin, sum(count(*)) OVER (PARTITION BY lang, k ORDER BY bin) AS below, sum(count(*)) OVER (PARTITION BY lang, k) AS all_of FROM shares GROUP BY lang, k, bin),
+med AS (SELECT lang, k, min(bin) AS bin FROM upto WHERE 2 * below >= all_of GROUP BY lang, k),
+cs AS (SELECT lang, list(bin::DOUBLE / whole ORDER BY k) AS cs FROM (SELECT *, sum(bin) OVER (PARTITION BY lang) AS whole FROM med WHERE k < 7) WHERE whole > 0 GROUP BY lang),
+-- word shares: medians over the groups of sources of a language
+each AS (SELECT lang, g, unnest(cores) AS word FROM m),
+sizes AS (SELECT lang, g, count(*) AS k, sum(count(*)) OVER (PARTITION BY lang) AS all_of FROM each GROUP BY lang, g),
+vote AS (SELECT lang, g, CASE WHEN k >= 2000 THEN g ELSE -1 END AS vote, k FROM sizes WHERE all_of >= 2000),
+votes AS (SELECT lang, vote, sum(k) AS n, count(*) OVER (PARTITION BY lang) AS votes FROM vote GROUP BY lang, vote),
+voted AS (SELECT lang, vote, word, count(*) / any_value(n)::DOUBLE AS share, any_value(votes) AS votes FROM each JOIN vote USING (lang, g) JOIN votes USING (lang, vote) GROUP BY lang, vote, word),
+lists AS (SELECT lang, word, any_value(votes) AS votes, list(share ORDER BY share) AS s FROM voted WHERE share * 2000 >= 1 GROUP BY lang, word),
+mid AS (SELECT lang, word, (coalesce(s[(votes - 1) // 2 - (votes - len(s)) + 1], 0) * ((votes - 1) // 2 >= votes - len(s))::INT + coalesce(s[votes // 2 - (votes - len(s)) + 1], 0) * (votes // 2 >= votes - len(s))::INT) / 2 AS share FROM lists),
+top AS (SELECT * FROM (SELECT lang, word, share, row_number() OVER o AS r, sum(share) OVER (o ROWS UNBOUNDED PRECEDING) AS upto FROM mid WHERE share > 0 WINDOW o AS (PARTITION BY lang ORDER BY share DESC, word)) WHERE r <= 400 AND upto - share < 0.33),
+refw AS (SELECT lang, word, share * (1 - coalesce(bin, 0) / 1000.0) AS share, coalesce(bin, 0) / 1000.0 AS bare FROM top LEFT JOIN (SELECT lang, bin FROM med WHERE k = 7) USING (lang)),
+ref AS (SELECT lang, sum(share) AS named, greatest(0.0, 1 - any_value(bare) - sum(share)) AS rest, any_value(bare) AS bare FROM refw GROUP BY lang),
+-- a class of share p in the text and q in the reference adds js(p, q)
+known AS (SELECT rk, share AS q, count(*) AS k FROM (SELECT rk, lang, unnest(cores) AS word FROM m) JOIN refw USING (lang, word) GROUP BY rk, word, share),
+seen AS (SELECT rk, sum(k) AS k, sum(p * log2(p / ((p + q) / 2)) + q * log2(q / ((p + q) / 2)) - q) AS js FROM (SELECT known.*, k / len(words)::DOUBLE AS p FROM known JOIN m USING (rk)) GROUP BY rk),
+rest AS (SELECT m.rk, ref.named + coalesce(seen.js, 0) AS js, [(len(cores) - coalesce(seen.k, 0)) / len(words)::DOUBLE, (len(words) - len(cores)) / len(words)::DOUBLE] AS p, [ref.rest, ref.bare] AS q
+         FROM m JOIN ref USING (lang) LEFT JOIN seen USING (rk) WHERE len(words) >= 40),
+dist AS (SELECT m.*, wd, CASE WHEN n >= 250 THEN sqrt(greatest(0.0, list_sum(list_transform(list_zip(list_transform(c, lambda x: x / n::DOUBLE), cs), lambda z: (CASE WHEN z[1] > 0 THEN z[1] * log2(z[1] / ((z[1] + z[2]) / 2)) ELSE 0.0 END) + (CASE WHEN z[2] > 0 THEN z[2] * log2(z[2] / ((z[1] + z[2]) / 2)) ELSE 0.0 END))) / 2)) END AS cd
+         FROM m LEFT JOIN (SELECT cs.* FROM cs JOIN ref USING (lang)) USING (lang)
+         LEFT JOIN (SELECT rk, sqrt(greatest(0.0, (js + list_sum(list_transform(list_zip(p, q), lambda z: (CASE WHEN z[1] > 0 THEN z[1] * log2(z[1] / ((z[1] + z[2]) / 2)) ELSE 0.0 END) + (CASE WHEN z[2] > 0 THEN z[2] * log2(z[2] / ((z[1] + z[2]) / 2)) ELSE 0.0 END)))) / 2)) AS wd FROM rest) USING (rk)),
+win AS (SELECT rk, i, array_to_string(words[i:i + 4], ' ') AS s FROM (SELECT rk, words, unnest(range(1, len(words) - 3)) AS i FROM m WHERE len(words) >= 5)),
+rep AS (SELECT rk, count(DISTINCT p) AS n FROM (SELECT rk, unnest(range(i, i + 5)) AS p FROM (SELECT *, count(*) OVER (PARTITION BY rk, s) AS k FROM win) WHERE k > 1) GROUP BY rk),
+lin AS (SELECT rk, count(*) - count(DISTINCT l) AS n FROM (SELECT rk, unnest(string_split(t, chr(10))) AS l FROM d) WHERE regexp_matches(l, '[^\x20\x09-\x0D]') GROUP BY rk),
+base AS (SELECT x.doc_id, len(words)::BIGINT AS n_words, (x.n - c[4])::BIGINT AS word_chars, c[5]::BIGINT AS n_symbols, coalesce(lin.n, 0)::BIGINT AS n_dup_lines, coalesce(rep.n, 0)::BIGINT AS n_repeat_words, cd, wd
+         FROM dist x LEFT JOIN rep USING (rk) LEFT JOIN lin USING (rk))
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AS base_failed,
-       NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AND NOT coalesce(cd > 0.32, false) AND NOT coalesce(wd > 0.42, false) AS kept
+       NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AND NOT coalesce(cd > 0.32, false) AND NOT coalesce(wd > least(0.42, sqrt(0.04 + 9.0 / n_words)), false) AS kept
 FROM base
 """
 

@@ -44,11 +44,12 @@ from cadence.llm.store import written
 
 WORD = r"[^\x20\x09-\x0D]+"
 #: From the first to the last character of a word that is not ASCII punctuation.
-CORE = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F](?:[^\x20\x09-\x0D]*[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F])?"
+CORE = r"[\p{Alnum}\P{ASCII}](?:\S*[\p{Alnum}\P{ASCII}])?"
 SYMBOLS = "#*$%&|<>"
 CLASSES = ("lower", "upper", "digit", "space", "symbol", "ascii", "other")
-#: Grid of the medians over documents; groups of sources; a word is rare under 1 / RARE of its group's words; hash buckets of words.
-GRID, GROUPS, RARE, BUCKETS = 1_000, 64, 2_000, 16_384
+#: Grid of the medians over documents; groups of sources; a word is rare under 1 / RARE of its group's words; hash buckets of words;
+#: places of the table that reference words are looked up in.
+GRID, GROUPS, RARE, BUCKETS, SLOTS = 1_000, 64, 2_000, 8_192, 4_096
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -92,19 +93,34 @@ def repeat_words(words: Column, width: int = 5) -> Column:
         return let(F.sort_array(F.transform(again, lambda x: x["i"])), lambda p: F.aggregate(
             F.transform(p, lambda i, k: F.least(F.lit(width), F.coalesce(F.get(p, k + 1) - i, F.lit(width)))), F.lit(0), lambda a, b: a + b))
 
-    hashes = F.transform(F.sequence(F.lit(1), n), lambda i: F.xxhash64(F.slice(words, i, width)))
-    count = let(hashes, lambda h: F.when(F.size(F.array_distinct(h)) == F.size(h), F.lit(0)).otherwise(
-        let(F.sort_array(F.transform(h, lambda x, i: F.struct(x.alias("h"), i.alias("i")))), covered)))
-    return F.when(n > 1, count).otherwise(F.lit(0)).cast("long")
+    def of_pairs(pair: Column) -> Column:
+        # A window's hash is made of the hashes of pairs of words that cover it.
+        windows = F.slice(pair, 1, n)
+        for k in sorted({*range(2, width - 1, 2), width - 2}):
+            windows = F.zip_with(windows, F.slice(pair, k + 1, n), lambda a, b: F.xxhash64(a, b))
+        return let(windows, lambda h: F.when(F.size(F.array_distinct(h)) == F.size(h), F.lit(0)).otherwise(
+            let(F.sort_array(F.transform(h, lambda x, i: F.struct(x.alias("h"), i.alias("i")))), covered)))
 
+    pairs = F.zip_with(words, F.slice(words, 2, F.size(words)), lambda a, b: F.xxhash64(a, b))
+    return F.when(n > 1, let(pairs, of_pairs)).otherwise(F.lit(0)).cast("long")
 
-def js_distance(p: Column, q: Column) -> Column:
-    """Jensen-Shannon distance (base 2) of two arrays of shares."""
+
+def js_part(p: Column, q: Column) -> Column:
+    """Twice the share of one class in the Jensen-Shannon divergence (base 2)."""
     def part(a: Column, m: Column) -> Column:
         return F.when(a > 0, a * F.log2(a / m)).otherwise(F.lit(0.0))
 
-    terms = F.zip_with(p, q, lambda a, b: let((a + b) / 2, lambda m: part(a, m) + part(b, m)))
-    return F.sqrt(F.greatest(F.lit(0.0), F.aggregate(terms, F.lit(0.0), lambda s, x: s + x) / 2))
+    return let((p + q) / 2, lambda m: part(p, m) + part(q, m))
+
+
+def js_of(total: Column) -> Column:
+    """The distance of the sum of all classes' ``js_part``."""
+    return F.sqrt(F.greatest(F.lit(0.0), total / 2))
+
+
+def js_distance(p: Column, q: Column) -> Column:
+    """Jensen-Shannon distance (base 2) of two arrays of shares."""
+    return js_of(F.aggregate(F.zip_with(p, q, js_part), F.lit(0.0), lambda s, x: s + x))
 
 
 def shares(counts: Column, total: Column) -> Column:
@@ -122,7 +138,7 @@ def medians(shares_of: DataFrame) -> DataFrame:
     return half.groupBy("__lang", "k").agg(F.min("bin").alias("bin")).groupBy("__lang").agg(F.sort_array(F.collect_list(F.struct("k", "bin"))).alias("m"))
 
 
-def word_shares(d: DataFrame, *, min_reference: int) -> DataFrame:
+def word_shares(d: DataFrame, *, min_reference: int, broadcast_rows: int) -> DataFrame:
     """__lang, word, share: the median over the language's groups of sources (``g``) of the share of each word of ``w``.
 
     Groups under ``min_reference`` words are taken as one; languages under it are left out.  A share under 1 / RARE of its group counts as 0."""
@@ -136,7 +152,8 @@ def word_shares(d: DataFrame, *, min_reference: int) -> DataFrame:
     voting = sizes.join(totals, ["__lang", "g"]).withColumn("in_vote", F.sum("k").over(Window.partitionBy("__lang", "vote", "b")))
     # At most RARE buckets of each of GROUPS groups of a language, and about as many as it has frequent words.
     heavy = written(voting.filter(F.col("in_vote") * RARE >= F.col("n")).select("__lang", "g", "b", "vote", "n", "votes"), "quality-frequent")
-    voted = words.join(F.broadcast(heavy), ["__lang", "g", "b"]).groupBy("__lang", "vote", "word").agg((F.count("*") / F.first("n")).alias("share"), F.first("votes").alias("votes")).filter(F.col("share") * RARE >= 1)
+    few = heavy.limit(broadcast_rows + 1).count() <= broadcast_rows
+    voted = words.join(F.broadcast(heavy) if few else heavy, ["__lang", "g", "b"]).groupBy("__lang", "vote", "word").agg((F.count("*") / F.first("n")).alias("share"), F.first("votes").alias("votes")).filter(F.col("share") * RARE >= 1)
     each = voted.groupBy("__lang", "word").agg(F.sort_array(F.collect_list("share")).alias("s"), F.first("votes").alias("votes"))
 
     def nth(i: Column) -> Column:  # of all votes, those without the word first
@@ -145,17 +162,32 @@ def word_shares(d: DataFrame, *, min_reference: int) -> DataFrame:
     return each.select("__lang", "word", ((nth(F.floor((F.col("votes") - 1) / 2).cast("int")) + nth(F.floor(F.col("votes") / 2).cast("int"))) / 2).alias("share")).filter(F.col("share") > 0)
 
 
-def references(docs: DataFrame, *, common: int, held: float, min_chars: int, min_words: int, min_reference: int) -> DataFrame:
-    """Per language ``__lang``: ref_words, ref_word_shares (the last two: all other words, punctuation tokens) and ref_class_shares."""
+def measured(docs: DataFrame, keep: list[str]) -> DataFrame:
+    """Columns ``keep`` of ``docs`` with what both the references and the verdict are made of, from one pass over the texts:
+    __lang, g (group of sources), w (cores of the words), c (CLASSES), n_words, n_chars, n_repeat_words and n_dup_lines, each with leading __."""
     source = F.coalesce(F.col("source").cast("string"), F.lit("")) if "source" in docs.columns else F.lit("")
-    d = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("__lang"), F.pmod(F.xxhash64(source), F.lit(GROUPS)).cast("int").alias("g"), F.coalesce("text", F.lit("")).alias("t"))
+    text = F.col("__t")
+    lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
+    measures = let(word_list(text), lambda w: F.struct(
+        core_list(text).alias("w"), class_counts(text).alias("c"), F.size(w).cast("long").alias("n_words"), F.length(text).cast("long").alias("n_chars"),
+        repeat_words(w).alias("n_repeat_words"), let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines")))
+    d = docs.select(*keep, F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("__lang"),
+                    F.pmod(F.conv(F.substring(F.md5(source), 1, 8), 16, 10).cast("long"), F.lit(GROUPS)).cast("int").alias("__g"), F.coalesce("text", F.lit("")).alias("__t"))
+    # One row out for each row in: a generator's result is computed once, not once for each use of a measure.
+    d = d.withColumn("__m", F.explode(F.array(measures)))
+    return d.select(*keep, "__lang", "__g", *[F.col(f"__m.{c}").alias(f"__{c}") for c in ("w", "c", "n_words", "n_chars", "n_repeat_words", "n_dup_lines")])
+
+
+def references(d: DataFrame, *, common: int, held: float, min_chars: int, min_words: int, min_reference: int, broadcast_rows: int) -> DataFrame:
+    """Per language ``__lang`` of ``measured`` rows: the reference words by hash slot (``ref_slots``: words of each slot; ``ref_from``: place of its
+    first), ``ref_words`` by place, the shares ``ref_named`` of them together, ``ref_rest`` of all other words and ``ref_bare`` of punctuation tokens, and ``ref_class_shares``."""
     rank = Window.partitionBy("__lang").orderBy(F.desc("share"), "word")
-    top = word_shares(d.select("__lang", "g", core_list(F.col("t")).alias("w")), min_reference=min_reference).withColumns(
+    top = word_shares(d.select("__lang", F.col("__g").alias("g"), F.col("__w").alias("w")), min_reference=min_reference, broadcast_rows=broadcast_rows).withColumns(
         {"r": F.row_number().over(rank), "upto": F.sum("share").over(rank.rowsBetween(Window.unboundedPreceding, 0))})
-    top = top.filter((F.col("r") <= common) & (F.col("upto") - F.col("share") < held)).groupBy("__lang").agg(F.sort_array(F.collect_list(F.struct("r", "word", "share"))).alias("top"))
-    tokens = F.regexp_count("t", F.lit(WORD))
-    bare = F.when(tokens >= min_words, 1 - F.regexp_count("t", F.lit(CORE)) / tokens)
-    classes = F.when(F.length("t") >= min_chars, shares(class_counts(F.col("t")), F.length("t"))).otherwise(F.array_repeat(F.lit(None).cast("double"), len(CLASSES)))
+    top = top.filter((F.col("r") <= common) & (F.col("upto") - F.col("share") < held)).groupBy("__lang").agg(
+        F.sort_array(F.collect_list(F.struct(slot(F.col("word")).alias("slot"), F.col("word"), F.col("share")))).alias("top"))
+    bare = F.when(F.col("__n_words") >= min_words, 1 - F.size("__w") / F.col("__n_words"))
+    classes = F.when(F.col("__n_chars") >= min_chars, shares(F.col("__c"), F.col("__n_chars"))).otherwise(F.array_repeat(F.lit(None).cast("double"), len(CLASSES)))
     m = medians(d.select("__lang", F.concat(classes, F.array(bare)).alias("s")))
     of_class = F.filter("m", lambda x: x["k"] < len(CLASSES))
     whole = F.aggregate(of_class, F.lit(0), lambda a, x: a + x["bin"])
@@ -164,46 +196,71 @@ def references(docs: DataFrame, *, common: int, held: float, min_chars: int, min
     top = top.join(m, "__lang", "left").withColumn("bare", F.coalesce("bare", F.lit(0.0)))
     named = F.transform("top", lambda x: x["share"] * (1 - F.col("bare")))
     rest = F.greatest(F.lit(0.0), 1 - F.col("bare") - F.aggregate(named, F.lit(0.0), lambda a, x: a + x))
-    return top.select("__lang", F.transform("top", lambda x: x["word"]).alias("ref_words"), F.concat(named, F.array(rest, "bare")).alias("ref_word_shares"), "ref_class_shares")
-
-
-def quality(docs: DataFrame, *, common: int = 400, held: float = 0.33, min_chars: int = 250, min_words: int = 40, min_reference: int = 2_000,
-            max_class_distance: float = 0.32, max_word_distance: float = 0.42, word_base: float = 0.04, word_noise: float = 9.0, broadcast_languages: int = 1_000) -> DataFrame:
-    """``docs`` with __n_words, __word_chars, __n_symbols, __n_dup_lines, __n_repeat_words, __base_failed, __class_distance, __word_distance and __kept."""
-    ref = written(references(docs, common=common, held=held, min_chars=min_chars, min_words=min_words, min_reference=min_reference), "quality-references")
-    if docs.select("lang").distinct().limit(broadcast_languages + 1).count() <= broadcast_languages:
-        ref = F.broadcast(ref)  # one row of a few dozen words a language
-    text, words = F.col("__t"), F.col("__w")  # words: the cores
-    d = docs.withColumn("__t", F.coalesce("text", F.lit(""))).withColumn("__lang", F.coalesce(F.col("lang").cast("string"), F.lit("")))
-    lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
-    measures = let(word_list(text), lambda w: F.struct(
-        core_list(text).alias("w"), F.size(w).cast("long").alias("n_words"), class_counts(text).alias("c"), repeat_words(w).alias("n_repeat_words"),
-        let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"), F.length(text).cast("long").alias("n_chars")))
-    # One row out for each row in: a generator's result is computed once, and a filter on the verdict is not pushed
-    # below it, where every use of a measure would compute it anew (within lambdas, for each word).
-    d = d.withColumn("__m", F.explode(F.array(measures)))
-    d = d.withColumns({f"__{c}": F.col(f"__m.{c}") for c in ("w", "c", "n_words", "n_repeat_words", "n_dup_lines", "n_chars")})
-    d = d.join(ref, "__lang", "left")
-    known = F.filter(F.transform(words, lambda x: F.array_position("ref_words", x)), lambda x: x > 0)
-    per_word = let(known, lambda at: F.transform(F.sequence(F.lit(1), F.size("ref_words")), lambda k: (F.size(at) - F.size(F.array_remove(at, k.cast("long")))).cast("long")))
-    word_hist = let(per_word, lambda c: F.concat(c, F.array(F.size(words) - F.aggregate(c, F.lit(0).cast("long"), lambda a, b: a + b), F.col("__n_words") - F.size(words))))
-    chars = F.col("__n_chars")
+    by_slot = F.transform(F.sequence(F.lit(0), F.lit(SLOTS - 1)), lambda s: F.transform(F.filter("top", lambda x: x["slot"] == s), lambda x: x["word"]))
+    before = F.transform(F.sequence(F.lit(0), F.lit(SLOTS - 1)), lambda s: F.size(F.filter("top", lambda x: x["slot"] < s)))
+    # Of a reference word: its share q, and q log2 q - q, what its own part of the divergence is beyond q where the text holds it.
+    words = F.transform(F.sort_array(F.transform("top", lambda x: F.struct(x["slot"], x["word"], x["share"]))), lambda x: let(
+        x["share"] * (1 - F.col("bare")), lambda q: F.struct(q.alias("q"), F.when(q > 0, q * F.log2(q) - q).otherwise(F.lit(0.0)).alias("own"))))
+    return top.select("__lang", by_slot.alias("ref_slots"), before.alias("ref_from"), words.alias("ref_words"), "ref_class_shares",
+                      F.aggregate(named, F.lit(0.0), lambda a, x: a + x).alias("ref_named"), rest.alias("ref_rest"), F.col("bare").alias("ref_bare"))
+
+
+def slot(word: Column) -> Column:
+    """The place of a word in a hash table of SLOTS places."""
+    return F.pmod(F.xxhash64(word), F.lit(SLOTS)).cast("int")
+
+
+def word_distance(words: Column, n_words: Column) -> Column:
+    """Distance of the words' histogram from the reference in the row.
+
+    Words are looked up in the hash table; the places found are sorted, and each stretch of one place is a class with its
+    count.  A reference word that the text lacks adds its share as it is, so only words found are visited: for shares p in
+    the text and q in the reference, p log2 p + q log2 q - (p + q) log2((p + q) / 2) less q."""
+    found = F.filter(words, lambda w: F.array_contains(F.get("ref_slots", slot(w)), w))
+    places = F.sort_array(F.transform(found, lambda w: F.get("ref_from", slot(w)) + F.array_position(F.get("ref_slots", slot(w)), w).cast("int") - 1))
+
+    def total(at: Column) -> Column:
+        last = F.filter(F.transform(at, lambda p, i: F.when((i + 1 == F.size(at)) | (F.get(at, i + 1) != p), i)), lambda i: i.isNotNull())
+        classes = let(last, lambda e: F.transform(e, lambda i, k: F.struct(
+            ((i - F.coalesce(F.get(e, k - 1), F.lit(-1))) / n_words).alias("p"), F.get("ref_words", F.get(at, i)).alias("r"))))
+        seen = F.aggregate(classes, F.lit(0.0), lambda a, x: a + x["p"] * F.log2(x["p"]) + x["r"]["own"] - (x["p"] + x["r"]["q"]) * F.log2((x["p"] + x["r"]["q"]) / 2))
+        others = js_part((F.size(words) - F.size(at)) / n_words, F.col("ref_rest")) + js_part((n_words - F.size(words)) / n_words, F.col("ref_bare"))
+        return F.col("ref_named") + seen + others
+
+    return js_of(let(places, total))
+
+
+def quality(docs: DataFrame, keep: list[str], *, common: int = 400, held: float = 0.33, min_chars: int = 250, min_words: int = 40, min_reference: int = 2_000,
+            max_class_distance: float = 0.32, max_word_distance: float = 0.42, word_base: float = 0.04, word_noise: float = 9.0,
+            broadcast_languages: int = 100, broadcast_rows: int = 200_000) -> DataFrame:
+    """Columns ``keep`` of ``docs`` with __n_words, __word_chars, __n_symbols, __n_dup_lines, __n_repeat_words, __base_failed, __class_distance, __word_distance and __kept.
+
+    References are broadcast for at most ``broadcast_languages`` languages (a table of SLOTS places each), the frequent hash
+    buckets for at most ``broadcast_rows`` rows; beyond, they are joined by a shuffle."""
+    d = written(measured(docs, keep), "quality-measures", compression="zstd", dictionary=False)
+    ref = written(references(d, common=common, held=held, min_chars=min_chars, min_words=min_words, min_reference=min_reference, broadcast_rows=broadcast_rows), "quality-references")
+    d = d.join(F.broadcast(ref) if ref.limit(broadcast_languages + 1).count() <= broadcast_languages else ref, "__lang", "left")
+    n, chars = F.col("__n_words"), F.col("__n_chars")
     d = d.withColumns({
         "__class_distance": F.when(F.col("ref_class_shares").isNotNull() & (chars >= min_chars), js_distance(shares(F.col("__c"), chars), F.col("ref_class_shares"))),
-        "__word_distance": F.when(F.col("ref_words").isNotNull() & (F.col("__n_words") >= min_words), js_distance(shares(word_hist, F.col("__n_words")), F.col("ref_word_shares"))),
+        "__word_distance": F.when(F.col("ref_slots").isNotNull() & (n >= min_words), word_distance(F.col("__w"), n)),
         "__word_chars": chars - F.col("__c")[3], "__n_symbols": F.col("__c")[4],
-        "__base_failed": (F.col("__n_words") < 10) | (100 * F.col("__n_repeat_words") > 20 * F.col("__n_words"))})
-    far = F.coalesce(F.col("__class_distance") > max_class_distance, F.lit(False)) | F.coalesce(F.col("__word_distance") > F.least(F.lit(max_word_distance), F.sqrt(word_base + word_noise / F.col("__n_words"))), F.lit(False))
-    return d.withColumn("__kept", ~F.col("__base_failed") & ~far).drop("__t", "__m", "__w", "__c", "__n_chars", "__lang", "ref_words", "ref_word_shares", "ref_class_shares")
+        "__base_failed": (n < 10) | (100 * F.col("__n_repeat_words") > 20 * n)})
+    # One row out for each row in, as above: a filter on the verdict is not pushed below.
+    d = d.withColumn("__d", F.explode(F.array(F.struct("__class_distance", "__word_distance")))).withColumns({c: F.col(f"__d.{c}") for c in ("__class_distance", "__word_distance")})
+    far = F.coalesce(F.col("__class_distance") > max_class_distance, F.lit(False)) | F.coalesce(F.col("__word_distance") > F.least(F.lit(max_word_distance), F.sqrt(word_base + word_noise / n)), F.lit(False))
+    return d.withColumn("__kept", ~F.col("__base_failed") & ~far).select(*keep, *[f"__{c}" for c in REPORT])
+
+
+REPORT = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "class_distance", "word_distance")
 
 
 def quality_report(docs: DataFrame, **limits) -> DataFrame:
     """doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept and both distances (rounded; null where a guard holds) of every row."""
-    q = quality(docs.select("doc_id", "lang", "text", *[c for c in ("source",) if c in docs.columns]), **limits)
-    return q.select("doc_id", *[F.col(f"__{c}").alias(c) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")],
-                    *[F.round(f"__{c}", 6).alias(c) for c in ("class_distance", "word_distance")])
+    q = quality(docs, ["doc_id"], **limits)
+    return q.select("doc_id", *[(F.round(f"__{c}", 6) if c.endswith("distance") else F.col(f"__{c}")).alias(c) for c in REPORT])
 
 
 def kept_documents(docs: DataFrame, **limits) -> DataFrame:
     """The rows of ``docs`` that pass, with the columns they came with."""
-    return quality(docs, **limits).filter("__kept").select(*docs.columns)
+    return quality(docs, docs.columns, **limits).filter("__kept").select(*docs.columns)

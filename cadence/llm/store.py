@@ -25,10 +25,10 @@ def fresh(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, compression: str | None = None, dictionary: bool = True) -> DataFrame:
     """Write ``df`` as a Parquet table in the shared folder and read it back."""
     spark, path = df.sparkSession, fresh(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("parquet.enable.dictionary", str(dictionary).lower()).parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path)
 
 
