@@ -52,6 +52,9 @@ SEED_GRADES = [(0, "add at least 1 track to get recommendations"),
                (2, "weak context — add more tracks for better results"),
                (10, "good context"),
                (50, "excellent context")]
+# Patterns of the matching key, applied in this order: what each removes, or (the last) turns into a blank.
+MATCH_KEY_REMOVED = [r"\(.*?\)", r"\[.*?\]", r"[^a-z0-9\s]"]
+MATCH_KEY_BLANK = r"\s+"
 # ---------------------------------------------------------------------------
 
 
@@ -76,11 +79,9 @@ def match_key(c) -> Column:
     """Matching key: lower, drop (...) and [...] lazily, keep [a-z0-9 white space],
     collapse white space, trim. NULL becomes ''."""
     x = F.lower(F.coalesce(_col(c), F.lit("")))
-    x = F.regexp_replace(x, r"\(.*?\)", "")
-    x = F.regexp_replace(x, r"\[.*?\]", "")
-    x = F.regexp_replace(x, r"[^a-z0-9\s]", "")
-    x = F.regexp_replace(x, r"\s+", " ")
-    return F.trim(x)
+    for pattern in MATCH_KEY_REMOVED:
+        x = F.regexp_replace(x, pattern, "")
+    return F.trim(F.regexp_replace(x, MATCH_KEY_BLANK, " "))
 
 
 def keyword_label(c, keywords: dict[str, list[str]] | None = None,
@@ -98,6 +99,37 @@ def keyword_label(c, keywords: dict[str, list[str]] | None = None,
     return expr.otherwise(F.lit(default))
 
 
+def word_grams(text: Column, longest: int) -> Column:
+    """The stretches of 1 to ``longest`` words of a blank-separated text."""
+    def of_words(words: Column) -> Column:
+        def stretches(n: int) -> Column:
+            at = F.when(F.size(words) >= n, F.sequence(F.lit(1), F.size(words) - (n - 1)))
+            return F.coalesce(F.transform(at, lambda i: F.array_join(F.slice(words, i, n), " ")), F.array().cast("array<string>"))
+
+        return F.concat(words, *[stretches(n) for n in range(2, longest + 1)])
+
+    # within the one-element array the words are split once, not once for each stretch
+    return F.get(F.transform(F.array(F.split(text, " ")), lambda words: of_words(words)), F.lit(0))
+
+
+def keyword_label_words(c, keywords: dict[str, list[str]] | None = None,
+                        default: str = "unknown") -> Column:
+    """First label (in map order) with a keyword that stands in c as whole words
+    ("grape" is not "rap"). ``c`` is a normalised title: words parted by one blank.
+
+    The title's word stretches are looked up in a hash set of the keywords; of
+    those found, the first in the order of the map decides."""
+    keywords = GENRE_KEYWORDS if keywords is None else keywords
+    label_of = {kw: label for label, kws in reversed(keywords.items()) for kw in kws}
+    ordered = [kw for kws in keywords.values() for kw in kws]
+    longest = max((kw.count(" ") + 1 for kw in ordered), default=1)
+    found = F.get(F.array_intersect(F.array(*map(F.lit, ordered)).cast("array<string>"), word_grams(_col(c), longest)), F.lit(0))
+    if not ordered:
+        return F.lit(default)
+    labels = F.create_map(*[F.lit(x) for pair in label_of.items() for x in pair])
+    return F.coalesce(F.element_at(labels, found), F.lit(default))
+
+
 def has_prefix(c, kind: str) -> Column:
     return _col(c).startswith(URI_PREFIXES[kind])
 

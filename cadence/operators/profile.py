@@ -5,7 +5,10 @@ edges, min/max) are fitted by one aggregate and applied as literals."""
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -149,6 +152,43 @@ def corr_matrix(df: DataFrame, cols: list[str], digits: int = 9) -> DataFrame:
         "r", F.round("r", digits))
 
 
+def gram_corr(df: DataFrame, cols: list[str], digits: int = 9) -> DataFrame:
+    """(a, b, r): Pearson correlation for every ordered pair of many columns, over the rows that hold both.
+
+    One scan: each task adds up matrix products of its batches, X'X, (X^2)'M, X'M
+    and M'M with M the mask of present values, and yields one row per pair (a <= b);
+    these are summed per pair. Values are taken relative to the means of the first
+    rows, so large offsets cost no digits. r is null with fewer than two rows or
+    without variance. NaN counts as absent."""
+    d = len(cols)
+    x = df.select(*[number(c).alias(c) for c in cols])
+    near = x.limit(256).agg(*[F.avg(c).alias(c) for c in cols]).first()
+    shift = np.array([near[c] or 0.0 for c in cols])
+    ai, bi = np.triu_indices(d)
+
+    def products(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        xx, sq, s, n = (np.zeros((d, d)) for _ in range(4))
+        for batch in batches:
+            v = np.stack([c.to_numpy(zero_copy_only=False).astype(float) for c in batch.columns], 1) - shift
+            m = ~np.isnan(v)
+            v, m = np.where(m, v, 0.0), m.astype(float)
+            xx += v.T @ v
+            sq += (v * v).T @ m  # of the first of a pair, where the second is present
+            s += v.T @ m
+            n += m.T @ m
+        values = (n[ai, bi], s[ai, bi], s[bi, ai], sq[ai, bi], sq[bi, ai], xx[ai, bi])
+        yield pa.RecordBatch.from_arrays([pa.array(ai, pa.int32()), pa.array(bi, pa.int32()), *map(pa.array, values)], names=["i", "j", "n", "sa", "sb", "qa", "qb", "ab"])
+
+    sums = x.mapInArrow(products, "i int, j int, n double, sa double, sb double, qa double, qb double, ab double").groupBy("i", "j").agg(
+        *[F.sum(c).alias(c) for c in ("n", "sa", "sb", "qa", "qb", "ab")])
+    var = (F.col("n") * F.col("qa") - F.col("sa") * F.col("sa")) * (F.col("n") * F.col("qb") - F.col("sb") * F.col("sb"))
+    r = F.when((F.col("n") > 1) & (var > 0), (F.col("n") * F.col("ab") - F.col("sa") * F.col("sb")) / F.sqrt(var))
+    name = F.array(*[F.lit(c) for c in cols])
+    pair = F.array(F.struct(F.col("i").alias("a"), F.col("j").alias("b")), F.struct(F.col("j").alias("a"), F.col("i").alias("b")))
+    out = sums.select(F.round(r, digits).alias("r"), F.explode(F.when(F.col("i") == F.col("j"), F.slice(pair, 1, 1)).otherwise(pair)).alias("p"))
+    return out.select(F.get(name, F.col("p.a")).alias("a"), F.get(name, F.col("p.b")).alias("b"), "r")
+
+
 def histogram(df: DataFrame, col: str, bins: int, lo: float | None = None, hi: float | None = None,
               by: str | None = None) -> DataFrame:
     """Equal-width histogram: (bin, bin_lo, bin_hi, n) (+ ``by``); the last bin is

@@ -77,17 +77,20 @@ def track_rules(tracks: DataFrame, index_col: str | None = None) -> DataFrame:
 
 
 def name_consistency(tracks: DataFrame) -> DataFrame:
-    """I9: rows whose name differs from the first name seen (order pid, pos) for
-    the same URI. First names come from a partial ``min_by`` per URI."""
-    out = None
-    for kind in ("artist", "album", "track"):
-        uri, name = f"{kind}_uri", f"{kind}_name"
-        first = tracks.where(F.col(uri).isNotNull()).groupBy(uri).agg(F.min_by(name, F.struct("pid", "pos")).alias("_first"))
-        j = tracks.select("pid", "pos", uri, name).join(first, uri, "inner")
-        r = _v(j, ~F.col(name).eqNullSafe(F.col("_first")), f"mismatch_{kind}_name",
-               F.concat_ws(" | ", F.col(name), F.col("_first")), F.col("pos"))
-        out = r if out is None else out.unionByName(r)
-    return out
+    """I9: rows whose name differs from the first name seen (order pid, pos, then
+    name) for the same URI; a null name is a name like any other.
+
+    One pass stacks the three kinds and leaves the distinct (kind, uri, name) with
+    their first position, combined before the shuffle. Only URIs with two names go
+    back to the entries, by a join; where there is none, nothing is read again."""
+    kinds = ("artist", "album", "track")
+    stack = F.array(*[F.struct(F.lit(k).alias("kind"), F.col(f"{k}_uri").alias("uri"), F.col(f"{k}_name").alias("name")) for k in kinds])
+    entries = tracks.select("pid", "pos", F.explode(stack).alias("e")).select("pid", "pos", "e.kind", "e.uri", "e.name").where(F.col("uri").isNotNull())
+    names = entries.groupBy("kind", "uri", "name").agg(F.min(F.struct("pid", "pos")).alias("at"))
+    two = names.groupBy("kind", "uri").agg(F.count(F.lit(1)).alias("_n"), F.min(F.struct("at", "name")).alias("_f")).where(F.col("_n") > 1)
+    bad = entries.join(two.select("kind", "uri", F.col("_f.name").alias("_first")), ["kind", "uri"]).where(~F.col("name").eqNullSafe(F.col("_first")))
+    return bad.select(F.concat(F.lit("mismatch_"), "kind", F.lit("_name")).alias("rule"), F.col("pid").cast("long").alias("pid"),
+                      F.col("pos").cast("long").alias("pos"), F.concat_ws(" | ", "name", "_first").alias("detail"))
 
 
 def reconcile(playlists: DataFrame, tracks: DataFrame) -> DataFrame:

@@ -140,10 +140,21 @@ def label_popularity(counts: DataFrame, item: str = "track_uri") -> DataFrame:
     return r.select("genre", (F.col("_i") + 1).alias("rank"), item, "cnt")
 
 
+def seed_sample(seeds: DataFrame, n: int, seed: int = 42) -> DataFrame:
+    """At most ``n`` seed rows of each group, in the order of a hash of (seed, pid, pos).
+
+    The limit is applied in every partition before the shuffle, so a group of any
+    size sends at most n rows from each."""
+    text = F.concat_ws("|", F.lit(str(seed)), F.col("pid").cast("string"), F.col("pos").cast("string"))
+    return top_k_per_group(seeds.withColumn("_h", F.md5(text)), "pid", [F.col("_h"), F.col("pos")], n, "_r").drop("_h", "_r")
+
+
 def infer_label(seeds: DataFrame, item_labels: DataFrame, groups: DataFrame,
-                item: str = "track_uri") -> DataFrame:
+                item: str = "track_uri", sample_n: int | None = None) -> DataFrame:
     """(pid, inferred): majority label of the known seed items (with
-    multiplicity, ties: label asc); 'unknown' when no seed item is known."""
+    multiplicity, ties: label asc); 'unknown' when no seed item is known. With
+    ``sample_n`` only so many seed entries of a group vote (see ``seed_sample``)."""
+    seeds = seeds if sample_n is None else seed_sample(seeds, sample_n)
     votes = seeds.select("pid", item).join(item_labels.select(item, "genre"), item, "inner") \
         .groupBy("pid", "genre").agg(F.count(F.lit(1)).alias("_c"))
     top = top_k_per_group(votes, "pid", [F.col("_c").desc(), F.col("genre")], 1, "_r")
@@ -200,7 +211,7 @@ def _known(trans: DataFrame, vocab_limit: int | None) -> DataFrame:
 
 
 def rec_next_item(seeds: DataFrame, trans: DataFrame, n_items: int, k: int = 20, vocab_limit: int | None = None,
-                  item: str = "track_idx", exclude_seen: bool = False) -> DataFrame:
+                  item: str = "track_idx", exclude_seen: bool = False, block: int = 64) -> DataFrame:
     """Top-k successors of the last seed item by (prob desc, item asc); with a
     ``vocab_limit`` only items below it (PAD / UNK never returned). Fewer than
     k are filled from the popularity order (idx 0, 1, ... of ``n_items``); with
@@ -217,11 +228,17 @@ def rec_next_item(seeds: DataFrame, trans: DataFrame, n_items: int, k: int = 20,
         keep = k + int(fit_scalars(ns, F.max("_n").alias("m"))["m"] or 0)
     t = top_k_per_group(_known(trans, vocab_limit), "input",
                         [F.col("prob").desc(), F.col("target")], keep, "_r").select(
-        F.col("input").alias("_last"), F.col("target").alias("item"), F.col("prob").alias("score"))
-    cand = last.join(t, "_last", "inner").select("pid", "item", "score", F.lit(0).alias("_prio"))
+        F.col("input").alias("_last"), F.col("target").alias("item"), F.col("prob").alias("score"), "_r")
     if exclude_seen:
+        # a group needs its own k + |seen| ranks: it goes to the blocks of ranks that hold them
         seen = seeds.select("pid", F.col(item).alias("item")).distinct()
-        cand = cand.join(seen, ["pid", "item"], "left_anti")
+        need = last.join(ns, "pid").select("pid", "_last", (F.col("_n") + k).alias("_need"), F.explode(
+            F.sequence(F.lit(0).cast("long"), F.floor((F.col("_n") + k - 1) / block))).alias("_blk"))
+        t = t.withColumn("_blk", F.floor((F.col("_r") - 1) / block))
+        cand = need.join(t, ["_last", "_blk"]).where(F.col("_r") <= F.col("_need")).join(seen, ["pid", "item"], "left_anti")
+    else:
+        cand = last.join(t, "_last", "inner")
+    cand = cand.select("pid", "item", "score", F.lit(0).alias("_prio"))
     cand = top_k_per_group(cand, "pid", [F.col("score").desc(), F.col("item")], k, "_r").drop("_r")
     # popularity fill: the first idx values are the most frequent items
     # (one more for each seen item, of which at most that many can be skipped)

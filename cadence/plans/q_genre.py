@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from cadence.functions.text import keyword_label, normalize_title
+from cadence.functions.text import keyword_label, keyword_label_words, normalize_title
 from cadence.operators import evaluate as EV
 from cadence.operators import recommend as R
 from cadence.operators import sequences as S
@@ -127,6 +127,26 @@ def q_genre_label(spark, sf_dir):
     return glabel(spark, sf_dir)
 
 
+def _sql_label_words(c: str) -> str:
+    whens = []
+    for label, kws in GENRE_KEYWORDS.items():
+        cond = " OR ".join(f"contains(' ' || {c} || ' ', ' {kw} ')" for kw in kws)
+        whens.append(f"WHEN {cond} THEN '{label}'")
+    return "CASE " + " ".join(whens) + " ELSE 'unknown' END"
+
+
+@register("genre_label_words", sql(LABEL_CTE + f"""
+, _d AS (SELECT doc_id, {_sql_norm('text')} AS text_norm FROM documents)
+SELECT 'playlist' AS source, pid AS id, {_sql_label_words('name_norm')} AS genre FROM _norm
+UNION ALL SELECT 'document', doc_id, {_sql_label_words('text_norm')} FROM _d"""))
+def q_genre_label_words(spark, sf_dir):
+    """Labels by keywords that stand as whole words, of titles and of long texts."""
+    t = tables(spark, sf_dir)
+    p = t.playlists().select(F.lit("playlist").alias("source"), F.col("pid").alias("id"), F.col("name").alias("text"))
+    d = t.documents().select(F.lit("document").alias("source"), F.col("doc_id").alias("id"), "text")
+    return p.unionByName(d).select("source", "id", keyword_label_words(normalize_title("text")).alias("genre"))
+
+
 @register("genre_distribution", sql(LABEL_CTE + """
 , _c AS (SELECT genre, CAST(count(*) AS BIGINT) AS n FROM glabel GROUP BY genre)
 , _t AS (SELECT sum(n) AS total, sum(CASE WHEN genre <> 'unknown' THEN n ELSE 0 END) AS lab FROM _c)
@@ -170,6 +190,18 @@ def q_infer_genre(spark, sf_dir):
     return ev_l.select("pid", "inferred", "genre")
 
 
+@register("infer_genre_sampled", sql(GENRE_CTE + """
+, _ss AS (SELECT pid, track_uri FROM (SELECT *, row_number() OVER (PARTITION BY pid ORDER BY md5('42|' || pid || '|' || pos), pos) AS _k FROM seeds) WHERE _k <= 25)
+, _sv AS (SELECT s.pid, v.genre, count(*) AS _c FROM _ss s JOIN tvote v USING (track_uri) GROUP BY 1, 2)
+SELECT e.pid, coalesce(x.genre, 'unknown') AS inferred FROM evaluated e LEFT JOIN (
+  SELECT pid, genre FROM (SELECT *, row_number() OVER (PARTITION BY pid ORDER BY _c DESC, genre) AS _r FROM _sv) WHERE _r = 1) x USING (pid)"""))
+def q_infer_genre_sampled(spark, sf_dir):
+    """Labels from 25 seed entries of each group, in hash order."""
+    genre_parts(spark, sf_dir)
+    seeds, _, ev = C.staged_split(spark, sf_dir, "genre_seed_holdout", None)
+    return R.infer_label(seeds, R.majority_label(genre_counts(spark, sf_dir)), ev, sample_n=25)
+
+
 @register("rec_genre", sql(GENRE_CTE + "SELECT pid, CAST(rank AS BIGINT) AS rank, item, score FROM recs"))
 def q_rec_genre(spark, sf_dir):
     recs, _, _, _ = genre_parts(spark, sf_dir)

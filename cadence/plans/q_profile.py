@@ -124,6 +124,15 @@ def q_corr(spark, sf_dir):
     return P.corr_matrix(tables(spark, sf_dir).playlists(), STAT_COLS)
 
 
+@register("feature_corr", sql(f"""
+, _long AS (SELECT item, variable, x FROM (SELECT item, {', '.join(f'CAST({c} AS DOUBLE) AS {c}' for c in FEATS)} FROM features)
+            UNPIVOT (x FOR variable IN ({', '.join(FEATS)})))
+SELECT a.variable AS a, b.variable AS b, round(corr(a.x, b.x), 9) AS r FROM _long a JOIN _long b USING (item) GROUP BY 1, 2"""))
+def q_feature_corr(spark, sf_dir):
+    """Correlation of all feature columns."""
+    return P.gram_corr(tables(spark, sf_dir).features(), FEATS)
+
+
 def _hist_sql(src: str, col: str, bins: int, lo: str, hi: str, by: str | None = None, where: str = "") -> str:
     """SQL mirror of profile.histogram: (by,) bin, n, bin_lo, bin_hi."""
     bsel = f"{by}, " if by else ""

@@ -186,6 +186,7 @@ def q_missing_ids(spark, sf_dir):
   SELECT 'n_playlists', CAST(count(*) AS DOUBLE) FROM playlists
   UNION ALL SELECT 'n_entries', CAST(count(*) AS DOUBLE) FROM tracks
   UNION ALL SELECT 'n_tracks', CAST(count(DISTINCT track_uri) AS DOUBLE) FROM tracks
+  UNION ALL SELECT 'n_tracks_by_name', CAST(count(DISTINCT track_name || ' by ' || artist_name) AS DOUBLE) FROM tracks
   UNION ALL SELECT 'n_artists', CAST(count(DISTINCT artist_uri) AS DOUBLE) FROM tracks
   UNION ALL SELECT 'mean_len', CAST(count(*) AS DOUBLE) / count(DISTINCT pid) FROM tracks
   UNION ALL SELECT 'n_catalog', CAST(count(DISTINCT track_uri) AS DOUBLE) FROM tracks
@@ -194,6 +195,7 @@ def q_missing_ids(spark, sf_dir):
   SELECT 'n_playlists', CAST(count(DISTINCT o_custkey) AS DOUBLE) FROM orders WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem)
   UNION ALL SELECT 'n_entries', CAST(count(*) AS DOUBLE) FROM lineitem
   UNION ALL SELECT 'n_tracks', CAST(count(DISTINCT l_partkey) AS DOUBLE) FROM lineitem
+  UNION ALL SELECT 'n_tracks_by_name', CAST(count(DISTINCT p_name || ' by ' || p_brand) AS DOUBLE) FROM lineitem JOIN part ON l_partkey = p_partkey
   UNION ALL SELECT 'n_artists', CAST(count(DISTINCT p_brand) AS DOUBLE) FROM lineitem JOIN part ON l_partkey = p_partkey
   UNION ALL SELECT 'mean_len', CAST(count(*) AS DOUBLE) / count(DISTINCT o_custkey) FROM lineitem JOIN orders ON l_orderkey = o_orderkey
   UNION ALL SELECT 'n_catalog', CAST(count(*) AS DOUBLE) FROM part WHERE p_partkey IN (SELECT l_partkey FROM lineitem)
@@ -212,12 +214,14 @@ def q_validate_counts(spark, sf_dir):
         return df.agg(expr.cast("double").alias("v")).select(F.lit(name).alias("check_name"), "v")
 
     got = [one(pl, "n_playlists", F.count(F.lit(1))), one(tr, "n_entries", F.count(F.lit(1))),
-           one(tr, "n_tracks", F.countDistinct("track_uri")), one(tr, "n_artists", F.countDistinct("artist_uri")),
+           one(tr, "n_tracks", F.countDistinct("track_uri")),
+           one(tr, "n_tracks_by_name", F.countDistinct(F.concat("track_name", F.lit(" by "), "artist_name"))), one(tr, "n_artists", F.countDistinct("artist_uri")),
            one(tr, "mean_len", F.count(F.lit(1)) / F.countDistinct("pid")),
            one(tr, "n_catalog", F.countDistinct("track_uri")),
            one(tr.where(F.col("artist_name") == "Brand#13"), "spot_brand13_entries", F.count(F.lit(1)))]
     exp = [one(lo, "n_playlists", F.countDistinct("o_custkey")), one(li, "n_entries", F.count(F.lit(1))),
-           one(li, "n_tracks", F.countDistinct("l_partkey")), one(lp, "n_artists", F.countDistinct("p_brand")),
+           one(li, "n_tracks", F.countDistinct("l_partkey")),
+           one(lp, "n_tracks_by_name", F.countDistinct(F.concat("p_name", F.lit(" by "), "p_brand"))), one(lp, "n_artists", F.countDistinct("p_brand")),
            one(lo, "mean_len", F.count(F.lit(1)) / F.countDistinct("o_custkey")),
            one(p.join(li, p.p_partkey == li.l_partkey, "left_semi"), "n_catalog", F.count(F.lit(1))),
            one(lp.where(F.col("p_brand") == "Brand#13"), "spot_brand13_entries", F.count(F.lit(1)))]

@@ -8,7 +8,8 @@ from cadence.operators import sequences as S
 from cadence.plans import common as C
 from cadence.plans.oracle import sql
 from cadence.plans.registry import register
-from cadence.session import scratch_path
+from cadence.session import scratch_path, session_key
+from cadence.sources import layout as LY
 from cadence.sources.fixtures import tables
 from cadence.sources.slices import write_table
 
@@ -72,6 +73,34 @@ def q_seed_holdout(spark, sf_dir):
         hpos.select("pid", F.lit("holdout").alias("role"), F.col("pos").cast("long"), "track_idx"))
 
 
+def stored(spark, sf_dir):
+    """The encoded sequences in their bucketed layout, written once per session and data folder."""
+    key = (session_key(spark), sf_dir, "bucketed_sequences")
+    if key not in C._MEMO:
+        path = scratch_path(spark, "sequences")
+        C._MEMO[key] = LY.write_bucketed(C.encoded(spark, sf_dir), C.groups_split(spark, sf_dir), path.rsplit("/", 1)[1].replace("-", "_"), path,
+                                         int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return C._MEMO[key]
+
+
+@register("stored_seed_holdout", sql(C.SPLIT_CTE + """
+SELECT t.pid, t.pos, t.track_idx, CASE WHEN t.pos < greatest(1, CAST(floor(g.seq_len * 0.8::DOUBLE) AS BIGINT)) THEN 'seed' ELSE 'holdout' END AS role
+FROM test t JOIN test_groups g USING (pid)"""))
+def q_stored_seed_holdout(spark, sf_dir):
+    """Every entry of the test groups with its role, from the bucketed layout."""
+    s = LY.with_split_point(stored(spark, sf_dir).where("split = 'test'"), C.split_groups(spark, sf_dir, "test"))
+    return s.select("pid", "pos", "track_idx", F.when(F.col("pos") < F.col("sp"), "seed").otherwise("holdout").alias("role"))
+
+
+@register("stored_lag_pairs", sql(C.SPLIT_CTE + """
+SELECT CAST(l.lag AS INTEGER) AS lag, a.track_idx AS input, b.track_idx AS target, CAST(count(*) AS BIGINT) AS cnt
+FROM train a CROSS JOIN (VALUES (1), (2), (3)) l(lag) JOIN train b ON a.pid = b.pid AND b.pos = a.pos + l.lag GROUP BY 1, 2, 3"""))
+def q_stored_lag_pairs(spark, sf_dir):
+    """Counts of the pairs 1 to 3 positions apart, from the bucketed layout."""
+    p = LY.stored_pairs(stored(spark, sf_dir).where("split = 'train'"), 3)
+    return p.groupBy("lag", "input", "target").agg(F.count(F.lit(1)).cast("long").alias("cnt"))
+
+
 def _elig_sql(rule):
     sp = "greatest(1, CAST(floor(seq_len * 0.8::DOUBLE) AS BIGINT))"
     skip = f"{sp} >= seq_len - 1" if rule == "sequence" else "seq_len < 5"

@@ -32,3 +32,22 @@ def test_seed_context_and_dates(spark):
     assert got[51] == "showing last 50 of 51 tracks to model"
     d = spark.createDataFrame([(1509494400,), (0,), (86399,)], "s long").select(X.epoch_date("s").alias("d"))
     assert [r["d"] for r in d.collect()] == ["2017-11-01", "1970-01-01", "1970-01-01"]
+
+
+def test_keywords_as_whole_words(spark):
+    from cadence.functions.text import GENRE_KEYWORDS, keyword_label_words, normalize_title
+    titles = ["grape juice", "my rap songs", "Old School days", "oldschooled", "slow jam", "R&B / pop", "x-mas", "popular", "", None, "sing  along!", "hip hop", "a lo fi b", "rainy"]
+    df = spark.createDataFrame([(t,) for t in titles], "t string").select("t", normalize_title("t").alias("n"))
+    got = {r["t"]: r["g"] for r in df.select("t", keyword_label_words("n").alias("g")).collect()}
+
+    def brute(n):
+        for label, kws in GENRE_KEYWORDS.items():
+            if any(f" {kw} " in f" {n} " for kw in kws):
+                return label
+        return "unknown"
+
+    assert got == {r["t"]: "unknown" if r["n"] is None else brute(r["n"]) for r in df.collect()}
+    assert got["grape juice"] == "unknown" and got["my rap songs"] != "unknown" and got["popular"] == "unknown" and got["Old School days"] == "throwback"
+    own = {"first": ["b c d"], "second": ["a", "c"]}
+    r = spark.createDataFrame([("a b c d",), ("b c",), ("d",)], "n string").select(keyword_label_words("n", own, "none").alias("g")).collect()
+    assert [x["g"] for x in r] == ["first", "second", "none"]

@@ -153,3 +153,29 @@ def test_next_item_without_seen_items_is_complete(spark):
         got = R.rec_next_item(seeds, trans, n, k=5, exclude_seen=True).orderBy("rank").collect()
         assert [r["item"] for r in got] == want
     assert [r["item"] for r in R.rec_next_item(seeds, trans, 40, k=5).orderBy("rank").collect()] == [9, 0, 1, 2, 3]
+
+
+def test_unseen_successors_with_one_large_seed(spark):
+    """A group that has seen nearly everything goes deep by itself; the others stay at their own depth."""
+    trans = spark.createDataFrame([(0, t, 100 - t, (100 - t) / 5000) for t in range(1, 99)], "input int, target int, cnt long, prob double")
+    rows = [(1, p, p + 1) for p in range(90)] + [(1, 90, 0)] + [(2, 0, 5), (2, 1, 0)] + [(3, 0, 0)] + [(4, 0, 200)]
+    seeds = spark.createDataFrame(rows, "pid long, pos long, track_idx int")
+    for block in (2, 7, 64):
+        got = defaultdict(list)
+        for r in R.rec_next_item(seeds, trans, 150, k=5, exclude_seen=True, block=block).orderBy("rank").collect():
+            got[r["pid"]].append(r["item"])
+        assert got == {1: [91, 92, 93, 94, 95], 2: [1, 2, 3, 4, 6], 3: [1, 2, 3, 4, 5], 4: [0, 1, 2, 3, 4]}
+
+
+def test_label_from_a_seed_sample(spark):
+    rows = [(1, p, "x" if p % 3 else "y") for p in range(300)] + [(2, 0, "y"), (3, 0, "z")]
+    seeds = spark.createDataFrame(rows, "pid long, pos long, track_uri string").repartition(6)
+    some = R.seed_sample(seeds, 25)
+    by = Counter(r["pid"] for r in some.collect())
+    assert by == {1: 25, 2: 1, 3: 1}
+    assert sorted(map(tuple, some.collect())) == sorted(map(tuple, R.seed_sample(seeds.repartition(2), 25).collect()))
+    labels = spark.createDataFrame([("x", "rock"), ("y", "jazz")], "track_uri string, genre string")
+    groups = seeds.select("pid").distinct()
+    votes = Counter({"x": "rock", "y": "jazz"}[r["track_uri"]] for r in some.where("pid = 1").collect())
+    got = {r["pid"]: r["inferred"] for r in R.infer_label(seeds, labels, groups, sample_n=25).collect()}
+    assert got == {1: min(votes, key=lambda g: (-votes[g], g)), 2: "jazz", 3: "unknown"}
