@@ -30,7 +30,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cadence.llm.store import delete, written
@@ -85,6 +85,13 @@ def forest(fps: np.ndarray, radius: int, tile: int = 1024, other: np.ndarray | N
             i = root[i]
         return i
 
+    def roots(i: np.ndarray) -> np.ndarray:
+        while True:
+            up = root[i]
+            if (up == i).all():
+                return i
+            i = up
+
     out, ua, ub = [], a.view(np.uint64), b.view(np.uint64)
     for i in range(0, n, tile):
         last_a = pa_[min(i + tile, n) - 1]
@@ -96,12 +103,18 @@ def forest(fps: np.ndarray, radius: int, tile: int = 1024, other: np.ndarray | N
             near = np.bitwise_count(ua[i: i + tile, None] ^ ub[None, j: j + tile]) <= radius
             if other is None and i == j:
                 near = np.triu(near, 1)
-            for x, y in zip(*np.nonzero(near), strict=True):
-                p, q = i + int(x), j + int(y)
-                r, s = find(p), find(q if other is None else n + q)
-                if r != s:
-                    root[s] = r
-                    out.append((int(a[p]), int(b[q])))
+            x, y = np.nonzero(near)
+            p, q = i + x, j + y
+            at = q if other is None else n + q
+            while len(p):  # one link of each tree at a time; links inside a tree are dropped together
+                r, s = roots(p), roots(at)
+                apart = r != s
+                p, q, at, r = p[apart], q[apart], at[apart], r[apart]
+                for k in np.unique(r, return_index=True)[1].tolist():
+                    u, v = find(p[k]), find(at[k])
+                    if u != v:
+                        root[v] = u
+                        out.append((int(a[p[k]]), int(b[q[k]])))
     return out
 
 
@@ -194,20 +207,18 @@ def near_duplicates(docs: DataFrame, *, words_per_shingle: int = 4, radius: int
     return fps.join(by_fp, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-def one_per_group(docs: DataFrame, *, words_per_shingle: int = 4, radius: int = 4) -> DataFrame:
-    """The rows of ``docs`` whose id is the smallest of its near-duplicate group, all columns kept.  Of repeated rows of
-    that id one stays; rows without an id stay only where no row of the group has one (one of them)."""
-    groups = near_duplicates(docs.select("doc_id", "text"), words_per_shingle=words_per_shingle, radius=radius)
-    keep = groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__keep"), F.col("fingerprint").alias("__fp"))
-    ids = keep.filter("__keep is not null").select("__keep").distinct()
-    kept = docs.join(ids, F.col("doc_id") == F.col("__keep"), "left_semi").dropDuplicates(["doc_id"])
-    if docs.filter("doc_id is null").isEmpty():
-        return kept
-    lone = keep.filter("__keep is null").select("__fp").distinct()
-    no_id = docs.filter("doc_id is null")
-    hashed = no_id.withColumn("__fp", F.lpad(F.lower(F.hex(_fp_udf(words_per_shingle)("text"))), 16, "0")).join(lone, "__fp")
-    first = Window.partitionBy("__fp").orderBy("text")
-    return kept.unionByName(hashed.withColumn("__n", F.row_number().over(first)).filter("__n = 1").select(*docs.columns))
+def one_per_group(docs: DataFrame, *, words_per_shingle: int = 4, radius: int = 4, tile_rows: int = 16_384) -> DataFrame:
+    """One row of each near-duplicate group of ``docs``, with the columns it came with: the row with the smallest id; of several
+    rows of that id in the group, the one first by a hash of its columns.  Rows without an id come last, so one of them stays
+    only where no row of the group has an id.  Rows of one id that lie in different groups are judged with their groups."""
+    # The rows are numbered once and for all in a written table: a row is chosen by its number, whatever else repeats.
+    numbered = written(docs.withColumn("__fp", _fp_udf(words_per_shingle)("text")).withColumn("__row", F.monotonically_increasing_id()), "simhash-documents")
+    order = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").cast("long").alias("id"), F.xxhash64(*docs.columns).alias("hash"), F.col("__row").alias("row"))
+    classes = written(numbered.select(F.col("__fp").alias("fp"), order.alias("o")).groupBy("fp").agg(F.min("o").alias("best")), "simhash-classes")
+    roots = components(links(classes.select("fp"), radius=radius, tile_rows=tile_rows))
+    member = classes.join(roots, F.col("fp") == F.col("node"), "left").select(F.coalesce("root", "fp").alias("root"), "best")
+    chosen = member.groupBy("root").agg(F.min("best").alias("best")).select(F.col("best.row").alias("__chosen"))
+    return numbered.join(chosen, F.col("__row") == F.col("__chosen"), "left_semi").select(*docs.columns)
 
 
 def _fp_udf(words_per_shingle: int):

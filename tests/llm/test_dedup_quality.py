@@ -72,6 +72,20 @@ def test_only_rows_without_ids(documents):
     assert simhash.one_per_group(documents([(None, "one two"), (None, "one two"), (None, "three")])).count() == 2
 
 
+def test_one_per_group_keeps_rows_of_one_id_in_other_groups(documents):
+    """A repeated id with unrelated texts: each group keeps a row; within a group the choice does not depend on the layout."""
+    a, b, c = "the quick brown fox jumps over the lazy dog again", "completely different words stand in this second text", "a third one about trains and boats and planes"
+    rows = [(1, a), (1, b), (1, b), (2, a), (2, c), (3, c), (None, c), (None, "only without an id at all here")]
+    kept = {sorted((str(r.doc_id), r.text) for r in simhash.one_per_group(documents(rows, extra=True, partitions=n)).collect()).__repr__() for n in (1, 3, 7)}
+    assert kept == {repr(sorted([("1", a), ("1", b), ("2", c), ("None", "only without an id at all here")]))}
+    near = "the quick brown fox jumps over the lazy dog again and again and again until the end of the day comes near to us all"
+    both = [(5, near), (5, near + " now")]  # one id, two texts of one group
+    apart = (brute_fingerprint(both[0][1]) ^ brute_fingerprint(both[1][1])).bit_count()
+    kept = [simhash.one_per_group(documents(both * 3, partitions=n)).collect() for n in (1, 4)]
+    assert len(kept[0]) == (1 if apart <= 4 else 2) and sorted(r.text for r in kept[0]) == sorted(r.text for r in kept[1])
+    assert simhash.one_per_group(documents([])).count() == 0
+
+
 @pytest.mark.parametrize("tile_rows", [16_384, 5])
 def test_links_reach_what_brute_force_reaches(spark, tile_rows):
     rng = random.Random(4)
@@ -110,6 +124,19 @@ def test_forest_tiles_skip_no_link():
     assert len(big) == len(small) == 120
 
 
+def test_forest_of_a_dense_group():
+    """All pairs of 2,000 fingerprints are links; the forest has one link fewer than it has nodes, and no link is walked one by one."""
+    import time
+    rng = np.random.default_rng(1)
+    fps = np.unique(np.array([(1 << rng.integers(0, 62)) | (1 << rng.integers(0, 62)) for _ in range(6000)], np.int64))[:1500]
+    start = time.time()
+    links = simhash.forest(fps, 4)
+    assert len(links) == len(fps) - 1 and len({x for link in links for x in link}) == len(fps)
+    assert all((a ^ b).bit_count() <= 4 for a, b in links) and time.time() - start < 5
+    half = simhash.forest(fps[:700], 4, other=fps[700:])
+    assert len(half) == len(fps) - 1
+
+
 # ---- decontamination -----------------------------------------------------------------------------
 
 def brute_hits(text, items, n=10):

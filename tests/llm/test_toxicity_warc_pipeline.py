@@ -208,3 +208,54 @@ def test_pipeline_stages(spark, sf):
         docs = out
     pieces = c.STAGES[-1][1](spark, docs, sf).collect()
     assert {r.doc_id for r in pieces} == set(kept) and len(queries.pipeline(spark, sf).collect()) == len(pieces)
+
+
+def write_tables(spark, folder, docs, labels, bench):
+    schemas = {"documents": "doc_id long, text string, lang string, source string, n_chars long", "labels": "doc_id long, quality int, toxic int",
+               "benchmark": "item_id long, text string"}
+    for name, rows in (("documents", docs), ("labels", labels), ("benchmark", bench)):
+        spark.createDataFrame(rows, schemas[name]).repartition(3).write.parquet(f"{folder}/{name}.parquet")
+    return str(folder)
+
+
+def test_pipeline_end_to_end_on_planted_rows(spark, tmp_path, sf):
+    """What must go goes, what must stay stays, and the packed ids are the library's; no operator is asked."""
+    import random
+    import zlib
+
+    import numpy as np
+    import public_tokenizers
+    from tokenizers import Tokenizer
+    rng = random.Random(3)
+    vocabulary = ["".join(rng.choices("abcdefghijklmnoprstuvw", k=rng.randint(2, 8))) for _ in range(900)]
+
+    def prose(n):
+        return " ".join(rng.choice(vocabulary[:60] if rng.random() < 0.5 else vocabulary) for _ in range(n)).capitalize() + "."
+
+    good = {i: prose(rng.randint(80, 160)) for i in range(300)}
+    toxic = {1000 + i: prose(40) + f" grobnik{'s' if i % 2 else ''} vermin scum " + prose(40) for i in range(80)}
+    passage = prose(30)
+    bad = {2000: "too short", 2001: "", 2002: None, 2003: "again and again we say " * 30, 2004: prose(50) + " " + passage + " " + prose(50)}
+    copies = {3000 + i: good[0] for i in range(40)}
+    docs = [(i, t) for part in (good, toxic, bad, copies) for i, t in part.items()]
+    twice = [(7, prose(120)), (7, prose(90)), (None, prose(100))]  # id 7 once more with other texts, and a row without an id
+    rows = [(i, t, "en", f"s{k % 5}", None) for k, (i, t) in enumerate(docs + twice)]
+    labels = [(i, 1, int(i >= 1000)) for i in [*range(1, 300), *toxic]]
+    folder = write_tables(spark, tmp_path / "t", rows, labels, [(1, passage), (2, None), (3, "")])
+    got = queries.pipeline(spark, folder).collect()
+    ids = {r.doc_id for r in got}
+    assert ids == set(good) | {None}, (sorted(set(good) - ids), sorted(i for i in ids if i not in good and i is not None))
+    tok = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    texts = [(i, t) for i, t in good.items()] + twice
+    want = sorted(str((i, zlib.crc32(np.array([*tok.encode(t, add_special_tokens=False).ids, 2], "<u4").tobytes()))) for i, t in texts)
+    # Rows of one id are told apart by their length; whole documents are compared where they lie in one piece.
+    whole = sorted(str((r.doc_id, r.ids_crc32)) for r in got if r.start == 0 and r.length == r.doc_tokens)
+    assert set(whole) <= set(want) and len(whole) > len(want) // 2
+    sizes = sorted(str((i, len(tok.encode(t, add_special_tokens=False).ids) + 1)) for i, t in texts)
+    assert sorted(str((r.doc_id, r.doc_tokens)) for r in got if r.start == 0) == sizes
+    assert sum(r.length for r in got) == sum(int(x.split(", ")[1][:-1]) for x in sizes)
+
+
+def test_pipeline_of_empty_tables(spark, tmp_path):
+    folder = write_tables(spark, tmp_path / "e", [], [], [])
+    assert queries.pipeline(spark, folder).collect() == []
