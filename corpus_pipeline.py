@@ -2,6 +2,15 @@
 
 Each stage is written as Parquet under the shared checkpoint folder and read
 back as the next stage's documents.
+
+Odd rows: a null or empty text has too few words, so its row goes in the first
+stage; a null ``doc_id`` is kept like any other and loses only to a row with an
+id in its group of near-duplicates; repeated rows, and rows of one id, are judged
+one by one, and only the near-duplicates stage drops any of them, when they lie
+in one group; a text of any length is judged whole; columns that ``documents``
+has besides come out of all stages but the last as they went in; empty tables
+give an empty result. Without labels of both classes no document is toxic by
+score unless all labels are.
 """
 
 from __future__ import annotations
