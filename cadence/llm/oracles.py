@@ -84,29 +84,25 @@ FROM base
 
 
 def _license_sql() -> str:
-    """The licence scan with the operator's templates, phrases and limits."""
+    """The licence scan with the operator's templates, phrases and limits: every place of a file where all key words of a template stand is judged."""
     from cadence.llm.licenses import PHRASES, TEMPLATES, _needed
 
     def words(text: str) -> str:
         return "[" + ", ".join(f"'{w}'" for w in text.split()) + "]"
 
-    tpl = ", ".join(f"({t}, '{label}', {words(text)}, [{', '.join(f'{{p: {p}, w: {chr(39)}{w}{chr(39)}}}' for p, w in _needed(text.split(), keys))}])"
-                    for t, (label, text, keys) in enumerate(TEMPLATES))
+    tpl = ", ".join(f"({t}, '{label}', {len(text.split())}, {len(_needed(text.split(), keys))})" for t, (label, text, keys) in enumerate(TEMPLATES))
+    tw = ", ".join(f"({t}, {p}, '{w}', {str(p in dict(_needed(text.split(), keys))).lower()})" for t, (_, text, keys) in enumerate(TEMPLATES) for p, w in enumerate(text.split()))
     phrases = ", ".join(f"('{label}', {words(p)})" for p, label in PHRASES.items())
     return rf"""
 WITH d AS (SELECT row_number() OVER () AS rk, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
-tpl(t, label, words, need) AS (VALUES {tpl}),
+tpl(t, label, n_all, n_key) AS (VALUES {tpl}),
+tw(t, p, word, is_key) AS (VALUES {tw}),
 ph(label, words) AS (VALUES {phrases}),
 pos AS (SELECT rk, unnest(w) AS word, unnest(range(0, len(w))) AS pos FROM d),
 base AS (SELECT p.rk, ph.label, p.pos FROM pos p JOIN ph ON p.word = ph.words[1] JOIN d ON d.rk = p.rk WHERE d.w[p.pos + 1:p.pos + len(ph.words)] = ph.words),
-tw AS (SELECT t, unnest(words) AS word, unnest(range(0, len(words))) AS p FROM tpl),
-df AS (SELECT word, count(DISTINCT rk) AS df FROM pos WHERE word IN (SELECT word FROM tw) GROUP BY word),
-idx AS (SELECT t, p, word, df FROM (SELECT t, p, word, coalesce(df, 0) AS df, row_number() OVER (PARTITION BY t ORDER BY coalesce(df, 0), word, p) AS r FROM tw LEFT JOIN df USING (word)) WHERE r <= 4),
-own AS (SELECT DISTINCT rk, word, df FROM pos JOIN (SELECT DISTINCT word, df FROM idx) USING (word)),
-top AS (SELECT rk, word FROM (SELECT *, row_number() OVER (PARTITION BY rk ORDER BY df, word) AS r FROM own) WHERE r <= 8),
-cand AS (SELECT rk, t, pos - p AS shift FROM pos JOIN top USING (rk, word) JOIN idx USING (word) GROUP BY 1, 2, 3 HAVING count(*) >= 2 AND pos - p >= 0),
-judged AS (SELECT c.rk, tpl.label, list_sum(list_transform(range(0, len(tpl.words)), lambda p: CASE WHEN d.w[c.shift + p + 1] = tpl.words[p + 1] THEN 1 ELSE 0 END))::DOUBLE / len(tpl.words) AS score
-           FROM cand c JOIN tpl USING (t) JOIN d USING (rk) WHERE len(list_filter(tpl.need, lambda k: d.w[c.shift + k.p + 1] IS DISTINCT FROM k.w)) = 0),
+lex AS (SELECT * FROM pos WHERE word IN (SELECT word FROM tw)),
+keyed AS (SELECT rk, t, pos - p AS shift FROM lex JOIN (SELECT * FROM tw WHERE is_key) USING (word) JOIN tpl USING (t) GROUP BY rk, t, shift, n_key HAVING count(*) = n_key),
+judged AS (SELECT rk, t, shift, label, count(*) / n_all::DOUBLE AS score FROM keyed JOIN tpl USING (t) JOIN tw USING (t) JOIN lex USING (rk, word) WHERE lex.pos = shift + tw.p GROUP BY rk, t, shift, label, n_all),
 good AS (SELECT * FROM judged WHERE score >= 0.8),
 b AS (SELECT rk, count(*) AS n, min(pos) AS lo, max(pos) AS hi, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM base GROUP BY rk),
 g AS (SELECT rk, max(score) AS score FROM good GROUP BY rk),

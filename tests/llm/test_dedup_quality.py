@@ -287,16 +287,40 @@ def test_license_scan(documents, odd_texts):
 
 
 def brute_labels(text):
-    """Labels of the templates that stand anywhere in the text, every place tried."""
+    """Labels of the templates that stand anywhere in the text, every place tried, also from before its start."""
     w, out = CORE_WORD.findall(text.translate(AZ)), set()
     for label, template, keys in licenses.TEMPLATES:
         t = template.split()
         need = licenses._needed(t, keys)
-        if any(all(w[i + p: i + p + 1] == [k] for p, k in need) and sum(a == b for a, b in zip(w[i:], t, strict=False)) >= 0.8 * len(t) for i in range(len(w))):
-            out.add(label)
+        for i in range(-len(t), len(w)):
+            if all(0 <= i + p < len(w) and w[i + p] == k for p, k in need) and sum(0 <= i + p < len(w) and w[i + p] == x for p, x in enumerate(t)) >= 0.8 * len(t):
+                out.add(label)
     return out
 
 
+WORDINGS = {
+    "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, "
+    "either version 3 of the License, or (at your option) any later version.": {"gpl-3.0"},
+    "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; "
+    "either version 2.1 of the License, or (at your option) any later version.": {"lgpl-2.1"},
+    "The MIT License (MIT)\n\nCopyright (c) 2015 Somebody": {"mit"}, "MIT License\n\nCopyright (c) 2020 A": {"mit"}, "Under the MIT License": {"mit"},
+    "some words here. Under the MIT License": {"mit"}, "Apache License\nVersion 2.0, January 2004": {"apache-2.0"},
+    "This work is licensed under a Creative Commons Attribution 4.0 International License.": {"cc-by-4.0"},
+    "Creative Commons Attribution-NonCommercial-ShareAlike 3.0 Unported": {"cc-by-nc-sa-3.0"}, "CC BY 3.0": {"cc-by-3.0"}, "// SPDX-License-Identifier: MIT": {"mit"},
+    "SPDX-License-Identifier: GPL-3.0-or-later": {"gpl-3.0"}, "Under the GNU General Public License version 2": {"gpl-2.0"},
+    "This documentation material file is subject to the terms of the Mozilla Public License, v. 2.0.": {"mpl-2.0"},
+    "the mit campus has a license for the software": set(), "a general public license is a license": set(), "creative commons is a movement": set(),
+}
+
+
+def test_license_wordings(documents):
+    base = set(licenses.PHRASES.values())
+    rows = list(enumerate(WORDINGS)) + [(100 + i, t.split(" ", 2)[-1]) for i, t in enumerate(WORDINGS)]
+    got = {r.doc_id: set(r.labels.split(",")) - base - {""} for r in licenses.scan(documents(rows)).collect()}
+    assert {i: got[i] for i in range(len(WORDINGS))} == dict(enumerate(WORDINGS.values()))
+    assert got == {i: brute_labels(t) for i, t in rows}
+
+
 def test_license_bundles_keep_every_notice(documents):
     rng = random.Random(11)
     notices = [t for _, t, _ in licenses.TEMPLATES]
