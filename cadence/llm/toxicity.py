@@ -5,13 +5,14 @@ prefixes of 4 to 7 letters, the ones most associated with the label on the fit
 sample, present or not; words of ``IDENTITY`` that the sample holds are always
 features.
 
-Fit, on at most ``fit_rows`` labelled rows of each class in the order of a hash
-of their id (a documented bound; scoring covers every row):
+Fit, on at most ``fit_rows`` rows of each class, first by ids in the order of a
+hash, then by a hash of id and text, equal texts of an id once (a documented
+bound; scoring covers every row):
 
 * counts of features by label are made by the executors, and the ``features``
   best by a chi-square score with a lift limit are kept;
 * for every labelled text that holds an identity term, counterfactual texts are
-  made by swapping it for other terms of its group;
+  made by swapping it for each other term of its group;
 * the weights minimise the class-balanced log loss + ``l2`` |w|^2 +
   ``cf`` * mean((score of text - score of its counterfactual)^2), where scores
   are logits.  The third term takes the weight off group mentions as such.
@@ -19,7 +20,7 @@ of their id (a documented bound; scoring covers every row):
 Edge cases: null and empty texts get the score of a text without features; a
 missing class gives the share of the other class as score (0.0 without any
 label); repeated rows are scored one by one; rows with a null label are not
-used; labelled rows count once per (document row, label row).
+used; equal texts of an id count once in the fit, an id with both labels with both.
 """
 
 from __future__ import annotations
@@ -81,16 +82,15 @@ class Model:
         return 1 / (1 + float(np.exp(-np.clip(z, -500, 500))))
 
 
-def counterfactuals(text: str, swaps: int) -> list[tuple[set[str], set[str]]]:
-    """(features lost, features gained) for each of up to ``swaps`` replacements of each identity term of a text."""
+def counterfactuals(text: str) -> list[tuple[set[str], set[str]]]:
+    """(features lost, features gained) for each replacement of each identity term of a text by another of its group."""
     words = set(_WORDS(text.lower()))
     out = []
     for term in sorted(words & GROUP.keys()):
-        line = GROUP[term]
-        at, rest = line.index(term), {f for w in words - {term} for f in word_features(w)}
-        for k in range(1, min(swaps, len(line) - 1) + 1):
-            other = line[(at + k) % len(line)]
-            out.append((set(word_features(term)) - rest, set(word_features(other)) - rest))
+        rest = {f for w in words - {term} for f in word_features(w)}
+        for other in GROUP[term]:
+            if other != term:
+                out.append((set(word_features(term)) - rest, set(word_features(other)) - rest))
     return out
 
 
@@ -124,14 +124,17 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
-def fit(docs: DataFrame, labels: DataFrame, *, fit_rows: int = 4_000, features: int = 1_500, min_count: int = 3, l2: float = 2e-4, cf: float = 1.0, swaps: int = 3) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, *, fit_rows: int = 4_000, features: int = 1_500, min_count: int = 3, l2: float = 2e-4, cf: float = 1.0) -> Model:
     """Fit on labelled rows of ``docs`` (doc_id, text) that are not held out; ``labels`` holds doc_id and toxic."""
     lab = labels.select(F.col("doc_id").alias("__id"), F.col("toxic").cast("int").alias("toxic")).filter(~held_out(F.col("__id")) & F.col("toxic").isNotNull() & F.col("__id").isNotNull())
     order = F.xxhash64(F.col("__id"))
     known = lab.join(docs.select(F.col("doc_id").alias("__id")), "__id", "left_semi")
     chosen = [known.filter(F.col("toxic") == c).orderBy(order, "__id").limit(fit_rows) for c in (0, 1)]
     ids = chosen[0].unionByName(chosen[1])  # at most 2 * fit_rows rows of an id and a label
-    sample = docs.select(F.col("doc_id").alias("__id"), "text").join(F.broadcast(ids), "__id").select("__id", "text", "toxic")
+    # An id may have any number of rows: the bound holds for the rows as well.
+    found = docs.select(F.col("doc_id").alias("__id"), "text").join(F.broadcast(ids), "__id").withColumn("__h", F.xxhash64("text")).dropDuplicates(["__id", "toxic", "__h"])
+    rows = [found.filter(F.col("toxic") == c).orderBy(F.xxhash64("__id", "__h"), "__id", "__h").limit(fit_rows) for c in (0, 1)]
+    sample = rows[0].unionByName(rows[1]).select("__id", "text", "toxic")
     identity = {f for t in GROUP for f in word_features(t)[:1]}
 
     def counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -165,7 +168,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, fit_rows: int = 4_000, features:
             for i, t, y in zip(pdf["__id"], pdf["text"], pdf["toxic"], strict=True):
                 t = t or ""
                 rows.append((i, 0, int(y == 1), sorted(index[f] for f in text_features(t) if f in index), []))
-                rows += [(i, 1, 0, sorted(index[f] for f in a if f in index), sorted(index[f] for f in b if f in index)) for a, b in counterfactuals(t, swaps)]
+                rows += [(i, 1, 0, sorted(index[f] for f in a if f in index), sorted(index[f] for f in b if f in index)) for a, b in counterfactuals(t)]
             yield pd.DataFrame(rows, columns=["id", "kind", "y", "on", "off"])
 
     # One row a sampled text, and one a distinct change of features: their number is bounded by the sample and by IDENTITY.

@@ -53,6 +53,35 @@ def test_held_out_accuracy(spark, documents):
     assert all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.7) for r in got.values())
 
 
+def test_query_on_given_tables(spark):
+    sf = "/root/testdata/sf0.1"
+    got = {r.doc_id: r for r in queries.op4_toxicity(spark, sf).collect()}
+    docs = {r.doc_id: r.text for r in queries.table(spark, sf, "documents").collect()}
+    assert got.keys() == docs.keys() and all(r.held_out == held(i) and r.predicted == int(r.score >= 0.7) for i, r in got.items())
+    lab = [(r.doc_id, r.toxic) for r in queries.table(spark, sf, "labels").collect() if r.doc_id in docs and held(r.doc_id)]
+    score, y = np.array([got[i].score for i, _ in lab]), np.array([t for _, t in lab])
+    assert auc(score, y) > 0.97
+    # A seventh of the toxic labels here stand by junk without a toxic word, which no feature of a text can tell.
+    assert (score[y == 1] >= 0.7).mean() > 0.8 and (score[y == 0] >= 0.7).mean() < 0.01
+
+
+def test_the_fit_is_bounded_in_rows(spark, documents, monkeypatch):
+    """One labelled id has 3,000 rows; the matrix on the driver stays within twice the bound."""
+    rows = [(1, f"idiotic text {i}", 1) for i in range(3000)] + [(i, f"plain word{i % 40} and word{i % 7}" + (" vilest" if i % 3 == 0 else ""), int(i % 3 == 0)) for i in range(2, 400)]
+    docs = documents([(i, t) for i, t, _ in rows])
+    labels = spark.createDataFrame([(i, 1, y) for i, y in {i: y for i, _, y in rows}.items()], "doc_id long, quality int, toxic int")
+    seen, solve = [], toxicity.solve
+    monkeypatch.setattr(toxicity, "solve", lambda x, *a, **k: seen.append(x.shape[0]) or solve(x, *a, **k))
+    toxicity.fit(docs, labels, fit_rows=100)
+    assert seen and seen[0] <= 200
+
+
+def test_each_term_meets_its_whole_group():
+    got = toxicity.counterfactuals("the muslims and the word")
+    line = next(x.split() for x in toxicity.IDENTITY if "muslims" in x.split())
+    assert len(got) == len(line) - 1 and {f for _, gained in got for f in gained if f.endswith("=")} == {t + "=" for t in line if t != "muslims"}
+
+
 def test_counterfactual_penalty_takes_weight_off_group_mentions(spark, documents):
     docs, labels = labelled(spark, documents, corpus(insults=0.5))
     plain, fair = (toxicity.fit(docs, labels, cf=c) for c in (0.0, 5.0))
