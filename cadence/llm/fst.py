@@ -10,11 +10,13 @@ Two machines count the tokens of a text without building them:
   predecessor without a merge across the border.  The transition carries the
   change of the count of emitted tokens (it may be negative, where a longer
   entry takes over).  States and transitions are determinised when first met,
-  kept by number, and dropped together when ``max_states`` is reached.
+  kept by number, and dropped together when ``max_states`` is reached, also
+  inside a pre-token, whose state is then made anew.
 * Texts are cut into chunks.  A chunk's state map says what it does to any
-  entering state: white space resets the machine, so the map is the text
-  before the first white space (it completes an open pre-token), the count
-  between, and the text after the last white space (left open).  Maps compose
+  entering state: white space and digits (each a pre-token of its own) reset the
+  machine, so the map is the text before the first of them (it completes an open
+  pre-token), the count between, and the text after the last one (left open).
+  Maps compose
   associatively; they are reduced by a prefix scan, first inside the task that
   cut the chunks, then across tasks.
 
@@ -23,7 +25,8 @@ files.  A special string in a text counts one token and cuts the text, as the
 library does by default.
 
 Edge cases: a null or empty text has 0 bytes and 0 tokens; repeated rows are
-counted one by one; a null id is carried through.
+counted one by one; a null id is carried through; a stretch without white space
+or digits is carried as text and read by one task, in memory of its own size.
 """
 
 from __future__ import annotations
@@ -60,6 +63,8 @@ class Transducer:
         self.pretokens = regex.compile(spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"].replace("\\s", SPACE)).findall
         self.alphabet = str.maketrans(byte_alphabet())
         self.max_states, self.max_words = max_states, 4 * max_states
+        border = SPACE + ("" if any(c.isdigit() for t in self.special for c in t) else "0-9")
+        self.first_border, self.last_border = re.compile(f"[{border}]").search, re.compile(f"[{border}](?=[^{border}]*\\Z)").search
         # The trie of the vocabulary; node 0 is the root.
         self.child: list[dict[str, int]] = [{}]
         self.token: list[tuple[str, ...] | None] = [None]
@@ -149,9 +154,16 @@ class Transducer:
         symbols = word if word.isascii() and word.isalnum() else word.encode().decode("latin-1").translate(self.alphabet)
         state = count = 0
         for s in (*symbols[:-1], symbols[-1] + self.suffix):
-            step = self.moves[state].get(s) or self.move(state, s)
+            step = self.moves[state].get(s)
+            if step is None:
+                if len(self.states) > 2 * self.max_states:
+                    key = self.states[state]
+                    self._reset()
+                    state = self._state(key)
+                step = self.move(state, s)
             state, count = step[0], count + step[1]
-        self.words[word] = count
+        if len(word) <= 64:
+            self.words[word] = count
         return count
 
     def closed(self, text: str) -> int:
@@ -165,13 +177,13 @@ class Transducer:
         return sum(map(self.pretoken, self.pretokens(text)))
 
     def state_map(self, chunk: str) -> tuple[str, int, str | None]:
-        """(text up to the first white space, count, text after the last one); the last is None if there is no white space.
+        """(text up to the first white space or digit, count, text after the last one); the last is None if there is none.
 
-        A special string may hold no white space, so no chunk's cut hides one."""
-        first = _FIRST_SPACE(chunk)
+        A special string holds none of them, so no chunk's cut hides one."""
+        first = self.first_border(chunk)
         if not first:
             return chunk, 0, None
-        last = _LAST_SPACE(chunk).end()
+        last = self.last_border(chunk).end()
         return chunk[: first.start()], self.closed(chunk[first.start(): last]), chunk[last:]
 
     def compose(self, a: tuple, b: tuple) -> tuple[str, int, str | None]:
@@ -193,8 +205,6 @@ class Transducer:
         return maps[0]
 
 
-_FIRST_SPACE = re.compile(f"[{SPACE}]").search
-_LAST_SPACE = re.compile(f"[{SPACE}](?=[^{SPACE}]*\\Z)").search
 _MACHINES: dict[str, Transducer] = {}
 
 

@@ -29,12 +29,14 @@ repeated rows are packed each on its own; a null id is carried through.
 from __future__ import annotations
 
 import itertools
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cadence.llm.tokens import encoder
@@ -147,13 +149,16 @@ SCHEMA = "doc_id long, start long, length long, ids binary, doc_tokens long, seq
 
 
 def pack_documents(docs: DataFrame, *, tokenizer: str, end_id: int, window: int = 4096, bins: int = 64, depth: int = 3,
-                   pool_tokens: int = 6_000_000, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+                   pool_tokens: int = 6_000_000, partition_bytes: int = 16 << 20, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Pack ``docs`` into sequences of at most ``window`` ids.
 
     One row per piece: the document's id, ``start`` (its ids before the piece),
     ``length``, ``ids`` (little-endian unsigned 32-bit), ``doc_tokens`` (ids of
     the document with its end id), ``sequence_id`` and ``offset`` in the
     sequence.  ``sequence_id`` is the partition's number times 2**32 plus a count.
+
+    A partition ends in at most 12 short sequences, so partitions that hold less
+    than about ``partition_bytes`` of text are merged first (without a shuffle).
     """
     if window % bins:
         raise ValueError("bins must divide window")
@@ -220,5 +225,7 @@ def pack_documents(docs: DataFrame, *, tokenizer: str, end_id: int, window: int
 
     if not isinstance(kind, (T.LongType, T.IntegerType, T.ShortType, T.ByteType)):
         raise TypeError(f"{id_col} must be an integer")
-    return docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text")).mapInArrow(run, SCHEMA)
+    d = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text"))
+    size = d.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
+    return d.coalesce(max(1, math.ceil(size / partition_bytes))).mapInArrow(run, SCHEMA)
 
