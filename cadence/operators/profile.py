@@ -38,7 +38,7 @@ def fit_scalars(df: DataFrame, *aggs) -> dict:
 
 
 def totals_long(playlists: DataFrame, tracks: DataFrame, title_norm, approx: bool = False) -> DataFrame:
-    """(metric, value): dataset totals as rows (two global aggregates, unioned).
+    """(metric, value): dataset totals as rows (global aggregates, unioned).
     ``approx=True`` uses HyperLogLog++ sketches instead of exact distinct counts."""
     cd = (lambda c: F.approx_count_distinct(c, 0.01)) if approx else F.countDistinct
     p = playlists.agg(
@@ -55,13 +55,15 @@ def totals_long(playlists: DataFrame, tracks: DataFrame, title_norm, approx: boo
             F.round(F.avg("track_dur_ms"), 9).alias("mean_track_dur_ms"),
             F.round(F.count(F.lit(1)) / cd("pid"), 9).alias("mean_len"))
         return unpivot(p).unionByName(unpivot(t))
-    # one distinct table per column: rows are not multiplied by the number of distinct counts
-    plain = tracks.agg(F.count(F.lit(1)).cast("double").alias("n_entries"), F.round(F.avg("track_dur_ms"), 9).alias("mean_track_dur_ms"))
-    out = unpivot(p).unionByName(unpivot(plain))
-    for c, name in (("track_uri", "n_tracks"), ("album_uri", "n_albums"), ("artist_uri", "n_artists")):
-        out = out.unionByName(unpivot(tracks.select(c).distinct().agg(F.count(c).cast("double").alias(name))))
+    # Entries collapse to the distinct (track, album, artist) first, combined before the shuffle; only those are expanded
+    # for the distinct counts. Groups are counted by a pass of their own.
+    items = tracks.groupBy("track_uri", "album_uri", "artist_uri").agg(
+        F.count(F.lit(1)).alias("_n"), F.count("track_dur_ms").alias("_nd"), F.sum("track_dur_ms").alias("_d"))
+    t = items.agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("double").alias("n_entries"), F.round(F.sum("_d") / F.sum("_nd"), 9).alias("mean_track_dur_ms"),
+                  *[F.countDistinct(c).cast("double").alias(n) for c, n in (("track_uri", "n_tracks"), ("album_uri", "n_albums"), ("artist_uri", "n_artists"))])
     groups = tracks.groupBy("pid").agg(F.count(F.lit(1)).alias("_n"))
-    return out.unionByName(unpivot(groups.agg(F.count("pid").cast("double").alias("n_groups"), F.round(F.sum("_n") / F.count("pid"), 9).alias("mean_len"))))
+    g = groups.agg(F.count("pid").cast("double").alias("n_groups"), F.round(F.sum("_n") / F.count("pid"), 9).alias("mean_len"))
+    return unpivot(p).unionByName(unpivot(t)).unionByName(unpivot(g))
 
 
 def unpivot(df: DataFrame, name: str = "metric", value: str = "value") -> DataFrame:
