@@ -6,9 +6,10 @@ from pyspark.sql import functions as F
 
 from cadence.operators import sequences as S
 from cadence.sources.fixtures import stage, tables
-from cadence.session import session_key
+from cadence.session import MEMOS, session_key
 
 _MEMO: dict = {}
+MEMOS.append(_MEMO)
 
 
 def memo(spark, sf_dir, name, build):

@@ -35,6 +35,12 @@ def get_spark(app: str = "cadence", master: str | None = None, cpus: int | None
     return spark
 
 
+def is_local(spark: SparkSession) -> bool:
+    """Whether driver and executors are one process, so that a private folder serves both."""
+    master = spark.sparkContext.master
+    return master == "local" or master.startswith("local[")
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
@@ -44,7 +50,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
-        if not spark.sparkContext.master.startswith("local["):
+        if not is_local(spark):
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="cadence-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
@@ -53,10 +59,30 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
+_SCRATCH: dict[str, list[str]] = {}
+#: Memos of stage tables, by keys that begin with the session's.
+MEMOS: list[dict] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared checkpoint folder; every call gets another one."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/{name}-{uuid.uuid4().hex}"
+    path = f"{base}/{name}-{uuid.uuid4().hex}"
+    _SCRATCH.setdefault(session_key(spark), []).append(path)
+    return path
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Delete the folders that ``scratch_path`` named in this session, and forget the stage tables made of them; the number of
+    folders deleted. Results that still read stage tables have to be written out before."""
+    key, deleted = session_key(spark), 0
+    for path in _SCRATCH.pop(key, []):
+        p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        deleted += bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True))
+    for memo in MEMOS:
+        for k in [k for k in memo if k[0] == key]:
+            del memo[k]
+    return deleted
 
 
 def session_key(spark: SparkSession) -> str:

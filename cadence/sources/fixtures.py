@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from cadence.functions.text import uri_of
 from cadence.operators.ranking import ordered_index
-from cadence.session import session_key
+from cadence.session import MEMOS, session_key
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
@@ -199,6 +199,7 @@ class Tables:
 
 
 _CACHE: dict[tuple, Tables] = {}
+MEMOS.append(_CACHE)
 
 def tables(spark: SparkSession, sf_dir: str) -> Tables:
     key = (session_key(spark), sf_dir)
