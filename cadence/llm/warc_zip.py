@@ -1,13 +1,16 @@
 """WARC records in ZIP archives: writer and range reader.
 
-An archive is a ZIP file of stored members: ``archive/data.warc.gz`` holds the
-records, each a gzip member of its own as usual for WARC, ``indexes/index.cdxj``
-one line a record (page, offset and length inside the member).  The writer always adds ZIP64 records, so archives
-and members may pass 4 GB.
+An archive is a ZIP file of stored members: those under ``archive/`` hold the
+records, each a gzip member of its own as usual for WARC, those under
+``indexes/`` one line a record with a JSON object (filename, offset and length
+inside that file).  The writer makes one of each and always adds ZIP64 records,
+so archives and members may pass 4 GB.
 
 The reader never extracts: it reads the file's tail for the end-of-directory
-records (ZIP64 where given), then the central directory, the member's local
-header and the index member, and then fetches records by byte ranges.  One row
+records (ZIP64 where given), then the central directory and every index member
+it names (plain or ``.gz``), finds the archive members they point to by their
+local headers, and then fetches records by byte ranges.  An index line for a
+member that is not there, and an archive member that no index names, are errors.  One row
 per run of neighbouring records is dealt out before records are read, so one
 large archive is read by many tasks.
 
@@ -36,7 +39,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DATA, INDEX = "archive/data.warc.gz", "indexes/index.cdxj"
+FILES, INDEXES = "archive/", "indexes/"
+DATA, INDEX = FILES + "data.warc.gz", INDEXES + "index.cdxj"
 
 
 def opened(uri: str) -> tuple[pafs.FileSystem, str]:
@@ -187,7 +191,7 @@ def write_archives(pages: DataFrame, folder: str, *, min_revisit: int = 1000, ar
                 page, refers = (None if x is None else int(x) for x in (page, refers))
                 raw = record("response" if refers is None else "revisit", page, url, digest, bytes(payload), length, refers)
                 raw = gzip.compress(raw, compresslevel=6, mtime=0)
-                lines.append(json.dumps({"page": page, "offset": size, "length": len(raw)}) + "\n")
+                lines.append(json.dumps({"page": page, "filename": DATA.removeprefix(FILES), "offset": size, "length": len(raw)}) + "\n")
                 data.append(raw)
                 crc, size = zlib.crc32(raw, crc), size + len(raw)
                 if size >= archive_bytes:
@@ -200,6 +204,32 @@ def write_archives(pages: DataFrame, folder: str, *, min_revisit: int = 1000, ar
     return p.mapInPandas(write, "path string, records long")
 
 
+def located(f, path: str) -> list[tuple[int, int, int]]:
+    """(first byte of the member, offset in it, length) of every record that the indexes of an archive name, in order."""
+    members = central_directory(f, f.size())
+    files = {n: m for n, m in members.items() if n.startswith(FILES) and not n.endswith("/")}
+    indexes = {n: m for n, m in members.items() if n.startswith(INDEXES) and not n.endswith("/")}
+    if any(m[0] != 0 for m in (*files.values(), *indexes.values())):
+        raise ValueError(f"{path}: members must be stored")
+    base = {n: member_start(f, m[2]) for n, m in files.items()}
+    out, named = set(), set()
+    for n, (_, size, at) in sorted(indexes.items()):
+        f.seek(member_start(f, at))
+        raw = f.read(size)
+        for line in (gzip.decompress(raw) if n.endswith(".gz") else raw).decode().splitlines():
+            if "{" not in line:
+                continue
+            entry = json.loads(line[line.index("{"):])
+            name = FILES + entry["filename"]
+            if name not in files or int(entry["offset"]) + int(entry["length"]) > files[name][1]:
+                raise ValueError(f"{path}: an index points outside the archive: {line[:200]}")
+            named.add(name)
+            out.add((base[name], int(entry["offset"]), int(entry["length"])))
+    if missed := [n for n in files if n not in named and files[n][1]]:
+        raise ValueError(f"{path}: no index names {missed[0]}")
+    return sorted(out)
+
+
 def read_archives(paths: DataFrame, folder: str, *, run_bytes: int = 4 << 20) -> DataFrame:
     """Records of the archives in ``paths`` (path): page_id, url, record_type, refers_to, payload_digest, payload_bytes, and the payload as stored."""
     def locate(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -207,20 +237,15 @@ def read_archives(paths: DataFrame, folder: str, *, run_bytes: int = 4 << 20) ->
         for pdf in batches:
             for path in pdf["path"]:
                 with fs.open_input_file(path) as f:
-                    members = central_directory(f, f.size())
-                    if any(members[m][0] != 0 for m in (DATA, INDEX)):
-                        raise ValueError(f"{path}: members must be stored")
-                    base = member_start(f, members[DATA][2])
-                    f.seek(member_start(f, members[INDEX][2]))
-                    at = [json.loads(x) for x in f.read(members[INDEX][1]).splitlines()]
+                    found = located(f, path)
                 runs, cur = [], []
-                for x in at:
-                    if cur and x["offset"] + x["length"] - cur[0]["offset"] > run_bytes:
+                for base, offset, length in found:
+                    if cur and (base != cur[0][0] or offset != cur[-1][1] + cur[-1][2] or offset + length - cur[0][1] > run_bytes):
                         runs.append(cur)
                         cur = []
-                    cur.append(x)
+                    cur.append((base, offset, length))
                 runs += [cur] if cur else []
-                yield pd.DataFrame([(path, base + r[0]["offset"], [x["length"] for x in r]) for r in runs], columns=["path", "start", "lengths"])
+                yield pd.DataFrame([(path, r[0][0] + r[0][1], [x[2] for x in r]) for r in runs], columns=["path", "start", "lengths"])
 
     def fetch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         fs, _ = opened(folder)

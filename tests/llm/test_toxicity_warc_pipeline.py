@@ -208,6 +208,43 @@ def test_cut_archives_are_refused(spark, tmp_path, cut):
         warc_zip.central_directory(io.BytesIO(raw), len(raw))
 
 
+def archive_of(files, indexes, path):
+    """A ZIP of stored members with the given archive files ({name: [raw records]}) and indexes ({name: bytes})."""
+    members, body = [], b""
+    for name, data in [*((f"archive/{n}", b"".join(r)) for n, r in files.items()), *((f"indexes/{n}", x) for n, x in indexes.items()), ("datapackage.json", b"{}")]:
+        members.append((name.encode(), zlib.crc32(data), len(data), len(body)))
+        body += warc_zip.local_header(name.encode(), zlib.crc32(data), len(data)) + data
+    path.write_bytes(body + warc_zip.directory(members, len(body)))
+
+
+def test_archives_with_several_members_and_indexes(spark, tmp_path):
+    import gzip
+    import json
+
+    def raw(i):
+        text = f"page {i}".encode() * (i + 1)
+        return gzip.compress(warc_zip.record("response", i, f"u{i}", hashlib.sha1(text).hexdigest(), text, len(text), None), mtime=0)
+
+    files = {"a.warc.gz": [raw(i) for i in range(5)], "b.warc.gz": [raw(i) for i in range(5, 9)]}
+
+    def lines(name, prefix=""):
+        at, out = 0, ""
+        for r in files[name]:
+            out += prefix + json.dumps({"filename": name, "offset": str(at), "length": str(len(r))}) + "\n"
+            at += len(r)
+        return out.encode()
+
+    archive_of(files, {"one.cdxj": lines("a.warc.gz", "com,x)/ 2024 "), "two.cdx.gz": gzip.compress(b"!meta\n" + lines("b.warc.gz"))}, tmp_path / "x.wacz")
+    paths = spark.createDataFrame([(str(tmp_path / "x.wacz"),)], "path string")
+    got = sorted((r.page_id, r.payload_bytes, bytes(r.payload)) for r in warc_zip.read_archives(paths, str(tmp_path), run_bytes=150).collect())
+    assert got == [(i, len(f"page {i}") * (i + 1), f"page {i}".encode() * (i + 1)) for i in range(9)]
+    for indexes, said in (({"one.cdxj": lines("a.warc.gz")}, "no index names"), ({"one.cdxj": lines("a.warc.gz") + lines("b.warc.gz").replace(b"b.warc", b"c.warc")}, "points outside")):
+        archive_of(files, indexes, tmp_path / "y.wacz")
+        fs, name = warc_zip.opened(str(tmp_path / "y.wacz"))
+        with fs.open_input_file(name) as f, pytest.raises(ValueError, match=said):
+            warc_zip.located(f, "y")
+
+
 def test_no_pages_no_archives(spark, tmp_path):
     arch, got = read_back(spark, pages(spark, [(1, "x")]).limit(0), tmp_path)
     assert arch == [] and got == []
