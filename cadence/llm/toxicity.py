@@ -134,7 +134,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, fit_rows: int = 4_000, features:
     # An id may have any number of rows: the bound holds for the rows as well.
     found = docs.select(F.col("doc_id").alias("__id"), "text").join(F.broadcast(ids), "__id").withColumn("__h", F.xxhash64("text")).dropDuplicates(["__id", "toxic", "__h"])
     rows = [found.filter(F.col("toxic") == c).orderBy(F.xxhash64("__id", "__h"), "__id", "__h").limit(fit_rows) for c in (0, 1)]
-    sample = rows[0].unionByName(rows[1]).select("__id", "text", "toxic")
+    sample = rows[0].unionByName(rows[1]).select("__id", "text", "toxic").repartition(16, "__id")  # a limit leaves one partition
     identity = {f for t in GROUP for f in word_features(t)[:1]}
 
     def counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -143,7 +143,9 @@ def fit(docs: DataFrame, labels: DataFrame, *, fit_rows: int = 4_000, features:
             for t, y in zip(pdf["text"], pdf["toxic"], strict=True):
                 c[int(y == 1)].update(text_features(t))
         names = sorted(c[0].keys() | c[1].keys())
-        yield pd.DataFrame({"f": names, "neg": [c[0][x] for x in names], "pos": [c[1][x] for x in names]})
+        for i in range(0, len(names), 50_000):
+            part = names[i: i + 50_000]
+            yield pd.DataFrame({"f": part, "neg": [c[0][x] for x in part], "pos": [c[1][x] for x in part]})
 
     from cadence.llm.store import written
 
