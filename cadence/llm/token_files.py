@@ -1,7 +1,7 @@
 """Token ids in ORC files.
 
-Documents are range-partitioned and sorted by id; each partition becomes one
-ORC file, in the order of its name.  ORC stores ids with integer run-length
+Documents are range-partitioned and sorted by id (rows of one id by a hash of
+their text); each partition becomes one ORC file, in the order of its name.  ORC stores ids with integer run-length
 encoding in stripes; every stripe carries row indexes (min and max of ``doc_id``
 per ``index_rows`` rows) and a Bloom filter on ``doc_id``.  Stripes are read by
 different tasks, and a filter on ``doc_id`` is pushed to the reader, which skips
@@ -11,8 +11,8 @@ Columns: ``part`` (number of the file), ``doc_id``, ``part_start`` (ids of the
 documents before it in the file), ``n_tokens`` and ``ids``.
 
 Edge cases: a null or empty text has the end id alone; a null doc_id sorts
-first; repeated rows are stored each, next to one another; an empty table makes
-files without rows.
+first; repeated rows are stored each, next to one another, in several files where
+one id has many rows; an empty table makes files without rows.
 """
 
 from __future__ import annotations
@@ -62,10 +62,11 @@ def write_token_files(docs: DataFrame, path: str, *, tokenizer: str, end_id: int
             if doc:
                 yield rows(doc, ids)
 
-    d = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text"))
+    # Rows of one id go by a hash of the text, equal rows by their place in the table: an id with any share of the rows is dealt to many files.
+    d = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text"), F.xxhash64(docs[text_col]).alias("h"), F.monotonically_increasing_id().alias("n"))
     parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordered = d.repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id", "text")
-    ordered.mapInArrow(run, SCHEMA).write.option("compression", compression).option("orc.stripe.size", stripe_bytes).option("orc.row.index.stride", index_rows) \
+    ordered = d.repartitionByRange(parts, "doc_id", "h", "n").sortWithinPartitions("doc_id", "h", "n")
+    ordered.select("doc_id", "text").mapInArrow(run, SCHEMA).write.option("compression", compression).option("orc.stripe.size", stripe_bytes).option("orc.row.index.stride", index_rows) \
         .option("orc.create.index", "true").option("orc.bloom.filter.columns", "doc_id").option("orc.bloom.filter.fpp", "0.01").orc(path)
 
 

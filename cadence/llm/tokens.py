@@ -11,6 +11,8 @@ BPE model runs once per new unit:
 * byte-level BPE with the usual word pattern: units start at a single space
   that stands between two other characters.
 
+A text of plain Latin characters is cut into its pre-tokens at once.
+
 Any other file, and any text that holds a special string, white space outside
 ASCII or runs of white space, goes through the library as a whole.
 """
@@ -63,13 +65,16 @@ class _Whole(Exception):
 
 class Memo(dict):
     """Values made when first asked for, in two generations: when the younger one is full it becomes the older one,
-    whose entries come back when they are asked for again, so frequent keys stay and memory is bounded."""
+    whose entries come back when they are asked for again, so frequent keys stay and memory is bounded.  A key of more
+    than ``longest`` characters is not kept."""
 
-    def __init__(self, make, size: int):
+    def __init__(self, make, size: int, longest: int = 64):
         super().__init__()
-        self.make, self.size, self.old = make, size, {}
+        self.make, self.size, self.longest, self.old = make, size, longest, {}
 
     def __missing__(self, key):
+        if len(key) > self.longest:
+            return self.make(key)
         got = self.old.get(key)
         if got is None:
             got = self.make(key)
@@ -101,7 +106,9 @@ class IdEncoder:
 
     def _word(self, word: str) -> bytes:
         """Ids of one pre-token."""
-        if not (word.isascii() and word.isalnum()):
+        if word.isascii() and word.isprintable():  # only the blank has a stand-in
+            word = word.replace(" ", self.to_alphabet[32])
+        else:
             word = word.encode().decode("latin-1").translate(self.to_alphabet)
         return array("I", [t.id for t in self.model.tokenize(word)]).tobytes()
 
@@ -125,9 +132,13 @@ class IdEncoder:
         if self.kind == "other" or any(s in text for s in self.special):
             return self.library(text)
         if self.kind == "word":
+            if _PLAIN(text):
+                return b"".join(map(self.words.__getitem__, _WORD_UNITS(text.lower())))
             return b"".join(map(self.units.__getitem__, text.encode().split()))
+        if _PLAIN(text):
+            return b"".join(map(self.words.__getitem__, _BYTE_UNITS(text)))
         if text[0] in " \t\n\r" or text[-1] in " \t\n\r" or any(r in text for r in _RUNS):
-            return self.library(text) if not _PLAIN(text) else b"".join(map(self.words.__getitem__, _BYTE_UNITS(text)))
+            return self.library(text)
         first, *rest = text.split(" ")
         try:
             return self._byte_unit(first, "") + b"".join(map(self.units.__getitem__, rest))

@@ -28,6 +28,17 @@ def test_encoder_equals_library(path, odd_texts):
         assert np.frombuffer(enc.encode(t or ""), "<u4").tolist() == tok.encode(t or "", add_special_tokens=False).ids
 
 
+@pytest.mark.parametrize("path", [WORD, BYTE])
+def test_encoder_equals_library_on_mixed_texts(path):
+    import random
+    rnd, enc = random.Random(3), IdEncoder(path, max_memo=200)
+    parts = ["word", "Word's", " I'll", "  ", " ", "\t", "\n", "\n\n", "42", " 7", "é", " Ünï", ",", "!?", " --", "x" * 90, "<|endoftext|>", "日本", "\x7f", "\x01", "ß", "À "]
+    for _ in range(300):
+        t = "".join(rnd.choices(parts, k=rnd.randint(0, 25)))
+        assert np.frombuffer(enc.encode(t), "<u4").tolist() == library(path, t), repr(t)
+    assert all(len(k) <= 64 for memo in (enc.words, enc.units, enc.words.old, enc.units.old) for k in memo)
+
+
 def check_pieces(rows, lengths, window=4096):
     by_doc, by_seq = defaultdict(list), defaultdict(list)
     for r in rows:
@@ -79,6 +90,17 @@ def test_small_pools_lose_nothing(documents):
     assert check_pieces(out.collect(), {i: len(library(WORD, t)) + 1 for i, t in rows}, 512) == 0
 
 
+def test_many_small_partitions_make_few_short_sequences(documents):
+    rows = [(i, " ".join(["abc"] * (37 * i % 900))) for i in range(400)]
+    out = packing.pack_documents(documents(rows, partitions=64), tokenizer=WORD, end_id=2, window=512, bins=32).collect()
+    lengths = {i: len(library(WORD, t)) + 1 for i, t in rows}
+    assert check_pieces(out, lengths, 512) == 0
+    size = defaultdict(int)
+    for r in out:
+        size[r.sequence_id] += r.length
+    assert sum(n < 512 for n in size.values()) <= 9 and len(size) <= sum(lengths.values()) // 512 + 10
+
+
 def test_combinations_and_nnls():
     c = packing.combinations_filling(8, 3)
     assert sorted(map(tuple, c)) == sorted({tuple(np.bincount(p, minlength=9)[1:]) for a in range(1, 9) for b in range(9) for d in range(9)
@@ -117,6 +139,18 @@ def test_transducer_counts_equal_library(odd_texts):
         assert m.total(m.scan([m.state_map(c) for c in chunks])) == n
 
 
+@pytest.mark.parametrize("text", ["".join(chr(97 + (i * i + i // 7) % 26) for i in range(60_000)), "".join("abcdef0123456789"[(i * 7 + i // 3) % 16] for i in range(60_000)),
+                                  "日本語テキスト" * 8_000, "+/" * 30_000])
+def test_unbroken_texts_in_bounded_memory(text):
+    """Long texts without white space: as many states as allowed, whatever the length, and the library's count."""
+    m = fst.Transducer(WORD, max_states=2_000)
+    chunks = [text[i: i + 4096] for i in range(0, len(text), 4096)]
+    assert m.total(m.scan([m.state_map(c) for c in chunks])) == len(library(WORD, text))
+    assert len(m.states) <= 2 * m.max_states + 1 and all(len(w) <= 64 for w in m.words)
+    if "0" in text:  # digits are borders, so chunks are counted where they are cut
+        assert all(len(m.state_map(c)[0]) < 100 for c in chunks)
+
+
 def test_state_maps_compose_associatively():
     m = fst.Transducer(WORD)
     a, b, c = (m.state_map(x) for x in ("ab cd", "ef", "gh ij k"))
@@ -172,6 +206,39 @@ def test_token_files_round_trip_and_pruning(spark, documents, odd_texts, tmp_pat
     assert flat == sorted(flat) and len(flat) == len(rows)
 
 
+def test_a_lookup_of_an_absent_id_reads_no_row(spark, documents, tmp_path):
+    """Within the range of the ids, so that only the Bloom filters can tell; and the row index narrows a lookup that hits."""
+    path = str(tmp_path / "t")
+    token_files.write_token_files(documents([(2 * i, f"text {i}") for i in range(6000)]), path, tokenizer=BYTE, end_id=0, partitions=2, index_rows=1000)
+
+    def read(condition):
+        df = token_files.read_token_files(spark, path).filter(condition)
+        rows = df.collect()
+        leaves = df._jdf.queryExecution().executedPlan().collectLeaves()
+        return len(rows), leaves.apply(0).metrics().get("numOutputRows").get().value()
+
+    absent = [read(f"doc_id = {i}") for i in (4001, 5003, 777, 9999)]
+    assert all(n == 0 for n, _ in absent) and sum(seen == 0 for _, seen in absent) >= 3  # a Bloom filter may err
+    hits, seen = read("doc_id = 4000")
+    assert hits == 1 and 1 <= seen <= 1000
+
+
+def test_an_id_with_a_third_of_the_rows_is_dealt_to_many_files(spark, documents, tmp_path):
+    rows = [(50, f"hot {i % 40} text") for i in range(400)] + [(i, f"cold {i}") for i in range(800)] + [(50, "same")] * 100
+    path = str(tmp_path / "t")
+    token_files.write_token_files(documents(rows, partitions=6), path, tokenizer=BYTE, end_id=0, partitions=8)
+    files = token_files.read_token_files(spark, path)
+    per = {r["part"]: r["count"] for r in files.filter("doc_id = 50").groupBy("part").count().collect()}
+    assert sum(per.values()) == 501 and len(per) >= 3 and max(per.values()) < 350
+    got = token_files.with_starts(token_files.digests(files)).orderBy("start").collect()
+    at = 0
+    for r in got:
+        assert r.start == at
+        at += r.n_tokens
+    assert [r.doc_id for r in got] == sorted(i for i, _ in rows)
+    assert sorted((r.doc_id, r.ids_crc32) for r in got) == sorted((i, zlib.crc32(np.array([*library(BYTE, t), 0], "<u4").tobytes())) for i, t in rows)
+
+
 def test_token_files_empty_repeated_and_null_ids(spark, documents, tmp_path):
     token_files.write_token_files(documents([]), str(tmp_path / "none"), tokenizer=BYTE, end_id=0, partitions=2)
     assert token_files.read_token_files(spark, str(tmp_path / "none")).count() == 0
