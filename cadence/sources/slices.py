@@ -8,6 +8,8 @@ track entries. Field-presence rules need the raw text, which
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -104,28 +106,37 @@ def write_slices(playlists: DataFrame, tracks: DataFrame, out_dir: str, per_slic
 
     A slice document holds all of its playlists and entries; that is the
     format (one JSON document per file), so each slice is assembled in one task.
+    Playlists and entries are shuffled once, together, by slice; a task gets about
+    ``SLICES_PER_TASK`` of them, however many there are. The text is gzipped.
     """
-    t = tracks.select("pid", F.col(order).alias("_o"), F.struct(
+    from cadence.operators.profile import fit_scalars
+    of_pid = F.floor(F.col("pid") / per_slice).alias("_slice")
+    t = tracks.select(of_pid, "pid", F.struct(F.col(order).alias("_o"), F.struct(
         "pos", "artist_name", "track_uri", "artist_uri", "track_name", "album_uri",
-        F.col("track_dur_ms").alias("duration_ms"), "album_name", *extra_track).alias("t"))
-    nested = t.groupBy("pid").agg(F.transform(F.sort_array(F.collect_list(F.struct("_o", "t"))), lambda x: x["t"]).alias("tracks"))
-    p = playlists.join(nested, "pid", "left").withColumn("_slice", F.floor(F.col("pid") / per_slice))
-    pl = F.struct("name", "collaborative", "pid", "modified_at", "num_tracks", "num_albums", "num_followers",
-                  "num_edits", "duration_ms", "num_artists",
-                  F.when(F.col("has_desc"), F.col("description")).alias("description"),
-                  F.coalesce("tracks", F.array()).alias("tracks"), *extra_playlist)
-    doc = p.groupBy("_slice").agg(F.array_sort(F.collect_list(F.struct("pid", pl.alias("p")))).alias("ps"))
+        F.col("track_dur_ms").alias("duration_ms"), "album_name", *extra_track).alias("t")).alias("t"))
+    p = playlists.select(of_pid, "pid", F.struct(
+        "name", "collaborative", "modified_at", "num_tracks", "num_albums", "num_followers", "num_edits", "duration_ms", "num_artists",
+        F.when(F.col("has_desc"), F.col("description")).alias("description"), *extra_playlist).alias("p"))
+    n = fit_scalars(playlists.select(of_pid), F.approx_count_distinct("_slice").alias("n"))["n"] or 0
+    rows = p.unionByName(t, allowMissingColumns=True).repartition(max(1, math.ceil(n / SLICES_PER_TASK)), "_slice")
+    nested = rows.groupBy("_slice", "pid").agg(F.collect_list("p").alias("ps"), F.sort_array(F.collect_list("t")).alias("ts"))
+    # entries without a playlist are left out; a null pid joins no entries
+    lists = nested.select("_slice", "pid", F.explode("ps").alias("p"), F.when(F.col("pid").isNotNull(), F.transform("ts", lambda x: x["t"])).alias("tracks"))
+    pl = F.struct("p.name", "p.collaborative", "pid", "p.modified_at", "p.num_tracks", "p.num_albums", "p.num_followers",
+                  "p.num_edits", "p.duration_ms", "p.num_artists", "p.description",
+                  F.coalesce("tracks", F.array()).alias("tracks"), *[f"p.{c}" for c in extra_playlist])
+    doc = lists.groupBy("_slice").agg(F.array_sort(F.collect_list(F.struct("pid", pl.alias("p")))).alias("ps"))
     lo = F.col("_slice") * per_slice
     name = F.format_string("%d-%d", lo, lo + per_slice - 1)
     fields = {"generated_on": F.lit(generated_on), "slice": name, "version": F.lit(version), **info(F.col("_slice"))}
-    doc = doc.select(name.alias("_name"), F.to_json(F.struct(
+    doc = doc.select(name.alias("slice"), F.to_json(F.struct(
         F.struct(*[c.alias(k) for k, c in fields.items()]).alias("info"),
         F.transform("ps", lambda x: x["p"]).alias("playlists"))).alias("value"))
     # one slice per output folder slice=A-B, written by the task that holds it
-    doc.repartition("_name").withColumnRenamed("_name", "slice").write.mode("overwrite") \
-        .partitionBy("slice").text(out_dir)
+    doc.write.mode("overwrite").partitionBy("slice").option("compression", "gzip").text(out_dir)
 
 
+SLICES_PER_TASK = 8
 WRITTEN_PATTERN = "slice=*/part-*"
 
 

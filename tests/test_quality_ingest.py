@@ -102,3 +102,27 @@ def test_two_data_folders_in_one_session(spark):
             for old, rows in kept.get(n, []):
                 assert old.count() == rows
             kept.setdefault(n, []).append((df, want))
+
+
+def test_slices_are_shuffled_once_and_gzipped(spark):
+    """Playlists that come twice, entries without a playlist, playlists without entries."""
+    import glob
+    import gzip
+    import json
+    d = tempfile.mkdtemp(prefix="cadence-test-once-") + "/s"
+    pl = spark.createDataFrame([(p, f"n{p}", "false", 0, 1, 1, 1, 1, 1, 1, p % 2 == 0, "d") for p in (1, 1, 2, 251, 600)],
+                               "pid long, name string, collaborative string, modified_at long, num_tracks long, num_albums long, num_followers long, num_edits long, duration_ms long, num_artists long, has_desc boolean, description string")
+    tr = spark.createDataFrame([(p, i, "a", f"u{i}", "x", "t", "y", 5, "b") for p in (1, 2, 251, 300) for i in (1, 0)],
+                               "pid long, pos long, artist_name string, track_uri string, artist_uri string, track_name string, album_uri string, track_dur_ms long, album_name string")
+    SL.write_slices(pl, tr, d, 250)
+    files = glob.glob(f"{d}/slice=*/part-*")
+    assert len(files) == 3 and all(f.endswith(".gz") for f in files)
+    with gzip.open(next(f for f in files if "slice=0-249" in f), "rt") as f:
+        doc = json.loads(f.read())
+    assert doc["info"]["slice"] == "0-249" and [p["pid"] for p in doc["playlists"]] == [1, 1, 2]
+    assert [[t["pos"] for t in p["tracks"]] for p in doc["playlists"]] == [[0, 1]] * 3
+    assert ["description" in p for p in doc["playlists"]] == [False, False, True]
+    s = SL.read_slices(spark, d, pattern=SL.WRITTEN_PATTERN)
+    assert sorted((r["pid"], r["pos"]) for r in SL.slice_tracks(s).collect()) == sorted([(p, i) for p in (1, 1, 2, 251) for i in (0, 1)])
+    assert sorted(r["pid"] for r in SL.slice_playlists(s).collect()) == [1, 1, 2, 251, 600]
+    assert sum(p.count() for p in SL.read_slice_text(spark, d, pattern=SL.WRITTEN_PATTERN)) == 5 + 8 + 3
