@@ -16,6 +16,7 @@ from cadence.sources.fixtures import tables
 from cadence.session import session_key
 
 PER_SLICE = 250
+MOST_BATCHES = 32  # of the incremental ingest
 
 
 def slices_dir(spark, sf_dir):
@@ -77,12 +78,15 @@ def q_ingest_limited_tracks(spark, sf_dir):
 
 
 def stream_out(spark, sf_dir):
-    """Incremental ingest of the slice files, two files per trigger, into a fresh folder."""
+    """Incremental ingest of the slice files into a fresh folder: two files per trigger, and more where
+    there are so many files that ``MOST_BATCHES`` batches of two would not hold them."""
     from cadence.streaming.catalog import stream_ingest
     key = (session_key(spark), sf_dir, "stream_out")
     if key not in C._MEMO:
         out = scratch_path(spark, "stream-out")
-        q = stream_ingest(spark, slices_dir(spark, sf_dir), out, out + "-checkpoint", files_per_trigger=2,
+        src = slices_dir(spark, sf_dir)
+        files = len(SL.list_slices(spark, src, pattern=SL.WRITTEN_PATTERN))
+        q = stream_ingest(spark, src, out, out + "-checkpoint", files_per_trigger=max(2, -(-files // MOST_BATCHES)),
                           glob_filter="part-*", recursive=True)
         q.awaitTermination()
         C._MEMO[key] = out

@@ -95,3 +95,35 @@ def test_a_replayed_batch_writes_the_same_output(spark, folders):
     assert catalog(spark, out) == WHOLE
     batch = SL.slice_catalog(SL.read_slices(spark, src))
     assert batch.count() == len(WHOLE)
+
+
+def test_state_has_a_partition_for_each_core(spark, folders):
+    src, out, ck = folders
+    for k, uris in enumerate(FILES[:2]):
+        write(src, k, uris)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        q = run(spark, src, out, ck)
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "64"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert {p.stateOperators[0].numShufflePartitions for p in q.recentProgress if p.stateOperators} == {4}
+    assert read_appended(spark, out, "tracks").count() == 6
+
+
+def test_many_files_take_few_batches(spark, monkeypatch):
+    from cadence.plans import common as C
+    from cadence.plans import q_ingest as QI
+    src = tempfile.mkdtemp(prefix="cadence-stream-many-")
+    for k in range(9):
+        os.makedirs(f"{src}/slice={k}-{k}")
+        write(src, k, [f"u{k}", "u0"])
+        os.rename(f"{src}/mpd.slice.{k}-{k}.json", f"{src}/slice={k}-{k}/part-{k}")
+    monkeypatch.setattr(QI, "slices_dir", lambda s, d: src)
+    monkeypatch.setattr(QI, "MOST_BATCHES", 3)
+    out = QI.stream_out(spark, src)
+    assert len(os.listdir(f"{out}/totals")) == 3
+    assert read_appended(spark, out, "tracks").count() == 18
+    assert read_catalog(spark, out).count() == 9
+    C._MEMO.clear()
