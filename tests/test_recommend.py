@@ -179,3 +179,19 @@ def test_label_from_a_seed_sample(spark):
     votes = Counter({"x": "rock", "y": "jazz"}[r["track_uri"]] for r in some.where("pid = 1").collect())
     got = {r["pid"]: r["inferred"] for r in R.infer_label(seeds, labels, groups, sample_n=25).collect()}
     assert got == {1: min(votes, key=lambda g: (-votes[g], g)), 2: "jazz", 3: "unknown"}
+
+
+def test_pair_counting_is_dealt_by_its_rows(spark, monkeypatch):
+    """Many small tasks count the same pairs as one; no task holds more than its share of them."""
+    from cadence.operators import recommend as R
+    seqs = spark.createDataFrame([(p, i, (p * 7 + i * i) % 11) for p in range(40) for i in range(8)], "pid long, pos long, track_idx int")
+    want = None
+    for most in (R.PAIRS_PER_TASK, 50):
+        monkeypatch.setattr(R, "PAIRS_PER_TASK", most)
+        monkeypatch.setattr(R, "tasks_for", lambda rows, per=most: max(1, -(-int(rows or 0) // per)))
+        got = [sorted(map(tuple, R.cooccurrence(seqs, n, 2).collect())) for n in (5, None)]
+        recs = sorted(map(tuple, R.rec_itemcf(seqs.where("pos < 4"), R.neighbours(R.cooccurrence(seqs, 5, 2)), 3).collect()))
+        want = want or (got, recs)
+        assert (got, recs) == want and got[0] and recs
+    plan = R.cooccurrence(seqs, 5, 2)._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_NUM" in plan
