@@ -26,3 +26,23 @@ def test_scratch_folders_are_fresh_and_can_be_cleared(spark):
 
 def test_local_masters(spark):
     assert S.is_local(spark)
+
+
+def test_partitions_grow_with_the_input(spark, tmp_path, monkeypatch):
+    from cadence import session as SE
+    (tmp_path / "t.parquet").mkdir()
+    (tmp_path / "t.parquet" / "a").write_bytes(b"x" * 1000)
+    first, advisory = "spark.sql.adaptive.coalescePartitions.initialPartitionNum", "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    kept = {k: spark.conf.get(k, None) for k in (first, advisory)}
+    try:
+        spark.conf.unset(first)
+        spark.conf.set(advisory, "64m")
+        assert SE.bound_partitions(spark, [str(tmp_path / "t.parquet"), str(tmp_path / "none")]) == 8
+        assert spark.conf.get(advisory) == str(SE.PARTITION_BYTES)
+        monkeypatch.setattr(SE, "INPUT_BYTES", 100)
+        assert SE.bound_partitions(spark, [str(tmp_path / "t.parquet")]) == 10
+        spark.conf.set(advisory, "1m")
+        assert SE.bound_partitions(spark, []) == 10 and spark.conf.get(advisory) == "1m"
+    finally:
+        for k, v in kept.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
