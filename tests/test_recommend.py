@@ -195,3 +195,36 @@ def test_pair_counting_is_dealt_by_its_rows(spark, monkeypatch):
         assert (got, recs) == want and got[0] and recs
     plan = R.cooccurrence(seqs, 5, 2)._jdf.queryExecution().executedPlan().toString()
     assert "REPARTITION_BY_NUM" in plan
+
+
+def test_adjacent_pairs_shuffle_a_row_once(spark):
+    """Stretches of any length give the pairs of whole sequences, with positions held twice, gaps and null keys; inputs may be named."""
+    rows = [(1, p, p * 5 % 7) for p in range(40)] + [(1, 8, 3), (1, 9, 3), (2, 3, 1), (2, 6, 2), (2, 7, None), (2, 8, 4), (None, 0, 1), (None, 1, 2)]
+    df = spark.createDataFrame(rows, "pid long, pos long, track_idx int")
+    want = Counter((b - a, x, y) for p, a, x in rows for q, b, y in rows if p is not None and p == q and 1 <= b - a <= 3)
+
+    def got(**kw):
+        return Counter(map(tuple, R.adjacent_pairs(df, 3, **kw).collect()))
+
+    assert got() == want and got(stretch=4) == want and got(stretch=1) == want
+    inputs = spark.createDataFrame([(3,), (5,), (77,)], "input int")
+    assert got(inputs=inputs, stretch=5) == Counter({k: n for k, n in want.items() if k[1] in (3, 5)})
+    lists = {tuple(r) for r in R.lag_transitions(df, 3).collect()}
+    assert {tuple(r) for r in R.lag_transitions(df, 3, inputs=inputs).collect()} == {r for r in lists if r[1] in (3, 5)}
+    assert all(r[1] is not None for r in lists)
+    path = R.adjacent_pairs(df, 3)._jdf.queryExecution().sparkPlan().toString()
+    assert "Join" not in path  # rows are not sent to three places to be joined there
+
+
+def test_hits_do_not_broadcast_holdouts(spark, tmp_path):
+    """Holdouts that repeat fill hardly any file; a broadcast table of them would still hold each."""
+    from cadence.operators import evaluate as EV
+    path = str(tmp_path / "h")
+    spark.range(3000).select((F.col("id") % 30).alias("pid"), (F.col("id") % 100).cast("int").alias("track_idx")).distinct().write.parquet(path)
+    hold = spark.read.parquet(path)
+    recs = hold.select("pid", F.lit(1).alias("rank"), F.col("track_idx").alias("item"))
+    ev = hold.groupBy("pid").agg(F.count("*").alias("n_holdout")).withColumn("next_item", F.lit(None).cast("int"))
+    per = EV.per_group_hits(recs, hold, ev)
+    joins = [x for x in per._jdf.queryExecution().sparkPlan().toString().splitlines() if "Join" in x and "item" in x]
+    assert joins and all("SortMergeJoin" in x for x in joins)
+    assert {r["hits_1"] for r in per.collect()} == {r["n_holdout"] for r in ev.collect()}
