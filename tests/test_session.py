@@ -46,3 +46,19 @@ def test_partitions_grow_with_the_input(spark, tmp_path, monkeypatch):
     finally:
         for k, v in kept.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_scan_tasks_do_not_grow_with_the_input(spark, tmp_path):
+    """A stage table takes a few bytes a row: 128 MB of it are tens of millions of rows to one task."""
+    from cadence.session import SCAN_BYTES, bound_partitions
+    key = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(key)
+    try:
+        spark.conf.unset(key)
+        bound_partitions(spark, [])
+        assert int(spark.conf.get(key).rstrip("b")) == SCAN_BYTES
+        spark.conf.set(key, "1m")  # finer settings are kept
+        bound_partitions(spark, [])
+        assert spark.conf.get(key) == "1m"
+    finally:
+        spark.conf.set(key, before)
