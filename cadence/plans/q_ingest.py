@@ -17,6 +17,8 @@ from cadence.session import session_key
 
 PER_SLICE = 250
 MOST_BATCHES = 32  # of the incremental ingest
+FILES_PER_CORE = 4  # in a batch of it, where that leaves LEAST_BATCHES
+LEAST_BATCHES = 4
 
 
 def slices_dir(spark, sf_dir):
@@ -77,16 +79,21 @@ def q_ingest_limited_tracks(spark, sf_dir):
     return SL.slice_tracks(SL.read_slices(spark, slices_dir(spark, sf_dir), limit_files=2, pattern=SL.WRITTEN_PATTERN))
 
 
+def batch_files(files: int, cores: int) -> int:
+    """Files per trigger: a batch costs a second or two whatever it holds, so it takes ``FILES_PER_CORE`` for each core, or
+    fewer where there would not be ``LEAST_BATCHES``, and more where ``MOST_BATCHES`` would not hold all; two at least."""
+    return max(2, -(-files // MOST_BATCHES), min(FILES_PER_CORE * cores, -(-files // LEAST_BATCHES)))
+
+
 def stream_out(spark, sf_dir):
-    """Incremental ingest of the slice files into a fresh folder: two files per trigger, and more where
-    there are so many files that ``MOST_BATCHES`` batches of two would not hold them."""
+    """Incremental ingest of the slice files into a fresh folder, in batches that keep the cores busy (see ``batch_files``)."""
     from cadence.streaming.catalog import stream_ingest
     key = (session_key(spark), sf_dir, "stream_out")
     if key not in C._MEMO:
         out = scratch_path(spark, "stream-out")
         src = slices_dir(spark, sf_dir)
         files = len(SL.list_slices(spark, src, pattern=SL.WRITTEN_PATTERN))
-        q = stream_ingest(spark, src, out, out + "-checkpoint", files_per_trigger=max(2, -(-files // MOST_BATCHES)),
+        q = stream_ingest(spark, src, out, out + "-checkpoint", files_per_trigger=batch_files(files, spark.sparkContext.defaultParallelism),
                           glob_filter="part-*", recursive=True)
         q.awaitTermination()
         C._MEMO[key] = out

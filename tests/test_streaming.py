@@ -127,3 +127,10 @@ def test_many_files_take_few_batches(spark, monkeypatch):
     assert read_appended(spark, out, "tracks").count() == 18
     assert read_catalog(spark, out).count() == 9
     C._MEMO.clear()
+
+
+def test_batches_keep_the_cores_busy():
+    """A few large batches on a small input, MOST_BATCHES at most on a large one."""
+    from cadence.plans import q_ingest as QI
+    for files, cores, batches in ((2, 12, 1), (60, 12, 4), (360, 12, 8), (3600, 12, 32), (360, 4, 23), (36000, 12, 32)):
+        assert -(-files // QI.batch_files(files, cores)) == batches
