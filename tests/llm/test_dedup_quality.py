@@ -9,6 +9,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from cadence.llm import decontam, licenses, quality, queries, sharding, simhash
 
@@ -173,6 +174,24 @@ def test_decontamination_against_brute_force(spark, documents, odd_texts, limit)
     assert sorted(str(r.doc_id) for r in clean) == sorted(str(i) for i, t in rows if not brute_hits(t, ITEMS)[1])
 
 
+@pytest.mark.parametrize("limit", [32 << 20, 0])
+def test_decontamination_cuts_a_text_once_for_its_hits(spark, documents, limit):
+    """Spark adds a filter that cuts the words a second time to a generator that drops empty lists."""
+    d = documents([(1, "a b")]).select(F.col("doc_id").cast("string").alias("row_key"), "text")
+    found = decontam.hits(d, bench(spark, ITEMS), n=10, broadcast_bytes=limit)
+    plan = found._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    assert any("Generate posexplode" in x for x in plan) and not [x for x in plan if "Filter" in x and "size(regexp_extract_all(" in x]
+
+
+def test_words_of_decontamination_character_by_character(spark):
+    """Every character is a word's or not as in the contract, and no range is left in the class, which Java tests one by one."""
+    chars = [chr(c) for c in [*range(1, 0x300), 0x2028, 0x3042, 0xFFFD, 0x1F600]]
+    text = "".join(f"{c} x{c}y\n" for c in chars)
+    got = spark.createDataFrame([(text,)], "text string").select(decontam.raw_words(F.col("text")).alias("w")).first().w
+    assert got == re.findall(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", text)
+    assert "-" not in decontam.RAW_WORD
+
+
 def test_decontamination_of_empty_tables(spark, documents):
     assert decontam.contamination(documents([]), bench(spark, ITEMS)).count() == 0
     assert [r.n_hit for r in decontam.contamination(documents([(1, "a b")]), bench(spark, [])).collect()] == [0]
