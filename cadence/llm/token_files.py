@@ -50,17 +50,21 @@ def write_token_files(docs: DataFrame, path: str, *, tokenizer: str, end_id: int
             start += int(offsets[-1])
             return out
 
-        for batch in batches:
-            doc, ids, size = [], [], 0
+        def groups(batch: pa.RecordBatch) -> Iterator[tuple[list, list[str]]]:
+            doc, texts, size = [], [], 0
             for d, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 doc.append(d)
-                ids.append(enc.encode(text.as_py() or "") + end)
-                size += len(ids[-1])
-                if size >= 8_000_000:
-                    yield rows(doc, ids)
-                    doc, ids, size = [], [], 0
+                texts.append(text.as_py() or "")
+                size += len(texts[-1])
+                if size >= 8 << 20:
+                    yield doc, texts
+                    doc, texts, size = [], [], 0
             if doc:
-                yield rows(doc, ids)
+                yield doc, texts
+
+        for batch in batches:
+            for doc, texts in groups(batch):
+                yield rows(doc, [ids + end for ids in enc.encode_all(texts)])
 
     # Rows of one id go by a hash of the text, equal rows by their place in the table: an id with any share of the rows is dealt to many files.
     d = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text"), F.xxhash64(docs[text_col]).alias("h"), F.monotonically_increasing_id().alias("n"))

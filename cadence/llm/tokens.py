@@ -11,7 +11,9 @@ BPE model runs once per new unit:
 * byte-level BPE with the usual word pattern: units start at a single space
   that stands between two other characters.
 
-A text of plain Latin characters is cut into its pre-tokens at once.
+A text of plain Latin characters is cut into its pre-tokens at once; byte-level
+BPE can cut many such texts together, in Arrow, and asks the memo once for each
+different pre-token of theirs (``encode_all``).
 
 Any other file, and any text that holds a special string, white space outside
 ASCII or runs of white space, goes through the library as a whole.
@@ -24,12 +26,19 @@ import os
 import re
 from array import array
 
+import numpy as np
+import pyarrow as pa
+
 LATIN = "a-zA-ZÀ-ÖØ-öø-ÿ"
 #: Units made of these characters only are cut by the patterns below; the character classes of
 #: Python's and the library's patterns agree on them.
 _PLAIN = re.compile(r"[\t\n\r\x20-\x7eÀ-ÖØ-öø-ÿ]*").fullmatch
 _WORD_UNITS = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{LATIN}]+|[0-9]|[^\s0-9{LATIN}]+").findall
 _BYTE_UNITS = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{LATIN}]+| ?[0-9]+| ?[^\s0-9{LATIN}]+|\s+(?!\S)|\s+").findall
+#: Class of every byte of a plain text in UTF-8: blank, other white space, letter (bytes beyond ASCII too), digit, other.
+_BLANK, _SPACE, _LETTER, _DIGIT, _OTHER = range(5)
+_BYTE_CLASS = np.array([_BLANK if c == 32 else _SPACE if c in b"\t\n\r" else _LETTER if c >= 128 or chr(c).isalpha() else _DIGIT if chr(c).isdigit() else _OTHER
+                        for c in range(256)], np.uint8)
 #: The patterns of the two families, as they stand in tokenizer files (fixed values).
 WORD_PATTERN = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
 _RUNS = tuple(a + b for a, b in [("  ", ""), *((" ", c) for c in "\t\n\r"), *((c, " ") for c in "\t\n\r")])
@@ -59,6 +68,31 @@ def family(spec: dict) -> str:
     return "other"
 
 
+def byte_unit_starts(data: np.ndarray, texts: np.ndarray) -> np.ndarray:
+    """Where the matches of ``_BYTE_UNITS`` start in plain texts that lie one behind the other in ``data`` (UTF-8);
+    ``texts``: the starts of the texts, none of them empty."""
+    kind = _BYTE_CLASS[data]
+    first, last = np.zeros(len(data), bool), np.ones(len(data), bool)
+    first[texts], last[:-1] = True, first[1:]
+    space = kind <= _SPACE
+    before = np.concatenate([[_OTHER + 1], kind[:-1]])
+    before[first] = _OTHER + 1  # no text goes on into the next one
+    after = np.concatenate([space[1:], [True]]) | last
+    # A word starts with its class, or with one blank before it. Of other white space, what stands before a word's last one is one unit.
+    word = ~space & (kind != before) & (before != _BLANK)
+    start = word | space & ((before > _SPACE) | ~after)
+    # 's, 't, 'm, 'd, 're, 've, 'll: a unit where the apostrophe starts one without a blank.
+    at = np.flatnonzero(word & (data == ord("'")) & ~last)
+    one = data[at + 1]
+    two = np.where(last[at + 1], 0, data[np.minimum(at + 2, len(data) - 1)])
+    short = np.isin(one, list(b"stmd"))
+    long = ~short & (((one == ord("r")) | (one == ord("v"))) & (two == ord("e")) | (one == ord("l")) & (two == ord("l")))
+    start[at[short | long] + 1] = False
+    end = np.concatenate([at[short] + 2, at[long] + 3])
+    start[end[end < len(data)]] = True
+    return np.flatnonzero(start)
+
+
 class _Whole(Exception):
     """A unit shows that its text has to go through the library as a whole."""
 
@@ -145,6 +179,37 @@ class IdEncoder:
         except _Whole:
             return self.library(text)
 
+    def encode_all(self, texts: list[str], together: int = 8 << 20) -> list[bytes]:
+        """``encode`` of every text. Plain texts are cut ``together``, so many characters at a time."""
+        if self.kind != "byte":
+            return [self.encode(t) for t in texts]
+        out, plain, size = [b""] * len(texts), [], 0
+        for i, t in enumerate(texts):
+            if not t or not _PLAIN(t) or any(s in t for s in self.special):
+                out[i] = self.encode(t)
+                continue
+            plain.append((i, t.encode()))
+            size += len(t)
+            if size >= together:
+                self._plain_units(plain, out)
+                plain, size = [], 0
+        if plain:
+            self._plain_units(plain, out)
+        return out
+
+    def _plain_units(self, texts: list[tuple[int, bytes]], out: list[bytes]) -> None:
+        data = b"".join(b for _, b in texts)
+        ends = np.cumsum([len(b) for _, b in texts])
+        starts = byte_unit_starts(np.frombuffer(data, np.uint8), np.concatenate([[0], ends[:-1]]))
+        cuts = np.append(starts, len(data))
+        units = pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(cuts), pa.py_buffer(data)).dictionary_encode()
+        different = units.dictionary.to_numpy(zero_copy_only=False).tolist()
+        ids = pa.array(list(map(self.words.__getitem__, different)), pa.large_binary()).take(units.indices)
+        at = np.frombuffer(ids.buffers()[1], np.int64, len(ids) + 1)[np.searchsorted(cuts, np.append(0, ends))].tolist()
+        values = memoryview(ids.buffers()[2])
+        for (i, _), a, b in zip(texts, at, at[1:], strict=False):
+            out[i] = bytes(values[a:b])
+
 
 _ENCODERS: dict[str, IdEncoder] = {}
 

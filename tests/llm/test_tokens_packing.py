@@ -39,6 +39,33 @@ def test_encoder_equals_library_on_mixed_texts(path):
     assert all(len(k) <= 64 for memo in (enc.words, enc.units, enc.words.old, enc.units.old) for k in memo)
 
 
+@pytest.mark.parametrize("path", [WORD, BYTE])
+def test_encoding_texts_together_equals_library(path, odd_texts):
+    import random
+    rnd = random.Random(4)
+    parts = ["ab", "S", "s", "'", "'s", "'re", "'ll", "'l", "'r", "'d", " ", "  ", "\n", "\t", "\r", "7", "42", "é", "À", "!", "-", "x" * 90, "日本", "\x7f", "<|endoftext|>"]
+    texts = [t or "" for t in odd_texts] + ["", "'", "s", "'s", " ", "\n"] + ["".join(rnd.choices(parts[:-3], k=rnd.randint(0, 12))) for _ in range(1500)] \
+        + ["".join(rnd.choices(parts, k=rnd.randint(0, 12))) for _ in range(300)]
+    want = [library(path, t) for t in texts]
+    for together in (1, 100, 8 << 20):
+        got = IdEncoder(path, max_memo=100).encode_all(texts, together)
+        assert [np.frombuffer(x, "<u4").tolist() for x in got] == want
+    assert IdEncoder(path).encode_all([]) == []
+
+
+def test_token_files_ask_once_for_each_different_word(spark, documents, tmp_path, monkeypatch):
+    """The texts of a task are cut together: a word that all of them hold is looked up once, not once a text."""
+    enc, asked = IdEncoder(BYTE), []
+    monkeypatch.setattr(enc, "words", type("Words", (dict,), {"__getitem__": lambda self, w: asked.append(w) or enc._word(w)})())
+    texts = [f"The same words, n{i}é" for i in range(50)]
+    got = enc.encode_all(texts)
+    assert [np.frombuffer(x, "<u4").tolist() for x in got] == [library(BYTE, t) for t in texts]
+    assert sorted(asked) == sorted({"The", " same", " words", ",", " n", "é", *(str(i) for i in range(50))})
+    token_files.write_token_files(documents(list(enumerate(texts))), f"{tmp_path}/f", tokenizer=BYTE, end_id=0, partitions=2)
+    rows = token_files.read_token_files(spark, f"{tmp_path}/f").collect()
+    assert {r.doc_id: r.ids for r in rows} == {i: [*library(BYTE, t), 0] for i, t in enumerate(texts)}
+
+
 def check_pieces(rows, lengths, window=4096):
     by_doc, by_seq = defaultdict(list), defaultdict(list)
     for r in rows:
