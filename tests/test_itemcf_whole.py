@@ -56,3 +56,17 @@ def test_cooc_neighbours_count_whole_groups(spark, long_groups):
     got, want = both(spark, long_groups, "cooc_neighbours")
     pairs = {k: n for k, n in train_pairs(spark, long_groups).items() if n >= 3}
     assert got == want and {(a, b): n for a, b, n, _ in got} == pairs
+
+
+def late_recs(spark, d, name):
+    """Rows of the query; its SQL gives the same, and they are of other numbers than with the first 50 positions."""
+    got, want = both(spark, d, name)
+    assert got == want and got
+    return got
+
+
+def test_rec_itemcf_recommends_by_pairs_past_position_50(spark, long_groups):
+    from cadence.plans.q_itemcf import itemcf_parts
+    got = late_recs(spark, long_groups, "rec_itemcf")
+    first = sorted((r["pid"], r["rank"], r["item"], r["score"]) for r in itemcf_parts(spark, long_groups)[0].collect())
+    assert got != first
