@@ -70,3 +70,12 @@ def test_rec_itemcf_recommends_by_pairs_past_position_50(spark, long_groups):
     got = late_recs(spark, long_groups, "rec_itemcf")
     first = sorted((r["pid"], r["rank"], r["item"], r["score"]) for r in itemcf_parts(spark, long_groups)[0].collect())
     assert got != first
+
+
+def test_metrics_per_group_score_the_whole_model(spark, long_groups):
+    from cadence.operators import evaluate as EV
+    from cadence.plans.q_itemcf import itemcf_parts
+    got = late_recs(spark, long_groups, "metrics_per_group")
+    at = [QUERIES["metrics_per_group"](spark, long_groups).columns.index(c) for c in ("pid", "hits_20")]
+    first = {r["pid"]: r["hits_20"] for r in EV.per_group_hits(*itemcf_parts(spark, long_groups)).collect()}
+    assert {r[at[0]]: r[at[1]] for r in got} != first
