@@ -23,6 +23,19 @@ def rows(df):
     return sorted(map(tuple, df.collect()), key=repr)
 
 
+def test_coverage_filter_in_slices(spark, monkeypatch):
+    entries = spark.createDataFrame([(p, i, f"t{(p * 3 + i) % 17}") for p in range(20) for i in range(3 + p % 9)] + [(None, i, f"t{i}") for i in range(9)], "pid long, pos long, track_uri string")
+    has = spark.createDataFrame([(f"t{i}", None if i % 4 == 1 else 1.0) for i in range(17)], "track_uri string, f0 double")
+    want = rows(EN.coverage_filter(entries, has, "f0", 4))
+    kept = []
+    monkeypatch.setattr(P, "MOST_SLICES", 3)
+    monkeypatch.setattr(P, "slices_for", lambda df, most=None: 3)
+    got = EN.coverage_filter(entries, has, "f0", 4, stage=seen_stage(kept))
+    assert rows(got) == want and want
+    groups = [{r["pid"] for r in df.collect()} for _, df in kept]
+    assert len(groups) == 3 and sum(map(len, groups)) == len(set().union(*groups))  # a group lies in one slice
+
+
 def test_few_rows_are_one_slice(spark):
     df = spark.range(100)
     assert P.slices_for(df) == 1 and P.slices_for(df, 30) == 4 and P.slices_for(df, 1) == P.MOST_SLICES
