@@ -36,6 +36,17 @@ def test_coverage_filter_in_slices(spark, monkeypatch):
     assert len(groups) == 3 and sum(map(len, groups)) == len(set().union(*groups))  # a group lies in one slice
 
 
+def test_seed_profile_in_slices(spark, monkeypatch):
+    cols = ["a", "b"]
+    v = spark.createDataFrame([(f"t{i}", float(i), float(i * i % 7)) for i in range(30)], "track_uri string, a double, b double")
+    seeds = spark.createDataFrame([(p, i, f"t{(p * 5 + i) % 40}") for p in range(25) for i in range(6)] + [(None, 0, "t3"), (None, 1, "t4")], "pid long, pos long, track_uri string")
+    want = rows(FT.seed_profile(seeds, v, cols))
+    kept = []
+    monkeypatch.setattr(P, "slices_for", lambda df, most=None: 4)
+    assert rows(FT.seed_profile(seeds, v, cols, stage=seen_stage(kept))) == want
+    assert [name for name, _ in kept] == ["profile_sums"] * 4
+
+
 def test_few_rows_are_one_slice(spark):
     df = spark.range(100)
     assert P.slices_for(df) == 1 and P.slices_for(df, 30) == 4 and P.slices_for(df, 1) == P.MOST_SLICES
