@@ -2,6 +2,7 @@
 
 import datetime
 import os
+import time
 
 import pyarrow as pa
 import pyarrow.parquet as pq
@@ -77,5 +78,8 @@ def test_entries_in_slices_and_no_shuffle_files(spark, tmp_path, monkeypatch):
     before = left()
     df = spark.range(1000).groupBy((F.col("id") % 10).alias("k")).count()
     df.write.mode("overwrite").format("noop").save()
+    until = time.time() + 20  # they are deleted in the background
+    while left() - before and time.time() < until:
+        time.sleep(0.2)
     assert not left() - before
     assert rows(df) == rows(df)  # a frame that is used again makes its shuffle anew
