@@ -83,3 +83,12 @@ def test_entries_in_slices_and_no_shuffle_files(spark, tmp_path, monkeypatch):
         time.sleep(0.2)
     assert not left() - before
     assert rows(df) == rows(df)  # a frame that is used again makes its shuffle anew
+
+
+def test_slices_are_read_as_one_table(spark):
+    """What is planned on the result is planned once, not once a slice."""
+    from cadence.sources.fixtures import stage
+    got = P.in_slices(spark.range(500), "id", lambda x: x.groupBy("id").count(), stage, "slices", most=100)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" not in plan and plan.count("Relation") == 1
+    assert rows(got) == [(i, 1) for i in sorted(range(500), key=lambda i: repr((i, 1)))]
